@@ -2,17 +2,17 @@
 
 All pairs of two large sets cannot be written out, and an inverted join writes them for every common
 feature. Both sides are instead cut into blocks of bounded size by the hash of their unique id. A
-block of the left side meets each block of the right side once, in one task, where a matrix product
-scores the pairs in memory and only the best ``k`` per left row leave the task. Work per task depends on the
-block size alone, so skew in the features does not matter, and nothing is left out: every pair is
-scored.
+block of the left side meets each block of the right side once, in one task, where matrix products
+score the pairs in memory and only the best ``k`` per left row leave the task. Work per task depends
+on the block size alone, so skew in the features does not matter, and nothing is left out: every
+pair is scored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recflow.operators.ranking import top_list_rows
@@ -20,47 +20,106 @@ from recflow.session import ship_functions
 
 ship_functions(__name__)
 
-BLOCK_ROWS = 4096
-# Left rows scored at once inside a task.
-SLICE_ROWS = 256
-# Scores are compared after rounding to this many digits, ties go to the smaller id.
+# A side is copied once per block of the other side, so blocks are large; a task holds two of them.
+MAX_BLOCK_ROWS = 32_768
+# Smaller blocks than this are not worth a task.
+MIN_BLOCK_ROWS = 512
+# Left and right rows multiplied at once inside a task.
+LEFT_ROWS, RIGHT_ROWS = 1024, 4096
+# Scores equal to this many digits are ties, which go to the smaller id.
 SCORE_DIGITS = 9
 
 
-def _block_matrices(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Both sides as dense matrices over the features the right block has."""
-    if "vec" in right.columns:
-        return np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-    # the features of the left side that no right row has score nothing
-    flat = np.concatenate([np.asarray(x, dtype=object) for x in right["dims"]])
-    codes, names = pd.factorize(flat)
-    out = []
-    for side, known in ((left, None), (right, codes)):
-        sizes = side["dims"].map(len).to_numpy()
-        rows = np.repeat(np.arange(len(side)), sizes)
-        if known is None:
-            words = np.concatenate([np.asarray(x, dtype=object) for x in side["dims"]])
-            known = pd.Index(names).get_indexer(words) if len(names) else np.full(len(words), -1)
-        values = np.concatenate([np.asarray(x, dtype=float) for x in side["vals"]])
-        matrix = np.zeros((len(side), len(names)))
-        hit = known >= 0
-        matrix[rows[hit], known[hit]] = values[hit]
-        out.append(matrix)
-    return out[0], out[1]
-
-
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the columns of the ``k`` best scores, best first, ties by column."""
-    n = scores.shape[1]
-    # one distinct integer per cell: the rounded score, then the column from the right
-    order = np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * n - np.arange(n)
-    if k < n:
-        top = np.argpartition(-order, k - 1, axis=1)[:, :k]
-    else:
-        top = np.broadcast_to(np.arange(n), scores.shape)
-    rank = np.argsort(-np.take_along_axis(order, top, axis=1), axis=1)
-    top = np.take_along_axis(top, rank, axis=1)
-    return top, np.take_along_axis(scores, top, axis=1)
+class _Vectors:
+    """The rows of a block as dense matrices, built a few rows and only the needed features at a time."""
+
+    def __init__(self, block: pd.DataFrame, names: pd.Index | None = None):
+        self.dense = np.stack(block["vec"].to_numpy()) if "vec" in block.columns else None
+        if self.dense is not None:
+            return
+        flat = np.concatenate([np.asarray(x, dtype=object) for x in block["dims"]])
+        self.values = np.concatenate([np.asarray(x, dtype=float) for x in block["vals"]])
+        self.ends = np.concatenate([[0], np.cumsum(block["dims"].map(len).to_numpy())])
+        codes, own = pd.factorize(flat)
+        self.names = pd.Index(own, dtype=object) if names is None else names
+        # a feature the other side lacks scores nothing and gets -1
+        known = np.arange(len(own)) if names is None else names.get_indexer(pd.Index(own, dtype=object))
+        self.codes = known[codes] if len(own) else codes
+
+    def features(self, start: int, stop: int) -> np.ndarray | None:
+        """The feature codes that occur in some rows."""
+        if self.dense is not None:
+            return None
+        return np.unique(self.codes[self.ends[start] : self.ends[stop]])
+
+    def rows(self, start: int, stop: int, features: np.ndarray | None) -> np.ndarray:
+        if self.dense is not None:
+            return self.dense[start:stop]
+        at, end = self.ends[start], self.ends[stop]
+        matrix = np.zeros((stop - start, len(features)))
+        if not len(features) or at == end:
+            return matrix
+        codes = self.codes[at:end]
+        place = np.minimum(np.searchsorted(features, codes), len(features) - 1)
+        hit = features[place] == codes
+        row = np.repeat(np.arange(stop - start), np.diff(self.ends[start : stop + 1]))
+        matrix[row[hit], place[hit]] = self.values[at:end][hit]
+        return matrix
+
+
+def _best(scores: np.ndarray, columns: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the ``k`` best scores and their columns, best first, ties by column."""
+    # one distinct integer per cell: the rounded score, then the column from behind
+    order = np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * width - columns
+    if k < scores.shape[1]:
+        keep = np.argpartition(-order, k - 1, axis=1)[:, :k]
+        order = np.take_along_axis(order, keep, axis=1)
+        scores = np.take_along_axis(scores, keep, axis=1)
+        columns = np.take_along_axis(np.broadcast_to(columns, (len(keep), columns.shape[-1])), keep, axis=1)
+    rank = np.argsort(-order, axis=1)
+    columns = np.broadcast_to(columns, scores.shape)
+    return np.take_along_axis(scores, rank, axis=1), np.take_along_axis(columns, rank, axis=1)
+
+
+def _match_blocks(left: pd.DataFrame, right: pd.DataFrame, k: int, other_only: bool) -> pd.DataFrame:
+    """The best ``k`` right rows for each left row of two blocks."""
+    if left.empty or right.empty:
+        return pd.DataFrame({"left_id": [], "right_id": [], "score": []})
+    right = right.sort_values("id", ignore_index=True)
+    ids, own = right["id"].to_numpy(), left["id"].to_numpy()
+    b = _Vectors(right)
+    a = _Vectors(left, None if b.dense is not None else b.names)
+    # a row may meet itself, one more is then needed
+    wanted = k + 1 if other_only else k
+    chunks = [(c, min(c + RIGHT_ROWS, len(ids))) for c in range(0, len(ids), RIGHT_ROWS)]
+    features = [b.features(*chunk) for chunk in chunks]
+    rights = [b.rows(*chunk, f).T for chunk, f in zip(chunks, features)]
+    parts = []
+    for start in range(0, len(own), LEFT_ROWS):
+        stop = min(start + LEFT_ROWS, len(own))
+        found = []
+        for (at, end), used, transposed in zip(chunks, features, rights):
+            scores = a.rows(start, stop, used) @ transposed
+            found.append(_best(scores, np.arange(at, end), len(ids), min(wanted, end - at)))
+        scores = np.hstack([s for s, _ in found])
+        columns = np.hstack([c for _, c in found])
+        if len(found) > 1:
+            scores, columns = _best(scores, columns, len(ids), min(wanted, scores.shape[1]))
+        part = pd.DataFrame(
+            {
+                "left_id": np.repeat(own[start:stop], columns.shape[1]),
+                "right_id": ids[columns].ravel(),
+                "score": scores.ravel(),
+            }
+        )
+        parts.append(part[part["left_id"] != part["right_id"]] if other_only else part)
+    return pd.concat(parts, ignore_index=True)
+
+
+def _n_blocks(rows: int, cores: int) -> int:
+    """Blocks of a side: as few as the size bound allows, but enough to occupy the cores."""
+    spread = min(int(np.ceil(np.sqrt(4 * cores))), -(-rows // MIN_BLOCK_ROWS))
+    return max(1, -(-rows // MAX_BLOCK_ROWS), spread)
 
 
 def best_matches(
@@ -68,71 +127,48 @@ def best_matches(
     right: DataFrame,
     k: int,
     exclude_same_id: bool = False,
-    block_rows: int = BLOCK_ROWS,
     left_rows: int | None = None,
     right_rows: int | None = None,
 ) -> DataFrame:
     """(left_id, pos, right_id, score): the ``k`` right rows with the largest dot product.
 
     Each side has a unique ``id`` and either ``vec``, an array of equal length everywhere, or
-    ``dims`` and ``vals``, the names and values of the non-zero features. Scores equal to
-    ``SCORE_DIGITS`` digits are ties, which go to the smaller right id. ``left_rows`` and ``right_rows`` spare the
-    counts that size the blocks.
+    ``dims`` and ``vals``, the names and values of the non-zero features. ``left_rows`` and
+    ``right_rows`` spare the counts that size the blocks.
     """
-    sparse = "vec" not in right.columns
-    columns = ["id", "dims", "vals"] if sparse else ["id", "vec"]
-    n_left = left.count() if left_rows is None else left_rows
-    n_right = right.count() if right_rows is None else right_rows
-    left_blocks = max(1, -(-n_left // block_rows))
-    right_blocks = max(1, -(-n_right // block_rows))
-
-    def block(n: int):
+    columns = ["id", "vec"] if "vec" in right.columns else ["id", "dims", "vals"]
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    left_blocks = _n_blocks(left.count() if left_rows is None else left_rows, cores)
+    right_blocks = _n_blocks(right.count() if right_rows is None else right_rows, cores)
+
+    def own(n: int) -> Column:
         return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
 
-    def every(n: int):
+    def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    lefts = left.select(*columns, block(left_blocks).alias("lb")).select(
-        "*", every(right_blocks).alias("rb")
-    )
+    lefts = left.select(*columns, own(left_blocks).alias("lb")).select("*", every(right_blocks).alias("rb"))
     # fresh columns, so that a frame can be matched with itself
-    rights = right.select(*[F.col(c).alias(c) for c in columns], block(right_blocks).alias("rb")).select(
+    rights = right.select(*[F.col(c).alias(c) for c in columns], own(right_blocks).alias("rb")).select(
         "*", every(left_blocks).alias("lb")
     )
-    id_type = right.schema["id"].dataType.simpleString()
-    left_type = left.schema["id"].dataType.simpleString()
-
-    def score(left_block: pd.DataFrame, right_block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"left_id": [], "right_id": [], "score": []})
-        if left_block.empty or right_block.empty:
-            return empty
-        right_block = right_block.sort_values("id", ignore_index=True)
-        a, b = _block_matrices(left_block, right_block)
-        ids = right_block["id"].to_numpy()
-        own = left_block["id"].to_numpy()
-        spare = k + 1 if exclude_same_id else k
-        parts = []
-        for at in range(0, len(a), SLICE_ROWS):
-            chosen, values = _best(a[at : at + SLICE_ROWS] @ b.T, min(spare, len(ids)))
-            part = pd.DataFrame(
-                {
-                    "left_id": np.repeat(own[at : at + SLICE_ROWS], chosen.shape[1]),
-                    "right_id": ids[chosen].ravel(),
-                    "score": values.ravel(),
-                }
-            )
-            parts.append(part[part["left_id"] != part["right_id"]] if exclude_same_id else part)
-        return pd.concat(parts, ignore_index=True)
+    # a fixed number of partitions: the blocks are small in bytes but not in work, and must not be merged
+    parts = left_blocks * right_blocks
+    types = [df.schema["id"].dataType.simpleString() for df in (left, right)]
+
+    def match(left_block: pd.DataFrame, right_block: pd.DataFrame) -> pd.DataFrame:
+        return _match_blocks(left_block, right_block, k, exclude_same_id)
 
     scored = (
-        lefts.groupBy("lb", "rb")
-        .cogroup(rights.groupBy("lb", "rb"))
-        .applyInPandas(score, f"left_id {left_type}, right_id {id_type}, score double")
+        lefts.repartition(parts, "lb", "rb")
+        .groupBy("lb", "rb")
+        .cogroup(rights.repartition(parts, "lb", "rb").groupBy("lb", "rb"))
+        .applyInPandas(match, f"left_id {types[0]}, right_id {types[1]}, score double")
     )
     return top_list_rows(scored, "left_id", "right_id", "score", k, SCORE_DIGITS)
 
 
-def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **blocks) -> DataFrame:
+def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> DataFrame:
     """(id, pos, neighbour_id, sim): the ``k`` nearest other rows by cosine; zero vectors have none."""
     squares = F.transform(vec_col, lambda x: x.cast("double") * x.cast("double"))
     norm = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
@@ -141,7 +177,7 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **blocks) ->
         .where(F.col("_norm") > 0)
         .select("id", F.transform(vec_col, lambda x: x.cast("double") / F.col("_norm")).alias("vec"))
     )
-    found = best_matches(unit, unit, k, exclude_same_id=True, **blocks)
+    found = best_matches(unit, unit, k, exclude_same_id=True, **sizes)
     return found.select(
         F.col("left_id").alias("id"), "pos", F.col("right_id").alias("neighbour_id"), F.col("score").alias("sim")
     )

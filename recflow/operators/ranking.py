@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.session import broadcast_if_small, use_checkpoints
+from recflow.session import broadcast_if_small, materialize
 
 # Broadcast of one row per group, see rank_within.
 MAX_BROADCAST_GROUPS = 100_000
@@ -24,14 +24,11 @@ def rank_within(
     A window would put a whole group in one task. Here the frame is range-sorted over the cluster,
     so a large group spans many partitions, and each row's number is the size of the partitions
     before its own, plus its place inside, less the place of its group's first row. The sorted
-    frame is checkpointed: the numbers and the rows must come from the same sort. ``order`` should
+    frame is written first: the numbers and the rows must come from the same sort. ``order`` should
     end in a unique key, then the ranks are the same in every run.
     """
-    spark = df.sparkSession
-    use_checkpoints(spark)
-    placed = (
-        df.orderBy(*groups, *order).withColumn("_pos", F.monotonically_increasing_id()).checkpoint()
-    )
+    ordered = df.orderBy(*groups, *order).withColumn("_pos", F.monotonically_increasing_id())
+    placed = materialize(ordered, "ranked")
     part = F.shiftright("_pos", _ROW_BITS)
     row = F.col("_pos").bitwiseAND((1 << _ROW_BITS) - 1)
     # one row per partition, so both the window and the broadcast stay small

@@ -44,10 +44,13 @@ POST_BLEND = Blend(tag=3.0, text=(("title", 4.0), ("content", 7.0)))
 
 
 def pack_tags(feature: DataFrame, id_col: str) -> DataFrame:
-    """(entity, tags): the distinct tags of an entity, at most as many as there are tags."""
-    return (
-        feature.where(F.col("has") == 1).groupBy(id_col).agg(F.collect_set("tag_id").alias("tags"))
-    )
+    """(entity, tags): the distinct tags of an entity, at most as many as there are tags.
+
+    ``feature`` is a tag feature, or plain (entity, tag_id) rows, repeated or not.
+    """
+    if "has" in feature.columns:
+        feature = feature.where(F.col("has") == 1)
+    return feature.groupBy(id_col).agg(F.collect_set("tag_id").alias("tags"))
 
 
 def pack_words(feature: DataFrame, id_col: str, name: str = "words") -> DataFrame:
@@ -203,7 +206,7 @@ def _feature_vector(
 
 
 def content_based_recommend(
-    users: DataFrame, items: DataFrame, weights: Blend, n_tags: int | Column, k: int, **blocks
+    users: DataFrame, items: DataFrame, weights: Blend, n_tags: int | Column, k: int, **sizes
 ) -> DataFrame:
     """(user_id, pos, item_id, sim): the ``k`` items with the largest blended similarity.
 
@@ -222,14 +225,14 @@ def content_based_recommend(
         _feature_vector(users, "user_id", weights, scale),
         _feature_vector(items, "item_id", weights, {}),
         k,
-        **blocks,
+        **sizes,
     )
     return found.select(
         F.col("left_id").alias("user_id"), "pos", F.col("right_id").alias("item_id"), F.col("score").alias("sim")
     )
 
 
-def tag_neighbours(feature: DataFrame, id_col: str, k: int, **blocks) -> DataFrame:
+def tag_neighbours(feature: DataFrame, id_col: str, k: int, **sizes) -> DataFrame:
     """(id, pos, neighbour_id, sim): the ``k`` most alike entities by cosine of their tags."""
     packed = pack_tags(feature, id_col)
     each = F.lit(1.0) / F.sqrt(F.size("tags").cast("double"))
@@ -238,15 +241,15 @@ def tag_neighbours(feature: DataFrame, id_col: str, k: int, **blocks) -> DataFra
         F.transform("tags", lambda t: t.cast("string")).alias("dims"),
         F.transform("tags", lambda t: each).alias("vals"),
     )
-    found = best_matches(vectors, vectors, k, exclude_same_id=True, **blocks)
+    found = best_matches(vectors, vectors, k, exclude_same_id=True, **sizes)
     return found.select(
         F.col("left_id").alias("id"), "pos", F.col("right_id").alias("neighbour_id"), F.col("score").alias("sim")
     )
 
 
-def vector_neighbours(vectors: DataFrame, id_col: str, vec_col: str, k: int, **blocks) -> DataFrame:
+def vector_neighbours(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> DataFrame:
     """(id, pos, neighbour_id, sim): the ``k`` nearest by cosine, for factor or embedding vectors."""
-    return nearest(vectors, id_col, vec_col, k, **blocks)
+    return nearest(vectors, id_col, vec_col, k, **sizes)
 
 
 def neighbourhood_recommend(matrix: DataFrame, neighbours: DataFrame, k: int) -> DataFrame:

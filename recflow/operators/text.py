@@ -117,15 +117,37 @@ def tfidf(counts: DataFrame) -> DataFrame:
     )
 
 
-def hot_words(weights: DataFrame, k: int, score_digits: int = 9) -> DataFrame:
-    """The ``k`` words with the largest total tfidf, as (key_word, weight)."""
-    totals = weights.groupBy("key_word").agg(F.sum("tfidf").alias("weight"))
+def _word_weights(counts: DataFrame) -> DataFrame:
+    """(key_word, weight, idf): the total tfidf of each word, straight from word counts.
+
+    idf is the same for all rows of a word, so the total is idf times the summed tf, and the rows
+    need not be joined with idf first.
+    """
+    corpus = counts.agg(F.countDistinct("item_id").alias("n")).scalar()
+    sums = _with_total(counts).groupBy("key_word").agg(
+        F.sum(F.col("word_count") / F.col("word_total")).alias("_tf"), F.count("*").alias("_n")
+    )
+    found = sums.withColumn("_all", corpus).withColumn("idf", F.log10(F.col("_all") / F.col("_n")))
+    return found.select("key_word", (F.col("_tf") * F.col("idf")).alias("weight"), "idf")
+
+
+def _top(totals: DataFrame, k: int, score_digits: int = 9) -> DataFrame:
     return totals.orderBy(F.round("weight", score_digits).desc(), "key_word").limit(k)
 
 
-def top_keywords(weights: DataFrame, k: int = 30) -> DataFrame:
+def hot_words(words: DataFrame, k: int) -> DataFrame:
+    """The ``k`` words with the largest total tfidf, as (key_word, weight).
+
+    ``words`` are word counts or tfidf rows; counts are cheaper, as no row is joined.
+    """
+    if "tfidf" not in words.columns:
+        return _top(_word_weights(words), k).select("key_word", "weight")
+    return _top(words.groupBy("key_word").agg(F.sum("tfidf").alias("weight")), k)
+
+
+def top_keywords(words: DataFrame, k: int = 30) -> DataFrame:
     """The words that serve as text features."""
-    return hot_words(weights, k).select("key_word")
+    return hot_words(words, k).select("key_word")
 
 
 def inverse_index(weights: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
@@ -142,6 +164,8 @@ def inverse_index(weights: DataFrame, max_postings: int = MAX_POSTINGS) -> DataF
     return (
         weights.where(F.col("tfidf") > 0)
         .withColumn("shard", F.pmod(F.xxhash64("item_id"), shards).cast("int"))
+        # the join above leaves all rows of a word together, which would undo the shards
+        .repartition("key_word", "shard")
         .groupBy("key_word", "shard")
         .agg(F.map_from_entries(F.collect_list(F.struct("item_id", "tfidf"))).alias("postings"))
     )
@@ -153,14 +177,23 @@ def index_rows(index: DataFrame) -> DataFrame:
 
 
 def item_text_feature(
-    weights: DataFrame,
+    words: DataFrame,
     run_date: str,
     items: DataFrame | None = None,
     category: str | None = None,
     k: int = 30,
 ) -> DataFrame:
-    """(item_id, key_word, val, date): tfidf of the ``k`` top words, for the items of a category."""
-    kept = weights.join(F.broadcast(top_keywords(weights, k)), "key_word")
+    """(item_id, key_word, val, date): tfidf of the ``k`` top words, for the items of a category.
+
+    From word counts, the top words are found by one aggregation and their rows by a broadcast of
+    ``k`` words, so the counts themselves are never shuffled.
+    """
+    if "tfidf" in words.columns:
+        kept = words.join(F.broadcast(top_keywords(words, k)), "key_word")
+    else:
+        top = _top(_word_weights(words), k).select("key_word", "idf")
+        kept = _with_total(words).join(F.broadcast(top), "key_word")
+        kept = kept.withColumn("tfidf", F.col("word_count") / F.col("word_total") * F.col("idf"))
     if items is not None:
         wanted = items if category is None else items.where(F.col("category") == category)
         kept = kept.join(wanted.select(F.col("id").alias("item_id")), "item_id", "left_semi")

@@ -136,5 +136,7 @@ def build_content_lists(
                 df.select(F.col(raw).alias(key)), key, geo, tags, words, weights.levels
             )
         )
-    lists = similarity.content_based_recommend(sides[0], sides[1], weights, n_tags, k)
+    lists = similarity.content_based_recommend(
+        *sides, weights, n_tags, k, left_rows=users.count(), right_rows=items.count()
+    )
     return store.save(lists, f"{name}_content_based", run_date)

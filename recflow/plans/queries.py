@@ -23,7 +23,7 @@ from recflow.operators import (
     text,
 )
 from recflow.plans.testdata import ACTION_DATE, FEED_DATE, PLACES, RUN_DATE, Shop
-from recflow.session import scratch_path
+from recflow.session import materialize, scratch_path
 from recflow.sinks import to_list_rows, to_sorted_set_rows, write_snapshot
 from recflow.sources import read_or_empty, read_snapshot, schemas, snapshot
 from recflow.sources.dimensions import category_dimension, event_weights, tag_dimension
@@ -92,7 +92,7 @@ def item_tag_snapshot(shop: Shop) -> DataFrame:
 
 @query
 def user_tag_snapshot(shop: Shop) -> DataFrame:
-    return snapshot(shop.user_product_tags(), schemas.USER_TAGS, RUN_DATE, drop=["id", "weight"])
+    return snapshot(shop.user_product_tags().distinct(), schemas.USER_TAGS, RUN_DATE, drop=["id", "weight"])
 
 
 @query
@@ -237,8 +237,13 @@ def _product_counts(shop: Shop) -> DataFrame:
     return text.word_count(shop.products(), ["name", "description"], RUN_DATE)
 
 
+def _stored_counts(shop: Shop, field: str) -> DataFrame:
+    """Word counts with several consumers: the texts are cut into words once."""
+    return materialize(_post_counts(shop, field), "word-count")
+
+
 def _tfidf(shop: Shop) -> DataFrame:
-    return text.tfidf(_post_counts(shop, "description"))
+    return text.tfidf(_stored_counts(shop, "description"))
 
 
 @query
@@ -259,7 +264,7 @@ def word_count_content(shop: Shop) -> DataFrame:
 
 @query
 def idf(shop: Shop) -> DataFrame:
-    return rounded(text.idf(_post_counts(shop, "description")), "idf")
+    return rounded(text.idf(_stored_counts(shop, "description")), "idf")
 
 
 @query
@@ -279,7 +284,7 @@ def top_keywords(shop: Shop) -> DataFrame:
 
 @query
 def hot_words(shop: Shop) -> DataFrame:
-    return rounded(text.hot_words(text.tfidf(_product_counts(shop)), 20), "weight")
+    return rounded(text.hot_words(_product_counts(shop), 20), "weight")
 
 
 @query
@@ -291,17 +296,19 @@ def inverse_index(shop: Shop) -> DataFrame:
 
 @query
 def item_text_feature(shop: Shop) -> DataFrame:
-    feature = text.item_text_feature(_tfidf(shop), RUN_DATE, shop.posts(), POSTS_LANGUAGE)
+    counts = _stored_counts(shop, "description")
+    feature = text.item_text_feature(counts, RUN_DATE, shop.posts(), POSTS_LANGUAGE)
     return rounded(feature, "val").drop("date")
 
 
 def _post_text(shop: Shop, field: str) -> tuple[DataFrame, DataFrame]:
-    items = text.item_text_feature(text.tfidf(_post_counts(shop, field)), RUN_DATE)
+    items = text.item_text_feature(_stored_counts(shop, field), RUN_DATE)
+    items = materialize(items, "item-text")
     return matrix.user_text_feature(_actions(shop, shop.posts()), items, RUN_DATE), items
 
 
 def _product_text(shop: Shop) -> tuple[DataFrame, DataFrame]:
-    items = text.item_text_feature(text.tfidf(_product_counts(shop)), RUN_DATE)
+    items = materialize(text.item_text_feature(_product_counts(shop), RUN_DATE), "item-text")
     return matrix.user_text_feature(_actions(shop, shop.products()), items, RUN_DATE), items
 
 
@@ -323,32 +330,24 @@ def geo_feature_item(shop: Shop) -> DataFrame:
     return features.geo_feature(shop.product_places(), "id", "item_id", RUN_DATE, PLACES)
 
 
-def _user_tags(shop: Shop) -> DataFrame:
-    return features.tag_feature(shop.user_product_tags(), "user_id", RUN_DATE)
-
-
-def _item_tags(shop: Shop) -> DataFrame:
-    return features.tag_feature(shop.product_tags(), "item_id", RUN_DATE, shop.tags())
-
-
 def _n_tags(shop: Shop):
     return shop.tags().agg(F.count("*").alias("n")).scalar()
 
 
 @query
 def tag_feature_user(shop: Shop) -> DataFrame:
-    return _user_tags(shop)
+    return features.tag_feature(shop.user_product_tags(), "user_id", RUN_DATE)
 
 
 @query
 def tag_feature_item(shop: Shop) -> DataFrame:
-    return _item_tags(shop)
+    return features.tag_feature(shop.product_tags(), "item_id", RUN_DATE, shop.tags())
 
 
 @query
 def tag_presence(shop: Shop) -> DataFrame:
-    """For every user and each tag of their bought products' categories: do posts carry it as well?"""
-    pairs = shop.user_product_tags()
+    """For each tag of what a user bought: did the user act on a product with that tag?"""
+    pairs = shop.user_product_tags().distinct()
     actions = _actions(shop, shop.products())
     acted = actions.select("user_id", "item_id").join(shop.product_tags(), "item_id")
     return features.tag_presence(pairs, features.tag_feature(acted, "user_id", RUN_DATE), "user_id")
@@ -367,7 +366,7 @@ def geo_similarity(shop: Shop) -> DataFrame:
 @query
 def tag_similarity(shop: Shop) -> DataFrame:
     sims = similarity.tag_similarity(
-        shop.bought(), _user_tags(shop), _item_tags(shop), _n_tags(shop)
+        shop.bought(), shop.user_product_tags(), shop.product_tags(), _n_tags(shop)
     )
     return rounded(sims, "sim")
 
@@ -392,8 +391,8 @@ def _product_profiles(shop: Shop) -> tuple[DataFrame, DataFrame]:
     items = shop.products().select(F.col("id").alias("item_id"))
     homes = shop.product_places().withColumnRenamed("id", "item_id")
     return (
-        similarity.profiles(users, "user_id", users, _user_tags(shop), {"text": user_text}, PLACES),
-        similarity.profiles(items, "item_id", homes, _item_tags(shop), {"text": item_text}, PLACES),
+        similarity.profiles(users, "user_id", users, shop.user_product_tags(), {"text": user_text}, PLACES),
+        similarity.profiles(items, "item_id", homes, shop.product_tags(), {"text": item_text}, PLACES),
     )
 
 
@@ -402,8 +401,7 @@ def _post_profiles(shop: Shop) -> tuple[DataFrame, DataFrame]:
     user_content, item_content = _post_text(shop, "description")
     users = shop.users().select(F.col("uid").alias("user_id"))
     items = shop.posts().select(F.col("id").alias("item_id"))
-    user_tags = features.tag_feature(shop.user_post_tags(), "user_id", RUN_DATE)
-    item_tags = features.tag_feature(shop.post_tags(), "item_id", RUN_DATE)
+    user_tags, item_tags = shop.user_post_tags(), shop.post_tags()
     return (
         similarity.profiles(
             users, "user_id", tags=user_tags, text={"title": user_title, "content": user_content}
@@ -447,7 +445,7 @@ def blend_of_parts(shop: Shop) -> DataFrame:
         PLACES,
     )
     tag = similarity.tag_similarity(
-        shop.bought(), _user_tags(shop), _item_tags(shop), _n_tags(shop)
+        shop.bought(), shop.user_product_tags(), shop.product_tags(), _n_tags(shop)
     )
     return rounded(similarity.blend([(geo, 5.0), (tag, 3.0)]), "sim")
 
@@ -495,7 +493,7 @@ def item_neighbours(shop: Shop) -> DataFrame:
 
 @query
 def user_neighbours(shop: Shop) -> DataFrame:
-    return rounded(similarity.tag_neighbours(_user_tags(shop), "user_id", LIST_SIZE), "sim")
+    return rounded(similarity.tag_neighbours(shop.user_product_tags(), "user_id", LIST_SIZE), "sim")
 
 
 def _neighbourhood(shop: Shop, day: str = RUN_DATE) -> DataFrame:

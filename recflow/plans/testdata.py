@@ -66,7 +66,7 @@ class Shop:
         """Documents: the first line is the name, the rest the description."""
         text = F.col("text")
         cut = F.instr(text, "\n")
-        return self.table("documents").select(
+        return spread(self.table("documents"), "doc_id").select(
             F.col("doc_id").alias("id"),
             F.substring_index(text, "\n", 1).alias("name"),
             F.when(cut > 0, F.substring(text, cut + 1, F.length(text))).otherwise("").alias("description"),
@@ -121,22 +121,23 @@ class Shop:
     def product_tags(self) -> DataFrame:
         return self._part_tags().select("item_id", F.explode("tags").alias("tag_id"))
 
-    def bought(self) -> DataFrame:
-        """Distinct (user_id, item_id) of all orders."""
+    def purchases(self) -> DataFrame:
+        """(user_id, item_id) of every order line."""
         lines = self.table("lineitem").join(
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
-        return lines.select(
-            F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")
-        ).distinct()
+        return lines.select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
+
+    def bought(self) -> DataFrame:
+        """Distinct (user_id, item_id) of all orders."""
+        return self.purchases().distinct()
 
     def user_product_tags(self) -> DataFrame:
-        """A user has the tags of the products they bought."""
+        """A user has the tags of the products they bought; one row per purchase and tag."""
         return (
-            self.bought()
+            self.purchases()
             .join(self._part_tags(), "item_id")
             .select("user_id", F.explode("tags").alias("tag_id"))
-            .distinct()
         )
 
     def post_tags(self) -> DataFrame:
@@ -154,11 +155,11 @@ class Shop:
         return seen.join(posts, "item_id", "left_semi").select("user_id", "item_id")
 
     def user_post_tags(self) -> DataFrame:
-        return self.seen_posts().join(self.post_tags(), "item_id").select("user_id", "tag_id").distinct()
+        return self.seen_posts().join(self.post_tags(), "item_id").select("user_id", "tag_id")
 
     def stopwords(self) -> DataFrame:
         """The words found in the most documents."""
-        words = self.table("documents").select(F.explode(word_set(F.col("text"))).alias("key_word"))
+        words = spread(self.table("documents"), "doc_id").select(F.explode(word_set(F.col("text"))).alias("key_word"))
         counts = words.groupBy("key_word").agg(F.count("*").alias("n"))
         return counts.orderBy(F.desc("n"), "key_word").limit(N_STOPWORDS).select("key_word")
 
@@ -173,6 +174,15 @@ class Shop:
         return late.select("user_id", "item_id").distinct()
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan of fewer splits than there are cores, spread over the cores; any other as it is.
+
+    For row work that costs more than moving the rows, such as cutting texts into words.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _tag(kind, name):
     return F.struct(F.lit(kind).alias("category_id"), name.alias("tag_name"))
 

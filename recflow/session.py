@@ -1,4 +1,4 @@
-"""Session-level helpers: where checkpoints go, and checked broadcasts."""
+"""Session-level helpers: frames written once, checked broadcasts, functions for the executors."""
 
 from __future__ import annotations
 
@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_WRITTEN: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -37,6 +40,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/recflow-{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    Later stages then start from the files, so a lost executor repeats no more than its own tasks,
+    and a frame with several consumers is computed once.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete what ``materialize`` wrote; frames built on it can no longer be read."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only when a count shows at most ``max_rows``; else the frame as it is.
 
