@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recflow.operators.joins import lookup
+
 LEVELS = ("province", "city", "district")
 
 
@@ -33,6 +35,6 @@ def tag_feature(
 def tag_presence(pairs: DataFrame, feature: DataFrame, id_col: str) -> DataFrame:
     """``has`` as 0 or 1 for each given (entity, tag_id)."""
     present = feature.select(id_col, "tag_id", "has")
-    return pairs.join(present, [id_col, "tag_id"], "left").withColumn(
+    return lookup(pairs, present, [id_col, "tag_id"], "left").withColumn(
         "has", F.coalesce("has", F.lit(0))
     )

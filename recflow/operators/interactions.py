@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions import decay, event_weight
+from recflow.operators.joins import lookup
 from recflow.operators.ranking import rank_within
 from recflow.sources.dimensions import EVENT_WEIGHTS, weight_mapping
 
@@ -162,6 +163,6 @@ def action_matrix(
 def matrix_cells(pairs: DataFrame, matrix: DataFrame, value: str = "val") -> DataFrame:
     """The matrix value of each given (user_id, item_id), 0 for cells the matrix does not hold."""
     cells = matrix.select("user_id", "item_id", value)
-    return pairs.join(cells, ["user_id", "item_id"], "left").withColumn(
+    return lookup(pairs, cells, ["user_id", "item_id"], "left").withColumn(
         value, F.coalesce(value, F.lit(0.0))
     )

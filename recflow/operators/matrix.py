@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recflow.operators.joins import lookup
+
 MAX_WIDTH = 10_000
 
 
@@ -22,8 +24,8 @@ def sparse_matmul(
 
     ``b`` must be narrow, a few columns per inner key as with top words; a wider row is refused. Its
     rows are packed into one array per inner key, so the join meets one row per key whatever the
-    number of cells ``a`` has there, and a hot key is split by adaptive execution. The products are
-    summed before the shuffle.
+    number of cells ``a`` has there, and a hot key can be split. The products are summed before the
+    shuffle.
     """
     cells = F.collect_list(F.struct(F.col(column), F.col(b_val).alias("_b")))
     too_wide = F.raise_error(F.lit(f"a row of the right matrix has more than {max_width} cells"))
@@ -38,7 +40,7 @@ def sparse_matmul(
     )
     left = a.where(F.col(a_val) != 0).select(row, inner, F.col(a_val).alias("_a"))
     return (
-        left.join(packed, inner)
+        lookup(left, packed, [inner])
         .select(row, "_a", F.inline("_cells"))
         .groupBy(row, column)
         .agg(F.sum(F.col("_a") * F.col("_b")).alias("val"))

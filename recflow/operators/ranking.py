@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recflow.operators.joins import lookup
 from recflow.session import broadcast_if_small, materialize
 
 # Broadcast of one row per group, see rank_within.
@@ -45,13 +46,11 @@ def rank_within(
     )
     if not groups:
         return placed.select(*df.columns, (F.col("_place") + 1).cast("long").alias(rn))
-    firsts = broadcast_if_small(
-        placed.groupBy(*groups).agg(F.min("_place").alias("_first")), MAX_BROADCAST_GROUPS
-    )
-    keys = [f"_g{i}" for i in range(len(groups))]
-    firsts = firsts.select("_first", *[F.col(g).alias(k) for g, k in zip(groups, keys)])
-    same = [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(groups, keys)]
-    return placed.join(firsts, same, "left").select(
+    # a struct equals another with nulls in the same fields, so rows without a group are one group
+    placed = placed.withColumn("_group", F.struct(*groups))
+    firsts = placed.groupBy("_group").agg(F.min("_place").alias("_first"))
+    firsts = broadcast_if_small(firsts, MAX_BROADCAST_GROUPS)
+    return lookup(placed, firsts, ["_group"]).select(
         *df.columns, (F.col("_place") - F.col("_first") + 1).cast("long").alias(rn)
     )
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from recflow.functions import cosine_dense, cosine_sparse, geo_match, geo_weights, tag_overlap
 from recflow.operators.blocks import best_matches, nearest
 from recflow.operators.features import LEVELS
+from recflow.operators.joins import lookup
 from recflow.operators.ranking import top_list_rows
 
 
@@ -86,7 +87,7 @@ def _meet(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """The given pairs with the user's columns as ``u_*`` and the item's as ``i_*``."""
     for side, key, prefix in ((users, "user_id", "u_"), (items, "item_id", "i_")):
         named = [F.col(c).alias(prefix + c) for c in side.columns if c != key]
-        pairs = pairs.join(side.select(key, *named), key, "left")
+        pairs = lookup(pairs, side.select(key, *named), [key], "left")
     return pairs
 
 
@@ -263,8 +264,7 @@ def neighbourhood_recommend(matrix: DataFrame, neighbours: DataFrame, k: int) ->
         F.collect_list(F.struct("neighbour_id", "sim")).alias("_near")
     )
     scored = (
-        matrix.where(F.col("val") != 0)
-        .join(packed, "item_id")
+        lookup(matrix.where(F.col("val") != 0), packed, ["item_id"])
         .select("user_id", "val", F.inline("_near"))
         .groupBy("user_id", F.col("neighbour_id").alias("item_id"))
         .agg(F.sum(F.col("val") * F.col("sim")).alias("score"))

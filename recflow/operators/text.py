@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions import word_set
+from recflow.operators.joins import lookup
 from recflow.sources.dimensions import stopword_array
 
 # Items of one word that share a row of the inverted index.
@@ -96,7 +97,7 @@ def _with_total(counts: DataFrame) -> DataFrame:
     if "word_total" in counts.columns:
         return counts
     totals = counts.groupBy("item_id").agg(F.sum("word_count").alias("word_total"))
-    return counts.join(totals, "item_id")
+    return lookup(counts, totals, ["item_id"])
 
 
 def tf(counts: DataFrame) -> DataFrame:
@@ -108,11 +109,10 @@ def tf(counts: DataFrame) -> DataFrame:
 def tfidf(counts: DataFrame) -> DataFrame:
     """(item_id, key_word, tfidf, item_num_has_word, date).
 
-    The join is on the word: each word has one idf row, and adaptive execution splits the rows of a
-    frequent word.
+    The rows of a word found everywhere are split over several tasks.
     """
     weights = idf(counts).select("key_word", "item_num_has_word", "idf")
-    return tf(counts).join(weights, "key_word").select(
+    return lookup(tf(counts), weights, ["key_word"]).select(
         "item_id", "key_word", (F.col("tf") * F.col("idf")).alias("tfidf"), "item_num_has_word", "date"
     )
 
@@ -159,7 +159,7 @@ def inverse_index(weights: DataFrame, max_postings: int = MAX_POSTINGS) -> DataF
     """
     if "item_num_has_word" not in weights.columns:
         sizes = weights.groupBy("key_word").agg(F.count("*").alias("item_num_has_word"))
-        weights = weights.join(sizes, "key_word")
+        weights = lookup(weights, sizes, ["key_word"])
     shards = F.ceil(F.col("item_num_has_word") / F.lit(max_postings))
     return (
         weights.where(F.col("tfidf") > 0)

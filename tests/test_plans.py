@@ -1,0 +1,166 @@
+"""The shape of the physical plans, and skewed keys."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from recflow import session
+from recflow.operators import interactions, matrix, ranking, similarity, text
+from recflow.plans.testdata import RUN_DATE, Shop
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for key, value in values.items():
+            name = key.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_scores_push_the_day_and_the_types_to_the_scan(spark, data):
+    shown = plan(interactions.decayed_score(Shop(spark, data).events(), ["item_id"], "2024-01-15"))
+    assert "LessThan(ts,2024-01-16" in shown
+    assert "In(event_type" in shown
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,props:string>" in shown
+    assert shown.count("Exchange") == 1 and "partial_sum" in shown
+
+
+def test_word_counts_need_no_shuffle(spark, data):
+    posts = spark.read.parquet(f"{data}/documents.parquet").withColumnRenamed("doc_id", "id")
+    assert "Exchange" not in plan(text.word_count(posts, ["text"], RUN_DATE))
+    assert "Exchange" not in plan(text.word_count(posts, ["text", "source"], RUN_DATE))
+    assert "Python" not in plan(text.word_count(posts, ["text"], RUN_DATE))
+
+
+def test_top_rows_are_cut_before_the_shuffle(spark, data):
+    shop = Shop(spark, data)
+    scored = ranking.with_category(interactions.item_score(shop.products(), shop.events(), RUN_DATE), shop.products())
+    for df in (ranking.top_n(scored), ranking.bottom_m(scored)):
+        assert "WindowGroupLimit" in plan(df)
+
+
+def test_no_plan_multiplies_tables(spark, data):
+    shop = Shop(spark, data)
+    tagged = similarity.tag_similarity(shop.bought(), shop.user_product_tags(), shop.product_tags(), 81)
+    counts = text.word_count(shop.posts(), ["description"], RUN_DATE)
+    for df in (tagged, text.tfidf(counts), text.inverse_index(text.tfidf(counts))):
+        assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
+
+
+def skewed_cells(spark, n=60_000):
+    """A third of the rows on one item, many users."""
+    return spark.range(n).select(
+        F.col("id").alias("user_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("item_id"),
+        F.lit(1.0).alias("val"),
+    )
+
+
+@pytest.fixture
+def small_skew(settings):
+    """Thresholds at which the small test frames count as skewed."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="32KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+    )
+
+
+@pytest.mark.parametrize("hot", ["user_id", "item_id"])
+def test_a_hot_user_or_item_is_split_among_pairs(spark, small_skew, hot):
+    other = {"user_id": "item_id", "item_id": "user_id"}[hot]
+    pairs = skewed_cells(spark).select(F.col("item_id").alias(hot), F.col("user_id").alias(other))
+    ids = spark.range(60_000).select(F.col("id").alias("user_id"), F.lit("t").alias("tag_id"))
+    sims = similarity.tag_similarity(
+        pairs.repartition(16), ids, ids.withColumnRenamed("user_id", "item_id"), 4
+    )
+    found = sims.collect()
+    assert sum(r["sim"] for r in found) == 60_000 / 4
+    assert "skew=true" in plan(sims)
+
+
+def test_a_hot_item_is_split_in_the_matrix_product(spark, small_skew):
+    words = spark.range(1000).select(
+        F.col("id").alias("item_id"), F.lit("w").alias("key_word"), F.lit(2.0).alias("val")
+    )
+    cells = skewed_cells(spark).repartition(16)
+    product = matrix.user_text_feature(cells, words, RUN_DATE)
+    assert sum(r["val"] for r in product.collect()) == 120_000
+    assert "skew=true" in plan(product)
+
+
+def test_a_hot_item_is_split_among_its_neighbours(spark, small_skew):
+    near = spark.range(1000).select("id", (F.col("id") + 1).alias("neighbour_id"), F.lit(1.0).alias("sim"))
+    lists = similarity.neighbourhood_recommend(skewed_cells(spark).repartition(16), near, 3)
+    assert len(lists.collect()) == 60_000
+    assert "skew=true" in plan(lists)
+
+
+def test_a_hot_pair_is_split_among_cells(spark, small_skew):
+    seen = F.sha2(F.col("user_id").cast("string"), 256).alias("seen")
+    pairs = skewed_cells(spark).select(F.col("item_id").alias("user_id"), "item_id", seen).repartition(16)
+    cells = interactions.matrix_cells(pairs, pairs.groupBy("user_id", "item_id").agg(F.lit(1.0).alias("val")))
+    assert len(cells.collect()) == 60_000
+    assert "skew=true" in plan(cells)
+
+
+def test_a_frequent_word_is_split_in_join_and_index(spark, small_skew):
+    counts = spark.range(60_000).repartition(16).select(
+        F.col("id").alias("item_id"),
+        F.when(F.col("id") % 3 == 0, "often").otherwise(F.concat(F.lit("w"), F.col("id") % 500)).alias("key_word"),
+        F.lit(1).alias("word_count"),
+        F.lit(1).alias("word_total"),
+        F.lit(RUN_DATE).alias("date"),
+    )
+    index = text.inverse_index(text.tfidf(counts), max_postings=1000)
+    found = index.collect()
+    shards = [len(r["postings"]) for r in found if r["key_word"] == "often"]
+    assert len(shards) == 20 and sum(shards) == 20_000 and max(shards) < 1500
+    assert "skew=true" in plan(index)
+
+
+def test_a_group_is_split_when_there_are_too_many_to_broadcast(spark, small_skew, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_GROUPS", 10)
+    df = skewed_cells(spark).select("user_id", "item_id")
+    ranked = ranking.rank_within(df, ["item_id"], ["user_id"])
+    df.createOrReplaceTempView("skewed")
+    expected = spark.sql("select *, row_number() over (partition by item_id order by user_id) as rn from skewed")
+    assert sorted(ranked.collect()) == sorted(expected.collect())
+    assert "skew=true" in plan(ranked)
+
+
+def test_a_category_with_most_items_is_ranked_by_several_tasks(spark, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    items = spark.range(20_000).select("id", F.when(F.col("id") % 10 > 0, "big").otherwise("small").alias("category"))
+    scores = items.select(F.col("id").alias("item_id"), F.lit(0.0).alias("score"))
+    ranked = ranking.rank_items(scores, items, RUN_DATE)
+    assert ranked.where("category = 'big'").agg(F.max("rn"), F.countDistinct("rn")).first()[:] == (18_000, 18_000)
+    stored = spark.read.parquet(session._WRITTEN[-1]).where("category = 'big'")
+    assert stored.select(F.input_file_name()).distinct().count() > 1
+    assert rows(ranked.where("rn = 1"), "item_id") == [(0,), (1,)]
+
+
+def test_lists_of_a_very_active_user(spark):
+    cells = spark.range(50_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user_id"),
+        F.col("id").alias("item_id"),
+        (F.col("id") % 100).cast("double").alias("sim"),
+    )
+    lists = ranking.ranked_list(cells, "user_id", "item_id", "sim", 10)
+    assert "WindowGroupLimit" in plan(lists)
+    assert [len(r["item_list"]) for r in lists.where("user_id = 0").collect()] == [10]
