@@ -230,7 +230,7 @@ def bottom_m(shop: Shop) -> DataFrame:
 
 
 def _post_counts(shop: Shop, field: str) -> DataFrame:
-    return text.word_count(shop.posts(), [field], RUN_DATE, stopwords=shop.stopwords())
+    return text.word_count(shop.posts(), [field], RUN_DATE, stopwords=shop.stopwords)
 
 
 def _product_counts(shop: Shop) -> DataFrame:
@@ -248,7 +248,7 @@ def _tfidf(shop: Shop) -> DataFrame:
 
 @query
 def word_count_combined(shop: Shop) -> DataFrame:
-    counts = text.word_count(shop.posts(), ["name", "description"], RUN_DATE, stopwords=shop.stopwords())
+    counts = text.word_count(shop.posts(), ["name", "description"], RUN_DATE, stopwords=shop.stopwords)
     return counts.drop("date")
 
 

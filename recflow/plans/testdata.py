@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.functions import word_set
+from recflow.session import materialize
 
 # Last day of the events.
 RUN_DATE = "2024-01-30"
@@ -157,11 +160,13 @@ class Shop:
     def user_post_tags(self) -> DataFrame:
         return self.seen_posts().join(self.post_tags(), "item_id").select("user_id", "tag_id")
 
+    @cached_property
     def stopwords(self) -> DataFrame:
-        """The words found in the most documents."""
+        """The words found in the most documents; found once, as several texts need them."""
         words = spread(self.table("documents"), "doc_id").select(F.explode(word_set(F.col("text"))).alias("key_word"))
         counts = words.groupBy("key_word").agg(F.count("*").alias("n"))
-        return counts.orderBy(F.desc("n"), "key_word").limit(N_STOPWORDS).select("key_word")
+        top = counts.orderBy(F.desc("n"), "key_word").limit(N_STOPWORDS).select("key_word")
+        return materialize(top, "stopwords")
 
     def vectors(self, id_col: str) -> DataFrame:
         return self.table("embeddings").select(
