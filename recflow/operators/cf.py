@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recflow.operators.blocks import nearest
 from recflow.session import use_checkpoints
 
 RANK = 15
@@ -60,6 +61,16 @@ def als_factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def item_similarity(model: ALSModel, k: int) -> DataFrame:
+    """(id, pos, neighbour_id, sim): the ``k`` items most alike by cosine of their factors."""
+    return nearest(model.itemFactors, "id", "features", k)
+
+
+def user_similarity(model: ALSModel, k: int) -> DataFrame:
+    """(id, pos, neighbour_id, sim): the ``k`` users most alike by cosine of their factors."""
+    return nearest(model.userFactors, "id", "features", k)
+
+
 def cf_recommend(model: ALSModel, k: int) -> DataFrame:
     """(user_id, pos, item_id, score): the ``k`` best items per user, found block by block."""
     return model.recommendForAllUsers(k).select(

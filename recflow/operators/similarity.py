@@ -253,6 +253,43 @@ def vector_neighbours(vectors: DataFrame, id_col: str, vec_col: str, k: int, **s
     return nearest(vectors, id_col, vec_col, k, **sizes)
 
 
+def pair_cosine(
+    pairs: DataFrame, matrix: DataFrame, entity: str = "item_id", across: str = "user_id"
+) -> DataFrame:
+    """(id, other_id, sim): cosine of given pairs of items over the users who acted on them.
+
+    With the two columns swapped, of users over their items. Of each pair only the cells of the
+    entity with fewer of them are spread out and looked up under the other one, so an entity with
+    very many cells is not unrolled for every pair it is in. Pairs without common cells have 0.
+    """
+    cells = matrix.where(F.col("val") != 0).select(entity, across, F.col("val").cast("double").alias("val"))
+    sizes = cells.groupBy(entity).agg(
+        F.count("*").alias("_n"), F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("_norm")
+    )
+    met = pairs.select("id", "other_id")
+    for key, side in (("id", "a"), ("other_id", "b")):
+        named = sizes.select(F.col(entity).alias(key), F.col("_n").alias(f"_n_{side}"), F.col("_norm").alias(f"_norm_{side}"))
+        met = lookup(met, named, [key])
+    first = F.col("_n_a") <= F.col("_n_b")
+    asked = met.select(
+        "id",
+        "other_id",
+        F.when(first, F.col("id")).otherwise(F.col("other_id")).alias("_few"),
+        F.when(first, F.col("other_id")).otherwise(F.col("id")).alias("_many"),
+        (F.col("_norm_a") * F.col("_norm_b")).alias("_norms"),
+    )
+    few = cells.select(F.col(entity).alias("_few"), across, F.col("val").alias("_x"))
+    many = cells.select(F.col(entity).alias("_many"), across, F.col("val").alias("_y"))
+    products = (
+        lookup(asked.join(few, "_few"), many, ["_many", across])
+        .groupBy("id", "other_id")
+        .agg((F.sum(F.col("_x") * F.col("_y") / F.col("_norms"))).alias("sim"))
+    )
+    return lookup(pairs.select("id", "other_id"), products, ["id", "other_id"], "left").withColumn(
+        "sim", F.coalesce("sim", F.lit(0.0))
+    )
+
+
 def neighbourhood_recommend(matrix: DataFrame, neighbours: DataFrame, k: int) -> DataFrame:
     """(user_id, pos, item_id, score): items near those a user acted on.
 

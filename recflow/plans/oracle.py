@@ -262,6 +262,17 @@ def _counts(source: str) -> str:
     )
 
 
+def _pair_cosine(pairs: str, entity: str, across: str) -> str:
+    norm = f"(SELECT {entity}, sqrt(sum(val * val)) AS norm FROM actions GROUP BY 1)"
+    return (
+        f"SELECT p.id, p.other_id, {_r('coalesce(s.sim, 0.0)', 'sim')} FROM ({pairs}) p LEFT JOIN ("
+        f"SELECT q.id, q.other_id, sum(a.val * b.val) / any_value(na.norm * nb.norm) AS sim FROM ({pairs}) q "
+        f"JOIN actions a ON a.{entity} = q.id JOIN actions b ON b.{entity} = q.other_id AND b.{across} = a.{across} "
+        f"JOIN {norm} na ON na.{entity} = q.id JOIN {norm} nb ON nb.{entity} = q.other_id GROUP BY 1, 2) s "
+        "ON s.id = p.id AND s.other_id = p.other_id"
+    )
+
+
 STATEMENTS: dict[str, str] = {
     # sources
     "user_snapshot": f"SELECT uid, username, role, province, city, {DAY} FROM users",
@@ -360,6 +371,8 @@ STATEMENTS: dict[str, str] = {
     "DESC, b.user_id) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM user_product_tags) a "
     "JOIN (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM user_product_tags) b "
     f"ON a.tag_id = b.tag_id AND a.user_id <> b.user_id GROUP BY 1, 2 QUALIFY pos <= {LIST_SIZE})",
+    "item_pair_cosine": _pair_cosine("SELECT id, neighbour_id AS other_id FROM item_near", "item_id", "user_id"),
+    "user_pair_cosine": _pair_cosine("SELECT uid AS id, uid + 1 AS other_id FROM users", "user_id", "item_id"),
     "neighbourhood_list": f"SELECT user_id, pos, item_id, {SCORE} FROM near_lists",
     # cache rows
     "sorted_set_hot": _sorted_set(

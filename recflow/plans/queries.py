@@ -25,6 +25,7 @@ from recflow.operators import (
 from recflow.plans.testdata import ACTION_DATE, FEED_DATE, PLACES, RUN_DATE, Shop
 from recflow.session import materialize, scratch_path
 from recflow.sinks import to_list_rows, to_sorted_set_rows, write_snapshot
+from recflow.sinks.cache import CONTENT_LIST_KEY, FRESH_LIST_KEY, HOT_LIST_KEY, INVERSE_INDEX_KEY
 from recflow.sources import read_or_empty, read_snapshot, schemas, snapshot
 from recflow.sources.dimensions import category_dimension, event_weights, tag_dimension
 
@@ -496,6 +497,22 @@ def user_neighbours(shop: Shop) -> DataFrame:
     return rounded(similarity.tag_neighbours(shop.user_product_tags(), "user_id", LIST_SIZE), "sim")
 
 
+@query
+def item_pair_cosine(shop: Shop) -> DataFrame:
+    """How alike neighbouring items are by the users who acted on both."""
+    near = similarity.vector_neighbours(shop.vectors("id"), "id", "vec", LIST_SIZE)
+    pairs = near.select("id", F.col("neighbour_id").alias("other_id"))
+    return rounded(similarity.pair_cosine(pairs, _actions(shop, shop.products())), "sim")
+
+
+@query
+def user_pair_cosine(shop: Shop) -> DataFrame:
+    """The same for users with neighbouring numbers, over their items."""
+    users = shop.users().select(F.col("uid").alias("id"), (F.col("uid") + 1).alias("other_id"))
+    actions = _actions(shop, shop.products())
+    return rounded(similarity.pair_cosine(users, actions, "user_id", "item_id"), "sim")
+
+
 def _neighbourhood(shop: Shop, day: str = RUN_DATE) -> DataFrame:
     near = similarity.vector_neighbours(shop.vectors("id"), "id", "vec", LIST_SIZE)
     return similarity.neighbourhood_recommend(_actions(shop, shop.products(), day), near, LIST_SIZE)
@@ -526,6 +543,16 @@ def als_implicit_list(shop: Shop) -> DataFrame:
     return cf.cf_list(model, CF_SIZE)
 
 
+@query
+def als_item_similarity(shop: Shop) -> DataFrame:
+    return cf.item_similarity(_als(shop), CF_SIZE)
+
+
+@query
+def als_user_similarity(shop: Shop) -> DataFrame:
+    return cf.user_similarity(_als(shop), CF_SIZE)
+
+
 @query
 def cf_list(shop: Shop) -> DataFrame:
     return cf.cf_recommend(_als(shop), CF_SIZE)
@@ -538,26 +565,27 @@ def cf_list(shop: Shop) -> DataFrame:
 def sorted_set_hot(shop: Shop) -> DataFrame:
     ranked = _ranked(shop)
     hot = ranking.hot_list(ranked, ranking.fresh_list(ranked))
-    return rounded(to_sorted_set_rows(hot, "item-hot-list-", "category", "item_id", "score"), "score")
+    return rounded(to_sorted_set_rows(hot, HOT_LIST_KEY, "category", "item_id", "score"), "score")
 
 
 @query
 def sorted_set_fresh(shop: Shop) -> DataFrame:
     fresh = ranking.fresh_list(_ranked(shop))
-    return rounded(to_sorted_set_rows(fresh, "item-fresh-list-", "category", "item_id", "score"), "score")
+    return rounded(to_sorted_set_rows(fresh, FRESH_LIST_KEY, "category", "item_id", "score"), "score")
 
 
 @query
 def sorted_set_index(shop: Shop) -> DataFrame:
     rows = text.index_rows(text.inverse_index(text.tfidf(_product_counts(shop))))
-    return rounded(to_sorted_set_rows(rows, "item-inverse-index-", "key_word", "item_id", "tfidf"), "score")
+    return rounded(to_sorted_set_rows(rows, INVERSE_INDEX_KEY, "key_word", "item_id", "tfidf"), "score")
 
 
 @query
 def list_rows(shop: Shop) -> DataFrame:
     """The neighbourhood lists as ordered cache lists."""
     lists = ranking.ranked_list(_neighbourhood(shop), "user_id", "item_id", "score", LIST_SIZE)
-    return to_list_rows(lists, "content_based_product_user_", "user_id", "item_list")
+    key = CONTENT_LIST_KEY.format(category="product")
+    return to_list_rows(lists, key, "user_id", "item_list")
 
 
 # evaluation and analysis

@@ -17,6 +17,12 @@ from recflow.session import ship_functions
 
 ship_functions(__name__)
 
+# The key formats readers of the cache expect.
+HOT_LIST_KEY = "item-hot-list-"
+FRESH_LIST_KEY = "item-fresh-list-"
+INVERSE_INDEX_KEY = "item-inverse-index-"
+CONTENT_LIST_KEY = "content_based_{category}_user_"
+
 def _key(prefix: str, column: Column) -> Column:
     return F.concat(F.lit(prefix), column.cast("string"))
 

@@ -3,7 +3,14 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from recflow.operators.cf import als_factors, als_model, cf_list, cf_recommend
+from recflow.operators.cf import (
+    als_factors,
+    als_model,
+    cf_list,
+    cf_recommend,
+    item_similarity,
+    user_similarity,
+)
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +56,16 @@ def test_array_form_has_the_same_items(model):
     assert both.where("size(rec_list) = 3 and size(array_except(rec_list, s)) = 0").count() == flat.count()
 
 
+def test_similar_items_are_the_nearest_factors(model):
+    vectors = {r[0]: np.array(r[1:]) for r in als_factors(model)[1].collect()}
+    unit = {i: v / np.linalg.norm(v) for i, v in vectors.items()}
+    found = {(i, p): s for i, p, _, s in item_similarity(model, 3).collect()}
+    for i in unit:
+        best = sorted((float(unit[i] @ unit[j]) for j in unit if j != i), reverse=True)[:3]
+        assert np.allclose([found[(i, p)] for p in (1, 2, 3)], best, atol=1e-6)
+    assert user_similarity(model, 3).count() == 90
+
+
 def test_implicit_training(matrix):
     assert cf_list(als_model(matrix, rank=3, max_iter=2, implicit=True), 2).count() == 30
 

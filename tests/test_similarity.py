@@ -18,6 +18,7 @@ from recflow.operators.similarity import (
     content_based_recommend,
     geo_similarity,
     neighbourhood_recommend,
+    pair_cosine,
     profiles,
     tag_neighbours,
     tag_similarity,
@@ -241,6 +242,17 @@ def test_sparse_matches_with_one_feature_shared_by_all(spark, small_blocks):
         assert [found[(i, p + 1)] for p in range(4)] == best
 
 
+def test_pair_cosine_by_hand(spark):
+    matrix = spark.createDataFrame(
+        [(1, 1, 3.0), (2, 1, 4.0), (1, 2, 1.0), (3, 3, 1.0)], "user_id long, item_id long, val double"
+    )
+    pairs = spark.createDataFrame([(1, 2), (2, 1), (1, 3), (1, 9), (1, 1)], "id long, other_id long")
+    found = {(a, b): s for a, b, s in rows(pair_cosine(pairs, matrix))}
+    assert found == {(1, 2): 0.6, (2, 1): 0.6, (1, 3): 0.0, (1, 9): 0.0, (1, 1): 1.0}
+    swapped = pair_cosine(pairs.limit(1), matrix, "user_id", "item_id")
+    assert rows(swapped) == [(1, 2, round(3 / 10**0.5, 6))]
+
+
 def test_neighbourhood_list(spark):
     matrix = spark.createDataFrame([(1, 1, 2.0), (1, 2, 1.0), (2, 2, 1.0)], "user_id long, item_id long, val double")
     near = spark.createDataFrame(
