@@ -26,6 +26,7 @@ MAX_BLOCK_ROWS = 32_768
 MIN_BLOCK_ROWS = 512
 # Left and right rows multiplied at once inside a task.
 LEFT_ROWS, RIGHT_ROWS = 1024, 4096
+FIRST_ROWS = 512
 # Scores equal to this many digits are ties, which go to the smaller id.
 SCORE_DIGITS = 9
 
@@ -67,20 +68,44 @@ class _Vectors:
         return matrix
 
 
+def _order(scores: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
+    """One distinct integer per cell, larger for better: the rounded score, then the column from behind."""
+    return np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * width - columns
+
+
 def _best(scores: np.ndarray, columns: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Per row the ``k`` best scores and their columns, best first, ties by column."""
-    # one distinct integer per cell: the rounded score, then the column from behind
-    order = np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * width - columns
+    order = _order(scores, columns, width)
     if k < scores.shape[1]:
         keep = np.argpartition(-order, k - 1, axis=1)[:, :k]
         order = np.take_along_axis(order, keep, axis=1)
         scores = np.take_along_axis(scores, keep, axis=1)
-        columns = np.take_along_axis(np.broadcast_to(columns, (len(keep), columns.shape[-1])), keep, axis=1)
+        columns = np.take_along_axis(columns, keep, axis=1)
     rank = np.argsort(-order, axis=1)
-    columns = np.broadcast_to(columns, scores.shape)
     return np.take_along_axis(scores, rank, axis=1), np.take_along_axis(columns, rank, axis=1)
 
 
+def _improve(
+    scores: np.ndarray, columns: np.ndarray, fresh: np.ndarray, at: int, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The best so far, updated with the scores of later columns, of which few get in.
+
+    A later column loses every tie, so only a score that rounds to more than the last kept one counts.
+    """
+    n, k = scores.shape
+    last = np.rint(scores[:, -1] * 10**SCORE_DIGITS)
+    row, column = np.nonzero(fresh > ((last + 0.499) / 10**SCORE_DIGITS)[:, None])
+    if not len(row):
+        return scores, columns
+    rows = np.concatenate([np.repeat(np.arange(n), k), row])
+    values = np.concatenate([scores.ravel(), fresh[row, column]])
+    places = np.concatenate([columns.ravel(), column + at])
+    sorted_ = np.lexsort((-_order(values, places, width), rows))
+    first = np.searchsorted(rows[sorted_], np.arange(n))
+    take = sorted_[first[:, None] + np.arange(k)]
+    return values[take], places[take]
+
+
 def _match_blocks(left: pd.DataFrame, right: pd.DataFrame, k: int, other_only: bool) -> pd.DataFrame:
     """The best ``k`` right rows for each left row of two blocks."""
     if left.empty or right.empty:
@@ -91,19 +116,22 @@ def _match_blocks(left: pd.DataFrame, right: pd.DataFrame, k: int, other_only: b
     a = _Vectors(left, None if b.dense is not None else b.names)
     # a row may meet itself, one more is then needed
     wanted = k + 1 if other_only else k
-    chunks = [(c, min(c + RIGHT_ROWS, len(ids))) for c in range(0, len(ids), RIGHT_ROWS)]
+    # a short first chunk sets a bar that most later scores do not reach
+    edges = [0, *range(min(FIRST_ROWS, len(ids)), len(ids), RIGHT_ROWS), len(ids)]
+    chunks = list(zip(edges[:-1], edges[1:]))
     features = [b.features(*chunk) for chunk in chunks]
     rights = [b.rows(*chunk, f).T for chunk, f in zip(chunks, features)]
     parts = []
     for start in range(0, len(own), LEFT_ROWS):
         stop = min(start + LEFT_ROWS, len(own))
-        found = []
+        scores, columns = np.empty((stop - start, 0)), np.empty((stop - start, 0), dtype=np.int64)
         for (at, end), used, transposed in zip(chunks, features, rights):
-            scores = a.rows(start, stop, used) @ transposed
-            found.append(_best(scores, np.arange(at, end), len(ids), min(wanted, end - at)))
-        scores = np.hstack([s for s, _ in found])
-        columns = np.hstack([c for _, c in found])
-        if len(found) > 1:
+            fresh = a.rows(start, stop, used) @ transposed
+            if scores.shape[1] == wanted:
+                scores, columns = _improve(scores, columns, fresh, at, len(ids))
+                continue
+            places = np.broadcast_to(np.arange(at, end), fresh.shape)
+            scores, columns = np.hstack([scores, fresh]), np.hstack([columns, places])
             scores, columns = _best(scores, columns, len(ids), min(wanted, scores.shape[1]))
         part = pd.DataFrame(
             {

@@ -3,6 +3,9 @@
 Item ids are unique in a snapshot, so the words of an item come from one row: counting them needs no
 shuffle, and neither do term frequencies. A row that is not there stands for 0.
 
+``idf``, ``tfidf`` and the top words read the counts more than once; store counts that were costly to
+make (``session.materialize`` or a daily table) before passing them on.
+
 The built-in tokenizer takes runs of letters as words. Scripts written without spaces need a
 segmenter: pass ``tokenizer``, a function from a text column to an array of words, such as a Pandas
 UDF.
@@ -21,6 +24,8 @@ from recflow.sources.dimensions import stopword_array
 
 # Items of one word that share a row of the inverted index.
 MAX_POSTINGS = 100_000
+# Top words up to this number are broadcast.
+MAX_BROADCAST_WORDS = 100_000
 
 
 def _words(
@@ -188,11 +193,14 @@ def item_text_feature(
     From word counts, the top words are found by one aggregation and their rows by a broadcast of
     ``k`` words, so the counts themselves are never shuffled.
     """
+
+    def keep(rows: DataFrame, top: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(top), "key_word") if k <= MAX_BROADCAST_WORDS else lookup(rows, top, ["key_word"])
+
     if "tfidf" in words.columns:
-        kept = words.join(F.broadcast(top_keywords(words, k)), "key_word")
+        kept = keep(words, top_keywords(words, k))
     else:
-        top = _top(_word_weights(words), k).select("key_word", "idf")
-        kept = _with_total(words).join(F.broadcast(top), "key_word")
+        kept = keep(_with_total(words), _top(_word_weights(words), k).select("key_word", "idf"))
         kept = kept.withColumn("tfidf", F.col("word_count") / F.col("word_total") * F.col("idf"))
     if items is not None:
         wanted = items if category is None else items.where(F.col("category") == category)

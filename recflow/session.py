@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 _WRITTEN: list[str] = []
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="recflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -24,9 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="recflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def use_checkpoints(spark: SparkSession) -> None:

@@ -54,6 +54,12 @@ def test_ranks_without_groups_number_all_rows(spark):
     assert rank_within(df, [], ["v"]).where("rn <> v + 1000").count() == 0
 
 
+def test_ranks_of_no_rows(spark):
+    empty = spark.range(5).where("id > 9").withColumn("g", F.lit("a"))
+    assert rank_within(empty, ["g"], ["id"]).collect() == []
+    assert rank_within(empty, [], ["id"]).collect() == []
+
+
 def test_ranks_of_many_groups_and_null_groups(spark):
     df = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("g"))
     df.createOrReplaceTempView("grouped")

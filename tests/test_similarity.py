@@ -206,7 +206,8 @@ def test_matmul_refuses_a_wide_right_side(spark):
 def small_blocks(monkeypatch):
     monkeypatch.setattr(blocks, "MAX_BLOCK_ROWS", 16)
     monkeypatch.setattr(blocks, "LEFT_ROWS", 5)
-    monkeypatch.setattr(blocks, "RIGHT_ROWS", 7)
+    monkeypatch.setattr(blocks, "RIGHT_ROWS", 4)
+    monkeypatch.setattr(blocks, "FIRST_ROWS", 3)
 
 
 def test_neighbours_over_many_blocks_equal_brute_force(spark, small_blocks):

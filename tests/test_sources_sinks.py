@@ -158,6 +158,25 @@ def test_lists_are_replaced_in_order(spark, tmp_path):
     ]
 
 
+def test_the_shared_folder_is_the_one_the_session_names(spark):
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    session.use_checkpoints(spark)
+    chosen = spark.sparkContext.getCheckpointDir()
+    session.use_checkpoints(spark)
+    assert spark.sparkContext.getCheckpointDir() == chosen
+
+
+def test_without_a_named_folder_only_a_local_master_has_one():
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+
+    assert session.shared_folder(Session("local[2]")) == session.shared_folder(Session("local[4]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session("yarn"))
+
+
 def test_broadcasts_are_checked(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" in plan(session.broadcast_if_small(spark.range(10), 10))
