@@ -70,6 +70,8 @@ class _Vectors:
 
 def _order(scores: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
     """One distinct integer per cell, larger for better: the rounded score, then the column from behind."""
+    if scores.size and np.abs(scores).max() * width > 2.0**62 / 10**SCORE_DIGITS:
+        raise ValueError("scores too large to be ranked to the last digit kept")
     return np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * width - columns
 
 

@@ -71,9 +71,11 @@ def profiles(
 ) -> DataFrame:
     """One row per entity with ``levels``, ``tags`` and one word map per text field.
 
-    Parts that are not given, and parts an entity lacks, are null.
+    The levels come from ``geo`` or, without it, from ``entities`` if they are there. Parts that are
+    not given, and parts an entity lacks, are null.
     """
-    out = entities.select(id_col).distinct()
+    own = [c for c in levels if geo is None and c in entities.columns]
+    out = entities.select(id_col, *own).dropDuplicates([id_col])
     if geo is not None:
         out = out.join(geo.select(id_col, *levels), id_col, "left")
     if tags is not None:

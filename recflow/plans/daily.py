@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.operators import features, interactions, ranking, similarity, text
+from recflow.operators import cf, evaluate, features, interactions, ranking, similarity, text
 from recflow.operators.matrix import user_text_feature
 from recflow.sinks import write_snapshot
 from recflow.sources import read_or_empty, read_snapshot
@@ -140,3 +140,24 @@ def build_content_lists(
         *sides, weights, n_tags, k, left_rows=users.count(), right_rows=items.count()
     )
     return store.save(lists, f"{name}_content_based", run_date)
+
+
+def build_cf_lists(
+    store: Store, name: str, items: DataFrame, k: int, run_date: str, **options
+) -> DataFrame:
+    """Train ALS on the stored action matrix of some items and store every user's list."""
+    wanted = items.select(F.col("id").alias("item_id"))
+    cells = store.read("action_matrix", run_date).join(wanted, "item_id", "left_semi")
+    model = cf.als_model(cells, **options)
+    for side, table in zip(("user", "item"), cf.als_factors(model)):
+        store.save(table, f"{name}_{side}_fact_matrix", run_date)
+    return store.save(cf.cf_recommend(model, k), f"{name}_cf_based_rec", run_date)
+
+
+def evaluate_day(
+    store: Store, feed: DataFrame, events: DataFrame, items: DataFrame, run_date: str
+) -> DataFrame:
+    """Store precision, recall and F1 of what the feed log says was shown on a day."""
+    acted = events.where(F.col("day") == F.lit(run_date).cast("date"))
+    result = evaluate.evaluate(feed, acted, items, run_date)
+    return store.save(result, "recommendation_evaluate_result", run_date)

@@ -241,7 +241,8 @@ def _activity(key: str, scores: str) -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS n_{t}" for t in EVENT_TYPES)
     return (
         f"SELECT s.{key}, {SCORE}, coalesce(n, 0) AS events, coalesce(active_days, 0) AS active_days, "
-        f"first_day, last_day, {shares} FROM {scores} s LEFT JOIN (SELECT {key}, count(*) AS n, "
+        "coalesce(first_day, 'never') AS first_day, coalesce(last_day, 'never') AS last_day, "
+        f"{shares} FROM {scores} s LEFT JOIN (SELECT {key}, count(*) AS n, "
         "count(DISTINCT day) AS active_days, CAST(min(day) AS VARCHAR) AS first_day, "
         f"CAST(max(day) AS VARCHAR) AS last_day, {counts} FROM ev GROUP BY 1) e ON e.{key} = s.{key}"
     )
@@ -257,7 +258,8 @@ def _quantiles(scores: str) -> str:
 
 def _counts(source: str) -> str:
     return (
-        "SELECT item_id, key_word, word_count, sum(word_count) OVER (PARTITION BY item_id) AS word_total "
+        "SELECT item_id, key_word, CAST(word_count AS INTEGER) AS word_count, "
+        "CAST(sum(word_count) OVER (PARTITION BY item_id) AS INTEGER) AS word_total "
         f"FROM {source}"
     )
 
@@ -280,8 +282,8 @@ STATEMENTS: dict[str, str] = {
     f"CAST(CAST(price AS DECIMAL(10, 2)) AS DOUBLE) AS price, {DAY} FROM products",
     "event_snapshot": "SELECT event_id, user_id, item_id, event_type, CAST(day AS VARCHAR) AS timestamp, "
     f"{DAY} FROM ev",
-    "tag_dimension_snapshot": "SELECT tag_id, tag_name, t.category_id, k.id AS tag_category_id, "
-    f"k.name AS category_name, {DAY} FROM tags t LEFT JOIN (SELECT DISTINCT category_id AS id, "
+    "tag_dimension_snapshot": "SELECT tag_id, tag_name, t.category_id, "
+    f"coalesce(k.name, 'unknown') AS category_name, {DAY} FROM tags t LEFT JOIN (SELECT DISTINCT category_id AS id, "
     "CASE category_id WHEN 1 THEN 'brand' ELSE 'type' END AS name FROM tags WHERE category_id < 3) k "
     "ON k.id = t.category_id",
     "item_tag_snapshot": f"SELECT item_id, tag_id, CAST(0.65 AS DOUBLE) AS weight, {DAY} FROM product_tags",

@@ -81,7 +81,8 @@ def event_snapshot(shop: Shop) -> DataFrame:
 
 @query
 def tag_dimension_snapshot(shop: Shop) -> DataFrame:
-    return tag_dimension(shop.tags(), shop.tag_categories(), RUN_DATE)
+    tags = tag_dimension(shop.tags(), shop.tag_categories(), RUN_DATE)
+    return tags.drop("tag_category_id").fillna("unknown", ["category_name"])
 
 
 @query
@@ -392,7 +393,9 @@ def _product_profiles(shop: Shop) -> tuple[DataFrame, DataFrame]:
     items = shop.products().select(F.col("id").alias("item_id"))
     homes = shop.product_places().withColumnRenamed("id", "item_id")
     return (
-        similarity.profiles(users, "user_id", users, shop.user_product_tags(), {"text": user_text}, PLACES),
+        similarity.profiles(
+            users, "user_id", tags=shop.user_product_tags(), text={"text": user_text}, levels=PLACES
+        ),
         similarity.profiles(items, "item_id", homes, shop.product_tags(), {"text": item_text}, PLACES),
     )
 
@@ -629,7 +632,7 @@ def user_coverage(shop: Shop) -> DataFrame:
 
 
 def _analysis(df: DataFrame) -> DataFrame:
-    days = {c: F.col(c).cast("string") for c in ("first_day", "last_day")}
+    days = {c: F.coalesce(F.col(c).cast("string"), F.lit("never")) for c in ("first_day", "last_day")}
     return rounded(df.withColumns(days), "score", *[f"share_{t}" for t in EVENT_TYPES])
 
 

@@ -55,4 +55,11 @@ def test_the_whole_day(spark, store, data):
         item_tags=shop.product_tags(),
     )
     assert best.count() == 5 * users.count()
+    shown = daily.build_cf_lists(store, "product", items, 3, RUN_DATE, rank=3, max_iter=2)
+    assert shown.groupBy("user_id").count().where("count <> 3").count() == 0
+    assert "fac_2" in store.read("product_user_fact_matrix", RUN_DATE).columns
+    feed = shown.withColumn("rec_algo", F.lit("cf_based"))
+    result = daily.evaluate_day(store, feed, shop.events(), items, RUN_DATE)
+    assert result.count() == 3 * items.select("category").distinct().count()
+    assert result.where("precision > 1 or recall > 1").count() == 0
     assert best.where("sim < 0 or sim > 1").count() == 0
