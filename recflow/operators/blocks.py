@@ -208,6 +208,14 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> D
         .select("id", F.transform(vec_col, lambda x: x.cast("double") / F.col("_norm")).alias("vec"))
     )
     found = best_matches(unit, unit, k, exclude_same_id=True, **sizes)
+    return as_neighbours(found)
+
+
+def as_neighbours(found: DataFrame) -> DataFrame:
+    """The columns of ``best_matches`` within one set, named (id, pos, neighbour_id, sim)."""
     return found.select(
-        F.col("left_id").alias("id"), "pos", F.col("right_id").alias("neighbour_id"), F.col("score").alias("sim")
+        F.col("left_id").alias("id"),
+        "pos",
+        F.col("right_id").alias("neighbour_id"),
+        F.col("score").alias("sim"),
     )

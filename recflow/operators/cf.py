@@ -73,10 +73,14 @@ def user_similarity(model: ALSModel, k: int) -> DataFrame:
 
 def cf_recommend(model: ALSModel, k: int) -> DataFrame:
     """(user_id, pos, item_id, score): the ``k`` best items per user, found block by block."""
-    return model.recommendForAllUsers(k).select(
+    rows = model.recommendForAllUsers(k).select(
         "user_id", F.posexplode("recommendations").alias("pos", "rec")
-    ).select(
-        "user_id", (F.col("pos") + 1).cast("long").alias("pos"), F.col("rec.item_id"), F.col("rec.rating").alias("score")
+    )
+    return rows.select(
+        "user_id",
+        (F.col("pos") + 1).cast("long").alias("pos"),
+        F.col("rec.item_id"),
+        F.col("rec.rating").alias("score"),
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions import cosine_dense, cosine_sparse, geo_match, geo_weights, tag_overlap
-from recflow.operators.blocks import best_matches, nearest
+from recflow.operators.blocks import as_neighbours, best_matches, nearest
 from recflow.operators.features import LEVELS
 from recflow.operators.joins import lookup
 from recflow.operators.ranking import top_list_rows
@@ -231,7 +231,10 @@ def content_based_recommend(
         **sizes,
     )
     return found.select(
-        F.col("left_id").alias("user_id"), "pos", F.col("right_id").alias("item_id"), F.col("score").alias("sim")
+        F.col("left_id").alias("user_id"),
+        "pos",
+        F.col("right_id").alias("item_id"),
+        F.col("score").alias("sim"),
     )
 
 
@@ -245,9 +248,7 @@ def tag_neighbours(feature: DataFrame, id_col: str, k: int, **sizes) -> DataFram
         F.transform("tags", lambda t: each).alias("vals"),
     )
     found = best_matches(vectors, vectors, k, exclude_same_id=True, **sizes)
-    return found.select(
-        F.col("left_id").alias("id"), "pos", F.col("right_id").alias("neighbour_id"), F.col("score").alias("sim")
-    )
+    return as_neighbours(found)
 
 
 def vector_neighbours(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> DataFrame:
@@ -270,7 +271,11 @@ def pair_cosine(
     )
     met = pairs.select("id", "other_id")
     for key, side in (("id", "a"), ("other_id", "b")):
-        named = sizes.select(F.col(entity).alias(key), F.col("_n").alias(f"_n_{side}"), F.col("_norm").alias(f"_norm_{side}"))
+        named = sizes.select(
+            F.col(entity).alias(key),
+            F.col("_n").alias(f"_n_{side}"),
+            F.col("_norm").alias(f"_norm_{side}"),
+        )
         met = lookup(met, named, [key])
     first = F.col("_n_a") <= F.col("_n_b")
     asked = met.select(

@@ -114,10 +114,16 @@ def tf(counts: DataFrame) -> DataFrame:
 def tfidf(counts: DataFrame) -> DataFrame:
     """(item_id, key_word, tfidf, item_num_has_word, date).
 
-    The rows of a word found everywhere are split over several tasks.
+    Frequent words hold most rows, so those with more than one in ``MAX_BROADCAST_WORDS`` of all rows
+    are broadcast; by that measure there are fewer than ``MAX_BROADCAST_WORDS`` of them. Only the rows
+    of the rare words are shuffled.
     """
     weights = idf(counts).select("key_word", "item_num_has_word", "idf")
-    return lookup(tf(counts), weights, ["key_word"]).select(
+    rows = counts.agg(F.count("*").alias("n")).scalar()
+    frequent = F.broadcast(weights.where(F.col("item_num_has_word") * MAX_BROADCAST_WORDS > rows))
+    shares = tf(counts)
+    rare = lookup(shares.join(frequent, "key_word", "left_anti"), weights, ["key_word"])
+    return shares.join(frequent, "key_word").unionByName(rare).select(
         "item_id", "key_word", (F.col("tf") * F.col("idf")).alias("tfidf"), "item_num_has_word", "date"
     )
 
@@ -195,7 +201,9 @@ def item_text_feature(
     """
 
     def keep(rows: DataFrame, top: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(top), "key_word") if k <= MAX_BROADCAST_WORDS else lookup(rows, top, ["key_word"])
+        if k <= MAX_BROADCAST_WORDS:
+            return rows.join(F.broadcast(top), "key_word")
+        return lookup(rows, top, ["key_word"])
 
     if "tfidf" in words.columns:
         kept = keep(words, top_keywords(words, k))

@@ -72,7 +72,9 @@ class Shop:
         return spread(self.table("documents"), "doc_id").select(
             F.col("doc_id").alias("id"),
             F.substring_index(text, "\n", 1).alias("name"),
-            F.when(cut > 0, F.substring(text, cut + 1, F.length(text))).otherwise("").alias("description"),
+            F.when(cut > 0, F.substring(text, cut + 1, F.length(text)))
+            .otherwise("")
+            .alias("description"),
             F.col("lang").alias("category"),
             "source",
         )

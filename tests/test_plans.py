@@ -1,5 +1,7 @@
 """The shape of the physical plans, and skewed keys."""
 
+import math
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -119,21 +121,37 @@ def test_a_hot_pair_is_split_among_cells(spark, small_skew):
     assert "skew=true" in plan(cells)
 
 
-def test_a_frequent_word_is_split_in_join_and_index(spark, small_skew):
-    counts = spark.range(60_000).repartition(16).select(
+def word_rows(spark):
+    """One word in a third of all rows."""
+    return spark.range(60_000).repartition(16).select(
         F.col("id").alias("item_id"),
         F.when(F.col("id") % 3 == 0, "often").otherwise(F.concat(F.lit("w"), F.col("id") % 500)).alias("key_word"),
         F.lit(1).alias("word_count"),
         F.lit(1).alias("word_total"),
         F.lit(RUN_DATE).alias("date"),
     )
-    index = text.inverse_index(text.tfidf(counts), max_postings=1000)
+
+
+def test_a_frequent_word_is_split_in_join_and_index(spark, small_skew, monkeypatch):
+    monkeypatch.setattr(text, "MAX_BROADCAST_WORDS", 1)  # no word counts as frequent
+    index = text.inverse_index(text.tfidf(word_rows(spark)), max_postings=1000)
     found = index.collect()
     shards = [len(r["postings"]) for r in found if r["key_word"] == "often"]
     assert len(shards) == 20 and sum(shards) == 20_000 and max(shards) < 1500
     assert "skew=true" in plan(index)
 
 
+def test_the_rows_of_frequent_words_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(text, "MAX_BROADCAST_WORDS", 100)
+    weights = text.tfidf(word_rows(spark))
+    assert weights.count() == 60_000
+    assert "BroadcastHashJoin [key_word" in plan(weights) and "LeftAnti" in plan(weights)
+    often = math.log10(3)
+    found = weights.groupBy("key_word").agg(F.count("*").alias("n"), F.max("tfidf").alias("v")).collect()
+    assert len(found) == 501
+    assert [(r["n"], round(r["v"] - often, 9)) for r in found if r["key_word"] == "often"] == [(20_000, 0.0)]
+
+
 def test_a_group_is_split_when_there_are_too_many_to_broadcast(spark, small_skew, monkeypatch):
     monkeypatch.setattr(ranking, "MAX_BROADCAST_GROUPS", 10)
     df = skewed_cells(spark).select("user_id", "item_id")
