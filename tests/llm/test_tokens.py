@@ -1,0 +1,130 @@
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow.orc
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from recflow.llm import pieces, queries, tokenfile
+
+HARD = [
+    None,
+    "",
+    " ",
+    "   ",
+    "a",
+    "a ",
+    " a  b   c ",
+    "x▁y ▁ z▁",
+    "Tabs\tand\nnew\r\nlines  \n ",
+    "<s> </s> <unk> <|endoftext|> a<|startoftext|>b",
+    "é́ 日本語 🙂\U0001f468‍\U0001f469  x y \x00z ΑΣ Σ İ",
+    "don't we'll THEY'VE 123 4.5%",
+    "word " * 3000,
+    "x" * 5000,
+]
+
+
+def frame(spark, texts=HARD):
+    rows = [(i, t, "src") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+
+
+def texts_in(spark, data):
+    rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
+    return {r.doc_id: r.text or "" for r in rows}
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected_pieces(texts):
+    sp = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    out = {}
+    for k, t in texts.items():
+        ids = sp.encode(t)
+        out[k] = (len(ids), sha(",".join(map(str, ids))), sha(sp.decode(ids)))
+    return out
+
+
+def test_pieces_equal_the_library(spark, data):
+    texts = texts_in(spark, data)
+    got = {r[0]: tuple(r[1:]) for r in queries.op4_sentencepiece(spark, data).collect()}
+    assert got == expected_pieces(texts)
+
+
+def test_pieces_of_hard_texts(spark):
+    got = {r[0]: tuple(r[1:]) for r in queries.piece_digests(frame(spark)).collect()}
+    assert got == expected_pieces({i: t or "" for i, t in enumerate(HARD)})
+
+
+def test_a_piece_across_markers_is_refused():
+    class Crossing:
+        vocab_size = staticmethod(lambda: 1)
+        id_to_piece = staticmethod(lambda i: "a▁b")
+
+    with pytest.raises(ValueError, match="crosses"):
+        pieces.check_vocabulary(Crossing())
+
+
+def expected_tokens(texts):
+    tk = Tokenizer.from_file(queries.WORDS)
+    out, start = {}, 0
+    for k in sorted(texts):
+        ids = np.array([*tk.encode(texts[k], add_special_tokens=False).ids, queries.END_ID], "<u4")
+        out[k] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    return out
+
+
+def test_token_file_equals_the_library(spark, data):
+    got = {r[0]: tuple(r[1:]) for r in queries.op7_token_file(spark, data).collect()}
+    assert got == expected_tokens(texts_in(spark, data))
+
+
+def test_token_file_of_hard_texts(spark):
+    rows = tokenfile.token_index(frame(spark), queries.WORDS, queries.END_ID).collect()
+    assert {r[0]: tuple(r[1:]) for r in rows} == expected_tokens({i: t or "" for i, t in enumerate(HARD)})
+
+
+def test_words_kept_between_batches_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokenfile, "KEPT_WORDS", 3)
+    words = tokenfile.WordTable(queries.WORDS)
+    tk = Tokenizer.from_file(queries.WORDS)
+    for some in ([b"a", b"b", b"c", b"dd"], [b"a", b"ee"], [b"dd", b"a", b"ff", b"gg"]):
+        assert [x.tolist() for x in words.of(some)] == [tk.encode(w.decode()).ids for w in some]
+    assert len(words.recent) + len(words.older) <= 8
+
+
+def test_token_file_is_sorted_indexed_and_pruned(spark, data, tmp_path):
+    path = str(tmp_path / "tokens")
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    tokenfile.write(docs, path, queries.WORDS, queries.END_ID)
+    last = -1
+    for file in sorted((tmp_path / "tokens").glob("part-*.orc")):
+        ids = pyarrow.orc.ORCFile(str(file)).read(columns=["doc_id"])["doc_id"].to_pylist()
+        assert ids == sorted(ids) and ids[0] > last
+        last = ids[-1]
+    some = tokenfile.read(spark, path, [3, 77])
+    assert sorted(r.doc_id for r in some.collect()) == [3, 77]
+    plan = some._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(doc_id, [3,77])]" in plan
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert queries.piece_digests(none).collect() == []
+    assert tokenfile.token_index(none, queries.WORDS, queries.END_ID).collect() == []
+
+
+def test_repeated_and_null_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
+    rows = tokenfile.token_index(docs, queries.WORDS, queries.END_ID).collect()
+    assert sorted((r.start, r.n_tokens) for r in rows) == [(0, 2), (2, 3), (5, 3)]
+    assert {r.start for r in rows if r.doc_id is None} == {0}
+    assert queries.piece_digests(docs).count() == 3
+    assert public_tokenizers.path("x").endswith("x")
