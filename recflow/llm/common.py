@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +24,15 @@ BATCH_BYTES = 8 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def worker_state(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker and is shared by the tasks it runs.
+
+    Functions are sent by value, so their module's own variables are new for every task.
+    """
+    holder = sys.modules.setdefault("recflow_worker", types.ModuleType("recflow_worker"))
+    return vars(holder).setdefault(name, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

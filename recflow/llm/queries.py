@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm import pieces, tokenfile
+from recflow.llm import (
+    boosted,
+    fmindex,
+    licenses,
+    mixing,
+    pieces,
+    quadratic,
+    repeats,
+    secret_scan,
+    simhash,
+    tokenfile,
+)
 from recflow.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -43,3 +54,78 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_index(table(spark, sf_dir, "documents"), WORDS, END_ID)
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def secret_counts(docs: DataFrame) -> DataFrame:
+    kinds = [r.kind for r in secret_scan.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return (
+        secret_scan.find(docs)
+        .withColumn("base", base)
+        .select(
+            "doc_id",
+            *[count(k).alias(f"n_{k}") for k in kinds],
+            F.sha2(secret_scan.digest("base"), 256).alias("base_sha256"),
+            secret_scan.digest("spans").alias("spans"),
+        )
+    )
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination_digests(fmindex.contamination(docs, table(spark, sf_dir, "benchmark")))
+
+
+def contamination_digests(found: DataFrame) -> DataFrame:
+    lengths = F.transform("spans", lambda s: s["end"] - s["start"])
+    return found.withColumn("n_hit", F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x)).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_licenses"] = licenses.duckdb_sql()
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quadratic.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = boosted.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *boosted.BASE, "base_failed", "kept", "score")
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
