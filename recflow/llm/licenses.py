@@ -25,6 +25,7 @@ from recflow.llm import common
 from recflow.session import materialize
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The share of a notice's weight that must be found, in per cent.
 LEAST_SHARE = 60
 
@@ -208,9 +209,9 @@ def duckdb_sql(templates: Iterable[Template] = TEMPLATES) -> str:
             values.append(f"({n},'{t.label}',{t.base},{bool(t.keys)},{i},'{w}',{i in _key_offsets(t)})")
     return f"""
 WITH body(template, label, base, notice, pos, word, needed) AS (VALUES {", ".join(values)}),
-docs AS (SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(
+docs AS (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), '{common.UPPER}', '{common.UPPER.lower()}'),
-    '{SEPARATORS}'), w -> w <> '') AS words FROM documents),
+    '{WORD}') AS words FROM documents),
 hits AS (SELECT doc, pos - 1 AS pos, word FROM (SELECT doc, unnest(words) AS word, generate_subscripts(words, 1) AS pos
     FROM docs) WHERE word IN (SELECT word FROM body)),
 weights AS (SELECT word, CAST(floor(1000 * ln((1 + (SELECT count(*) FROM docs)) / (1 + count(DISTINCT doc))) + 0.5)
