@@ -1,4 +1,5 @@
 from recflow.functions.columns import (  # noqa: F401
+    comparable,
     cosine_dense,
     cosine_sparse,
     decay,

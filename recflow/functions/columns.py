@@ -27,6 +27,17 @@ def word_set(text: Column, stop_words: Column | None = None, pattern: str = WORD
     return F.array_distinct(words) if stop_words is None else F.array_except(words, stop_words)
 
 
+def comparable(value: Column, digits: int = 12) -> Column:
+    """A double cut to its first digits, for comparing: sums of doubles differ in their last ones.
+
+    The digits count from the leading one, so a score of any size keeps its place; 0 stays for 0 alone.
+    """
+    unit = F.pow(F.lit(10.0), F.lit(digits - 1.0) - F.floor(F.log10(F.abs(value))))
+    # beyond the range of the unit a value is compared as it is
+    plain = (F.abs(value) < 1e-290) | (F.abs(value) > 1e290) | F.isnan(value)
+    return F.when(plain, value).otherwise(F.rint(value * unit) / unit)
+
+
 def geo_weights(n_levels: int) -> list[float]:
     """Coarse to fine 1, 2, 4, ... scaled to sum 1; three levels give 1/7, 2/7, 4/7."""
     return [2.0**i / (2.0**n_levels - 1.0) for i in range(n_levels)]

@@ -27,8 +27,8 @@ MIN_BLOCK_ROWS = 512
 # Left and right rows multiplied at once inside a task.
 LEFT_ROWS, RIGHT_ROWS = 1024, 4096
 FIRST_ROWS = 512
-# Scores equal to this many digits are ties, which go to the smaller id.
-SCORE_DIGITS = 9
+# Scores equal to this many digits, counted from the leading one, are ties, which go to the smaller id.
+SCORE_DIGITS = 12
 
 
 class _Vectors:
@@ -68,41 +68,42 @@ class _Vectors:
         return matrix
 
 
-def _order(scores: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
-    """One distinct integer per cell, larger for better: the rounded score, then the column from behind."""
-    if scores.size and np.abs(scores).max() * width > 2.0**62 / 10**SCORE_DIGITS:
-        raise ValueError("scores too large to be ranked to the last digit kept")
-    return np.rint(scores * 10**SCORE_DIGITS).astype(np.int64) * width - columns
+def _first_digits(scores: np.ndarray) -> np.ndarray:
+    """Scores cut to ``SCORE_DIGITS`` digits from the leading one, so that sums in any order tie."""
+    size = np.abs(scores)
+    plain = (size < 1e-290) | (size > 1e290)
+    unit = 10.0 ** (SCORE_DIGITS - 1 - np.floor(np.log10(np.where(plain, 1.0, size))))
+    return np.where(plain, scores, np.rint(scores * unit) / unit)
 
 
-def _best(scores: np.ndarray, columns: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the ``k`` best scores and their columns, best first, ties by column."""
-    order = _order(scores, columns, width)
-    if k < scores.shape[1]:
-        keep = np.argpartition(-order, k - 1, axis=1)[:, :k]
-        order = np.take_along_axis(order, keep, axis=1)
-        scores = np.take_along_axis(scores, keep, axis=1)
-        columns = np.take_along_axis(columns, keep, axis=1)
-    rank = np.argsort(-order, axis=1)
+def _best(scores: np.ndarray, columns: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the ``k`` best scores and their columns, best first, ties by column.
+
+    Scores that tie must stand in the order of their columns.
+    """
+    rank = np.argsort(-_first_digits(scores), axis=1, kind="stable")[:, :k]
     return np.take_along_axis(scores, rank, axis=1), np.take_along_axis(columns, rank, axis=1)
 
 
 def _improve(
-    scores: np.ndarray, columns: np.ndarray, fresh: np.ndarray, at: int, width: int
+    scores: np.ndarray, columns: np.ndarray, fresh: np.ndarray, at: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """The best so far, updated with the scores of later columns, of which few get in.
 
-    A later column loses every tie, so only a score that rounds to more than the last kept one counts.
+    A later column loses every tie, so only a score above the last kept one counts.
     """
     n, k = scores.shape
-    last = np.rint(scores[:, -1] * 10**SCORE_DIGITS)
-    row, column = np.nonzero(fresh > ((last + 0.499) / 10**SCORE_DIGITS)[:, None])
+    last = scores[:, -1]
+    # below the last kept score by more than the digits that count, a score cannot get in
+    row, column = np.nonzero(fresh > (last - np.abs(last) * 10.0 ** (1 - SCORE_DIGITS))[:, None])
+    above = _first_digits(fresh[row, column]) > _first_digits(last)[row]
+    row, column = row[above], column[above]
     if not len(row):
         return scores, columns
     rows = np.concatenate([np.repeat(np.arange(n), k), row])
     values = np.concatenate([scores.ravel(), fresh[row, column]])
     places = np.concatenate([columns.ravel(), column + at])
-    sorted_ = np.lexsort((-_order(values, places, width), rows))
+    sorted_ = np.lexsort((places, -_first_digits(values), rows))
     first = np.searchsorted(rows[sorted_], np.arange(n))
     take = sorted_[first[:, None] + np.arange(k)]
     return values[take], places[take]
@@ -130,11 +131,11 @@ def _match_blocks(left: pd.DataFrame, right: pd.DataFrame, k: int, other_only: b
         for (at, end), used, transposed in zip(chunks, features, rights):
             fresh = a.rows(start, stop, used) @ transposed
             if scores.shape[1] == wanted:
-                scores, columns = _improve(scores, columns, fresh, at, len(ids))
+                scores, columns = _improve(scores, columns, fresh, at)
                 continue
             places = np.broadcast_to(np.arange(at, end), fresh.shape)
             scores, columns = np.hstack([scores, fresh]), np.hstack([columns, places])
-            scores, columns = _best(scores, columns, len(ids), min(wanted, scores.shape[1]))
+            scores, columns = _best(scores, columns, min(wanted, scores.shape[1]))
         part = pd.DataFrame(
             {
                 "left_id": np.repeat(own[start:stop], columns.shape[1]),
@@ -195,16 +196,18 @@ def best_matches(
         .cogroup(rights.repartition(parts, "lb", "rb").groupBy("lb", "rb"))
         .applyInPandas(match, f"left_id {types[0]}, right_id {types[1]}, score double")
     )
-    return top_list_rows(scored, "left_id", "right_id", "score", k, SCORE_DIGITS)
+    return top_list_rows(scored, "left_id", "right_id", "score", k)
 
 
 def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> DataFrame:
-    """(id, pos, neighbour_id, sim): the ``k`` nearest other rows by cosine; zero vectors have none."""
+    """(id, pos, neighbour_id, sim): the ``k`` nearest other rows by cosine; zero vectors and those with
+    a NaN or an infinite value have none and are nobody's neighbour."""
     squares = F.transform(vec_col, lambda x: x.cast("double") * x.cast("double"))
     norm = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
     unit = (
         vectors.select(F.col(id_col).alias("id"), F.col(vec_col), norm.alias("_norm"))
-        .where(F.col("_norm") > 0)
+        # NaN compares as larger than any number
+        .where((F.col("_norm") > 0) & ~F.isnan("_norm") & (F.col("_norm") < float("inf")))
         .select("id", F.transform(vec_col, lambda x: x.cast("double") / F.col("_norm")).alias("vec"))
     )
     found = best_matches(unit, unit, k, exclude_same_id=True, **sizes)

@@ -16,10 +16,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.functions import decay, event_weight
+from recflow.functions import comparable, decay, event_weight
 from recflow.operators.joins import lookup
 from recflow.operators.ranking import rank_within
-from recflow.sources.dimensions import EVENT_WEIGHTS, weight_mapping
+from recflow.sources.dimensions import EVENT_WEIGHTS
 
 GAMMA = 0.9
 
@@ -28,12 +28,18 @@ Weights = Mapping[str, float] | DataFrame
 
 def weight_events(events: DataFrame, weights: Weights = EVENT_WEIGHTS) -> DataFrame:
     """Every event with its ``weight``, 0 for a type without one."""
-    return events.withColumn("weight", event_weight(F.col("event_type"), weight_mapping(weights)))
+    if not isinstance(weights, DataFrame):
+        return events.withColumn("weight", event_weight(F.col("event_type"), weights))
+    table = weights.select("event_type", F.col("score").cast("double").alias("weight"))
+    return lookup(events, table, ["event_type"], "left").select(
+        *events.columns, F.coalesce("weight", F.lit(0.0)).alias("weight")
+    )
 
 
 def _weighted(events: DataFrame, weights: Weights) -> DataFrame:
-    table = weight_mapping(weights)
-    return weight_events(events.where(F.col("event_type").isin(list(table))), table)
+    if isinstance(weights, DataFrame):
+        return weight_events(events, weights)
+    return weight_events(events.where(F.col("event_type").isin(list(weights))), weights)
 
 
 def decayed_score(
@@ -114,7 +120,6 @@ def user_level(
     scores: DataFrame,
     thresholds: Sequence[float] | None = None,
     levels: int = 4,
-    score_digits: int = 9,
 ) -> DataFrame:
     """A level per user, 1 for the lowest scores.
 
@@ -126,7 +131,7 @@ def user_level(
     if thresholds is not None:
         reached = sum(((F.col("score") >= F.lit(float(t))).cast("int") for t in thresholds), F.lit(0))
         return scores.withColumn("level", 1 + reached)
-    ordered = scores.withColumn("_order", F.round("score", score_digits))
+    ordered = scores.withColumn("_order", comparable(F.col("score")))
     ranked = rank_within(ordered, [], ["_order", "user_id"]).drop("_order")
     size = ranked.agg(F.count("*").alias("n")).scalar()
     small = F.floor(size / F.lit(levels))
@@ -150,13 +155,14 @@ def action_matrix(
     """Decayed weight per (user, item), for the items of a category; absent cells are 0.
 
     Cells are summed before they meet the items, so a popular item brings at most one row per user
-    into that join, where adaptive execution splits it.
+    into that join, which adaptive execution splits. The join is by the item and its hash, so what
+    groups or joins the cells by item next exchanges them again and can be split too.
     """
     cells = decayed_score(events, ["user_id", "item_id"], run_date, gamma, weights, value="val")
     wanted = items if category is None else items.where(F.col("category") == category)
-    cells = cells.join(wanted.select(F.col("id").alias("item_id")), "item_id", "left_semi")
+    cells = lookup(cells, wanted.select(F.col("id").alias("item_id")), ["item_id"], "left_semi")
     if users is not None:
-        cells = cells.join(users.select(F.col("uid").alias("user_id")), "user_id", "left_semi")
+        cells = lookup(cells, users.select(F.col("uid").alias("user_id")), ["user_id"], "left_semi")
     return cells.select("user_id", "item_id", "val", F.lit(run_date).alias("date"))
 
 

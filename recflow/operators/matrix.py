@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from recflow.operators.joins import lookup
 
-MAX_WIDTH = 10_000
+# Cells of the right matrix that are packed into one array.
+PACKED_CELLS = 1_000
 
 
 def sparse_matmul(
@@ -18,25 +19,24 @@ def sparse_matmul(
     column: str,
     a_val: str = "val",
     b_val: str = "val",
-    max_width: int = MAX_WIDTH,
+    packed_cells: int = PACKED_CELLS,
 ) -> DataFrame:
     """(row, column, val) of ``a (row, inner)`` times ``b (inner, column)``.
 
-    ``b`` must be narrow, a few columns per inner key as with top words; a wider row is refused. Its
-    rows are packed into one array per inner key, so the join meets one row per key whatever the
-    number of cells ``a`` has there, and a hot key can be split. The products are summed before the
-    shuffle.
+    The rows of ``b`` are packed into arrays of about ``packed_cells`` cells, one for a narrow row and
+    as many as it takes for a wide one, so the join meets few rows per key whatever the number of cells
+    ``a`` has there, a hot key can be split, and no array grows with the data. The products are summed
+    before the shuffle.
     """
-    cells = F.collect_list(F.struct(F.col(column), F.col(b_val).alias("_b")))
-    too_wide = F.raise_error(F.lit(f"a row of the right matrix has more than {max_width} cells"))
+    cells = b.where(F.col(b_val) != 0).select(inner, F.col(column), F.col(b_val).alias("_b"))
+    sizes = cells.groupBy(inner).agg(F.ceil(F.count("*") / F.lit(packed_cells)).alias("_shards"))
     packed = (
-        b.where(F.col(b_val) != 0)
-        .groupBy(inner)
-        .agg(cells.alias("_cells"))
-        .withColumn(
-            "_cells",
-            F.when(F.size("_cells") <= max_width, F.col("_cells")).otherwise(too_wide),
-        )
+        lookup(cells, sizes, [inner])
+        .withColumn("_shard", F.pmod(F.xxhash64(column), F.col("_shards")))
+        # the join above leaves all cells of a key together, which would undo the shards
+        .repartition(inner, "_shard")
+        .groupBy(inner, "_shard")
+        .agg(F.collect_list(F.struct(column, "_b")).alias("_cells"))
     )
     left = a.where(F.col(a_val) != 0).select(row, inner, F.col(a_val).alias("_a"))
     return (

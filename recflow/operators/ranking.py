@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recflow.functions import comparable
 from recflow.operators.joins import lookup
 from recflow.session import broadcast_if_small, materialize
 
@@ -70,9 +71,8 @@ def top_per_group(
     return df.withColumn(rn, F.row_number().over(window).cast("long")).where(F.col(rn) <= k)
 
 
-def _best_first(score: str, key: str, digits: int) -> list[Column]:
-    # rounding keeps ties ties: sums of doubles differ in the last bits between runs
-    return [F.round(score, digits).desc(), F.col(key).asc()]
+def _best_first(score: str, key: str) -> list[Column]:
+    return [comparable(F.col(score)).desc(), F.col(key).asc()]
 
 
 def with_category(scores: DataFrame, items: DataFrame) -> DataFrame:
@@ -83,9 +83,9 @@ def with_category(scores: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def rank_items(scores: DataFrame, items: DataFrame, run_date: str, score_digits: int = 9) -> DataFrame:
+def rank_items(scores: DataFrame, items: DataFrame, run_date: str) -> DataFrame:
     """All items numbered within their category by score, best first, ties by item_id."""
-    scored = with_category(scores, items).withColumn("_order", F.round("score", score_digits))
+    scored = with_category(scores, items).withColumn("_order", comparable(F.col("score")))
     ranked = rank_within(scored, ["category"], [F.col("_order").desc(), "item_id"])
     return ranked.drop("_order").withColumn("date", F.lit(run_date))
 
@@ -96,18 +96,22 @@ def fresh_list(ranked: DataFrame, threshold: float = 10.0) -> DataFrame:
 
 
 def hot_list(ranked: DataFrame, fresh: DataFrame, size: int = 30) -> DataFrame:
-    """The first ``size`` items of each category that are not in the fresh list."""
-    return ranked.where(F.col("rn") <= size).join(fresh.select("item_id"), "item_id", "left_anti")
+    """The first ``size`` items of each category that are not in the fresh list.
+
+    From ranked rows, or from scored ones without ranking them all.
+    """
+    first = ranked.where(F.col("rn") <= size) if "rn" in ranked.columns else top_n(ranked, size)
+    return first.join(fresh.select("item_id"), "item_id", "left_anti")
 
 
-def top_n(items: DataFrame, n: int = 80, score_digits: int = 9) -> DataFrame:
+def top_n(items: DataFrame, n: int = 80) -> DataFrame:
     """The best ``n`` items of each category, from ranked rows or from scored ones."""
     if "rn" in items.columns:
         return items.where(F.col("rn") <= n)
-    return top_per_group(items, ["category"], _best_first("score", "item_id", score_digits), n)
+    return top_per_group(items, ["category"], _best_first("score", "item_id"), n)
 
 
-def bottom_m(items: DataFrame, m: int = 200, score_digits: int = 9) -> DataFrame:
+def bottom_m(items: DataFrame, m: int = 200) -> DataFrame:
     """The last ``m`` items of each category with their rank; all of a smaller category.
 
     Works on ranked rows, or on scored ones without ranking them all: the last items are picked
@@ -115,7 +119,7 @@ def bottom_m(items: DataFrame, m: int = 200, score_digits: int = 9) -> DataFrame
     """
     if "rn" in items.columns:
         return top_per_group(items, ["category"], [F.col("rn").desc()], m, "_back").drop("_back")
-    behind = [F.round("score", score_digits).asc(), F.col("item_id").desc()]
+    behind = [comparable(F.col("score")).asc(), F.col("item_id").desc()]
     last = top_per_group(items, ["category"], behind, m, "_back")
     sizes = items.groupBy("category").agg(F.count("*").alias("_n"))
     return last.join(sizes, "category").select(
@@ -123,11 +127,9 @@ def bottom_m(items: DataFrame, m: int = 200, score_digits: int = 9) -> DataFrame
     )
 
 
-def top_list_rows(
-    df: DataFrame, user: str, item: str, score: str, k: int, score_digits: int = 9
-) -> DataFrame:
+def top_list_rows(df: DataFrame, user: str, item: str, score: str, k: int) -> DataFrame:
     """The best ``k`` items of each user as rows (user, pos, item, score), pos from 1."""
-    top = top_per_group(df, [user], _best_first(score, item, score_digits), k, "pos")
+    top = top_per_group(df, [user], _best_first(score, item), k, "pos")
     return top.select(user, "pos", item, score)
 
 
@@ -139,11 +141,11 @@ def ranked_list(df: DataFrame, user: str, item: str, score: str, k: int) -> Data
 
 
 def quantiles(
-    df: DataFrame, value: str, key: str, probabilities: Sequence[float], digits: int = 9
+    df: DataFrame, value: str, key: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """Exact quantiles (probability, value): the smallest value reaching that share of the rows."""
     values = df.where(F.col(value).isNotNull()).select(
-        F.col(key).alias("_key"), F.round(value, digits).alias(value)
+        F.col(key).alias("_key"), comparable(F.col(value)).alias(value)
     )
     ranked = rank_within(values, [], [value, "_key"])
     size = ranked.agg(F.count("*").alias("n")).scalar()

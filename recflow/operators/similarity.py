@@ -23,6 +23,7 @@ from recflow.operators.blocks import as_neighbours, best_matches, nearest
 from recflow.operators.features import LEVELS
 from recflow.operators.joins import lookup
 from recflow.operators.ranking import top_list_rows
+from recflow.session import materialize
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,7 @@ def profiles(
     own = [c for c in levels if geo is None and c in entities.columns]
     out = entities.select(id_col, *own).dropDuplicates([id_col])
     if geo is not None:
-        out = out.join(geo.select(id_col, *levels), id_col, "left")
+        out = out.join(geo.select(id_col, *levels).dropDuplicates([id_col]), id_col, "left")
     if tags is not None:
         out = out.join(pack_tags(tags, id_col), id_col, "left")
     for name, feature in (text or {}).items():
@@ -263,9 +264,12 @@ def pair_cosine(
 
     With the two columns swapped, of users over their items. Of each pair only the cells of the
     entity with fewer of them are spread out and looked up under the other one, so an entity with
-    very many cells is not unrolled for every pair it is in. Pairs without common cells have 0.
+    very many cells is not unrolled for every pair it is in: a pair costs as many rows as the smaller
+    of its two entities has cells. Pairs without common cells have 0.
     """
     cells = matrix.where(F.col("val") != 0).select(entity, across, F.col("val").cast("double").alias("val"))
+    # read four times below
+    cells = materialize(cells, "cells")
     sizes = cells.groupBy(entity).agg(
         F.count("*").alias("_n"), F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("_norm")
     )
@@ -288,7 +292,7 @@ def pair_cosine(
     few = cells.select(F.col(entity).alias("_few"), across, F.col("val").alias("_x"))
     many = cells.select(F.col(entity).alias("_many"), across, F.col("val").alias("_y"))
     products = (
-        lookup(asked.join(few, "_few"), many, ["_many", across])
+        lookup(lookup(asked, few, ["_few"]), many, ["_many", across])
         .groupBy("id", "other_id")
         .agg((F.sum(F.col("_x") * F.col("_y") / F.col("_norms"))).alias("sim"))
     )

@@ -3,8 +3,8 @@
 Item ids are unique in a snapshot, so the words of an item come from one row: counting them needs no
 shuffle, and neither do term frequencies. A row that is not there stands for 0.
 
-``idf``, ``tfidf`` and the top words read the counts more than once; store counts that were costly to
-make (``session.materialize`` or a daily table) before passing them on.
+``tfidf`` and the features read the counts more than once; store counts that were costly to make
+(``session.materialize`` or a daily table) before passing them on.
 
 The built-in tokenizer takes runs of letters as words. Scripts written without spaces need a
 segmenter: pass ``tokenizer``, a function from a text column to an array of words, such as a Pandas
@@ -18,14 +18,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.functions import word_set
+from recflow.functions import comparable, word_set
 from recflow.operators.joins import lookup
-from recflow.sources.dimensions import stopword_array
+from recflow.session import materialize
 
 # Items of one word that share a row of the inverted index.
 MAX_POSTINGS = 100_000
 # Top words up to this number are broadcast.
 MAX_BROADCAST_WORDS = 100_000
+# Stop words up to this number are taken out inside the row, more of them by a join.
+MAX_STOPWORDS_IN_ROW = 100_000
 
 
 def _words(
@@ -44,6 +46,7 @@ def word_count(
     id_col: str = "id",
     stopwords: DataFrame | None = None,
     tokenizer: Callable[[Column], Column] | None = None,
+    max_in_row: int = MAX_STOPWORDS_IN_ROW,
 ) -> DataFrame:
     """(item_id, key_word, word_count, word_total, date): in how many fields the word occurs.
 
@@ -51,7 +54,12 @@ def word_count(
     description together; posts have one table for the title and one for the content. ``word_total``
     is the sum over the item.
     """
-    stop = None if stopwords is None else stopword_array(stopwords)
+    stop, left_out = None, None
+    if stopwords is not None:
+        if stopwords.limit(max_in_row + 1).count() <= max_in_row:
+            stop = stopwords.agg(F.collect_set("key_word").alias("words")).scalar()
+        else:
+            left_out = stopwords.select("key_word").distinct()
     sets = df.select(
         F.col(id_col).alias("item_id"),
         *[_words(f, stop, tokenizer).alias(f"_f{i}") for i, f in enumerate(fields)],
@@ -64,7 +72,16 @@ def word_count(
             words, lambda w: F.struct(w.alias("key_word"), F.lit(n).alias("word_count"))
         )
 
-    if len(fields) == 1:
+    if left_out is not None:
+        found = sets.select("item_id", F.explode(F.concat(*arrays)).alias("key_word"))
+        counted = (
+            lookup(found, left_out, ["key_word"], "left_anti")
+            .groupBy("item_id", "key_word")
+            .agg(F.count("*").cast("int").alias("word_count"))
+        )
+        totals = counted.groupBy("item_id").agg(F.sum("word_count").cast("int").alias("word_total"))
+        counted = lookup(counted, totals, ["item_id"])
+    elif len(fields) == 1:
         counted = sets.select("item_id", total, F.inline(once(arrays[0], 1)))
     elif len(fields) == 2:
         a, b = arrays
@@ -83,19 +100,27 @@ def word_count(
     return counted.select("item_id", "key_word", "word_count", "word_total", F.lit(run_date).alias("date"))
 
 
-def idf(counts: DataFrame) -> DataFrame:
-    """(key_word, item_num_has_word, item_num_all, idf) with idf = log10(all items / items with it).
+def word_table(counts: DataFrame) -> DataFrame:
+    """(key_word, item_num_has_word, tf_sum, item_num_all) of every word, from one pass over the counts.
 
-    All items are those with at least one word. A row of ``counts`` is one item, so the items of a
-    word are counted as rows, summed before the shuffle.
+    All items are those with at least one word. The shares of an item's words add up to 1, so the items
+    are counted by the sum of all shares, and no item ids are shuffled. The table is written once, as it
+    has a row per word and several readers.
     """
-    corpus = counts.agg(F.countDistinct("item_id").alias("n")).scalar()
-    return (
-        counts.groupBy("key_word")
-        .agg(F.count("*").alias("item_num_has_word"))
-        .withColumn("item_num_all", corpus)
-        .withColumn("idf", F.log10(F.col("item_num_all") / F.col("item_num_has_word")))
-    )
+    share = F.sum(F.col("word_count") / F.col("word_total")).alias("tf_sum")
+    words = _with_total(counts).groupBy("key_word").agg(F.count("*").alias("item_num_has_word"), share)
+    words = materialize(words, "words")
+    everything = words.agg(F.rint(F.sum("tf_sum")).cast("long").alias("n")).scalar()
+    return words.withColumn("item_num_all", everything)
+
+
+def _with_idf(words: DataFrame) -> DataFrame:
+    return words.withColumn("idf", F.log10(F.col("item_num_all") / F.col("item_num_has_word")))
+
+
+def idf(counts: DataFrame) -> DataFrame:
+    """(key_word, item_num_has_word, item_num_all, idf) with idf = log10(all items / items with it)."""
+    return _with_idf(word_table(counts)).select("key_word", "item_num_has_word", "item_num_all", "idf")
 
 
 def _with_total(counts: DataFrame) -> DataFrame:
@@ -118,8 +143,9 @@ def tfidf(counts: DataFrame) -> DataFrame:
     are broadcast; by that measure there are fewer than ``MAX_BROADCAST_WORDS`` of them. Only the rows
     of the rare words are shuffled.
     """
-    weights = idf(counts).select("key_word", "item_num_has_word", "idf")
-    rows = counts.agg(F.count("*").alias("n")).scalar()
+    words = word_table(counts)
+    weights = _with_idf(words).select("key_word", "item_num_has_word", "idf")
+    rows = words.agg(F.sum("item_num_has_word").alias("n")).scalar()
     frequent = F.broadcast(weights.where(F.col("item_num_has_word") * MAX_BROADCAST_WORDS > rows))
     shares = tf(counts)
     rare = lookup(shares.join(frequent, "key_word", "left_anti"), weights, ["key_word"])
@@ -134,16 +160,12 @@ def _word_weights(counts: DataFrame) -> DataFrame:
     idf is the same for all rows of a word, so the total is idf times the summed tf, and the rows
     need not be joined with idf first.
     """
-    corpus = counts.agg(F.countDistinct("item_id").alias("n")).scalar()
-    sums = _with_total(counts).groupBy("key_word").agg(
-        F.sum(F.col("word_count") / F.col("word_total")).alias("_tf"), F.count("*").alias("_n")
-    )
-    found = sums.withColumn("_all", corpus).withColumn("idf", F.log10(F.col("_all") / F.col("_n")))
-    return found.select("key_word", (F.col("_tf") * F.col("idf")).alias("weight"), "idf")
+    found = _with_idf(word_table(counts))
+    return found.select("key_word", (F.col("tf_sum") * F.col("idf")).alias("weight"), "idf")
 
 
-def _top(totals: DataFrame, k: int, score_digits: int = 9) -> DataFrame:
-    return totals.orderBy(F.round("weight", score_digits).desc(), "key_word").limit(k)
+def _top(totals: DataFrame, k: int) -> DataFrame:
+    return totals.orderBy(comparable(F.col("weight")).desc(), "key_word").limit(k)
 
 
 def hot_words(words: DataFrame, k: int) -> DataFrame:

@@ -1,21 +1,27 @@
 """The daily job: stage after stage, each stored as a snapshot of its day.
 
 Later stages read what earlier ones stored, so nothing is computed twice and a lost executor costs
-at most the stage it worked on. Running a day again replaces that day.
+at most the stage it worked on. Running a day again replaces that day. Scratch frames of a stage are
+deleted when it is stored.
+
+Events that arrive after their day was stored are not in the stored scores. ``update_scores`` takes the
+first day to compute anew; it then starts from the day stored before that one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.operators import cf, evaluate, features, interactions, ranking, similarity, text
 from recflow.operators.matrix import user_text_feature
+from recflow.session import scratch
 from recflow.sinks import write_snapshot
-from recflow.sources import read_or_empty, read_snapshot
+from recflow.sources import read_snapshot, stored_days
 from recflow.sources.schemas import ACTION_MATRIX, ITEM_SCORE
 
 
@@ -37,36 +43,52 @@ class Store:
         return read_snapshot(self.spark, self.path(name), run_date)
 
     def last_before(self, name: str, schema: str, run_date: str) -> tuple[DataFrame, int]:
-        """The newest stored day before ``run_date`` without its date, and its age in days."""
-        stored = read_or_empty(self.spark, self.path(name), schema)
-        earlier = stored.where(F.col("date") < run_date)
-        # reads the partition column alone
-        newest = earlier.agg(F.max("date")).first()[0]
-        if newest is None:
-            return earlier.drop("date"), 1
-        age = (date.fromisoformat(run_date) - date.fromisoformat(newest)).days
-        return earlier.where(F.col("date") == newest).drop("date"), age
-
-
-def update_scores(store: Store, events: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
+        """The newest stored day before ``run_date`` without its date, and its age in days; -1 for none."""
+        earlier = [day for day in stored_days(self.spark, self.path(name)) if day < run_date]
+        if not earlier:
+            return self.spark.createDataFrame([], schema), -1
+        age = (date.fromisoformat(run_date) - date.fromisoformat(earlier[-1])).days
+        return self.read(name, earlier[-1]).drop("date"), age
+
+
+def _without_scratch(stage):
+    """The stage, with its scratch frames deleted once it has stored its tables."""
+
+    @wraps(stage)
+    def run(store: Store, *args, **kwargs):
+        with scratch(store.spark):
+            return stage(store, *args, **kwargs)
+
+    return run
+
+
+def update_scores(
+    store: Store, events: DataFrame, run_date: str, recompute_from: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Store the item scores and the action matrix of ``run_date`` from the previous day's.
 
-    Reads the events since the stored day alone. Without a stored day the full history is used.
+    Reads the events since the stored day alone. Without a stored day the full history is used. With
+    ``recompute_from``, days stored from then on are not built upon, so late events of theirs count.
     """
     out = []
+    before = min(run_date, recompute_from or run_date)
     for name, schema, keys, value in (
         ("item_score", ITEM_SCORE, ["item_id"], "score"),
         ("action_matrix", ACTION_MATRIX, ["user_id", "item_id"], "val"),
     ):
-        previous, age = store.last_before(name, schema, run_date)
-        since = F.date_sub(F.lit(run_date).cast("date"), age)
-        missed = events.where(F.col("day") > since) if previous.take(1) else events
-        recent = interactions.decayed_score(missed, keys, run_date, value=value)
-        score = interactions.update_score(previous, recent, keys, age, value=value)
+        previous, age = store.last_before(name, schema, before)
+        if age < 0:
+            score = interactions.decayed_score(events, keys, run_date, value=value)
+        else:
+            age += (date.fromisoformat(run_date) - date.fromisoformat(before)).days
+            since = F.date_sub(F.lit(run_date).cast("date"), age)
+            recent = interactions.decayed_score(events.where(F.col("day") > since), keys, run_date, value=value)
+            score = interactions.update_score(previous, recent, keys, age, value=value)
         out.append(store.save(score, name, run_date))
     return out[0], out[1]
 
 
+@_without_scratch
 def build_lists(store: Store, items: DataFrame, run_date: str) -> dict[str, DataFrame]:
     """Rank the items by stored score and store the ranking and its four lists."""
     scores = store.read("item_score", run_date)
@@ -81,6 +103,7 @@ def build_lists(store: Store, items: DataFrame, run_date: str) -> dict[str, Data
     }
 
 
+@_without_scratch
 def build_text(
     store: Store,
     name: str,
@@ -103,6 +126,7 @@ def build_text(
     return weights
 
 
+@_without_scratch
 def build_content_lists(
     store: Store,
     name: str,
@@ -142,18 +166,20 @@ def build_content_lists(
     return store.save(lists, f"{name}_content_based", run_date)
 
 
+@_without_scratch
 def build_cf_lists(
     store: Store, name: str, items: DataFrame, k: int, run_date: str, **options
 ) -> DataFrame:
     """Train ALS on the stored action matrix of some items and store every user's list."""
     wanted = items.select(F.col("id").alias("item_id"))
     cells = store.read("action_matrix", run_date).join(wanted, "item_id", "left_semi")
-    model = cf.als_model(cells, **options)
+    model = cf.factorize(cells, **options)
     for side, table in zip(("user", "item"), cf.als_factors(model)):
         store.save(table, f"{name}_{side}_fact_matrix", run_date)
     return store.save(cf.cf_recommend(model, k), f"{name}_cf_based_rec", run_date)
 
 
+@_without_scratch
 def evaluate_day(
     store: Store, feed: DataFrame, events: DataFrame, items: DataFrame, run_date: str
 ) -> DataFrame:

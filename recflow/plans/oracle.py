@@ -8,12 +8,16 @@ from __future__ import annotations
 import re
 
 from recflow.plans.queries import (
+    CF_SIZE,
     DIGITS,
     EVENT_TYPES,
     LEVEL_THRESHOLDS,
     LIST_SIZE,
+    OLD_DATE,
     POSTS_LANGUAGE,
     QUARTILES,
+    RANK,
+    USER_SHARDS,
 )
 from recflow.plans.testdata import ACTION_DATE, FEED_DATE, N_STOPWORDS, RUN_DATE
 from recflow.sources.dimensions import EVENT_WEIGHTS, REC_ALGORITHMS
@@ -27,6 +31,12 @@ WEIGHT = (
 WORDS = r"list_distinct(regexp_extract_all(lower({}), '\p{{L}}+'))"
 
 
+def _first_digits(x: str) -> str:
+    """A double cut to 12 digits from its leading one, so that equal sums compare equal."""
+    unit = f"power(10.0, 11 - floor(log10(greatest(abs({x}), 1e-300))))"
+    return f"CASE WHEN abs({x}) < 1e-290 THEN {x} ELSE round({x} * {unit}) / {unit} END"
+
+
 def _decayed(keys: str, day: str, name: str) -> str:
     return (
         f"SELECT {keys}, sum({WEIGHT} * power({GAMMA}, date_diff('day', day, DATE '{day}'))) AS {name} "
@@ -62,7 +72,7 @@ def _tfidf(counts: str) -> str:
 def _top(weights: str, k: int = 30) -> str:
     return (
         f"SELECT key_word, sum(tfidf) AS weight FROM {weights} GROUP BY 1 "
-        f"ORDER BY round(sum(tfidf), 9) DESC, key_word LIMIT {k}"
+        f"ORDER BY {_first_digits('sum(tfidf)')} DESC, key_word LIMIT {k}"
     )
 
 
@@ -108,7 +118,7 @@ GEO = (
 def _top_list(scores: str, value: str, k: int = LIST_SIZE) -> str:
     return (
         "SELECT user_id, row_number() OVER (PARTITION BY user_id "
-        f"ORDER BY round({value}, 9) DESC, item_id) AS pos, item_id, {value} FROM {scores} "
+        f"ORDER BY {_first_digits(value)} DESC, item_id) AS pos, item_id, {value} FROM {scores} "
         f"QUALIFY pos <= {k}"
     )
 
@@ -154,7 +164,7 @@ PARTS: dict[str, str] = {
     "actions_before": "SELECT * FROM cells_before WHERE item_id IN (SELECT id FROM products)",
     "post_actions": "SELECT * FROM cells WHERE item_id IN (SELECT id FROM posts)",
     "ranked": "SELECT item_id, category, score, row_number() OVER (PARTITION BY category "
-    "ORDER BY round(score, 9) DESC, item_id) AS rn FROM item_scores JOIN products ON id = item_id",
+    f"ORDER BY {_first_digits('score')} DESC, item_id) AS rn FROM item_scores JOIN products ON id = item_id",
     "title_counts": _count("posts", ["name"], True),
     "content_counts": _count("posts", ["description"], True),
     "product_counts": _count("products", ["name", "description"], False),
@@ -185,7 +195,7 @@ PARTS: dict[str, str] = {
     "LEFT JOIN title_cos a ON a.user_id = u.uid AND a.item_id = p.id "
     "LEFT JOIN content_cos b ON b.user_id = u.uid AND b.item_id = p.id",
     "item_near": "SELECT a.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY "
-    "round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) DESC, b.vec_id) AS pos, "
+    f"{_first_digits('list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])')} DESC, b.vec_id) AS pos, "
     "b.vec_id AS neighbour_id, "
     "list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim "
     f"FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id QUALIFY pos <= {LIST_SIZE}",
@@ -195,8 +205,9 @@ PARTS: dict[str, str] = {
     "FROM actions_before JOIN item_near ON id = item_id GROUP BY 1, 2",
     "near_lists": _top_list("near_scores", "score"),
     "near_lists_before": _top_list("near_scores_before", "score"),
+    "old_scores": _item_score(OLD_DATE),
     "feed": "SELECT uid AS user_id, item_id, pos, 'list_based' AS rec_algo FROM users CROSS JOIN "
-    "(SELECT item_id, row_number() OVER (ORDER BY round(score, 9) DESC, item_id) AS pos "
+    f"(SELECT item_id, row_number() OVER (ORDER BY {_first_digits('score')} DESC, item_id) AS pos "
     f"FROM item_scores_before QUALIFY pos <= {LIST_SIZE}) UNION ALL "
     "SELECT user_id, item_id, pos, 'cf_based' FROM near_lists_before",
     "acted": f"SELECT DISTINCT user_id, item_id FROM ev WHERE day >= DATE '{ACTION_DATE}'",
@@ -214,7 +225,9 @@ def _with(body: str) -> str:
     while todo:
         needed |= todo
         todo = set().union(*(used(PARTS[name]) for name in todo)) - needed
-    parts = ", ".join(f"{name} AS ({sql})" for name, sql in PARTS.items() if name in needed)
+    # subqueries of several readers are computed once
+    once = lambda name: "MATERIALIZED " if name in ("actions", "item_near") else ""
+    parts = ", ".join(f"{name} AS {once(name)}({sql})" for name, sql in PARTS.items() if name in needed)
     return f"WITH {parts} {body}" if parts else body
 
 
@@ -250,7 +263,7 @@ def _activity(key: str, scores: str) -> str:
 
 def _quantiles(scores: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT CAST({q} AS DOUBLE) AS probability, round(quantile_disc(round(score, 9), {q}), {DIGITS}) + 0.0 AS score "
+        f"SELECT CAST({q} AS DOUBLE) AS probability, round(quantile_disc({_first_digits('score')}, {q}), {DIGITS}) + 0.0 AS score "
         f"FROM {scores}"
         for q in QUARTILES
     )
@@ -264,10 +277,10 @@ def _counts(source: str) -> str:
     )
 
 
-def _pair_cosine(pairs: str, entity: str, across: str) -> str:
+def _cosine_of_pairs(pairs: str, entity: str, across: str) -> str:
     norm = f"(SELECT {entity}, sqrt(sum(val * val)) AS norm FROM actions GROUP BY 1)"
     return (
-        f"SELECT p.id, p.other_id, {_r('coalesce(s.sim, 0.0)', 'sim')} FROM ({pairs}) p LEFT JOIN ("
+        f"SELECT p.id, p.other_id, coalesce(s.sim, 0.0) AS sim FROM ({pairs}) p LEFT JOIN ("
         f"SELECT q.id, q.other_id, sum(a.val * b.val) / any_value(na.norm * nb.norm) AS sim FROM ({pairs}) q "
         f"JOIN actions a ON a.{entity} = q.id JOIN actions b ON b.{entity} = q.other_id AND b.{across} = a.{across} "
         f"JOIN {norm} na ON na.{entity} = q.id JOIN {norm} nb ON nb.{entity} = q.other_id GROUP BY 1, 2) s "
@@ -275,6 +288,34 @@ def _pair_cosine(pairs: str, entity: str, across: str) -> str:
     )
 
 
+def _pair_cosine(pairs: str, entity: str, across: str) -> str:
+    return f"SELECT id, other_id, {_r('sim')} FROM ({_cosine_of_pairs(pairs, entity, across)})"
+
+
+PARTS["action_near_all"] = _cosine_of_pairs(
+    "SELECT id, neighbour_id AS other_id FROM item_near", "item_id", "user_id"
+)
+PARTS["action_scores"] = (
+    "SELECT user_id, other_id AS item_id, sum(val * sim) AS score FROM actions "
+    "JOIN action_near_all ON id = item_id WHERE sim > 0 GROUP BY 1, 2"
+)
+PARTS["action_lists"] = _top_list("action_scores", "score")
+
+_LIST_CHECK = (
+    f"SELECT user_id, least({CF_SIZE}, (SELECT count(DISTINCT item_id) FROM actions)) AS items, "
+    f"least({CF_SIZE}, (SELECT count(DISTINCT item_id) FROM actions)) AS distinct_items, "
+    "true AS known, true AS matching, true AS ordered FROM actions GROUP BY 1"
+)
+
+
+def _similar_check(side: str) -> str:
+    n = f"least({CF_SIZE}, (SELECT count(DISTINCT {side}_id) FROM actions) - 1)"
+    return (
+        f"SELECT {side}_id AS id, {n} AS neighbours, {n} AS others, true AS cosines, '{side}' AS side "
+        "FROM actions GROUP BY 1"
+    )
+
+
 STATEMENTS: dict[str, str] = {
     # sources
     "user_snapshot": f"SELECT uid, username, role, province, city, {DAY} FROM users",
@@ -284,7 +325,7 @@ STATEMENTS: dict[str, str] = {
     f"{DAY} FROM ev",
     "tag_dimension_snapshot": "SELECT tag_id, tag_name, t.category_id, "
     f"coalesce(k.name, 'unknown') AS category_name, {DAY} FROM tags t LEFT JOIN (SELECT DISTINCT category_id AS id, "
-    "CASE category_id WHEN 1 THEN 'brand' ELSE 'type' END AS name FROM tags WHERE category_id < 3) k "
+    "CASE category_id WHEN 1 THEN 'brand' WHEN 2 THEN 'type' ELSE 'size' END AS name FROM tags) k "
     "ON k.id = t.category_id",
     "item_tag_snapshot": f"SELECT item_id, tag_id, CAST(0.65 AS DOUBLE) AS weight, {DAY} FROM product_tags",
     "user_tag_snapshot": f"SELECT user_id, tag_id, {DAY} FROM user_product_tags",
@@ -293,6 +334,7 @@ STATEMENTS: dict[str, str] = {
     "categories": "SELECT DISTINCT category FROM products",
     "snapshot_rewrite": f"SELECT item_id, {SCORE}, '{FEED_DATE}' AS date FROM item_scores_before UNION ALL "
     f"SELECT item_id, {SCORE}, {DAY} FROM item_scores",
+    "snapshot_rewrite_empty": f"SELECT item_id, {SCORE}, '{FEED_DATE}' AS date FROM item_scores_before",
     # scores and the action matrix
     "weighted_events": "SELECT event_id, user_id, item_id, event_type, CAST(day AS VARCHAR) AS day, "
     f"CAST({WEIGHT} AS DOUBLE) AS weight FROM ev",
@@ -300,7 +342,7 @@ STATEMENTS: dict[str, str] = {
     "item_score_incremental": f"SELECT item_id, {SCORE} FROM ({_decayed('item_id', RUN_DATE, 'score')})",
     "user_score": f"SELECT user_id, {SCORE}, {DAY} FROM user_scores",
     "user_level": f"SELECT user_id, {SCORE}, {DAY}, "
-    "CAST(ntile(4) OVER (ORDER BY round(score, 9), user_id) AS INTEGER) AS level FROM user_scores",
+    f"CAST(ntile(4) OVER (ORDER BY {_first_digits('score')}, user_id) AS INTEGER) AS level FROM user_scores",
     "user_level_by_threshold": f"SELECT user_id, {SCORE}, {DAY}, CAST(1"
     + "".join(f" + CASE WHEN score >= {t} THEN 1 ELSE 0 END" for t in LEVEL_THRESHOLDS)
     + " AS INTEGER) AS level FROM user_scores",
@@ -311,6 +353,8 @@ STATEMENTS: dict[str, str] = {
     "LEFT JOIN actions a ON a.user_id = b.user_id AND a.item_id = b.item_id",
     # rankings
     "rank_items": f"SELECT item_id, category, {SCORE}, rn, {DAY} FROM ranked",
+    "rank_items_old_events": "SELECT item_id, category, row_number() OVER (PARTITION BY category "
+    f"ORDER BY {_first_digits('score')} DESC, item_id) AS rn FROM old_scores JOIN products ON id = item_id",
     "fresh_list": f"SELECT item_id, category, {SCORE}, rn, {DAY} FROM ranked WHERE ranked.score < 10",
     "hot_list": f"SELECT item_id, category, {SCORE}, rn, {DAY} FROM ranked "
     "WHERE rn <= 30 AND ranked.score >= 10",
@@ -369,12 +413,18 @@ STATEMENTS: dict[str, str] = {
     "user_neighbours": "SELECT id, pos, neighbour_id, " + _r("sim") + " FROM ("
     "SELECT a.user_id AS id, b.user_id AS neighbour_id, "
     "count(b.tag_id) FILTER (WHERE a.tag_id = b.tag_id) / sqrt(any_value(a.n) * any_value(b.n)) AS sim, "
-    "row_number() OVER (PARTITION BY a.user_id ORDER BY round(count(*) / sqrt(any_value(a.n) * any_value(b.n)), 9) "
+    f"row_number() OVER (PARTITION BY a.user_id ORDER BY {_first_digits('count(*) / sqrt(any_value(a.n) * any_value(b.n))')} "
     "DESC, b.user_id) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM user_product_tags) a "
     "JOIN (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM user_product_tags) b "
     f"ON a.tag_id = b.tag_id AND a.user_id <> b.user_id GROUP BY 1, 2 QUALIFY pos <= {LIST_SIZE})",
     "item_pair_cosine": _pair_cosine("SELECT id, neighbour_id AS other_id FROM item_near", "item_id", "user_id"),
     "user_pair_cosine": _pair_cosine("SELECT uid AS id, uid + 1 AS other_id FROM users", "user_id", "item_id"),
+    "action_neighbourhood_list": f"SELECT user_id, pos, item_id, {SCORE} FROM action_lists",
+    "als_factor_check": f"SELECT DISTINCT 'user' AS side, user_id AS id, {RANK} AS factors FROM actions UNION ALL "
+    f"SELECT DISTINCT 'item', item_id, {RANK} FROM actions",
+    "als_similarity_check": f"{_similar_check('item')} UNION ALL {_similar_check('user')}",
+    "als_implicit_check": _LIST_CHECK,
+    "cf_list_check": _LIST_CHECK,
     "neighbourhood_list": f"SELECT user_id, pos, item_id, {SCORE} FROM near_lists",
     # cache rows
     "sorted_set_hot": _sorted_set(
@@ -384,6 +434,8 @@ STATEMENTS: dict[str, str] = {
     "sorted_set_index": _sorted_set(
         "item-inverse-index-", "key_word", "tfidf", "product_tfidf WHERE tfidf > 0"
     ),
+    "sorted_set_user_score": f"SELECT 'user-score-' || (user_id % {USER_SHARDS}) AS key, "
+    f"CAST(user_id AS VARCHAR) AS member, {SCORE} FROM user_scores",
     "list_rows": "SELECT 'content_based_product_user_' || user_id AS key, CAST(pos - 1 AS INTEGER) AS pos, "
     "CAST(item_id AS VARCHAR) AS member FROM near_lists",
     # evaluation and analysis

@@ -11,6 +11,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recflow.functions import comparable
 from recflow.operators import (
     analysis,
     cf,
@@ -25,13 +26,23 @@ from recflow.operators import (
 from recflow.plans.testdata import ACTION_DATE, FEED_DATE, PLACES, RUN_DATE, Shop
 from recflow.session import materialize, scratch_path
 from recflow.sinks import to_list_rows, to_sorted_set_rows, write_snapshot
-from recflow.sinks.cache import CONTENT_LIST_KEY, FRESH_LIST_KEY, HOT_LIST_KEY, INVERSE_INDEX_KEY
+from recflow.sinks.cache import (
+    CONTENT_LIST_KEY,
+    FRESH_LIST_KEY,
+    HOT_LIST_KEY,
+    INVERSE_INDEX_KEY,
+    USER_SCORE_KEY,
+)
 from recflow.sources import read_or_empty, read_snapshot, schemas, snapshot
 from recflow.sources.dimensions import category_dimension, event_weights, tag_dimension
 
 DIGITS = 6
 LIST_SIZE = 10
 CF_SIZE = 5
+RANK = cf.RANK
+USER_SHARDS = 16
+# A year after the events.
+OLD_DATE = "2025-01-30"
 EVENT_TYPES = ("view", "click", "purchase")
 LEVEL_THRESHOLDS = (50.0, 100.0, 200.0)
 POSTS_LANGUAGE = "en"
@@ -121,6 +132,17 @@ def snapshot_rewrite(shop: Shop) -> DataFrame:
     return rounded(first.unionByName(second), "score").select("item_id", "score", "date")
 
 
+@query
+def snapshot_rewrite_empty(shop: Shop) -> DataFrame:
+    """Two stored days, the second written again without rows: the first alone is left."""
+    path = scratch_path(shop.spark, "item-score")
+    for day in (FEED_DATE, RUN_DATE):
+        write_snapshot(interactions.item_score(shop.products(), shop.events(), day), path, day)
+    write_snapshot(_item_score(shop).where("item_id is null"), path, RUN_DATE)
+    days = [read_snapshot(shop.spark, path, day) for day in (FEED_DATE, RUN_DATE)]
+    return rounded(days[0].unionByName(days[1]), "score").select("item_id", "score", "date")
+
+
 # scores and the action matrix
 
 
@@ -214,8 +236,16 @@ def fresh_list(shop: Shop) -> DataFrame:
 
 @query
 def hot_list(shop: Shop) -> DataFrame:
-    ranked = _ranked(shop)
-    return rounded(ranking.hot_list(ranked, ranking.fresh_list(ranked)), "score")
+    scored = _scored(shop)
+    hot = ranking.hot_list(scored, ranking.fresh_list(scored)).withColumn("date", F.lit(RUN_DATE))
+    return rounded(hot, "score")
+
+
+@query
+def rank_items_old_events(shop: Shop) -> DataFrame:
+    """The ranking a year after the events, when all scores are far below 1e-9."""
+    scores = _item_score(shop, OLD_DATE)
+    return ranking.rank_items(scores, shop.products(), OLD_DATE).select("item_id", "category", "rn")
 
 
 @query
@@ -526,8 +556,19 @@ def neighbourhood_list(shop: Shop) -> DataFrame:
     return rounded(_neighbourhood(shop), "score")
 
 
-def _als(shop: Shop):
-    return cf.als_model(_actions(shop, shop.products()))
+@query
+def action_neighbourhood_list(shop: Shop) -> DataFrame:
+    """Lists from neighbours by actions: a bounded list of candidates, scored anew by who acted on both."""
+    near = similarity.vector_neighbours(shop.vectors("id"), "id", "vec", LIST_SIZE)
+    pairs = near.select("id", F.col("neighbour_id").alias("other_id"))
+    actions = materialize(_actions(shop, shop.products()), "actions")
+    sims = similarity.pair_cosine(pairs, actions).where("sim > 0")
+    alike = sims.withColumnRenamed("other_id", "neighbour_id")
+    return rounded(similarity.neighbourhood_recommend(actions, alike, LIST_SIZE), "score")
+
+
+def _als(shop: Shop, **options) -> cf.Factors:
+    return cf.factorize(_actions(shop, shop.products()), **options)
 
 
 @query
@@ -540,10 +581,28 @@ def als_item_factors(shop: Shop) -> DataFrame:
     return cf.als_factors(_als(shop))[1]
 
 
+@query
+def als_factor_check(shop: Shop) -> DataFrame:
+    """Every user and item with actions, and how many finite factors it has."""
+    factors = _als(shop)
+
+    def finite(df: DataFrame, side: str) -> DataFrame:
+        usable = F.filter("features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        return df.select(F.lit(side).alias("side"), F.col(f"{side}_id").alias("id"), F.size(usable).alias("factors"))
+
+    return finite(factors.users, "user").unionByName(finite(factors.items, "item"))
+
+
 @query
 def als_implicit_list(shop: Shop) -> DataFrame:
-    model = cf.als_model(_actions(shop, shop.products()), implicit=True)
-    return cf.cf_list(model, CF_SIZE)
+    return cf.cf_list(_als(shop, implicit=True), CF_SIZE)
+
+
+@query
+def als_implicit_check(shop: Shop) -> DataFrame:
+    """What must hold of the lists of the implicit factorization."""
+    factors = _als(shop, implicit=True)
+    return cf.check_lists(factors, cf.cf_recommend(factors, CF_SIZE), _actions(shop, shop.products()))
 
 
 @query
@@ -556,18 +615,40 @@ def als_user_similarity(shop: Shop) -> DataFrame:
     return cf.user_similarity(_als(shop), CF_SIZE)
 
 
+@query
+def als_similarity_check(shop: Shop) -> DataFrame:
+    """Of each item's and user's neighbours: how many, how many different others, cosines in range."""
+    factors = _als(shop)
+    out = []
+    for side, found in (("item", cf.item_similarity(factors, CF_SIZE)), ("user", cf.user_similarity(factors, CF_SIZE))):
+        own = found.groupBy("id").agg(
+            F.count("*").alias("neighbours"),
+            F.countDistinct(F.when(F.col("id") != F.col("neighbour_id"), F.col("neighbour_id"))).alias("others"),
+            F.every((F.col("sim") <= 1.000001) & (F.col("sim") >= -1.000001)).alias("cosines"),
+        )
+        out.append(own.withColumn("side", F.lit(side)))
+    return out[0].unionByName(out[1])
+
+
 @query
 def cf_list(shop: Shop) -> DataFrame:
     return cf.cf_recommend(_als(shop), CF_SIZE)
 
 
+@query
+def cf_list_check(shop: Shop) -> DataFrame:
+    """What must hold of the lists of ``cf_list``."""
+    factors = _als(shop)
+    return cf.check_lists(factors, cf.cf_recommend(factors, CF_SIZE), _actions(shop, shop.products()))
+
+
 # cache rows
 
 
 @query
 def sorted_set_hot(shop: Shop) -> DataFrame:
-    ranked = _ranked(shop)
-    hot = ranking.hot_list(ranked, ranking.fresh_list(ranked))
+    scored = _scored(shop)
+    hot = ranking.hot_list(scored, ranking.fresh_list(scored))
     return rounded(to_sorted_set_rows(hot, HOT_LIST_KEY, "category", "item_id", "score"), "score")
 
 
@@ -577,6 +658,13 @@ def sorted_set_fresh(shop: Shop) -> DataFrame:
     return rounded(to_sorted_set_rows(fresh, FRESH_LIST_KEY, "category", "item_id", "score"), "score")
 
 
+@query
+def sorted_set_user_score(shop: Shop) -> DataFrame:
+    """The users' scores, in sets by the last digits of their ids, so that no key holds all users."""
+    shards = _user_score(shop).withColumn("shard", F.pmod("user_id", F.lit(USER_SHARDS)))
+    return rounded(to_sorted_set_rows(shards, USER_SCORE_KEY, "shard", "user_id", "score"), "score")
+
+
 @query
 def sorted_set_index(shop: Shop) -> DataFrame:
     rows = text.index_rows(text.inverse_index(text.tfidf(_product_counts(shop))))
@@ -598,9 +686,9 @@ def _feed(shop: Shop) -> DataFrame:
     """What was shown: the overall best items to every user, and the neighbourhood lists."""
     best = (
         _item_score(shop, FEED_DATE)
-        .orderBy(F.round("score", 9).desc(), "item_id")
+        .orderBy(comparable(F.col("score")).desc(), "item_id")
         .limit(LIST_SIZE)
-        .agg(F.array_sort(F.collect_list(F.struct(-F.round("score", 9), "item_id"))).alias("best"))
+        .agg(F.array_sort(F.collect_list(F.struct(-comparable(F.col("score")), "item_id"))).alias("best"))
     )
     ids = best.select(F.col("best.item_id")).scalar()
     shown = shop.users().select(F.col("uid").alias("user_id"), F.posexplode(ids).alias("pos", "item_id"))

@@ -106,11 +106,11 @@ class Shop:
         )
 
     def tag_categories(self) -> DataFrame:
-        """The tag kinds of the products; kind 3 is left out, so that it stays unknown."""
-        kinds = self.tags().select("category_id").distinct().where("category_id < 3")
-        return kinds.select(
-            F.col("category_id").alias("tag_category_id"),
-            F.when(F.col("category_id") == 1, "brand").otherwise("type").alias("category_name"),
+        """The tag kinds of the products."""
+        kind = F.col("category_id")
+        return self.tags().select("category_id").distinct().select(
+            kind.alias("tag_category_id"),
+            F.when(kind == 1, "brand").when(kind == 2, "type").otherwise("size").alias("category_name"),
         )
 
     def _part_tags(self) -> DataFrame:

@@ -3,34 +3,25 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-_WRITTEN: list[str] = []
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="recflow-")
+# What each session wrote below the shared folder.
+_WRITTEN: WeakKeyDictionary[SparkSession, list[str]] = WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` or ``setCheckpointDir`` names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
+    return folder
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -40,8 +31,10 @@ def use_checkpoints(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/recflow-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, deleted with the other scratch frames of the session."""
+    path = f"{shared_folder(spark).rstrip('/')}/recflow-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -52,19 +45,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_materialized(spark: SparkSession) -> None:
-    """Delete what ``materialize`` wrote; frames built on it can no longer be read."""
+def drop_materialized(spark: SparkSession, keep: int = 0) -> None:
+    """Delete what this session wrote, but for the first ``keep`` paths.
+
+    Frames built on the deleted ones can no longer be read.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    written = _WRITTEN.get(spark, [])
+    while len(written) > keep:
+        path = jvm.org.apache.hadoop.fs.Path(written.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was written inside."""
+    before = len(_WRITTEN.get(spark, []))
+    try:
+        yield
+    finally:
+        drop_materialized(spark, before)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only when a count shows at most ``max_rows``; else the frame as it is.
 

@@ -3,18 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_snapshot(df: DataFrame, path: str, run_date: str) -> None:
-    """Store one day. A second run replaces that day and leaves the others as they are."""
-    (
-        df.withColumn("date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    """Store one day. A second run replaces that day, also by no rows, and leaves the others."""
+    df.drop("date").write.mode("overwrite").parquet(f"{path.rstrip('/')}/date={run_date}")
 
 
 def write_table(df: DataFrame, path: str) -> None:

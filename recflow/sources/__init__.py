@@ -11,4 +11,5 @@ from recflow.sources.snapshots import (  # noqa: F401
     read_or_empty,
     read_snapshot,
     snapshot,
+    stored_days,
 )

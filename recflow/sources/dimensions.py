@@ -21,9 +21,6 @@ EVENT_WEIGHTS = {
 # The recommendation algorithms a feed row can come from.
 REC_ALGORITHMS = ("content_based", "list_based", "cf_based")
 
-MAX_WEIGHTS = 10_000
-MAX_STOPWORDS = 100_000
-
 
 def event_weights(spark: SparkSession, mapping: Mapping[str, float] = EVENT_WEIGHTS) -> DataFrame:
     """The event weights as a table (event_type, score)."""
@@ -31,16 +28,6 @@ def event_weights(spark: SparkSession, mapping: Mapping[str, float] = EVENT_WEIG
     return spark.createDataFrame(rows, "event_type string, score double")
 
 
-def weight_mapping(weights: Mapping[str, float] | DataFrame) -> dict[str, float]:
-    """Weights as a dict. A table of more than ``MAX_WEIGHTS`` event types is refused."""
-    if not isinstance(weights, DataFrame):
-        return dict(weights)
-    rows = weights.select("event_type", "score").limit(MAX_WEIGHTS + 1).collect()
-    if len(rows) > MAX_WEIGHTS:
-        raise ValueError(f"more than {MAX_WEIGHTS} event types")
-    return {r["event_type"]: r["score"] for r in rows}
-
-
 def category_dimension(items: DataFrame) -> DataFrame:
     """The categories that occur, one row each."""
     return items.select("category").where(F.col("category").isNotNull()).distinct()
@@ -57,11 +44,3 @@ def load_stopwords(spark: SparkSession, path: str) -> DataFrame:
     """One stop word per line of a text file."""
     return spark.read.text(path).select(F.trim("value").alias("key_word")).where("key_word <> ''").distinct()
 
-
-def stopword_array(stopwords: DataFrame):
-    """The stop words as one array column, a scalar subquery over at most ``MAX_STOPWORDS`` rows."""
-    words = stopwords.select("key_word").limit(MAX_STOPWORDS + 1)
-    too_many = F.raise_error(F.lit(f"more than {MAX_STOPWORDS} stop words"))
-    return words.agg(
-        F.when(F.count("*") > MAX_STOPWORDS, too_many).otherwise(F.collect_set("key_word")).alias("words")
-    ).scalar()

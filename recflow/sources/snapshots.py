@@ -61,6 +61,17 @@ def read_snapshot(spark: SparkSession, path: str, run_date: str) -> DataFrame:
     return _with_string_date(spark.read.parquet(path)).where(F.col("date") == run_date)
 
 
+def stored_days(spark: SparkSession, path: str) -> list[str]:
+    """The days of a stored snapshot, from the names of its folders; no file is opened."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory()]
+    return sorted(n.removeprefix("date=") for n in names if n.startswith("date="))
+
+
 def read_or_empty(
     spark: SparkSession, path: str, schema: str | T.StructType, run_date: str | None = None
 ) -> DataFrame:
@@ -70,8 +81,8 @@ def read_or_empty(
     except AnalysisException as err:
         if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        fields = _struct(schema).add("date", T.StringType())
-        return spark.createDataFrame([], fields)
+        fields = [*_struct(schema).fields, T.StructField("date", T.StringType())]
+        return spark.createDataFrame([], T.StructType(fields))
     return stored if run_date is None else stored.where(F.col("date") == run_date)
 
 

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from recflow.operators.cf import (
     als_factors,
-    als_model,
     cf_list,
     cf_recommend,
+    check_lists,
+    factorize,
     item_similarity,
     user_similarity,
 )
@@ -23,7 +24,7 @@ def matrix(spark):
 
 @pytest.fixture(scope="module")
 def model(matrix):
-    return als_model(matrix, rank=4, max_iter=3)
+    return factorize(matrix, rank=4, max_iter=3)
 
 
 def test_factor_tables_are_wide(model):
@@ -67,9 +68,31 @@ def test_similar_items_are_the_nearest_factors(model):
 
 
 def test_implicit_training(matrix):
-    assert cf_list(als_model(matrix, rank=3, max_iter=2, implicit=True), 2).count() == 30
+    assert cf_list(factorize(matrix, rank=3, max_iter=2, implicit=True), 2).count() == 30
 
 
 def test_the_seed_fixes_the_result(matrix, model):
-    again = als_model(matrix, rank=4, max_iter=3)
+    again = factorize(matrix, rank=4, max_iter=3)
     assert rows(als_factors(again)[0]) == rows(als_factors(model)[0])
+
+
+def test_ids_of_any_type_and_size(spark, matrix):
+    large = matrix.selectExpr("concat('u', user_id) as user_id", "item_id + 5000000000 as item_id", "val")
+    model = factorize(large, rank=3, max_iter=2)
+    found = cf_recommend(model, 2)
+    assert found.count() == 60 and found.where("item_id < 5000000000 or user_id not like 'u%'").count() == 0
+
+
+def test_lists_do_not_follow_the_partitions(matrix):
+    key = ("user_id", "pos", "item_id")
+    one, two = (cf_recommend(factorize(matrix.repartition(n), rank=3, max_iter=2), 3) for n in (1, 7))
+    assert rows(one, *key) == rows(two, *key)
+
+
+def test_checks_hold_and_see_a_wrong_list(matrix, model):
+    lists = cf_recommend(model, 4)
+    good = check_lists(model, lists, matrix).collect()
+    assert {tuple(r)[1:] for r in good} == {(4, 4, True, True, True)} and len(good) == 30
+    wrong = lists.withColumn("score", F.col("score") * F.col("pos")).withColumn("item_id", F.lit(99))
+    assert {tuple(r)[1:4] for r in check_lists(model, wrong, matrix).collect()} == {(4, 1, False)}
+    assert not any(r.matching for r in check_lists(model, wrong, matrix).collect())

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recflow import session
 from recflow.sinks import (
@@ -23,6 +24,7 @@ from recflow.sources import (
     read_snapshot,
     schemas,
     snapshot,
+    stored_days,
     tag_dimension,
 )
 
@@ -107,55 +109,67 @@ def test_cache_rows(spark):
     assert rows(to_list_rows(lists, "user_", "user_id", "items")) == [("user_1", 0, "9"), ("user_1", 1, "8")]
 
 
-def file_client(folder):
-    """A cache that writes each call to a file of its own."""
+def file_cache(folder):
+    """A cache of one file per key; a set is an object, a list an array."""
 
     class Client:
-        def __init__(self):
-            import uuid
+        def path(self, key):
+            return os.path.join(folder, key)
 
-            self.path = os.path.join(folder, uuid.uuid4().hex)
-            self.calls = []
+        def exists(self, key):
+            return os.path.exists(self.path(key))
 
-        def zadd(self, key, members):
-            self.calls.append(["zadd", key, members])
+        def read(self, key, default):
+            return json.load(open(self.path(key))) if self.exists(key) else default
 
-        def delete(self, key):
-            self.calls.append(["delete", key])
+        def write(self, key, value):
+            with open(self.path(key), "w") as out:
+                json.dump(value, out)
+
+        def zadd(self, key, members):
+            self.write(key, self.read(key, {}) | members)
 
         def rpush(self, key, *members):
-            self.calls.append(["rpush", key, *members])
+            self.write(key, [*self.read(key, []), *members])
+
+        def rename(self, key, new):
+            os.replace(self.path(key), self.path(new))
+
+        def delete(self, key):
+            if self.exists(key):
+                os.remove(self.path(key))
 
         def close(self):
-            with open(self.path, "w") as out:
-                json.dump(self.calls, out)
+            pass
 
     return Client
 
 
-def read_calls(folder):
-    return [json.loads((folder / name).read_text()) for name in os.listdir(folder)]
+def cached(folder):
+    return {name: json.loads((folder / name).read_text()) for name in os.listdir(folder)}
 
 
-def test_sorted_sets_are_pushed_with_one_client_per_partition(spark, tmp_path):
-    sets = spark.range(100, numPartitions=3).select(
-        F.concat(F.lit("k"), F.col("id") % 2).alias("key"), F.col("id").cast("string").alias("member"), F.lit(1.0).alias("score")
-    )
-    push_sorted_sets(sets, file_client(str(tmp_path)), chunk=10)
-    clients = read_calls(tmp_path)
-    assert len(clients) == 3
-    pushed = {}
-    for _, key, members in (call for calls in clients for call in calls):
-        pushed.setdefault(key, {}).update(members)
-    assert {k: len(v) for k, v in pushed.items()} == {"k0": 50, "k1": 50}
+def test_sorted_sets_are_replaced(spark, tmp_path):
+    sets = spark.range(40).select(
+        F.concat(F.lit("k"), F.col("id") % 3).alias("key"), F.col("id").cast("string").alias("member"), F.lit(1.0).alias("score")
+    ).coalesce(1)
+    every = sets.select("key")
+    client = file_cache(str(tmp_path))
+    client().zadd("k1:day", {"left by a broken push": 1.0})
+    for day, rows_of_day in (("day", sets), ("day", sets), ("next", sets.where("id < 20 and key <> 'k2'"))):
+        push_sorted_sets(rows_of_day, client, day, chunk=10, keys=every)
+    found = cached(tmp_path)
+    assert set(found) == {"k0", "k1"}
+    assert sorted(map(int, found["k0"])) == list(range(0, 20, 3))
 
 
 def test_lists_are_replaced_in_order(spark, tmp_path):
-    lists = spark.createDataFrame([(1, [9, 8, 7]), (2, [])], "user_id long, items array<long>").coalesce(1)
-    push_lists(lists, "user_", "user_id", "items", file_client(str(tmp_path)))
-    assert read_calls(tmp_path) == [
-        [["delete", "user_1"], ["rpush", "user_1", "9", "8", "7"], ["delete", "user_2"]]
-    ]
+    client = file_cache(str(tmp_path))
+    for items in ([9, 8, 7], [6, 9]):
+        lists = spark.createDataFrame([(1, items), (2, [])], "user_id long, items array<long>").coalesce(1)
+        client().rpush("user_2", "old")
+        push_lists(lists, "user_", "user_id", "items", client)
+        assert cached(tmp_path) == {"user_1": list(map(str, items))}
 
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
@@ -166,15 +180,38 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     assert spark.sparkContext.getCheckpointDir() == chosen
 
 
-def test_without_a_named_folder_only_a_local_master_has_one():
+def test_without_a_named_folder_there_is_none():
     class Session:
-        def __init__(self, master):
-            self.sparkContext = type("Context", (), {"master": master})
-            self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None)})
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default: default)})
 
-    assert session.shared_folder(Session("local[2]")) == session.shared_folder(Session("local[4]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(Session("yarn"))
+        session.shared_folder(Session())
+
+
+def test_a_missing_table_leaves_the_schema_alone(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    for _ in range(2):
+        assert read_or_empty(spark, str(tmp_path / "none"), schema).columns == ["a", "date"]
+    assert schema.fieldNames() == ["a"]
+
+
+def test_a_day_written_again_without_rows_has_none(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for day, n in (("2024-01-01", 2), ("2024-01-02", 3), ("2024-01-02", 0)):
+        write_snapshot(spark.range(n), path, day)
+    assert read_snapshot(spark, path, "2024-01-01").count() == 2
+    assert read_snapshot(spark, path, "2024-01-02").count() == 0
+    assert read_snapshot(spark, path, "2024-01-03").count() == 0
+    assert stored_days(spark, path) == ["2024-01-01", "2024-01-02"]
+    assert stored_days(spark, path + "-none") == []
+
+
+def test_scratch_is_deleted_at_the_end(spark):
+    kept = session.materialize(spark.range(3), "kept")
+    with session.scratch(spark):
+        gone = session.materialize(spark.range(4), "gone").inputFiles()[0]
+    assert kept.count() == 3 and not os.path.exists(gone.removeprefix("file://"))
 
 
 def test_broadcasts_are_checked(spark):
