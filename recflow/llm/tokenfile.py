@@ -12,11 +12,13 @@ in an order that a reader sees too.
 from __future__ import annotations
 
 import os
+import re
+import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,70 +28,91 @@ from recflow.session import scratch_path
 SCHEMA = "doc_id bigint, ids array<int>, part int, row bigint"
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
-# Words whose ids a task keeps between batches; twice as many at most.
-KEPT_WORDS = 150_000
+# Words, and runs of their letters, that a Python worker keeps the ids of; twice as many at most.
+KEPT_WORDS = 200_000
+
+
+class Recent:
+    """A mapping of bounded size that forgets what was not asked for lately."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key: object) -> bytes | None:
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key: object, value: bytes) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class WordTable:
-    """Ids of words between white space. The tokenizer drops white space and merges nothing across it."""
+    """Ids of the words between white space, as bytes of 32-bit integers.
+
+    The tokenizer drops white space and merges nothing across it, so words can be encoded one by one. Words
+    of ASCII and Latin-1 letters fall into runs of letters, single digits and runs of other marks, the same
+    as the tokenizer's own; only its merges are left to do, once for each distinct run. Any other word takes
+    the tokenizer's whole way.
+    """
+
+    _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    # The tokenizer's splitting pattern, for plain words in lower case.
+    _RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, size: int = KEPT_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.recent: dict[bytes, np.ndarray] = {}
-        self.older: dict[bytes, np.ndarray] = {}
-
-    def of(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each of these distinct words."""
-        found = [self.recent.get(w) for w in words]
-        missing = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                ids = found[i] = self.older.get(words[i])
-                if ids is None:
-                    missing.append(i)
-                else:
-                    self.recent[words[i]] = ids
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            texts = [words[i].decode("utf-8", "replace") for i in some]
-            out = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(out.ids, np.int32)
-            ends = np.searchsorted(np.array(out.word_ids, np.int64), np.arange(len(some) + 1))
-            for i, a, b in zip(some, ends, ends[1:]):
-                found[i] = self.recent[words[i]] = ids[a:b].copy()
-        if len(self.recent) > KEPT_WORDS:
-            self.older, self.recent = self.recent, {}
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        by_byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: by_byte.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.words, self.runs = Recent(size), Recent(size)
+
+    def _run(self, run: str) -> bytes:
+        ids = self.runs.get(run)
+        if ids is None:
+            ids = np.array([t.id for t in self.model.tokenize(run.translate(self.letters))], "<i4").tobytes()
+            self.runs.put(run, ids)
+        return ids
+
+    def ids(self, word: bytes) -> bytes:
+        """The ids of one word."""
+        found = self.words.get(word)
+        if found is None:
+            text = word.decode("utf-8", "replace")
+            if self._PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
+                found = b"".join(map(self._run, self._RUNS.findall(text.lower())))
+            else:
+                found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+            self.words.put(word, found)
         return found
 
-    def encode(self, batch: pa.RecordBatch, end_id: int) -> pa.ListArray:
-        cut = [t.split() for t in common.raw(batch)]
-        n_words = np.fromiter(map(len, cut), np.int64, len(cut))
-        places: dict[bytes, int] = {}
-        at = np.fromiter(
-            (places.setdefault(w, len(places)) for ws in cut for w in ws), np.int64, int(n_words.sum())
-        )
-        # one more word, the end id, behind each document's own
-        at = np.insert(at, np.cumsum(n_words), len(places))
-        ids = [*self.of(list(places)), np.array([end_id], np.int32)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts = np.cumsum(lengths) - lengths
-        sizes = lengths[at]
-        first = np.cumsum(sizes) - sizes
-        values = np.concatenate(ids)[np.repeat(starts[at] - first, sizes) + np.arange(sizes.sum())]
-        ends = np.cumsum(np.concatenate([[0], sizes]))[np.cumsum(np.concatenate([[0], n_words + 1]))]
-        return common.lists(values, np.diff(ends))
+    def encode(self, texts: list[bytes], end_id: int) -> pa.ListArray:
+        cut = [t.split() for t in texts]
+        table = {w: self.ids(w) for w in set(chain.from_iterable(cut))}
+        end = np.array([end_id], "<i4").tobytes()
+        joined = [b"".join([table[w] for w in ws]) + end for ws in cut]
+        sizes = np.fromiter((len(x) // 4 for x in joined), np.int64, len(joined))
+        return common.lists(np.frombuffer(b"".join(joined), "<i4"), sizes)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """(doc_id, ids): the tokens of each text and the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(tokenizer_path)
+        tables = common.worker_state("word tables")
+        if tokenizer_path not in tables:
+            tables[tokenizer_path] = WordTable(tokenizer_path)
         for batch in common.parts(batches):
-            ids = table.encode(batch, end_id)
+            ids = tables[tokenizer_path].encode(common.raw(batch), end_id)
             yield pa.RecordBatch.from_pydict(common.keyed(batch) | {"ids": ids})
 
     return common.per_batch(common.texts_of(docs), run, "ids array<int>")

@@ -91,13 +91,15 @@ def test_token_file_of_hard_texts(spark):
     assert {r[0]: tuple(r[1:]) for r in rows} == expected_tokens({i: t or "" for i, t in enumerate(HARD)})
 
 
-def test_words_kept_between_batches_are_bounded(monkeypatch):
-    monkeypatch.setattr(tokenfile, "KEPT_WORDS", 3)
-    words = tokenfile.WordTable(queries.WORDS)
+def test_words_kept_between_batches_are_bounded():
+    words = tokenfile.WordTable(queries.WORDS, size=3)
     tk = Tokenizer.from_file(queries.WORDS)
-    for some in ([b"a", b"b", b"c", b"dd"], [b"a", b"ee"], [b"dd", b"a", b"ff", b"gg"]):
-        assert [x.tolist() for x in words.of(some)] == [tk.encode(w.decode()).ids for w in some]
-    assert len(words.recent) + len(words.older) <= 8
+    texts = ["a b c dd a.b", "a ee 12x3's", "dd a ff gg Ünï'll ÀÉ×", "<|endoftext|>a İx ́e"]
+    for text in texts * 2:
+        expected = [*tk.encode(text, add_special_tokens=False).ids, 7]
+        assert words.encode([text.encode()], 7).to_pylist() == [expected]
+    for kept in (words.words, words.runs):
+        assert len(kept.new) <= 3 and len(kept.old) <= 3
 
 
 def test_token_file_is_sorted_indexed_and_pruned(spark, data, tmp_path):
