@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from recflow.operators.ranking import top_list_rows
@@ -24,9 +24,12 @@ ship_functions(__name__)
 MAX_BLOCK_ROWS = 32_768
 # Smaller blocks than this are not worth a task.
 MIN_BLOCK_ROWS = 512
-# Left and right rows multiplied at once inside a task.
+# Tasks of one matching; with more pairs of blocks, a task takes several, one after the other.
+MAX_TASKS = 20_000
+# Left and right rows multiplied at once inside a task, fewer where their features fill more bytes.
 LEFT_ROWS, RIGHT_ROWS = 1024, 4096
 FIRST_ROWS = 512
+DENSE_BYTES = 32 << 20
 # Scores equal to this many digits, counted from the leading one, are ties, which go to the smaller id.
 SCORE_DIGITS = 12
 
@@ -38,13 +41,13 @@ class _Vectors:
         self.dense = np.stack(block["vec"].to_numpy()) if "vec" in block.columns else None
         if self.dense is not None:
             return
-        flat = np.concatenate([np.asarray(x, dtype=object) for x in block["dims"]])
+        flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in block["dims"]])
         self.values = np.concatenate([np.asarray(x, dtype=float) for x in block["vals"]])
         self.ends = np.concatenate([[0], np.cumsum(block["dims"].map(len).to_numpy())])
         codes, own = pd.factorize(flat)
-        self.names = pd.Index(own, dtype=object) if names is None else names
+        self.names = pd.Index(own) if names is None else names
         # a feature the other side lacks scores nothing and gets -1
-        known = np.arange(len(own)) if names is None else names.get_indexer(pd.Index(own, dtype=object))
+        known = np.arange(len(own)) if names is None else names.get_indexer(pd.Index(own))
         self.codes = known[codes] if len(own) else codes
 
     def features(self, start: int, stop: int) -> np.ndarray | None:
@@ -119,32 +122,50 @@ def _match_blocks(left: pd.DataFrame, right: pd.DataFrame, k: int, other_only: b
     a = _Vectors(left, None if b.dense is not None else b.names)
     # a row may meet itself, one more is then needed
     wanted = k + 1 if other_only else k
-    # a short first chunk sets a bar that most later scores do not reach
-    edges = [0, *range(min(FIRST_ROWS, len(ids)), len(ids), RIGHT_ROWS), len(ids)]
-    chunks = list(zip(edges[:-1], edges[1:]))
-    features = [b.features(*chunk) for chunk in chunks]
-    rights = [b.rows(*chunk, f).T for chunk, f in zip(chunks, features)]
-    parts = []
-    for start in range(0, len(own), LEFT_ROWS):
-        stop = min(start + LEFT_ROWS, len(own))
-        scores, columns = np.empty((stop - start, 0)), np.empty((stop - start, 0), dtype=np.int64)
-        for (at, end), used, transposed in zip(chunks, features, rights):
+    present = None if b.dense is not None else np.unique(a.codes[a.codes >= 0])
+    scores, columns = np.empty((len(own), 0)), np.empty((len(own), 0), dtype=np.int64)
+    at = 0
+    while at < len(ids):
+        # a short first chunk sets a bar that most later scores do not reach
+        end, used = _chunk(b, at, RIGHT_ROWS if at else FIRST_ROWS, len(ids), present)
+        transposed = b.rows(at, end, used).T
+        step = max(1, min(LEFT_ROWS, DENSE_BYTES // (8 * max(1, len(transposed)))))
+        found = []
+        for start in range(0, len(own), step):
+            stop = min(start + step, len(own))
+            best, places = scores[start:stop], columns[start:stop]
             fresh = a.rows(start, stop, used) @ transposed
-            if scores.shape[1] == wanted:
-                scores, columns = _improve(scores, columns, fresh, at)
+            if best.shape[1] == wanted:
+                found.append(_improve(best, places, fresh, at))
                 continue
-            places = np.broadcast_to(np.arange(at, end), fresh.shape)
-            scores, columns = np.hstack([scores, fresh]), np.hstack([columns, places])
-            scores, columns = _best(scores, columns, min(wanted, scores.shape[1]))
-        part = pd.DataFrame(
-            {
-                "left_id": np.repeat(own[start:stop], columns.shape[1]),
-                "right_id": ids[columns].ravel(),
-                "score": scores.ravel(),
-            }
-        )
-        parts.append(part[part["left_id"] != part["right_id"]] if other_only else part)
-    return pd.concat(parts, ignore_index=True)
+            more = np.broadcast_to(np.arange(at, end), fresh.shape)
+            best, places = np.hstack([best, fresh]), np.hstack([places, more])
+            found.append(_best(best, places, min(wanted, best.shape[1])))
+        scores, columns = (np.concatenate(x) for x in zip(*found))
+        at = end
+    out = pd.DataFrame(
+        {
+            "left_id": np.repeat(own, columns.shape[1]),
+            "right_id": ids[columns].ravel(),
+            "score": scores.ravel(),
+        }
+    )
+    return out[out["left_id"] != out["right_id"]] if other_only else out
+
+
+def _chunk(
+    rows: _Vectors, at: int, most: int, total: int, present: np.ndarray | None
+) -> tuple[int, np.ndarray | None]:
+    """The end of the next rows to multiply, and their features that the left side has too."""
+    end = min(at + most, total)
+    while True:
+        used = rows.features(at, end)
+        if used is None:
+            return end, None
+        used = np.intersect1d(used, present, assume_unique=True)
+        if end - at == 1 or (end - at) * len(used) * 8 <= DENSE_BYTES:
+            return end, used
+        end = at + (end - at) // 2
 
 
 def _n_blocks(rows: int, cores: int) -> int:
@@ -167,7 +188,9 @@ def best_matches(
     ``dims`` and ``vals``, the names and values of the non-zero features. ``left_rows`` and
     ``right_rows`` spare the counts that size the blocks.
     """
-    columns = ["id", "vec"] if "vec" in right.columns else ["id", "dims", "vals"]
+    # features travel as numbers, by the hash of their names
+    numbers = F.transform("dims", lambda d: F.xxhash64(d)).alias("dims")
+    columns = ["id", "vec"] if "vec" in right.columns else ["id", numbers, "vals"]
     cores = left.sparkSession.sparkContext.defaultParallelism
     left_blocks = _n_blocks(left.count() if left_rows is None else left_rows, cores)
     right_blocks = _n_blocks(right.count() if right_rows is None else right_rows, cores)
@@ -180,21 +203,24 @@ def best_matches(
 
     lefts = left.select(*columns, own(left_blocks).alias("lb")).select("*", every(right_blocks).alias("rb"))
     # fresh columns, so that a frame can be matched with itself
-    rights = right.select(*[F.col(c).alias(c) for c in columns], own(right_blocks).alias("rb")).select(
-        "*", every(left_blocks).alias("lb")
-    )
-    # a fixed number of partitions: the blocks are small in bytes but not in work, and must not be merged
-    parts = left_blocks * right_blocks
+    fresh = [F.col(c).alias(c) if isinstance(c, str) else c for c in columns]
+    rights = right.select(*fresh, own(right_blocks).alias("rb")).select("*", every(left_blocks).alias("lb"))
+    # every pair of blocks has a task of its own, as far as that many can be scheduled: the blocks are
+    # small in bytes but not in work
+    tasks = min(left_blocks * right_blocks, MAX_TASKS)
+    pair = F.col("lb").cast("long") * right_blocks + F.col("rb")
+
+    def placed(side: DataFrame) -> GroupedData:
+        named = side.withColumn("pair", pair).withColumn("task", F.pmod("pair", F.lit(tasks)).cast("int"))
+        return named.drop("lb", "rb").repartitionById(tasks, "task").groupBy("task", "pair")
+
     types = [df.schema["id"].dataType.simpleString() for df in (left, right)]
 
     def match(left_block: pd.DataFrame, right_block: pd.DataFrame) -> pd.DataFrame:
         return _match_blocks(left_block, right_block, k, exclude_same_id)
 
-    scored = (
-        lefts.repartition(parts, "lb", "rb")
-        .groupBy("lb", "rb")
-        .cogroup(rights.repartition(parts, "lb", "rb").groupBy("lb", "rb"))
-        .applyInPandas(match, f"left_id {types[0]}, right_id {types[1]}, score double")
+    scored = placed(lefts).cogroup(placed(rights)).applyInPandas(
+        match, f"left_id {types[0]}, right_id {types[1]}, score double"
     )
     return top_list_rows(scored, "left_id", "right_id", "score", k)
 

@@ -1,3 +1,4 @@
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -33,7 +34,21 @@ def test_a_missed_day_is_caught_up(spark, store):
         )
 
 
+def test_late_events_count_when_their_day_is_computed_anew(spark, store):
+    rows_of = lambda late: spark.createDataFrame(
+        [(1, 7, "view", date(2024, 1, d)) for d in (1, 2, 3)] + [(2, 7, "purchase", date(2024, 1, 2))] * late,
+        "user_id long, item_id long, event_type string, day date",
+    )
+    for day in ("2024-01-01", "2024-01-02"):
+        daily.update_scores(store, rows_of(0), day)
+    for since, late in ((None, 0), ("2024-01-02", 1)):
+        items, _ = daily.update_scores(store, rows_of(1), "2024-01-03", since)
+        assert rows(items, "item_id", "score") == rows(decayed_score(rows_of(late), ["item_id"], "2024-01-03"))
+
+
 def test_the_whole_day(spark, store, data):
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(scratch))
     shop = Shop(spark, data)
     items = shop.products().join(shop.product_places(), "id").withColumn("district", F.lit(None).cast("string"))
     users = shop.users().withColumn("district", F.lit(None).cast("string"))
@@ -63,3 +78,4 @@ def test_the_whole_day(spark, store, data):
     assert result.count() == 3 * items.select("category").distinct().count()
     assert result.where("precision > 1 or recall > 1").count() == 0
     assert best.where("sim < 0 or sim > 1").count() == 0
+    assert set(os.listdir(scratch)) == before

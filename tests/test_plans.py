@@ -168,7 +168,7 @@ def test_a_category_with_most_items_is_ranked_by_several_tasks(spark, settings):
     scores = items.select(F.col("id").alias("item_id"), F.lit(0.0).alias("score"))
     ranked = ranking.rank_items(scores, items, RUN_DATE)
     assert ranked.where("category = 'big'").agg(F.max("rn"), F.countDistinct("rn")).first()[:] == (18_000, 18_000)
-    stored = spark.read.parquet(session._WRITTEN[-1]).where("category = 'big'")
+    stored = spark.read.parquet(session._WRITTEN[spark][-1]).where("category = 'big'")
     assert stored.select(F.input_file_name()).distinct().count() > 1
     assert rows(ranked.where("rn = 1"), "item_id") == [(0,), (1,)]
 
@@ -182,3 +182,34 @@ def test_lists_of_a_very_active_user(spark):
     lists = ranking.ranked_list(cells, "user_id", "item_id", "sim", 10)
     assert "WindowGroupLimit" in plan(lists)
     assert [len(r["item_list"]) for r in lists.where("user_id = 0").collect()] == [10]
+
+
+def test_a_hot_item_is_split_after_the_action_matrix(spark, small_skew):
+    events = skewed_cells(spark).select(
+        "user_id", "item_id", F.lit("view").alias("event_type"), F.lit(RUN_DATE).cast("date").alias("day")
+    )
+    ids = events.select(F.col("item_id").alias("id")).distinct()
+    actions = interactions.action_matrix(events.repartition(16), ids, RUN_DATE)
+    names = ids.select(F.col("id").alias("item_id"), F.concat(F.lit("n"), "id").alias("name"))
+    named = actions.join(names.repartition(16, "name"), "item_id")
+    assert len(named.collect()) == events.select("user_id", "item_id").distinct().count()
+    assert "skew=true" in plan(named)
+
+
+def test_the_cells_of_a_hot_entity_are_split_among_pairs(spark, small_skew):
+    cells = skewed_cells(spark).withColumn("val", F.lit(1.0))
+    ids = [r.item_id for r in cells.select("item_id").distinct().orderBy("item_id").limit(5).collect()]
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "id long, other_id long")
+    found = similarity.pair_cosine(pairs, cells)
+    sets = {i: {r.user_id for r in cells.where(F.col("item_id") == i).select("user_id").distinct().collect()} for i in ids}
+    for r in found.collect():
+        a, b = sets[r.id], sets[r.other_id]
+        assert r.sim == pytest.approx(len(a & b) / math.sqrt(len(a) * len(b)), abs=1e-9)
+
+
+def test_word_counts_are_read_a_bounded_number_of_times(spark, data):
+    counts = text.word_count(Shop(spark, data).posts(), ["description"], RUN_DATE)
+    scans = lambda df: plan(df).count("documents.parquet")
+    assert scans(text.idf(counts)) == 0  # from the stored word table
+    assert scans(text.tfidf(counts)) <= 4
+    assert scans(text.inverse_index(text.tfidf(counts))) <= 4

@@ -122,3 +122,13 @@ def test_quantiles_are_exact(spark):
     df = spark.range(1, 101).select("id", F.col("id").cast("double").alias("v"))
     found = dict(rows(quantiles(df, "v", "id", [0.0, 0.25, 0.5, 1.0])))
     assert found == {0.0: 1.0, 0.25: 25.0, 0.5: 50.0, 1.0: 100.0}
+
+
+def test_tiny_scores_keep_their_order_and_equal_sums_tie(spark):
+    scores = [(0, 0.0), (1, 1e-17), (2, 2.8e-17), (3, 0.1 + 0.2), (4, 0.3), (5, -1e-17), (6, 1e-300), (7, 3e300)]
+    frame = spark.createDataFrame(scores, "item_id long, score double")
+    items = frame.select(F.col("item_id").alias("id"), F.lit("a").alias("category"))
+    ranked = rank_items(frame, items, "2024-01-30").orderBy("rn")
+    assert [r.item_id for r in ranked.collect()] == [7, 3, 4, 2, 1, 6, 0, 5]
+    best = top_n(ranked.drop("rn"), 3).orderBy("rn")
+    assert [r.item_id for r in best.collect()] == [7, 3, 4]

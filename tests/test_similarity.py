@@ -1,6 +1,8 @@
 import itertools
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -195,11 +197,11 @@ def test_matmul_is_the_matrix_product(spark):
     assert {(r, c): v for r, c, v in rows(product, "r", "c", "val")} == expected
 
 
-def test_matmul_refuses_a_wide_right_side(spark):
-    a = spark.createDataFrame([(1, 1, 1.0)], "r long, k long, val double")
-    b = spark.range(20).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("c"), F.lit(1.0).alias("val"))
-    with pytest.raises(Exception, match="more than 10 cells"):
-        sparse_matmul(a, b, "r", "k", "c", max_width=10).collect()
+def test_matmul_with_a_wide_right_side(spark):
+    a = spark.createDataFrame([(1, 1, 2.0), (2, 1, 3.0)], "r long, k long, val double")
+    b = spark.range(12_000).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("c"), F.lit(1.0).alias("val"))
+    product = sparse_matmul(a, b, "r", "k", "c", packed_cells=100)
+    assert rows(product.groupBy("r", "val").count()) == [(1, 2.0, 12_000), (2, 3.0, 12_000)]
 
 
 @pytest.fixture
@@ -270,3 +272,43 @@ def test_neighbourhood_list(spark):
 def test_geo_feature_projects_the_levels(spark):
     users = spark.createDataFrame([(1, "p", "c", "d", "x")], f"uid long, {PLACE}, role string")
     assert rows(geo_feature(users, "uid", "user_id", "2024-01-02")) == [(1, "p", "c", "d", "2024-01-02")]
+
+
+def test_wide_features_stay_within_the_byte_budget():
+    rng = np.random.default_rng(5)
+    rows, width = 4096, 20_000
+    ids = np.arange(rows)
+    dims = [rng.integers(0, width, 20, dtype=np.int64) for _ in ids]
+    block = pd.DataFrame({"id": ids, "dims": [np.unique(d) for d in dims]})
+    block["vals"] = [np.full(len(d), 0.5) for d in block["dims"]]
+    tracemalloc.start()
+    found = blocks._match_blocks(block, block, 3, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    sets = [set(d.tolist()) for d in block["dims"]]
+    for i in (0, 1234, rows - 1):
+        shared = np.array([len(sets[i] & s) if j != i else -1 for j, s in enumerate(sets)])
+        best = sorted(ids, key=lambda j: (-shared[j], j))[:3]
+        own = found[found["left_id"] == i].sort_values(["score", "right_id"], ascending=[False, True])
+        assert own["right_id"].tolist()[:3] == best
+
+
+def test_large_scores_and_more_pairs_than_tasks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "MAX_TASKS", 3)
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 4)
+    left = spark.range(20).select("id", F.array(F.col("id") * 1e9, F.lit(1.0)).alias("vec"))
+    right = spark.range(15).select("id", F.array(F.col("id") * 1e6, F.lit(1.0)).alias("vec"))
+    found = blocks.best_matches(left, right, 2).collect()
+    assert len(found) == 40
+    assert {(r.left_id, r.pos): r.right_id for r in found if r.left_id} == {
+        (i, p): 15 - p for i in range(1, 20) for p in (1, 2)
+    }
+    assert [r.right_id for r in sorted(found, key=lambda r: (r.left_id, r.pos))[:2]] == [0, 1]
+
+
+def test_vectors_with_nan_have_no_neighbours(spark):
+    nan = float("nan")
+    rows = [(0, [1.0, 0.0]), (1, [nan, 1.0]), (2, [0.9, 0.1]), (3, [float("inf"), 0.0]), (4, [0.0, 0.0]), (5, [0.5, 0.5])]
+    found = blocks.nearest(spark.createDataFrame(rows, "id long, vec array<double>"), "id", "vec", 3).collect()
+    assert {r.id for r in found} | {r.neighbour_id for r in found} == {0, 2, 5}

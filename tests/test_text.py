@@ -141,3 +141,11 @@ def test_item_text_feature_from_counts_and_tfidf(spark, counts):
     for words in (counts, counts.drop("word_total"), tfidf(counts)):
         feature = item_text_feature(words, DAY, items, "b", k=2)
         assert rows(feature, "item_id", "key_word", "val") == [(3, "éclair", round(math.log10(2) / 3, 6))]
+
+
+def test_many_stopwords_give_the_same_counts(spark, items, stopwords):
+    more = spark.range(100_001).select(F.concat(F.lit("w"), "id").alias("key_word")).union(stopwords)
+    for fields in (["name"], ["name", "description"]):
+        few = word_count(items, fields, DAY, stopwords=stopwords)
+        assert rows(word_count(items, fields, DAY, stopwords=more)) == rows(few)
+        assert rows(word_count(items, fields, DAY, stopwords=stopwords, max_in_row=0)) == rows(few)
