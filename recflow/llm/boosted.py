@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common, stats
+from recflow.llm.common import keyed, parts, per_batch, raw, texts_of
+from recflow.llm.stats import COUNTS, document_stats
+from recflow.llm.stats import counts as counts_of
 
 LEAST_WORDS = 10
 MOST_REPEATED = 20  # per cent of the words
@@ -47,7 +49,7 @@ FEATURES = (
 
 def features(counts: np.ndarray) -> np.ndarray:
     """The values of ``FEATURES``, a row for each row of ``stats.counts``."""
-    c = dict(zip(stats.COUNTS, counts.T.astype(float)))
+    c = dict(zip(COUNTS, counts.T.astype(float)))
     words, chars, lines = (np.maximum(c[n], 1.0) for n in ("n_words", "word_chars", "n_lines"))
     return np.stack(
         [
@@ -69,7 +71,7 @@ def features(counts: np.ndarray) -> np.ndarray:
 
 def base_failed(counts: np.ndarray) -> np.ndarray:
     """Too few words, or too many of them inside repeated windows."""
-    n, repeated = (counts[:, stats.COUNTS.index(c)] for c in ("n_words", "n_repeat_words"))
+    n, repeated = (counts[:, COUNTS.index(c)] for c in ("n_words", "n_repeat_words"))
     return (n < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n)
 
 
@@ -183,10 +185,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> tuple[n
     known = labels.select("doc_id", F.col(label).alias("label")).where("label in (0, 1)").distinct()
     order = [F.xxhash64("doc_id"), "doc_id", "label"]
     chosen = docs.select("doc_id").distinct().join(known, "doc_id").orderBy(*order).limit(most)
-    counted = stats.document_stats(docs.join(F.broadcast(chosen), "doc_id"), "label")
+    counted = document_stats(docs.join(F.broadcast(chosen), "doc_id"), "label")
     # an id may have several rows, so the bound is applied to the rows too
-    rows = counted.orderBy(*order, *stats.COUNTS).limit(most).select("label", *stats.COUNTS).collect()
-    found = np.array([tuple(r) for r in rows], dtype=np.int64).reshape(len(rows), 1 + len(stats.COUNTS))
+    rows = counted.orderBy(*order, *COUNTS).limit(most).select("label", *COUNTS).collect()
+    found = np.array([tuple(r) for r in rows], dtype=np.int64).reshape(len(rows), 1 + len(COUNTS))
     return features(found[:, 1:]), found[:, 0].astype(float)
 
 
@@ -199,16 +201,16 @@ def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     trees = _model(docs, labels, label, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            counts = stats.counts(common.raw(batch))
+        for batch in parts(batches):
+            counts = counts_of(raw(batch))
             failed, score = base_failed(counts), trees.scores(features(counts))
-            new = {c: pa.array(counts[:, stats.COUNTS.index(c)]) for c in BASE}
+            new = {c: pa.array(counts[:, COUNTS.index(c)]) for c in BASE}
             new |= {"base_failed": pa.array(failed), "score": pa.array(score)}
             new["kept"] = pa.array(~failed & (score >= KEEP_SCORE))
-            yield pa.RecordBatch.from_pydict(common.keyed(batch) | new)
+            yield pa.RecordBatch.from_pydict(keyed(batch) | new)
 
     counts = "".join(f"{c} bigint, " for c in BASE)
-    return common.per_batch(common.texts_of(docs), run, f"{counts}base_failed boolean, score double, kept boolean")
+    return per_batch(texts_of(docs), run, f"{counts}base_failed boolean, score double, kept boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE_ROWS) -> DataFrame:
@@ -216,8 +218,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", most:
     trees = _model(docs, labels, label, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            counts = stats.counts([t or b"" for t in common.raw(batch)])
+        for batch in parts(batches):
+            counts = counts_of([t or b"" for t in raw(batch)])
             good = ~base_failed(counts) & (trees.scores(features(counts)) >= KEEP_SCORE)
             yield batch.filter(pa.array(good))
 

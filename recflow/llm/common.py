@@ -46,13 +46,15 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.coalesce("text", F.lit("")).alias("text"))
 
 
-def parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``BATCH_BYTES`` of one column at most."""
+def parts(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``limit`` bytes of one column at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        step = np.cumsum(size, dtype=np.int64) // BATCH_BYTES
+        step = np.cumsum(size, dtype=np.int64) // limit
         cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
@@ -68,6 +70,16 @@ def strings(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x.decode("utf-8", "replace") for x in raw(batch, column)]
 
 
+def valid(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
+    """The texts as strings that are sure to be UTF-8."""
+    texts = batch.column(column)
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:
+        return pa.array(strings(batch, column), texts.type)
+    return texts
+
+
 def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     """An array column from all values in a row and the length of each list."""
     ends = np.zeros(len(sizes) + 1, dtype=np.int32)

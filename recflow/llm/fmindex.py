@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import keyed, parts, raw
 
 WINDOW = 10
 # Bytes of item texts that are searched in one pass over the documents.
@@ -218,8 +218,8 @@ def _scan(docs: DataFrame, book: Phrases, first: bool, last: bool, remove: bool)
     keep_text = not last or remove
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            given = common.raw(batch)
+        for batch in parts(batches):
+            given = raw(batch)
             cut = [words(t or b"") for t in given]
             if first:
                 spans, items = [[] for _ in cut], [set() for _ in cut]
@@ -230,7 +230,7 @@ def _scan(docs: DataFrame, book: Phrases, first: bool, last: bool, remove: bool)
                 spans[k].append((start, end))
                 items[k].update(book.items[phrase])
             spans = [merged(x) for x in spans]
-            columns = {n: c for n, c in common.keyed(batch).items() if n not in ("n_words", "spans", "items")}
+            columns = {n: c for n, c in keyed(batch).items() if n not in ("n_words", "spans", "items")}
             columns["n_words"] = pa.array([len(x) for x in cut], pa.int64())
             columns["spans"] = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], span)
             columns["items"] = pa.array([sorted(x) for x in items], pa.list_(pa.int64()))

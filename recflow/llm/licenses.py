@@ -21,7 +21,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import UPPER, lowered
 from recflow.session import materialize
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -87,7 +87,7 @@ TEMPLATES = BASE + MORE
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(common.lowered(text), SEPARATORS), "")
+    return F.array_remove(F.split(lowered(text), SEPARATORS), "")
 
 
 def weight(documents: int, having: int) -> int:
@@ -210,7 +210,7 @@ def duckdb_sql(templates: Iterable[Template] = TEMPLATES) -> str:
     return f"""
 WITH body(template, label, base, notice, pos, word, needed) AS (VALUES {", ".join(values)}),
 docs AS (SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
-    translate(coalesce(text, ''), '{common.UPPER}', '{common.UPPER.lower()}'),
+    translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
     '{WORD}') AS words FROM documents),
 hits AS (SELECT doc, pos - 1 AS pos, word FROM (SELECT doc, unnest(words) AS word, generate_subscripts(words, 1) AS pos
     FROM docs) WHERE word IN (SELECT word FROM body)),

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import keyed, lists, parts, per_batch, strings
 
 MARK = "▁"
 _CHUNKS = re.compile(" *[^ ]+| +$")
@@ -68,14 +68,14 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model_path)
-        for batch in common.parts(batches):
-            found = table.encode(common.strings(batch))
+        for batch in parts(batches):
+            found = table.encode(strings(batch))
             sizes = np.fromiter(map(len, found), np.int32, len(found))
             values = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
-            yield pa.RecordBatch.from_pydict(common.keyed(batch) | {"ids": common.lists(values, sizes)})
+            yield pa.RecordBatch.from_pydict(keyed(batch) | {"ids": lists(values, sizes)})
 
     kept = [c for c in docs.columns if c not in ("text", "ids")]
-    return common.per_batch(docs.select(*kept, F.coalesce("text", F.lit("")).alias("text")), run, "ids array<int>")
+    return per_batch(docs.select(*kept, F.coalesce("text", F.lit("")).alias("text")), run, "ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -87,10 +87,10 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 texts = [model.decode(x) if x else "" for x in map(_ints, part.column("ids"))]
-                yield pa.RecordBatch.from_pydict(common.keyed(part) | {"text": pa.array(texts, pa.string())})
+                yield pa.RecordBatch.from_pydict(keyed(part) | {"text": pa.array(texts, pa.string())})
 
     kept = [c for c in encoded.columns if c != "text"]
-    return common.per_batch(encoded.select(*kept), run, "text string")
+    return per_batch(encoded.select(*kept), run, "text string")
 
 
 def _ints(value: pa.ListScalar) -> list[int]:

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common, stats
+from recflow.llm import stats
+
 from recflow.session import materialize
 
 THRESHOLD = 0.3

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import keyed, parts, per_batch, raw
 from recflow.llm.automaton import Automaton, Scanner, compiled
 
 
@@ -132,8 +132,8 @@ def find(docs: DataFrame, redact: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [r.kind for r in scanner.rules]
-        for batch in common.parts(batches):
-            given = common.raw(batch)
+        for batch in parts(batches):
+            given = raw(batch)
             texts = [t or b"" for t in given]
             found = scanner.spans(texts)
             rows = [
@@ -141,14 +141,14 @@ def find(docs: DataFrame, redact: bool = False) -> DataFrame:
                 for s, t in zip(found, texts)
             ]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-            columns = common.keyed(batch) | {"spans": pa.array(rows, kind)}
+            columns = keyed(batch) | {"spans": pa.array(rows, kind)}
             if redact:
                 new = [t if t is None or not s else redacted(t, s) for t, s in zip(given, found)]
                 columns["text"] = pa.array(new, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
     kept = [c for c in docs.columns if c not in ("text", "spans")]
-    return common.per_batch(docs.select(*kept, "text"), run, SPANS + ", text string" * redact)
+    return per_batch(docs.select(*kept, "text"), run, SPANS + ", text string" * redact)
 
 
 def digest(spans: str) -> Column:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import keyed, parts, per_batch, raw
 from recflow.llm.components import components
 from recflow.operators.joins import lookup
 from recflow.session import materialize
@@ -61,13 +61,13 @@ def fingerprints(docs: DataFrame, words: int = 3, keep_text: bool = False) -> Da
     """The columns of ``docs`` and ``fp``; the text only if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            values = pa.array([fingerprint(t or b"", words) for t in common.raw(batch)], pa.int64())
-            columns = common.keyed(batch) | {"fp": values}
+        for batch in parts(batches):
+            values = pa.array([fingerprint(t or b"", words) for t in raw(batch)], pa.int64())
+            columns = keyed(batch) | {"fp": values}
             yield pa.RecordBatch.from_pydict(columns | {"text": batch.column("text")} if keep_text else columns)
 
     kept = [c for c in docs.columns if c not in ("text", "fp")]
-    return common.per_batch(docs.select(*kept, "text"), run, "fp bigint" + ", text string" * keep_text)
+    return per_batch(docs.select(*kept, "text"), run, "fp bigint" + ", text string" * keep_text)
 
 
 def masks(radius: int) -> list[int]:

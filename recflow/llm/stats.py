@@ -13,12 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from recflow.llm import common
+from recflow.llm.common import UPPER, keyed, parts, per_batch, raw, texts_of
 
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\r\x0b\x0c"
-_UPPER = common.UPPER.encode()
+_UPPER = UPPER.encode()
 _INSIDE = bytes(range(0x80, 0xC0))
 
 COUNTS = (
@@ -107,9 +107,9 @@ def document_stats(docs: DataFrame, *more: str) -> DataFrame:
     """(doc_id, the columns ``more``, the counts) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            found = counts(common.raw(batch))
+        for batch in parts(batches):
+            found = counts(raw(batch))
             columns = {c: pa.array(found[:, i]) for i, c in enumerate(COUNTS)}
-            yield pa.RecordBatch.from_pydict(common.keyed(batch) | columns)
+            yield pa.RecordBatch.from_pydict(keyed(batch) | columns)
 
-    return common.per_batch(common.texts_of(docs, *more), run, SCHEMA)
+    return per_batch(texts_of(docs, *more), run, SCHEMA)
