@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from recflow.operators.ranking import top_list_rows
-from recflow.session import ship_functions
+from recflow.session import materialize, ship_functions
 
 ship_functions(__name__)
 
@@ -236,6 +236,8 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> D
         .where((F.col("_norm") > 0) & ~F.isnan("_norm") & (F.col("_norm") < float("inf")))
         .select("id", F.transform(vec_col, lambda x: x.cast("double") / F.col("_norm")).alias("vec"))
     )
+    # counted and read as both sides
+    unit = materialize(unit, "unit-vectors")
     found = best_matches(unit, unit, k, exclude_same_id=True, **sizes)
     return as_neighbours(found)
 

@@ -248,6 +248,8 @@ def tag_neighbours(feature: DataFrame, id_col: str, k: int, **sizes) -> DataFram
         F.transform("tags", lambda t: t.cast("string")).alias("dims"),
         F.transform("tags", lambda t: each).alias("vals"),
     )
+    # counted and read as both sides
+    vectors = materialize(vectors, "tag-vectors")
     found = best_matches(vectors, vectors, k, exclude_same_id=True, **sizes)
     return as_neighbours(found)
 

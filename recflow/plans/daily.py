@@ -92,10 +92,10 @@ def update_scores(
 def build_lists(store: Store, items: DataFrame, run_date: str) -> dict[str, DataFrame]:
     """Rank the items by stored score and store the ranking and its four lists."""
     scores = store.read("item_score", run_date)
-    ranked = store.save(ranking.rank_items(scores, items, run_date), "item_score_rank", run_date)
+    ranked = store.save(ranking.rank_items(scores, items, run_date), "ranked_items", run_date)
     fresh = store.save(ranking.fresh_list(ranked), "item_fresh_list", run_date)
     return {
-        "item_score_rank": ranked,
+        "ranked_items": ranked,
         "item_fresh_list": fresh,
         "item_hot_list": store.save(ranking.hot_list(ranked, fresh), "item_hot_list", run_date),
         "item_top_n": store.save(ranking.top_n(ranked), "item_top_n", run_date),
@@ -175,8 +175,8 @@ def build_cf_lists(
     cells = store.read("action_matrix", run_date).join(wanted, "item_id", "left_semi")
     model = cf.factorize(cells, **options)
     for side, table in zip(("user", "item"), cf.als_factors(model)):
-        store.save(table, f"{name}_{side}_fact_matrix", run_date)
-    return store.save(cf.cf_recommend(model, k), f"{name}_cf_based_rec", run_date)
+        store.save(table, f"{name}_{side}_factors", run_date)
+    return store.save(cf.cf_recommend(model, k), f"{name}_cf_lists", run_date)
 
 
 @_without_scratch
@@ -186,4 +186,4 @@ def evaluate_day(
     """Store precision, recall and F1 of what the feed log says was shown on a day."""
     acted = events.where(F.col("day") == F.lit(run_date).cast("date"))
     result = evaluate.evaluate(feed, acted, items, run_date)
-    return store.save(result, "recommendation_evaluate_result", run_date)
+    return store.save(result, "evaluation", run_date)

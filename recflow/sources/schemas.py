@@ -1,4 +1,4 @@
-"""Column lists of the daily snapshots. Ids are long; every field may be null."""
+"""The columns of the source tables. Ids are long; every field may be null."""
 
 USERS = "uid long, username string, role string, province string, city string, district string"
 ITEMS = (

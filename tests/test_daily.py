@@ -54,7 +54,7 @@ def test_the_whole_day(spark, store, data):
     users = shop.users().withColumn("district", F.lit(None).cast("string"))
     daily.update_scores(store, shop.events(), RUN_DATE)
     lists = daily.build_lists(store, items, RUN_DATE)
-    assert lists["item_score_rank"].count() == items.count()
+    assert lists["ranked_items"].count() == items.count()
     assert lists["item_hot_list"].join(lists["item_fresh_list"], "item_id").count() == 0
     daily.build_text(store, "product", items, ["name", "description"], RUN_DATE)
     best = daily.build_content_lists(
@@ -72,7 +72,7 @@ def test_the_whole_day(spark, store, data):
     assert best.count() == 5 * users.count()
     shown = daily.build_cf_lists(store, "product", items, 3, RUN_DATE, rank=3, max_iter=2)
     assert shown.groupBy("user_id").count().where("count <> 3").count() == 0
-    assert "fac_2" in store.read("product_user_fact_matrix", RUN_DATE).columns
+    assert "fac_2" in store.read("product_user_factors", RUN_DATE).columns
     feed = shown.withColumn("rec_algo", F.lit("cf_based"))
     result = daily.evaluate_day(store, feed, shop.events(), items, RUN_DATE)
     assert result.count() == 3 * items.select("category").distinct().count()
