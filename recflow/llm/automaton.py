@@ -20,6 +20,10 @@ _CLASSES = {
 _CLASSES |= {k.replace("_", "_NOT_"): _ALL - v for k, v in _CLASSES.items()}
 
 
+# Chunks that are walked at a time, so that a very long text needs no more memory than many short ones.
+LANES = 1 << 14
+
+
 class _Graph:
     """A nondeterministic automaton: empty moves, and moves over sets of bytes."""
 
@@ -211,19 +215,32 @@ class Scanner:
         begin = (np.cumsum(size) - size)[owner] + nth * self.chunk
         length = np.minimum(size[owner] - nth * self.chunk, self.chunk)
         data = self.automaton.classes[np.frombuffer(b"".join(texts), np.uint8)]
+        found, carried = [], 0
+        for a in range(0, len(owner), LANES):
+            some = slice(a, a + LANES)
+            t, lane, state, carried = self._walk(data, begin[some], length[some], nth[some], carried)
+            bits = self.automaton.accepts[state // self.width]
+            found.append((owner[some][lane], nth[some][lane] * self.chunk + t + 1, bits))
+        who, end, bits = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((end, who))
+        return who[order], end[order], bits[order]
+
+    def _walk(
+        self, data: np.ndarray, begin: np.ndarray, length: np.ndarray, nth: np.ndarray, carried: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(step, chunk, state) of all accepting steps of some chunks, and the state after the last chunk."""
         step = np.arange(self.chunk)[:, None]
         seen = data.take(begin[None, :] + step, mode="clip")
         seen[step >= length[None, :]] = self.width - 1
-
         states = np.empty(seen.shape, np.int32)
-        state, at = np.zeros(len(owner), np.int32), np.empty(len(owner), np.int32)
+        state, at = np.zeros(len(begin), np.int32), np.empty(len(begin), np.int32)
         for t in range(self.chunk):
             np.add(state, seen[t], out=at)
             np.take(self.moves, at, out=states[t])
             state = states[t]
-        entered = np.zeros(len(owner), np.int32)
+        entered = np.zeros(len(begin), np.int32)
         while True:
-            entry = np.where(nth > 0, np.concatenate([[0], states[-1, :-1]]), 0)
+            entry = np.where(nth > 0, np.concatenate([[carried], states[-1, :-1]]), 0)
             wrong = np.flatnonzero(entry != entered)
             if not len(wrong):
                 break
@@ -237,10 +254,7 @@ class Scanner:
                     break
                 states[t, wrong] = state
         t, lane = np.nonzero(states >= self.automaton.first_accepting * self.width)
-        bits = self.automaton.accepts[states[t, lane] // self.width]
-        end = nth[lane] * self.chunk + t + 1
-        order = np.lexsort((end, owner[lane]))
-        return owner[lane][order], end[order], bits[order]
+        return t, lane, states[t, lane], int(states[-1, -1])
 
 
 def compiled(pattern: bytes, fold: bool) -> re.Pattern[bytes]:
