@@ -10,33 +10,41 @@ passes the filter by chance is alone in its group and stays.
 The number of cells follows the size of the texts up to ``MOST_CELLS``, which bounds what a task holds and
 the driver sends (an eighth of a byte a cell and row). Beyond, more windows pass to the exact grouping.
 
-Null and empty texts have no words. Documents without an id come last in the order. Rows that share an id
-have one place in the order: each keeps the first place of its windows.
+Null and empty texts have no words. Documents without an id come last in the order, among each other by a hash
+of their text. Rows of one place in the order, those that share an id or lack one and share the text, each keep
+the first place of their windows.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import map_batches, parts, raw, texts_of, worker_state
 from recflow.operators.joins import lookup
-from recflow.session import materialize
 
 WINDOW = 20
 ROWS = 2
 MOST_CELLS = 1 << 29
 LEAST_CELLS = 1 << 16
 SLICE_BITS = 20
+# Windows whose cells a task gathers before it sends them; the closer the cells, the shorter they are.
+SENT_WINDOWS = 1 << 22
 # Cells that one merging task counts.
 MERGE_CELLS = 1 << 24
-LAST = (1 << 63) - 1
+# Where documents without an id begin; ids must be smaller.
+AFTER_IDS = 1 << 62
+# Text whose windows a task has at hand; each needs some dozen numbers.
+BATCH_BYTES = 2 << 20
 
 # Odd multipliers of the two window hashes, and of the final mixing.
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -52,6 +60,7 @@ class Windows:
         digest = xxhash.xxh3_64_intdigest
         words = np.fromiter((digest(w) for w in chain.from_iterable(cut)), np.uint64, total)
         owner = np.repeat(np.arange(len(cut)), sizes)
+        self.total, self.window = total, window
         self.n = max(0, total - window + 1)
         self.at = np.flatnonzero(owner[: self.n] == owner[window - 1 :]) if self.n else np.zeros(0, np.int64)
         self.owner = owner[self.at]
@@ -78,9 +87,9 @@ class Windows:
         return [(h >> np.uint64(64 - bits)).astype(np.uint32) for h in (self.first, self.second)]
 
 
-def _sketch_rows(cut: list[list[bytes]], window: int, bits: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+def _sketch_rows(gathered: list[list[np.ndarray]]) -> Iterator[tuple[int, int, bytes, bytes]]:
     """(row, slice, cells, whether each counts twice): cells as differences, their bytes in planes."""
-    for row, cells in enumerate(Windows(cut, window).cells(bits)):
+    for row, cells in enumerate(map(np.concatenate, gathered)):
         cells.sort()
         new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else cells
         twice = np.diff(np.append(new, len(cells))) > 1
@@ -107,16 +116,27 @@ def cells_for(docs: DataFrame, most: int) -> int:
     return (min(max(size // 2, LEAST_CELLS), most) - 1).bit_length()
 
 
-def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
-    """For each row of the count-min sketch, a bit for each cell that counts twice or more."""
+def sketch(docs: DataFrame, window: int, bits: int) -> list[tuple[int, int, bytes]]:
+    """(row, slice, bits) of the count-min sketch: a bit for each cell that counts twice or more, compressed."""
+
+    kinds = {"line": pa.int32(), "slice": pa.int32(), "cells": pa.binary(), "twice": pa.binary()}
+
+    def sent(gathered: list[list[np.ndarray]]) -> pa.RecordBatch:
+        rows = list(_sketch_rows(gathered))
+        return pa.RecordBatch.from_pydict(
+            {name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(kinds.items())}
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            rows = list(_sketch_rows([t.split() for t in common.raw(batch)], window, bits))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
-                names=["line", "slice", "cells", "twice"],
-            )
+        gathered: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
+        for batch in parts(batches, limit=BATCH_BYTES):
+            for own, cells in zip(gathered, Windows([t.split() for t in raw(batch)], window).cells(bits)):
+                own.append(cells)
+            if sum(map(len, gathered[0])) >= SENT_WINDOWS:
+                yield sent(gathered)
+                gathered = [[] for _ in range(ROWS)]
+        if gathered[0]:
+            yield sent(gathered)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, int], np.ndarray] = {}
@@ -132,19 +152,32 @@ def sketch(docs: DataFrame, window: int, bits: int) -> np.ndarray:
                 {
                     "line": pa.array([line], pa.int32()),
                     "slice": pa.array([part], pa.int32()),
-                    "bits": pa.array([np.packbits(own > 1).tobytes()], pa.binary()),
+                    # few cells count twice, so the bits compress well
+                    "bits": pa.array([zlib.compress(np.packbits(own > 1).tobytes(), 1)], pa.binary()),
                 }
             )
 
     tasks = max(1, (ROWS << bits) // MERGE_CELLS)
-    found = docs.select("text").mapInArrow(count, "line int, slice int, cells binary, twice binary")
-    merged = found.repartition(tasks, "line", "slice").mapInArrow(merge, "line int, slice int, bits binary")
-    out = np.zeros((ROWS, (1 << bits) // 8), np.uint8)
-    for r in merged.collect():  # a bounded number of slices
-        at = r["slice"] << (SLICE_BITS - 3)
-        own = np.frombuffer(r.bits, np.uint8)[: out.shape[1]]
-        out[r.line, at : at + len(own)] = own
-    return out
+    found = map_batches(docs.select("text"), count, "line int, slice int, cells binary, twice binary")
+    merged = map_batches(found.repartition(tasks, "line", "slice"), merge, "line int, slice int, bits binary")
+    # a bounded number of slices
+    return [(r.line, r["slice"], bytes(r.bits)) for r in merged.collect()]
+
+
+def _unpacked(sent: Broadcast, name: str, bits: int) -> np.ndarray:
+    """The rows of the sketch that a broadcast holds, unpacked once in each Python worker."""
+    state = worker_state("sketches")
+    if name not in state:
+        state.clear()
+        rows = np.zeros((ROWS, (1 << bits) // 8), np.uint8)
+        for line, part, packed in sent.value:
+            at = part << (SLICE_BITS - 3)
+            own = np.frombuffer(zlib.decompress(packed), np.uint8)[: rows.shape[1]]
+            rows[line, at : at + len(own)] = own
+        state[name] = rows
+        # the worker would keep the packed value too
+        vars(sent).pop("_value", None)
+    return state[name]
 
 
 def _repeated(windows: Windows, counted: np.ndarray, bits: int) -> np.ndarray:
@@ -165,69 +198,77 @@ def _firsts(windows: Windows, some: np.ndarray) -> np.ndarray:
     return order[new]
 
 
-def smallest(docs: DataFrame, window: int, counted: object, bits: int) -> DataFrame:
+def smallest(docs: DataFrame, window: int, counted: Broadcast, name: str, bits: int) -> DataFrame:
     """(place, first): for each document, the hashes of the repeated windows it is the smallest for."""
 
+    def asked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        windows = Windows([t.split() for t in raw(batch)], window)
+        own = _firsts(windows, np.flatnonzero(_repeated(windows, _unpacked(counted, name, bits), bits)))
+        place = batch.column("place").to_numpy()[windows.owner[own]]
+        return pa.RecordBatch.from_pydict(
+            {
+                "first": pa.array(windows.first[own].view(np.int64)),
+                "second": pa.array(windows.second[own].astype(np.uint32).view(np.int32)),
+                "place": pa.array(place, pa.int64()),
+            }
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            windows = Windows([t.split() for t in common.raw(batch)], window)
-            own = _firsts(windows, np.flatnonzero(_repeated(windows, counted.value, bits)))
-            place = batch.column("place").to_numpy()[windows.owner[own]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "first": pa.array(windows.first[own].view(np.int64)),
-                    "second": pa.array(windows.second[own].astype(np.uint32).view(np.int32)),
-                    "place": pa.array(place, pa.int64()),
-                }
-            )
+        for batch in parts(batches, limit=BATCH_BYTES):
+            yield asked(batch)
 
-    seen = docs.select("place", "text").mapInArrow(run, "first bigint, second int, place bigint")
+    seen = map_batches(docs.select("place", "text"), run, "first bigint, second int, place bigint")
     return seen.groupBy("first", "second").agg(F.min("place").alias("place")).select("place", "first")
 
 
+def _gone(windows: Windows, mine: pa.ListArray, counted: np.ndarray, bits: int) -> np.ndarray:
+    """For each word, whether a window covers it that starts earlier, too; ``mine`` are each text's own windows."""
+    again = _repeated(windows, counted, bits)
+    first = _firsts(windows, np.flatnonzero(again))
+    ends = np.cumsum(np.bincount(windows.owner[first], minlength=len(mine)))
+    for k, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
+        if b > a and mine[k].is_valid:
+            some = first[a:b]
+            again[some[np.isin(windows.first[some].view(np.int64), mine[k].values.to_numpy())]] = False
+    change = np.zeros(windows.total + 1, np.int64)
+    change[windows.at[again]] += 1
+    change[windows.at[again] + windows.window] -= 1
+    return np.cumsum(change[:-1]) > 0
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS) -> DataFrame:
     """(doc_id, n_words, n_removed, text): each document without repeated passages, words joined by spaces."""
     spark = docs.sparkSession
-    texts = common.texts_of(docs).withColumn("place", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
+    by_text = F.lit(AFTER_IDS) + F.xxhash64("text").bitwiseAND(AFTER_IDS - 1)
+    texts = texts_of(docs).withColumn("place", F.coalesce(F.col("doc_id").cast("long"), by_text))
     bits = cells_for(texts, most_cells)
     counted = spark.sparkContext.broadcast(sketch(texts, window, bits))
-    own = smallest(texts, window, counted, bits).groupBy("place").agg(F.collect_list("first").alias("firsts"))
-    own = materialize(own, "first-places")
+    name = uuid.uuid4().hex
+    own = smallest(texts, window, counted, name, bits).groupBy("place").agg(F.collect_list("first").alias("firsts"))
+
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cut = [t.split() for t in raw(batch)]
+        gone = _gone(Windows(cut, window), batch.column("firsts"), _unpacked(counted, name, bits), bits)
+        left, removed, at = [], [], 0
+        for words in cut:
+            own = gone[at : at + len(words)]
+            at += len(words)
+            n = int(np.count_nonzero(own))
+            removed.append(n)
+            left.append(b" ".join(words if not n else [w for w, g in zip(words, own.tolist()) if not g]))
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column("doc_id"),
+                "n_words": pa.array(list(map(len, cut)), pa.int64()),
+                "n_removed": pa.array(removed, pa.int64()),
+                "text": pa.array(left, pa.binary()).cast(pa.string()),
+            }
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.parts(batches):
-            cut = [t.split() for t in common.raw(batch)]
-            windows = Windows(cut, window)
-            again = _repeated(windows, counted.value, bits)
-            first = _firsts(windows, np.flatnonzero(again))
-            mine = batch.column("firsts")
-            ends = np.cumsum(np.bincount(windows.owner[first], minlength=len(cut)))
-            for k, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
-                if b > a and mine[k].is_valid:
-                    some = first[a:b]
-                    kept = np.isin(windows.first[some].view(np.int64), mine[k].values.to_numpy())
-                    again[some[kept]] = False
-            total = sum(map(len, cut))
-            change = np.zeros(total + 1, np.int64)
-            change[windows.at[again]] += 1
-            change[windows.at[again] + window] -= 1
-            gone = np.cumsum(change[:-1]) > 0
-            texts, removed, at = [], [], 0
-            for words in cut:
-                own = gone[at : at + len(words)]
-                at += len(words)
-                n = int(np.count_nonzero(own))
-                removed.append(n)
-                texts.append(b" ".join(words if not n else [w for w, g in zip(words, own.tolist()) if not g]))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_words": pa.array(list(map(len, cut)), pa.int64()),
-                    "n_removed": pa.array(removed, pa.int64()),
-                    "text": pa.array(texts, pa.binary()).cast(pa.string()),
-                }
-            )
+        for batch in parts(batches, limit=BATCH_BYTES):
+            yield kept(batch)
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     joined = lookup(texts, own, ["place"], "left").select("doc_id", "text", "firsts")
-    return joined.mapInArrow(run, f"doc_id {kind}, n_words bigint, n_removed bigint, text string")
+    return map_batches(joined, run, f"doc_id {kind}, n_words bigint, n_removed bigint, text string")

@@ -62,7 +62,7 @@ def test_small_windows_and_any_sketch_size(spark):
 def test_sketch_never_undercounts():
     cut = [t.encode().split() for _, t in random_docs(3) if t]
     for bits in (16, 22):
-        rows = list(repeats._sketch_rows(cut, 4, bits))
+        rows = list(repeats._sketch_rows([[c] for c in repeats.Windows(cut, 4).cells(bits)]))
         seen = [set(), set()]
         for line, part, planes, _ in rows:
             seen[line] |= {(part << repeats.SLICE_BITS) + int(c) for c in repeats._cells_of(planes)}
