@@ -5,31 +5,34 @@ file into stripes, packs the integers as runs, keeps a row index of the smallest
 column for each group of rows, and a Bloom filter on the document ids. A reader opens stripes in parallel
 and skips those whose index or filter rules out the ids it was asked for.
 
-A document without tokens has its end id only. Null ids sort first. Rows with equal ids stay in one file,
-in an order that a reader sees too.
+A document without tokens has its end id only. Null ids sort first. Rows of equal ids follow a hash of their
+texts, so that many of them can be split over files too.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
+from array import array as pack
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recflow.llm import common
+from recflow.llm.common import keyed, lists, map_batches, parts, per_batch, raw, texts_of, worker_state
 from recflow.session import scratch_path
 
-SCHEMA = "doc_id bigint, ids array<int>, part int, row bigint"
+SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, part int, row bigint"
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
-# Words, and runs of their letters, that a Python worker keeps the ids of; twice as many at most.
-KEPT_WORDS = 200_000
+# Words that a Python worker keeps the ids of, and half as many runs of their letters; twice as many at most.
+KEPT_WORDS = 500_000
+# Text that a task encodes at a time.
+BATCH_BYTES = 4 << 20
 
 
 class Recent:
@@ -70,16 +73,18 @@ class WordTable:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
         self.model = self.tokenizer.model
         by_byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: by_byte.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.words, self.runs = Recent(size), Recent(size)
+        self.words, self.runs = Recent(size), Recent(size // 2)
 
     def _run(self, run: str) -> bytes:
         ids = self.runs.get(run)
         if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(run.translate(self.letters))], "<i4").tobytes()
+            mapped = run if run.isascii() else run.translate(self.letters)
+            ids = pack("i", [t.id for t in self.model.tokenize(mapped)]).tobytes()
             self.runs.put(run, ids)
         return ids
 
@@ -88,46 +93,64 @@ class WordTable:
         found = self.words.get(word)
         if found is None:
             text = word.decode("utf-8", "replace")
-            if self._PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
+            if text.isascii() and text.isalpha():
+                found = self._run(text.lower())
+            elif self._PLAIN.fullmatch(text) and not self.special(text):
                 found = b"".join(map(self._run, self._RUNS.findall(text.lower())))
             else:
-                found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
+                found = pack("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
             self.words.put(word, found)
         return found
 
     def encode(self, texts: list[bytes], end_id: int) -> pa.ListArray:
-        cut = [t.split() for t in texts]
-        table = {w: self.ids(w) for w in set(chain.from_iterable(cut))}
-        end = np.array([end_id], "<i4").tobytes()
-        joined = [b"".join([table[w] for w in ws]) + end for ws in cut]
-        sizes = np.fromiter((len(x) // 4 for x in joined), np.int64, len(joined))
-        return common.lists(np.frombuffer(b"".join(joined), "<i4"), sizes)
+        """The ids of each text and the end id."""
+        end, joined = pack("i", [end_id]).tobytes(), []
+        # there are no cycles here, and the collector would walk all that is kept
+        gc.disable()
+        try:
+            for text in texts:
+                words = text.split()
+                found = list(map(self.words.new.get, words))
+                if None in found:
+                    found = [self.ids(w) if ids is None else ids for w, ids in zip(words, found)]
+                joined.append(b"".join(found) + end)
+        finally:
+            gc.enable()
+        sizes = np.fromiter(map(len, joined), np.int32, len(joined)) // 4
+        return lists(np.frombuffer(b"".join(joined), "<i4"), sizes)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """(doc_id, ids): the tokens of each text and the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = common.worker_state("word tables")
+        tables = worker_state("word tables")
         if tokenizer_path not in tables:
             tables[tokenizer_path] = WordTable(tokenizer_path)
-        for batch in common.parts(batches):
-            ids = tables[tokenizer_path].encode(common.raw(batch), end_id)
-            yield pa.RecordBatch.from_pydict(common.keyed(batch) | {"ids": ids})
+        for batch in parts(batches, limit=BATCH_BYTES):
+            ids = tables[tokenizer_path].encode(raw(batch), end_id)
+            yield pa.RecordBatch.from_pydict(keyed(batch) | {"ids": ids})
 
-    return common.per_batch(common.texts_of(docs), run, "ids array<int>")
+    return per_batch(texts_of(docs), run, "ids array<int>")
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
     """Write the ids of all documents as ORC, files and rows in ascending order of doc_id."""
-    ordered = common.texts_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = texts_of(docs).repartitionByRange(*order).sortWithinPartitions(*order)
     (
         encode(ordered, tokenizer_path, end_id)
-        .select("doc_id", "ids", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+        .select(
+            "doc_id",
+            "ids",
+            F.size("ids").cast("long").alias("n_tokens"),
+            F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().alias("row"),
+        )
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.row.index.stride", INDEX_ROWS)
-        .option("compression", "zstd")
+        .option("compression", "snappy")
         .orc(path)
     )
 
@@ -148,26 +171,19 @@ def with_crc(rows: DataFrame) -> DataFrame:
                 "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                 "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
             }
-            yield pa.RecordBatch.from_pydict(common.keyed(batch, "ids") | new)
+            yield pa.RecordBatch.from_pydict(keyed(batch, "ids") | new)
 
-    kept = [c for c in rows.columns if c != "ids"]
+    kept = [c for c in rows.columns if c not in ("ids", "n_tokens")]
     schema = ", ".join(f"`{c}` {dict(rows.dtypes)[c]}" for c in kept)
-    return rows.select(*kept, "ids").mapInArrow(run, f"{schema}, n_tokens bigint, ids_crc32 bigint")
+    return map_batches(rows.select(*kept, "ids"), run, f"{schema}, n_tokens bigint, ids_crc32 bigint")
 
 
-def with_start(rows: DataFrame) -> DataFrame:
-    """``start``: the ids of all documents before each row, from the sizes of the files before its own."""
+def offsets(rows: DataFrame) -> DataFrame:
+    """(part, before): the ids in all files before each file, from the stored lengths alone."""
     sizes = rows.groupBy("part").agg(F.sum("n_tokens").alias("_size"))
     # one row for each file
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.withColumn("_inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), "part")
-        .withColumn("start", F.col("_before") + F.col("_inside"))
-        .drop("_before", "_inside")
-    )
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("before"))
 
 
 def token_index(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None) -> DataFrame:
@@ -175,5 +191,11 @@ def token_index(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | N
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
     write(docs, path, tokenizer_path, end_id)
-    rows = with_start(with_crc(read(spark, path)))
-    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
+    rows = read(spark, path)
+    inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
+    return (
+        with_crc(rows)
+        .join(F.broadcast(offsets(rows)), "part")
+        .select("doc_id", start.alias("start"), "n_tokens", "ids_crc32")
+    )

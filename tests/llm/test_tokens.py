@@ -62,6 +62,15 @@ def test_pieces_of_hard_texts(spark):
     assert got == expected_pieces({i: t or "" for i, t in enumerate(HARD)})
 
 
+def test_decoding_of_stored_ids(spark):
+    encoded = pieces.encode(frame(spark), queries.PIECES)
+    both = pieces.encode(frame(spark), queries.PIECES, decoded=True)
+    got = {r.doc_id: r.text for r in pieces.decode(encoded, queries.PIECES).collect()}
+    assert got == {r.doc_id: r.text for r in both.collect()}
+    none = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
+    assert [r.text for r in pieces.decode(none, queries.PIECES).collect()] == [""]
+
+
 def test_a_piece_across_markers_is_refused():
     class Crossing:
         vocab_size = staticmethod(lambda: 1)
