@@ -15,8 +15,14 @@ from recflow.llm.queries import piece_digests
 from recflow.session import materialize
 
 
-def _documents(changed: DataFrame, like: DataFrame) -> DataFrame:
+def _apart(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The documents with their own columns of these names out of an operator's way."""
+    return docs.withColumnsRenamed({n: f"_own_{n}" for n in names})
+
+
+def _documents(changed: DataFrame, like: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """The columns of documents, with the length of the changed text."""
+    changed = changed.drop(*names).withColumnsRenamed({f"_own_{n}": n for n in names})
     if "n_chars" in like.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType))
     return changed.select(*like.columns)
@@ -34,13 +40,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words inside benchmark passages."""
-    found = fmindex.contamination(docs, table(spark, sf_dir, "benchmark"), remove=True)
-    return _documents(found, docs)
+    added = ("n_words", "spans", "items")
+    found = fmindex.contamination(_apart(docs, added), table(spark, sf_dir, "benchmark"), remove=True)
+    return _documents(found, docs, added)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a placeholder for every secret."""
-    return _documents(secret_scan.find(docs, redact=True), docs)
+    found = secret_scan.find(_apart(docs, ("spans",)), redact=True)
+    return _documents(found, docs, ("spans",))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import keyed, parts, per_batch, raw, texts_of
+from recflow.llm.common import keyed, map_batches, parts, per_batch, raw, texts_of
 from recflow.llm.stats import COUNTS, document_stats
 from recflow.llm.stats import counts as counts_of
 
@@ -223,4 +223,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", most:
             good = ~base_failed(counts) & (trees.scores(features(counts)) >= KEEP_SCORE)
             yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

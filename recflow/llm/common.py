@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import recflow.llm
 
@@ -19,7 +20,8 @@ import recflow.llm
 cloudpickle.register_pickle_by_value(recflow.llm)
 
 # Text a task works on at a time; one longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -70,16 +72,6 @@ def strings(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x.decode("utf-8", "replace") for x in raw(batch, column)]
 
 
-def valid(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The texts as strings that are sure to be UTF-8."""
-    texts = batch.column(column)
-    try:
-        texts.validate(full=True)
-    except pa.ArrowInvalid:
-        return pa.array(strings(batch, column), texts.type)
-    return texts
-
-
 def lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     """An array column from all values in a row and the length of each list."""
     ends = np.zeros(len(sizes) + 1, dtype=np.int32)
@@ -92,9 +84,23 @@ def keyed(batch: pa.RecordBatch, drop: str = "text") -> dict[str, pa.Array]:
     return {n: batch.column(n) for n in batch.schema.names if n != drop}
 
 
+def map_batches(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``mapInArrow`` over batches of bounded size.
+
+    By default Spark bounds their rows alone, which for very long texts is no bound. The session's limit of
+    bytes is set here unless it has one.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(ARROW_LIMIT, None) is None:
+        spark.conf.set(ARROW_LIMIT, f"{2 * BATCH_BYTES}b")
+    return df.mapInArrow(work, schema)
+
+
 def per_batch(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], added: str
 ) -> DataFrame:
     """``mapInArrow`` that returns all columns but ``text``, then those of ``added``."""
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "text")
-    return df.mapInArrow(work, f"{kept}, {added}" if kept else added)
+    return map_batches(df, work, f"{kept}, {added}" if kept else added)

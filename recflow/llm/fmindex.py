@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import keyed, parts, raw
+from recflow.llm.common import keyed, map_batches, parts, raw
 
 WINDOW = 10
 # Bytes of item texts that are searched in one pass over the documents.
@@ -242,4 +242,4 @@ def _scan(docs: DataFrame, book: Phrases, first: bool, last: bool, remove: bool)
     rest = [c for c in docs.columns if c not in ("text", "n_words", "spans", "items")]
     plain = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
     schema = ", ".join(x for x in (plain, RESULT, "text string" if keep_text else "") if x)
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

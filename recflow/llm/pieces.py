@@ -62,8 +62,8 @@ class ChunkTable:
         return [list(chain.from_iterable([ids[c] for c in cs])) for cs in cut]
 
 
-def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """The documents with ``ids``, instead of their texts."""
+def encode(docs: DataFrame, model_path: str, decoded: bool = False) -> DataFrame:
+    """The documents with ``ids``, instead of their texts; with ``decoded``, the text that the ids decode to."""
     check_vocabulary(sentencepiece.SentencePieceProcessor(model_file=model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,10 +72,14 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
             found = table.encode(strings(batch))
             sizes = np.fromiter(map(len, found), np.int32, len(found))
             values = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
-            yield pa.RecordBatch.from_pydict(keyed(batch) | {"ids": lists(values, sizes)})
+            columns = keyed(batch) | {"ids": lists(values, sizes)}
+            if decoded:
+                columns["text"] = pa.array([table.model.decode(x) if x else "" for x in found], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     kept = [c for c in docs.columns if c not in ("text", "ids")]
-    return per_batch(docs.select(*kept, F.coalesce("text", F.lit("")).alias("text")), run, "ids array<int>")
+    texts = docs.select(*kept, F.coalesce("text", F.lit("")).alias("text"))
+    return per_batch(texts, run, "ids array<int>" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recflow.llm import stats
+from recflow.llm.common import map_batches
 
 from recflow.session import materialize
 
@@ -124,7 +125,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", thresho
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array(model.scores(x))})
 
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, score double").select(
+    return map_batches(found, run, f"doc_id {kind}, score double").select(
         "doc_id",
         held_out().alias("held_out"),
         "score",

@@ -37,8 +37,7 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 def piece_digests(docs: DataFrame) -> DataFrame:
     """Encode, decode, and digest both."""
-    encoded = pieces.encode(docs, PIECES)
-    return pieces.decode(encoded, PIECES).select(
+    return pieces.encode(docs, PIECES, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -143,13 +143,16 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     Of several rows with that id, and of a group without ids, any one row stays.
     """
     row = F.monotonically_increasing_id().alias("_row")
-    rows = materialize(fingerprints(docs, words, keep_text=True).select("*", row), "fingerprinted")
+    own = [c for c in ("fp", "_row", "_place") if c in docs.columns]
+    apart = docs.withColumnsRenamed({c: f"_own_{c}" for c in own})
+    rows = materialize(fingerprints(apart, words, keep_text=True).select("*", row), "fingerprinted")
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     best = [F.min("_place").alias("_place"), F.min_by("_row", "_place").alias("_row")]
     distinct = rows.withColumn("_place", place).groupBy("fp").agg(*best)
     linked = _clusters(materialize(distinct, "distinct"), radius)
     stay = materialize(linked.groupBy("root").agg(*best).select("_row"), "kept-rows")
-    return lookup(rows, stay, ["_row"], "left_semi").select(*docs.columns)
+    kept = lookup(rows, stay, ["_row"], "left_semi").drop("fp", "_row")
+    return kept.withColumnsRenamed({f"_own_{c}": c for c in own}).select(*docs.columns)
 
 
 def hexadecimal(fp: str) -> Column:

@@ -1,6 +1,7 @@
 import hashlib
 
 import sentencepiece
+from pyspark.sql import functions as F
 from test_fmindex import cut
 from test_simhash import slow_fingerprint, slow_groups
 
@@ -76,3 +77,16 @@ def test_empty_documents(spark, data):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, data)
         assert docs.collect() == []
+
+
+def test_columns_called_like_results_are_carried(spark, data):
+    names = ("fp", "_row", "_place", "spans", "items", "n_words", "kept", "score", "ids")
+    docs = spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 60")
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), "doc_id"))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, data)
+        assert docs.columns == columns
+    found = docs.collect()
+    assert found and all(r[n] == f"{n}{r.doc_id}" for r in found for n in names)

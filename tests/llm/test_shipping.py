@@ -2,6 +2,11 @@ import os
 import subprocess
 import sys
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from recflow.llm import common
+
 SCRIPT = """
 import sys
 sys.path.insert(0, {root!r})
@@ -21,3 +26,17 @@ def test_workers_need_no_copy_of_the_package(data, tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert run.stdout.strip().endswith("done"), run.stderr[-2000:]
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    texts = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("0123456789"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            for part in common.parts(iter([batch]), limit=1 << 20):
+                row = [pa.array([x], pa.int64()) for x in (batch.nbytes, part.nbytes, part.num_rows)]
+                yield pa.RecordBatch.from_arrays(row, names=["batch", "part", "n"])
+
+    found = common.map_batches(texts, sizes, "batch long, part long, n long").collect()
+    assert sum(r.n for r in found) == 300
+    assert max(r.batch for r in found) < 3 * common.BATCH_BYTES and max(r.n for r in found) <= 11
