@@ -151,26 +151,13 @@ def check_lists(factors: Factors, lists: DataFrame, matrix: DataFrame) -> DataFr
         F.sequence(F.lit(1), F.size("_places") - 1),
         lambda i: F.get("_places", i - 1)["score"] >= F.get("_places", i)["score"],
     )
-    return (
-        rows.withColumn("_close", close)
-        .groupBy("user_id")
-        .agg(
-            F.count("*").alias("items"),
-            F.countDistinct("item_id").alias("distinct_items"),
-            F.count("_known").alias("_n"),
-            F.every("_close").alias("matching"),
-            places.alias("_places"),
-        )
-        .select(
-            "user_id",
-            "items",
-            "distinct_items",
-            (F.col("_n") == F.col("items")).alias("known"),
-            "matching",
-            (
-                (F.size("_places") < 2) | falling
-            ).alias("_falls"),
-            (F.transform("_places", lambda p: p["pos"].cast("int")) == F.sequence(F.lit(1), F.size("_places"))).alias("_runs"),
-        )
-        .select("user_id", "items", "distinct_items", "known", "matching", (F.col("_falls") & F.col("_runs")).alias("ordered"))
+    checked = rows.withColumn("_close", close).groupBy("user_id").agg(
+        F.count("*").alias("items"),
+        F.countDistinct("item_id").alias("distinct_items"),
+        (F.count("_known") == F.count("*")).alias("known"),
+        F.every("_close").alias("matching"),
+        places.alias("_places"),
     )
+    numbered = F.transform("_places", lambda p: p["pos"].cast("int")) == F.sequence(F.lit(1), F.size("_places"))
+    ordered = ((F.size("_places") < 2) | falling) & numbered
+    return checked.select("user_id", "items", "distinct_items", "known", "matching", ordered.alias("ordered"))
