@@ -30,7 +30,7 @@ SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, part int, row bigint"
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 # Words that a Python worker keeps the ids of, and half as many runs of their letters; twice as many at most.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 600_000
 # Text that a task encodes at a time.
 BATCH_BYTES = 4 << 20
 
@@ -64,7 +64,6 @@ class WordTable:
     the tokenizer's whole way.
     """
 
-    _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     # The tokenizer's splitting pattern, for plain words in lower case.
     _RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
@@ -74,7 +73,10 @@ class WordTable:
 
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
+        # a word that may hold a special token takes the whole way too
+        ranges = ((0x21, 0x7F), (0xC0, 0xD7), (0xD8, 0xF7), (0xF8, 0x100))
+        plain = {chr(c) for a, b in ranges for c in range(a, b)} - {t[0] for t in added if t}
+        self.plain = re.compile(f"[{re.escape(''.join(sorted(plain)))}]+").fullmatch
         self.model = self.tokenizer.model
         by_byte = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: by_byte.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
@@ -95,7 +97,7 @@ class WordTable:
             text = word.decode("utf-8", "replace")
             if text.isascii() and text.isalpha():
                 found = self._run(text.lower())
-            elif self._PLAIN.fullmatch(text) and not self.special(text):
+            elif self.plain(text):
                 found = b"".join(map(self._run, self._RUNS.findall(text.lower())))
             else:
                 found = pack("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -166,10 +168,13 @@ def with_crc(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [x.values.to_numpy(zero_copy_only=False).astype("<u4") for x in batch.column("ids")]
+            column = batch.column("ids")
+            ends = column.offsets.to_numpy()
+            ids = memoryview(column.values.to_numpy().astype("<u4").tobytes())
+            crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
             new = {
-                "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
+                "n_tokens": pa.array(np.diff(ends), pa.int64()),
+                "ids_crc32": pa.array(crc, pa.int64()),
             }
             yield pa.RecordBatch.from_pydict(keyed(batch, "ids") | new)
 
