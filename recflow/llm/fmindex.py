@@ -8,7 +8,8 @@ the place. Overlapping places are merged into spans of words to remove.
 
 The phrases are a stated query set, taken in blocks of bounded size and sent to every task. Null and empty
 texts, of documents or items, have no words. Items of fewer words than a phrase are one phrase. Repeated rows
-are searched each by itself.
+are searched each by itself. Items without an id are searched and removed like all others, but have no place in
+the list of items.
 """
 
 from __future__ import annotations
@@ -119,13 +120,15 @@ class FMIndex:
 class Phrases:
     """The distinct phrases of some items: numbers of their words, and the items that have each."""
 
-    def __init__(self, items: Sequence[tuple[int, bytes]], window: int) -> None:
+    def __init__(self, items: Sequence[tuple[int | None, bytes]], window: int) -> None:
         self.number: dict[bytes, int] = {}
         found: dict[tuple[int, ...], set[int]] = {}
         for item, text in items:
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
             for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                found.setdefault(tuple(ids[i : i + window]), set()).add(item)
+                own = found.setdefault(tuple(ids[i : i + window]), set())
+                if item is not None:
+                    own.add(item)
         self.sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.shortest = int(self.sizes.min()) if found else 0
         self.symbols = np.zeros((len(found), window), np.int64)
@@ -187,13 +190,13 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 RESULT = "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<bigint>"
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
+def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, bytes]]]:
     """The items in blocks of about ``block_bytes``, one at a time on the driver."""
-    rows = items.where("item_id is not null and text is not null").select("item_id", "text")
+    rows = items.where("text is not null").select("item_id", "text")
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = total // block_bytes + 1
     for k in range(n):
-        some = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+        some = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         yield [(r.item_id, r.text.encode()) for r in some.collect()]
 
 

@@ -85,6 +85,17 @@ def test_removal(spark):
     assert out == {1: "A, ! f", 2: None, 3: "x", 4: ""}
 
 
+def test_items_without_an_id_count_as_hits_and_are_removed(spark):
+    items = spark.createDataFrame([(None, "b c d"), (None, "x y"), (2, "d e")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b c d f"), (2, "q d e"), (3, "x y"), (4, "b c")], "doc_id long, text string")
+    for block_bytes in (1 << 20, 3):
+        found = fmindex.contamination(docs, items, block_bytes=block_bytes)
+        got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in queries.contamination_digests(found).collect()}
+        assert got == {1: (3, 0, True), 2: (2, 1, True), 3: (2, 0, True), 4: (0, 0, False)}
+        left = fmindex.contamination(docs, items, block_bytes=block_bytes, remove=True)
+        assert {r.doc_id: r.text.split() for r in left.collect()} == {1: ["a", "f"], 2: ["q"], 3: [], 4: ["b", "c"]}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
