@@ -58,7 +58,14 @@ MORE = (
     Rule("bearer", rb"bearer\x20", rb"\x20*([A-Za-z0-9._~+/-]+)", fold=True, group=1, least=16),
     Rule("github", rb"gh[oprsu]_", rb"([A-Za-z0-9]+)", group=1, least=16),
     Rule("jwt", rb"eyJ", rb"[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("private", rb"-----BEGIN\x20", rb"[A-Z\x20]*PRIVATE\x20KEY-----"),
+    # The key too: to its END line, or else over the lines of base64, of which a short one needs a line break before it.
+    Rule(
+        "private",
+        rb"-----BEGIN\x20",
+        rb"""[A-Z\x20]*PRIVATE\x20KEY-----(?:(?:-{0,4}[^-])*-{5,}END\x20[A-Z\x20]*PRIVATE\x20KEY-----"""
+        rb"""|(?:(?:\s|\\[nr])*(?:Proc-Type|DEK-Info):[^\n\\]*)*(?:(?:[\s"',>]|\\[nr])*[A-Za-z0-9+/=]{16,}"""
+        rb"""|[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*[A-Za-z0-9+/=]+)*)""",
+    ),
     Rule("slack", rb"xox[abprs]-", rb"([A-Za-z0-9-]+)", group=1, least=10),
     Rule("url", rb"[a-z]+://", rb"[^\s:@/]+:[^\s:@/]+@"),
 )
