@@ -19,6 +19,7 @@ from recflow.llm import (
     secret_scan,
     simhash,
     tokenfile,
+    turns,
 )
 from recflow.llm.common import table
 
@@ -128,3 +129,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    damaged = turns.damage(conversations)
+    return turns.report(damaged, turns.repair(damaged), conversations)
