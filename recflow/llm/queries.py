@@ -18,6 +18,7 @@ from recflow.llm import (
     repeats,
     secret_scan,
     simhash,
+    spelling,
     tokenfile,
     turns,
 )
@@ -136,3 +137,8 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     damaged = turns.damage(conversations)
     return turns.report(damaged, turns.repair(damaged), conversations)
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
