@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from recflow.llm import (
     boosted,
     fmindex,
+    jaccard,
     licenses,
     mixing,
     pieces,
@@ -132,6 +133,11 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.clusters(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
