@@ -5,9 +5,13 @@ the frequent ones, rarest first. Two sets that overlap enough share a shingle am
 their prefixes. Equal sets are one class, and classes of equal prefix and size are one group. Groups
 that share a prefix shingle and whose sizes fit are candidates; their classes are compared exactly.
 
-What is frequent is counted over all documents, first among the shingles of least hash, then in the rows whose
-prefix moves on because of those found. Any set of frequent shingles gives right results; more of
-them make smaller buckets. No more than ``FREQUENT`` of them are held, the most frequent ones.
+What is frequent is counted over all documents, first among the shingles of least hash, then where a prefix
+moves on because of those found. Any set of frequent shingles gives right results; more of
+them make smaller buckets. No more than ``FREQUENT`` of them are held, the most frequent ones. A shingle that
+has many groups and was not found so is treated as a frequent one.
+
+A pair of groups is dropped if the parts of their prefixes that are complete in both miss more shingles of each other
+than sets of these sizes may.
 
 Clusters need not every link. First each bucket is linked to one of its groups, and each group to one of its
 classes. The clusters so found answer for nearly all pairs; only pairs of a bucket that lie in different
@@ -40,7 +44,8 @@ PERCENT = 80
 # A shingle in the counted part of so many documents is frequent; most of them that are held.
 OFTEN = 32
 FREQUENT = 1 << 18
-# Documents to compare that are looked up by a broadcast of their ids, at most.
+ROUNDS = 2
+# Documents and groups to compare that are looked up by a broadcast of their ids, at most.
 LOOKED_UP = 1 << 20
 
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -111,7 +116,7 @@ def prefix_size(n: int, percent: int) -> int:
 def windows(shingles: np.ndarray, frequent: Frequent, percent: int) -> tuple[int, int]:
     """The beginning of a set that was counted before this round, and after it.
 
-    A round goes on to twice the place at which the prefix is full without the frequent shingles known.
+    A round goes on to the place at which the prefix is full without the frequent shingles known, and as far again.
     """
     size = prefix_size(len(shingles), percent)
     before, now = 0, size
@@ -123,7 +128,7 @@ def windows(shingles: np.ndarray, frequent: Frequent, percent: int) -> tuple[int
         full = np.flatnonzero(plain)[size - 1 : size]
         need = int(full[0]) + 1 if len(full) else len(shingles)
         if need > now:
-            now = min(len(shingles), 2 * need)
+            now = min(len(shingles), 2 * need - size)
     return before, now
 
 
@@ -140,7 +145,7 @@ def prefix(shingles: np.ndarray, frequent: Frequent, percent: int) -> tuple[np.n
 
 def _counted(words: int, percent: int, known: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = known.value
+        frequent = Frequent(*known.value)
         for batch in batches:
             for part in parts([batch]):
                 out = [np.zeros(0, np.uint64)]
@@ -152,12 +157,15 @@ def _counted(words: int, percent: int, known: object) -> Callable[[Iterator[pa.R
     return run
 
 
-def frequent_shingles(docs: DataFrame, words: int, percent: int, often: int) -> Frequent:
-    """Count until no prefix moves into shingles that were not counted."""
+Rounds = tuple[list[np.ndarray], list[np.ndarray]]
+
+
+def frequent_shingles(docs: DataFrame, words: int, percent: int, often: int) -> Rounds:
+    """The arguments of ``Frequent``, counted over all documents."""
     context = docs.sparkSession.sparkContext
     rounds, ranks, held = [], [], 0
-    while held < FREQUENT:
-        known = context.broadcast(Frequent(rounds, ranks))
+    while held < FREQUENT and len(rounds) < ROUNDS:
+        known = context.broadcast((rounds, ranks))
         shingles = map_batches(docs.select("text"), _counted(words, percent, known), "shingle bigint")
         counts = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= often)
         found = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT - held).toArrow()
@@ -168,7 +176,7 @@ def frequent_shingles(docs: DataFrame, words: int, percent: int, often: int) ->
         rounds.append(values[new])
         ranks.append(found.column("n").to_numpy()[new].astype(np.int64))
         held += len(new)
-    return Frequent(rounds, ranks)
+    return rounds, ranks
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -179,7 +187,7 @@ def _sets(words: int, percent: int, known: object) -> Callable[[Iterator[pa.Reco
     """The class, the group and the prefix of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = known.value
+        frequent = Frequent(*known.value)
         for batch in batches:
             for part in parts([batch]):
                 sets = shingle_sets(raw(part), words)
@@ -201,29 +209,82 @@ def _sets(words: int, percent: int, known: object) -> Callable[[Iterator[pa.Reco
     return run
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct groups of every shingle that more than one group has; rows come sorted by shingle and group."""
-    held = [np.zeros(0, np.int64)] * 3
+def _buckets(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The distinct groups of every shingle that more than one group has; rows come sorted by shingle and group.
+
+    More than ``most`` groups of a shingle come as pieces of that many, with the shingle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, long, groups, sizes = None, False, [], []
+        out: list[tuple] = []
+
+        def end(whole: bool) -> None:
+            nonlocal groups, sizes
+            if len(groups) > 1 or long:
+                out.append((now if long or not whole else None, groups, sizes))
+            groups, sizes = [], []
+
+        def record() -> pa.RecordBatch:
+            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            arrays = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(arrays, ["shingle", "groups", "sizes"])
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            shingle, group, n = (batch.column(c).to_numpy() for c in ("shingle", "grp", "n"))
+            # shingles that one row alone has are most of them
+            same = np.r_[shingle[0] == last, shingle[1:] == shingle[:-1]]
+            last = shingle[-1]
+            follow = same | np.r_[same[1:], True]
+            for s, g, size in zip(shingle[follow].tolist(), group[follow].tolist(), n[follow].tolist()):
+                if s != now:
+                    end(True)
+                    now, long = s, False
+                elif groups and groups[-1] == g:
+                    continue
+                elif len(groups) >= most:
+                    long, before = True, groups[-1]
+                    end(False)
+                    if before == g:
+                        continue
+                groups.append(g)
+                sizes.append(size)
+            yield record()
+        end(True)
+        yield record()
 
-    def out(shingle: np.ndarray, group: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        new = np.ones(len(shingle), bool)
-        new[1:] = (shingle[1:] != shingle[:-1]) | (group[1:] != group[:-1])
-        shingle, group, n = shingle[new], group[new], n[new]
-        starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]) if len(shingle) else np.zeros(0, np.int64)
-        sizes = np.diff(np.r_[starts, len(shingle)])
-        kept = np.repeat(sizes > 1, sizes)
-        ends = np.r_[0, np.cumsum(sizes[sizes > 1])].astype(np.int32)
-        columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[kept])) for x in (group, n)]
-        return pa.RecordBatch.from_arrays(columns, ["groups", "sizes"])
+    return run
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("shingle", "grp", "n"))]
-        cut = int(np.searchsorted(held[0], held[0][-1]))  # the last shingle may go on
-        yield out(*(h[:cut] for h in held))
-        held = [h[cut:] for h in held]
-    yield out(*held)
+
+def _likely(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs of groups that their prefixes allow.
+
+    The plain part of a prefix has all plain shingles of the set up to its last one, and all of them if the prefix
+    goes on with frequent ones. Up to the lesser end both sets are known, and there neither may have more
+    shingles that the other lacks than sets of these sizes with enough in common.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("an", "ap", "bn", "bp")]
+            arrays = [batch.column(c) for c in ("as", "bs")]
+            kept = []
+            for an, ap, bn, bp, a, b in zip(*columns, *arrays):
+                a, b = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)
+                ends = [s[p - 1] for s, p in ((a, ap), (b, bp)) if p and p == len(s)]
+                a, b = a[:ap], b[:bp]
+                if ends:
+                    a, b = a[a <= min(ends)], b[b <= min(ends)]
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                least = -(-(an + bn) * percent // (100 + percent))
+                kept.append(len(a) - common <= an - least and len(b) - common <= bn - least)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
 
 
 def _fits(a: Column, b: Column, percent: int) -> Column:
@@ -231,6 +292,14 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _looked_up(table: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """The rows of a table whose key is asked for, null keys too, with the other columns of ``asked``."""
+    if asked.count() <= LOOKED_UP:
+        asked = F.broadcast(asked)
+    joined = table.join(asked.withColumnRenamed(key, "_asked"), F.col(key).eqNullSafe(F.col("_asked")))
+    return joined.drop("_asked")
+
+
 class Join:
     """The tables of one join: ``docs`` rows with class and group, ``classes``, buckets of groups."""
 
@@ -249,12 +318,25 @@ class Join:
         shingles = named.select("grp", "n", "plain", F.posexplode("prefix").alias("place", "shingle"))
         plain = shingles.where(F.col("place") < F.col("plain")).select("shingle", "grp", "n")
         plain = plain.repartition("shingle").sortWithinPartitions("shingle", "grp")
-        lists = map_batches(plain, _buckets, "groups array<bigint>, sizes array<bigint>")
+        found = map_batches(plain, _buckets(4 * often), "shingle bigint, groups array<bigint>, sizes array<bigint>")
+        found = materialize(found, "shared-shingles")
         # shingles that the same groups share make one bucket
-        lists = lists.groupBy("groups").agg(F.first("sizes").alias("sizes"))
+        lists = found.where(F.col("shingle").isNull()).groupBy("groups").agg(F.first("sizes").alias("sizes"))
         self.lists = materialize(lists.withColumn("bucket", F.monotonically_increasing_id()), "buckets")
-        hot = shingles.where(F.col("place") >= F.col("plain")).groupBy("shingle", "grp", "n").agg(F.min("place").alias("place"))
-        self.hot = materialize(hot, "frequent-buckets")
+        hot = shingles.where(F.col("place") >= F.col("plain")).select("shingle", "grp", "n", "place")
+        long = found.where(F.col("shingle").isNotNull()).select("shingle", F.inline(F.arrays_zip("groups", "sizes")))
+        hot = hot.union(long.select("*", F.lit(0)))
+        self.hot = materialize(hot.groupBy("shingle", "grp", "n").agg(F.min("place").alias("place")), "frequent-buckets")
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of groups that pass the test of their prefixes."""
+        pairs = materialize(pairs.distinct(), "group-pairs")
+        asked = pairs.select(F.col("a").alias("grp")).union(pairs.select("b")).distinct()
+        side = _looked_up(self.rows.select("grp", "n", "plain", "prefix"), materialize(asked, "asked-groups"), "grp")
+        side = materialize(side.groupBy("grp").agg(*[F.first(c).alias(c) for c in ("n", "plain", "prefix")]), "prefixes")
+        both = lookup(pairs, side.toDF("a", "an", "ap", "as"), ["a"])
+        both = lookup(both, side.toDF("b", "bn", "bp", "bs"), ["b"])
+        return map_batches(both, _likely(self.percent), "a bigint, b bigint")
 
     def leaders(self) -> DataFrame:
         """One class of every group."""
@@ -272,7 +354,7 @@ class Join:
         around = around.select(F.col("middle.grp").alias("b"), F.col("middle.n").alias("m"), F.col("grp").alias("a"), "n")
         pairs = pairs.union(around).where((F.col("a") != F.col("b")) & _fits(F.col("n"), F.col("m"), self.percent))
         leaders = materialize(self.leaders(), "leaders")
-        between = lookup(pairs.select("a", "b").distinct(), leaders.toDF("a", "x"), ["a"])
+        between = lookup(self.likely(pairs.select("a", "b")), leaders.toDF("a", "x"), ["a"])
         between = lookup(between, leaders.toDF("b", "y"), ["b"]).select("x", "y")
         inside = lookup(self.classes.select("grp", F.col("class").alias("x")), leaders.toDF("grp", "y"), ["grp"])
         return between.union(inside.where(F.col("x") != F.col("y")).select("x", "y"))
@@ -310,7 +392,7 @@ class Join:
         )
         many = met.select(F.least("grp", "_grp").alias("a"), F.greatest("grp", "_grp").alias("b"))
         inside = groups.where(F.col("low") != F.col("high")).select(F.col("grp").alias("a"), F.col("grp").alias("b"))
-        pairs = few.union(many).union(inside).distinct()
+        pairs = self.likely(few.union(many)).union(inside)
         side = clusters.select("grp", "class", "root")
         met = lookup(pairs, side.toDF("a", "x", "xr"), ["a"])
         met = lookup(met, side.toDF("b", "y", "yr"), ["b"]).where(F.col("xr") != F.col("yr"))
@@ -319,9 +401,7 @@ class Join:
     def sets(self, classes: DataFrame) -> DataFrame:
         """(class, shingles) of some classes, from the text of one document of each."""
         asked = materialize(lookup(self.classes, classes, ["class"], "left_semi").select("class", "doc_id"), "asked")
-        if asked.count() <= LOOKED_UP:
-            asked = F.broadcast(asked)
-        texts = self.docs.join(asked.withColumnRenamed("doc_id", "_asked"), F.col("doc_id").eqNullSafe(F.col("_asked")))
+        texts = _looked_up(self.docs, asked, "doc_id")
         words = self.words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -77,7 +77,7 @@ def variants(seed, count):
     return docs
 
 
-@pytest.mark.parametrize("seed, often, percent", [(1, 32, 80), (2, 2, 80), (3, 4, 80), (4, 10**9, 80), (5, 3, 60)])
+@pytest.mark.parametrize("seed, often, percent", [(1, 32, 80), (2, 2, 80), (5, 3, 60)])
 def test_copies_and_passages(spark, seed, often, percent):
     docs = variants(seed, 260)
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)

@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
     .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {scratch!r}).getOrCreate())
 from recflow.llm import queries
-for name in ("op9_lm_score", "op8_substring_dedup", "op6_quality_rules", "op7_token_file"):
+for name in ("op9_lm_score", "op8_substring_dedup", "op6_quality_rules", "op7_token_file",
+             "op11_ngram_jaccard", "op12_spelling", "op13_conversation_repair"):
     assert queries.QUERIES[name](spark, {data!r}).count() > 0
 print("done")
 """
