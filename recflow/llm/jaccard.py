@@ -116,7 +116,8 @@ def prefix_size(n: int, percent: int) -> int:
 def windows(shingles: np.ndarray, frequent: Frequent, percent: int) -> tuple[int, int]:
     """The beginning of a set that was counted before this round, and after it.
 
-    A round goes on to the place at which the prefix is full without the frequent shingles known, and as far again.
+    A round goes on to the place at which the prefix is full without the frequent shingles known, and as far again;
+    to the end where many are frequent, as the rest of such a text will be.
     """
     size = prefix_size(len(shingles), percent)
     before, now = 0, size
@@ -128,7 +129,7 @@ def windows(shingles: np.ndarray, frequent: Frequent, percent: int) -> tuple[int
         full = np.flatnonzero(plain)[size - 1 : size]
         need = int(full[0]) + 1 if len(full) else len(shingles)
         if need > now:
-            now = min(len(shingles), 2 * need - size)
+            now = min(len(shingles), 2 * need - size) if 4 * (need - size) < size else len(shingles)
     return before, now
 
 
@@ -300,6 +301,12 @@ def _looked_up(table: DataFrame, asked: DataFrame, key: str) -> DataFrame:
     return joined.drop("_asked")
 
 
+def _meet(a: Column, n: Column, b: Column, m: Column, percent: int) -> Column:
+    """Whether a shingle at these places can be the first one that two similar sets of these sizes share."""
+    least = F.ceil((n + m) * percent / (100 + percent))
+    return _fits(n, m, percent) & (a <= n - least) & (b <= m - least)
+
+
 class Join:
     """The tables of one join: ``docs`` rows with class and group, ``classes``, buckets of groups."""
 
@@ -351,7 +358,10 @@ class Join:
         middle = F.min(F.struct("place", "n", "grp")).alias("middle")
         middles = materialize(self.hot.groupBy("shingle").agg(middle), "middles")
         around = lookup(self.hot, middles, ["shingle"])
-        around = around.select(F.col("middle.grp").alias("b"), F.col("middle.n").alias("m"), F.col("grp").alias("a"), "n")
+        meet = _meet(F.col("place"), F.col("n"), F.col("middle.place"), F.col("middle.n"), self.percent)
+        around = around.where(meet).select(
+            F.col("middle.grp").alias("b"), F.col("middle.n").alias("m"), F.col("grp").alias("a"), "n"
+        )
         pairs = pairs.union(around).where((F.col("a") != F.col("b")) & _fits(F.col("n"), F.col("m"), self.percent))
         leaders = materialize(self.leaders(), "leaders")
         between = lookup(self.likely(pairs.select("a", "b")), leaders.toDF("a", "x"), ["a"])
@@ -379,16 +389,18 @@ class Join:
         few = mixed.select(F.inline(stars)).select("a", F.explode("others").alias("b"))
 
         # in a frequent bucket of several clusters, all groups meet those outside the largest cluster
-        hot = lookup(self.hot.select("shingle", "grp", "n"), groups, ["grp"])
+        hot = lookup(self.hot, groups, ["grp"])
         spans = hot.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).where(F.col("l") != F.col("h"))
         hot = materialize(lookup(hot, materialize(spans.select("shingle"), "mixed"), ["shingle"]), "mixed-buckets")
         sizes = hot.groupBy("shingle", "low").agg(F.count("*").alias("c"))
         main = materialize(sizes.groupBy("shingle").agg(F.max_by("low", "c").alias("main")), "main-clusters")
         strays = lookup(hot, main, ["shingle"]).where((F.col("low") != F.col("main")) | (F.col("low") != F.col("high")))
-        strays = strays.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("grp", "n", "low", "high")])
+        strays = strays.select("shingle", *[F.col(c).alias(f"_{c}") for c in ("grp", "n", "place", "low", "high")])
         one, two = ({c: F.col(p + c) for c in ("low", "high")} for p in ("", "_"))
         met = lookup(hot, strays, ["shingle"]).where(
-            (F.col("grp") != F.col("_grp")) & apart(one, two) & _fits(F.col("n"), F.col("_n"), self.percent)
+            (F.col("grp") != F.col("_grp"))
+            & apart(one, two)
+            & _meet(F.col("place"), F.col("n"), F.col("_place"), F.col("_n"), self.percent)
         )
         many = met.select(F.least("grp", "_grp").alias("a"), F.greatest("grp", "_grp").alias("b"))
         inside = groups.where(F.col("low") != F.col("high")).select(F.col("grp").alias("a"), F.col("grp").alias("b"))
