@@ -194,11 +194,11 @@ PARTS: dict[str, str] = {
     "LEFT JOIN shared_post_tags t ON t.user_id = u.uid AND t.item_id = p.id "
     "LEFT JOIN title_cos a ON a.user_id = u.uid AND a.item_id = p.id "
     "LEFT JOIN content_cos b ON b.user_id = u.uid AND b.item_id = p.id",
-    "item_near": "SELECT a.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY "
-    f"{_first_digits('list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])')} DESC, b.vec_id) AS pos, "
-    "b.vec_id AS neighbour_id, "
-    "list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim "
-    f"FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id QUALIFY pos <= {LIST_SIZE}",
+    "item_vectors": "SELECT vec_id, embedding::DOUBLE[] AS vec FROM embeddings",
+    "item_cosines": "SELECT a.vec_id AS id, b.vec_id AS neighbour_id, list_cosine_similarity(a.vec, b.vec) AS sim "
+    "FROM item_vectors a JOIN item_vectors b ON a.vec_id <> b.vec_id",
+    "item_near": "SELECT id, row_number() OVER (PARTITION BY id ORDER BY "
+    f"{_first_digits('sim')} DESC, neighbour_id) AS pos, neighbour_id, sim FROM item_cosines QUALIFY pos <= {LIST_SIZE}",
     "near_scores": "SELECT user_id, neighbour_id AS item_id, sum(val * sim) AS score FROM actions "
     "JOIN item_near ON id = item_id GROUP BY 1, 2",
     "near_scores_before": "SELECT user_id, neighbour_id AS item_id, sum(val * sim) AS score "
@@ -226,7 +226,7 @@ def _with(body: str) -> str:
         needed |= todo
         todo = set().union(*(used(PARTS[name]) for name in todo)) - needed
     # subqueries of several readers are computed once
-    once = lambda name: "MATERIALIZED " if name in ("actions", "item_near") else ""
+    once = lambda name: "MATERIALIZED " if name in ("actions", "item_vectors", "item_near", "item_pairs") else ""
     parts = ", ".join(f"{name} AS {once(name)}({sql})" for name, sql in PARTS.items() if name in needed)
     return f"WITH {parts} {body}" if parts else body
 
@@ -292,12 +292,25 @@ def _pair_cosine(pairs: str, entity: str, across: str) -> str:
     return f"SELECT id, other_id, {_r('sim')} FROM ({_cosine_of_pairs(pairs, entity, across)})"
 
 
-PARTS["action_near_all"] = _cosine_of_pairs(
-    "SELECT id, neighbour_id AS other_id FROM item_near", "item_id", "user_id"
-)
+def _near_by_actions(entity: str, across: str) -> str:
+    """All pairs with a common row of the action matrix, the best few of each."""
+    return (
+        f"SELECT id, row_number() OVER (PARTITION BY id ORDER BY {_first_digits('sim')} DESC, neighbour_id) AS pos, "
+        f"neighbour_id, sim FROM (SELECT a.{entity} AS id, b.{entity} AS neighbour_id, "
+        f"sum(a.val * b.val) / any_value(na.norm * nb.norm) AS sim FROM actions a "
+        f"JOIN actions b ON a.{across} = b.{across} AND a.{entity} <> b.{entity} "
+        f"JOIN {entity}_norms na ON na.id = a.{entity} JOIN {entity}_norms nb ON nb.id = b.{entity} GROUP BY 1, 2) "
+        f"WHERE sim > 0 QUALIFY pos <= {LIST_SIZE}"
+    )
+
+
+for _side, _other in (("item_id", "user_id"), ("user_id", "item_id")):
+    PARTS[f"{_side}_norms"] = f"SELECT {_side} AS id, sqrt(sum(val * val)) AS norm FROM actions GROUP BY 1"
+    PARTS[f"{_side}_near"] = _near_by_actions(_side, _other)
+PARTS["item_pairs"] = "SELECT id, neighbour_id AS other_id FROM item_near"
 PARTS["action_scores"] = (
-    "SELECT user_id, other_id AS item_id, sum(val * sim) AS score FROM actions "
-    "JOIN action_near_all ON id = item_id WHERE sim > 0 GROUP BY 1, 2"
+    "SELECT user_id, neighbour_id AS item_id, sum(val * sim) AS score FROM actions "
+    "JOIN item_id_near ON id = item_id GROUP BY 1, 2"
 )
 PARTS["action_lists"] = _top_list("action_scores", "score")
 
@@ -417,8 +430,10 @@ STATEMENTS: dict[str, str] = {
     "DESC, b.user_id) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM user_product_tags) a "
     "JOIN (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM user_product_tags) b "
     f"ON a.tag_id = b.tag_id AND a.user_id <> b.user_id GROUP BY 1, 2 QUALIFY pos <= {LIST_SIZE})",
-    "item_pair_cosine": _pair_cosine("SELECT id, neighbour_id AS other_id FROM item_near", "item_id", "user_id"),
+    "item_pair_cosine": _pair_cosine("SELECT * FROM item_pairs", "item_id", "user_id"),
     "user_pair_cosine": _pair_cosine("SELECT uid AS id, uid + 1 AS other_id FROM users", "user_id", "item_id"),
+    "action_item_neighbours": f"SELECT id, pos, neighbour_id, {_r('sim')} FROM item_id_near",
+    "action_user_neighbours": f"SELECT id, pos, neighbour_id, {_r('sim')} FROM user_id_near",
     "action_neighbourhood_list": f"SELECT user_id, pos, item_id, {SCORE} FROM action_lists",
     "als_factor_check": f"SELECT DISTINCT 'user' AS side, user_id AS id, {RANK} AS factors FROM actions UNION ALL "
     f"SELECT DISTINCT 'item', item_id, {RANK} FROM actions",

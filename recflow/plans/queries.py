@@ -21,6 +21,7 @@ from recflow.operators import (
     matrix,
     ranking,
     similarity,
+    sparse,
     text,
 )
 from recflow.plans.testdata import ACTION_DATE, FEED_DATE, PLACES, RUN_DATE, Shop
@@ -556,15 +557,25 @@ def neighbourhood_list(shop: Shop) -> DataFrame:
     return rounded(_neighbourhood(shop), "score")
 
 
+@query
+def action_item_neighbours(shop: Shop) -> DataFrame:
+    """The items most alike by who acted on them."""
+    return rounded(sparse.action_neighbours(_actions(shop, shop.products()), LIST_SIZE), "sim")
+
+
+@query
+def action_user_neighbours(shop: Shop) -> DataFrame:
+    """The users most alike by what they acted on."""
+    actions = _actions(shop, shop.products())
+    return rounded(sparse.action_neighbours(actions, LIST_SIZE, "user_id", "item_id"), "sim")
+
+
 @query
 def action_neighbourhood_list(shop: Shop) -> DataFrame:
-    """Lists from neighbours by actions: a bounded list of candidates, scored anew by who acted on both."""
-    near = similarity.vector_neighbours(shop.vectors("id"), "id", "vec", LIST_SIZE)
-    pairs = near.select("id", F.col("neighbour_id").alias("other_id"))
+    """Lists from the neighbours by actions."""
     actions = materialize(_actions(shop, shop.products()), "actions")
-    sims = similarity.pair_cosine(pairs, actions).where("sim > 0")
-    alike = sims.withColumnRenamed("other_id", "neighbour_id")
-    return rounded(similarity.neighbourhood_recommend(actions, alike, LIST_SIZE), "score")
+    near = sparse.action_neighbours(actions, LIST_SIZE)
+    return rounded(similarity.neighbourhood_recommend(actions, near, LIST_SIZE), "score")
 
 
 def _als(shop: Shop, **options) -> cf.Factors:
