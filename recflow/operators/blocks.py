@@ -1,29 +1,39 @@
 """Exact best matches between two sets of vectors, without a row per pair.
 
 All pairs of two large sets cannot be written out, and an inverted join writes them for every common
-feature. Both sides are instead cut into blocks of bounded size by the hash of their unique id. A
-block of the left side meets each block of the right side once, in one task, where matrix products
-score the pairs in memory and only the best ``k`` per left row leave the task. Work per task depends
-on the block size alone, so skew in the features does not matter, and nothing is left out: every
-pair is scored.
+feature. The right side is cut into blocks of like rows, and of every block a few numbers are kept that bound
+the product of any vector with its rows. A left row first meets the one block with the largest bound, which gives it
+a floor, the score of its k-th match so far. Then it meets only the blocks whose bound reaches its floor.
+Rows meet a block in tasks of bounded size, where matrix products score them in memory and only the
+best ``k`` per left row leave the task. Nothing is left out: a block that is skipped has no better row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from recflow.operators.joins import lookup
 from recflow.operators.ranking import top_list_rows
 from recflow.session import materialize, ship_functions
 
 ship_functions(__name__)
 
-# A side is copied once per block of the other side, so blocks are large; a task holds two of them.
+# A task holds so many rows of each side.
 MAX_BLOCK_ROWS = 32_768
 # Smaller blocks than this are not worth a task.
 MIN_BLOCK_ROWS = 512
+# Blocks of the right side, so far as they need not be smaller or larger than above.
+FINE_BLOCKS = 32
+# Features of a block whose values are kept for its bound, and how much wider bounds are taken.
+COMMON = 64
+# Kinds of features whose lengths are bounded apart.
+PARTS = 8
+BOUND_SLACK = 1e-9
 # Tasks of one matching; with more pairs of blocks, a task takes several, one after the other.
 MAX_TASKS = 20_000
 # Left and right rows multiplied at once inside a task, fewer where their features fill more bytes.
@@ -168,10 +178,232 @@ def _chunk(
         end = at + (end - at) // 2
 
 
-def _n_blocks(rows: int, cores: int) -> int:
-    """Blocks of a side: as few as the size bound allows, but enough to occupy the cores."""
-    spread = min(int(np.ceil(np.sqrt(4 * cores))), -(-rows // MIN_BLOCK_ROWS))
-    return max(1, -(-rows // MAX_BLOCK_ROWS), spread)
+def _n_blocks(rows: int) -> int:
+    """Blocks of the right side: small enough to be told apart, few enough that their bounds fit in a task."""
+    fine = -(-rows // MIN_BLOCK_ROWS)
+    return max(1, -(-rows // MAX_BLOCK_ROWS), min(fine, FINE_BLOCKS))
+
+
+def _blocked(right: DataFrame, blocks: int) -> DataFrame:
+    """The rows with their block ``rb``, like rows together.
+
+    Sparse rows are sorted by their first features, as their owner orders them, dense ones by their
+    largest component and its sign.
+    """
+    if "vec" in right.columns:
+        sizes = F.transform("vec", lambda x: F.abs(x))
+        largest = F.coalesce(F.array_position(sizes, F.array_max(sizes)), F.lit(0)).cast("int")
+        order = [largest, F.signum(F.get("vec", largest - 1)), F.array_max(sizes)]
+    else:
+        order = [F.get("dims", i) for i in range(3)]
+    return right.repartitionByRange(blocks, *order, "id").withColumn("rb", F.spark_partition_id())
+
+
+def _parts(block: pd.DataFrame) -> np.ndarray:
+    """The part of each feature of all rows."""
+    return np.minimum(np.concatenate([np.asarray(x, dtype=np.int64) for x in block["parts"]]), PARTS - 1)
+
+
+def _summary(block: pd.DataFrame) -> pd.DataFrame:
+    """What bounds the products with the rows of a block.
+
+    The features that most rows have, with their largest and smallest value, and for each part the largest
+    length of a row, and of what it has besides.
+    """
+    if "vec" in block.columns:
+        dense = np.stack(block["vec"].to_numpy())
+        names, high, low = np.arange(dense.shape[1]), dense.max(axis=0), dense.min(axis=0)
+        kinds, rest, norm = names * 0, np.zeros(PARTS), float(np.sqrt((dense * dense).sum(axis=1)).max())
+        whole = np.full(PARTS, norm)
+    else:
+        ends = np.concatenate([[0], np.cumsum(block["dims"].map(len).to_numpy())])
+        flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in block["dims"]])
+        values = np.concatenate([np.asarray(x, dtype=float) for x in block["vals"]])
+        row = np.repeat(np.arange(len(block)), np.diff(ends))
+        codes, own = pd.factorize(flat)
+        counts = np.bincount(codes, minlength=len(own))
+        common = np.sort(np.argsort(-counts, kind="stable")[:COMMON])
+        place = np.full(len(own), -1)
+        place[common] = np.arange(len(common))
+        at = place[codes] if len(codes) else codes
+        high, low = np.zeros(len(common)), np.zeros(len(common))
+        np.maximum.at(high, at[at >= 0], values[at >= 0])
+        np.minimum.at(low, at[at >= 0], values[at >= 0])
+        part = _parts(block)
+        lengths = lambda some: np.sqrt(np.bincount(row[some], values[some] ** 2, minlength=len(block)).max())
+        rest = np.array([lengths((at < 0) & (part == p)) for p in range(PARTS)])
+        whole = np.array([lengths(part == p) for p in range(PARTS)])
+        norm = float(lengths(at >= -1))
+        kinds = np.zeros(len(own), dtype=np.int64)
+        kinds[codes] = part
+        names, kinds = own[common], kinds[common]
+    return pd.DataFrame(
+        {
+            "rb": [int(block["rb"].iloc[0])],
+            "rows": [len(block)],
+            "names": [np.asarray(names, dtype=np.int64)],
+            "kinds": [np.asarray(kinds, dtype=np.int64)],
+            "high": [high],
+            "low": [low],
+            "rest": [rest],
+            "whole": [whole],
+            "norm": [norm],
+        }
+    )
+
+
+def _bounds(rows: pd.DataFrame, blocks: list[dict]) -> np.ndarray:
+    """For each row and block, no less than the largest product of the row with a row of the block."""
+    if "vec" in rows.columns:
+        dense = np.stack(rows["vec"].to_numpy())
+        high, low = (np.stack([b[c] for b in blocks]) for c in ("high", "low"))
+        norm = np.sqrt((dense * dense).sum(axis=1))
+        bound = np.maximum(dense, 0) @ high.T + np.minimum(dense, 0) @ low.T
+    else:
+        known = pd.Index(np.unique(np.concatenate([b["names"] for b in blocks])))
+        vectors = _Vectors(rows, known)
+        place = np.repeat(np.arange(len(rows)), np.diff(vectors.ends)) * PARTS + _parts(rows)
+        square = np.bincount(place, vectors.values**2, minlength=len(rows) * PARTS).reshape(-1, PARTS)
+        norm = np.sqrt(square.sum(axis=1))
+        bound = np.empty((len(rows), len(blocks)))
+        for i, b in enumerate(blocks):
+            codes = known.get_indexer(pd.Index(b["names"]))
+            order = np.argsort(codes)
+            met = vectors.rows(0, len(rows), codes[order])
+            high, low = b["high"][order], b["low"][order]
+            of_part = np.eye(PARTS)[b["kinds"][order]]
+            left = np.sqrt(np.maximum(square - (met * met) @ of_part, 0.0))
+            known_part = (np.maximum(met, 0) * high + np.minimum(met, 0) * low) @ of_part + left * b["rest"]
+            bound[:, i] = np.minimum(known_part, np.sqrt(square) * b["whole"]).sum(axis=1)
+    # no more than the product of the lengths, and rounding must not hide a tie
+    lengths = norm[:, None] * np.array([b["norm"] for b in blocks])[None, :]
+    return np.minimum(bound, lengths) + BOUND_SLACK * lengths
+
+
+def _asked(blocks: list[dict], k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Adds the blocks that each row must meet.
+
+    Without a floor that is the one block with the largest bound among those of ``k`` rows, where the row
+    finds its floor. With it, all others whose bound reaches the floor.
+    """
+    numbers = np.array([b["rb"] for b in blocks])
+    enough = np.array([b["rows"] >= k for b in blocks])
+    enough = enough if enough.any() else np.ones(len(blocks), bool)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for start in range(0, len(frame), LEFT_ROWS):
+                rows = frame.iloc[start : start + LEFT_ROWS].reset_index(drop=True)
+                bound = _bounds(rows, blocks)
+                first = np.where(enough[None, :], bound, -np.inf).argmax(axis=1)
+                if "floor" in rows.columns:
+                    floor = rows["floor"].to_numpy(dtype=float)
+                    floor = np.where(np.isnan(floor), -np.inf, floor)
+                    wide = np.where(np.isfinite(floor), np.abs(floor) * BOUND_SLACK, 0.0)
+                    needed = bound >= (floor - wide)[:, None]
+                    needed[np.arange(len(rows)), first] = False
+                    asked = [numbers[n].tolist() for n in needed]
+                else:
+                    asked = [[int(numbers[f])] for f in first]
+                yield rows.assign(blocks=asked)
+
+    return run
+
+
+class Matching:
+    """The two sides of one matching: rows of the left, blocks of the right and their bounds."""
+
+    def __init__(self, left: DataFrame, right: DataFrame, k: int, exclude_same_id: bool, left_rows: int, right_rows: int):
+        self.k, self.exclude = k, exclude_same_id
+        # a row may meet itself, one more is then needed
+        self.wanted = k + 1 if exclude_same_id else k
+        # features travel as numbers, by the hash of their names
+        numbers = F.transform("dims", lambda d: F.xxhash64(d)).alias("dims")
+        part = "parts" if "parts" in right.columns else F.transform("dims", lambda d: F.lit(0)).alias("parts")
+        columns = ["id", "vec"] if "vec" in right.columns else ["id", numbers, "vals", part]
+        cores = left.sparkSession.sparkContext.defaultParallelism
+        every = materialize(left.select(*columns), "left-rows")
+        zero = F.forall("vec" if "vec" in right.columns else "vals", lambda x: x == 0)
+        # rows of zeros score nothing with all others
+        self.left, self.zeros = every.where(~zero), every.where(zero)
+        self.right = materialize(_blocked(right.select(*columns), _n_blocks(right_rows)), "right-blocks")
+        # left rows of a block are cut, so that a task has a bounded number of them
+        spread = max(1, int(np.ceil(np.sqrt(4 * cores))))
+        self.parts = max(1, -(-left_rows // MAX_BLOCK_ROWS), min(-(-left_rows // MIN_BLOCK_ROWS), spread))
+        arrays = "names array<long>, kinds array<long>, high array<double>, low array<double>"
+        summary = f"rb int, rows long, {arrays}, rest array<double>, whole array<double>, norm double"
+        kinds = {"names": np.int64, "kinds": np.int64} | dict.fromkeys(("high", "low", "rest", "whole"), float)
+        self.blocks = [
+            row.asDict() | {c: np.asarray(row[c], dtype=kind) for c, kind in kinds.items()}
+            for row in self.right.groupBy("rb").applyInPandas(_summary, summary).collect()
+        ]
+        # neighbouring blocks share a task, to which a left row is sent once
+        last = max((b["rb"] for b in self.blocks), default=0) + 1
+        self.per_group = -(-last // max(1, -(-right_rows // MAX_BLOCK_ROWS), min(last, spread)))
+        self.groups = -(-last // self.per_group)
+
+    def asked(self, floors: DataFrame | None = None) -> DataFrame:
+        """The left rows with the blocks that they must meet."""
+        rows = self.left if floors is None else lookup(self.left, floors, ["id"], "left")
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+        return rows.mapInPandas(_asked(self.blocks, self.wanted), f"{kinds}, blocks array<int>")
+
+    def scored(self, asked: DataFrame) -> DataFrame:
+        """(left_id, right_id, score): the best ``k`` of each block for the rows that meet it."""
+        group = lambda b: F.floor(b / self.per_group).cast("int")
+        part = F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int").alias("part")
+        groups = F.array_distinct(F.transform("blocks", group))
+        lefts = asked.select("*", F.explode(groups).alias("rg"), part)
+        lefts = lefts.withColumn("blocks", F.filter("blocks", lambda b: group(b) == F.col("rg")))
+        rights = self.right.select("*", group(F.col("rb")).alias("rg"))
+        rights = rights.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))))
+        tasks = max(1, min(self.groups * self.parts, MAX_TASKS))
+        task = F.pmod(F.col("rg").cast("long") * self.parts + F.col("part"), F.lit(tasks)).cast("int")
+
+        def placed(side: DataFrame) -> GroupedData:
+            return side.withColumn("task", task).repartitionById(tasks, "task").groupBy("task", "rg", "part")
+
+        k, exclude = self.k, self.exclude
+
+        def match(left_rows: pd.DataFrame, right_rows: pd.DataFrame) -> pd.DataFrame:
+            out = [_match_blocks(left_rows[:0], right_rows, k, exclude)]
+            blocks = [] if left_rows.empty else list(right_rows.groupby("rb"))
+            # where most rows meet most blocks, these are met as one
+            together = blocks and 2 * left_rows["blocks"].map(len).mean() > len(blocks)
+            for block, rows in [(None, right_rows)] if together else blocks:
+                met = left_rows
+                if not together:
+                    met = left_rows[left_rows["blocks"].map(lambda b: block in b)].reset_index(drop=True)
+                found = _match_blocks(met, rows.reset_index(drop=True), k, exclude)
+                if together and len(found):
+                    asked = met.set_index("id")["blocks"].map(set)
+                    own = found["right_id"].map(rows.set_index("id")["rb"])
+                    found = found[[b in s for b, s in zip(own, found["left_id"].map(asked))]]
+                if "floor" in met.columns and len(found):
+                    floor = found["left_id"].map(met.set_index("id")["floor"]).to_numpy(dtype=float)
+                    score = found["score"].to_numpy()
+                    found = found[np.isnan(floor) | (score >= floor - np.abs(floor) * BOUND_SLACK)]
+                out.append(found)
+            return pd.concat([f for f in out if len(f)] or out[:1])
+
+        types = [df.schema["id"].dataType.simpleString() for df in (self.left, self.right)]
+        return placed(lefts).cogroup(placed(rights)).applyInPandas(
+            match, f"left_id {types[0]}, right_id {types[1]}, score double"
+        )
+
+    def unscored(self) -> DataFrame:
+        """(left_id, right_id, score): the smallest right ids for the rows of zeros."""
+        least = [F.lit(row[0]) for row in self.right.select("id").orderBy("id").limit(self.wanted).collect()]
+        met = self.zeros.select(F.col("id").alias("left_id"), F.explode(F.array(*least)).alias("right_id"))
+        met = met.withColumn("score", F.lit(0.0))
+        return met.where(F.col("left_id") != F.col("right_id")) if self.exclude else met
+
+    def floors(self, first: DataFrame) -> DataFrame:
+        """(id, floor): the score of the ``k``-th of the rows found first."""
+        found = first.groupBy(F.col("left_id").alias("id")).agg(
+            F.sort_array(F.collect_list("score"), False).alias("scores")
+        )
+        return found.select("id", F.get("scores", self.k - 1).alias("floor"))
 
 
 def best_matches(
@@ -185,44 +417,20 @@ def best_matches(
     """(left_id, pos, right_id, score): the ``k`` right rows with the largest dot product.
 
     Each side has a unique ``id`` and either ``vec``, an array of equal length everywhere, or
-    ``dims`` and ``vals``, the names and values of the non-zero features. ``left_rows`` and
-    ``right_rows`` spare the counts that size the blocks.
+    ``dims`` and ``vals``, the names and values of the non-zero features. ``parts`` may number the kind of each
+    feature, the same on both sides: lengths of features that cannot meet then do not widen a bound. ``left_rows``
+    and ``right_rows`` spare the counts that size the blocks.
     """
-    # features travel as numbers, by the hash of their names
-    numbers = F.transform("dims", lambda d: F.xxhash64(d)).alias("dims")
-    columns = ["id", "vec"] if "vec" in right.columns else ["id", numbers, "vals"]
-    cores = left.sparkSession.sparkContext.defaultParallelism
-    left_blocks = _n_blocks(left.count() if left_rows is None else left_rows, cores)
-    right_blocks = _n_blocks(right.count() if right_rows is None else right_rows, cores)
-
-    def own(n: int) -> Column:
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    lefts = left.select(*columns, own(left_blocks).alias("lb")).select("*", every(right_blocks).alias("rb"))
-    # fresh columns, so that a frame can be matched with itself
-    fresh = [F.col(c).alias(c) if isinstance(c, str) else c for c in columns]
-    rights = right.select(*fresh, own(right_blocks).alias("rb")).select("*", every(left_blocks).alias("lb"))
-    # every pair of blocks has a task of its own, as far as that many can be scheduled: the blocks are
-    # small in bytes but not in work
-    tasks = min(left_blocks * right_blocks, MAX_TASKS)
-    pair = F.col("lb").cast("long") * right_blocks + F.col("rb")
-
-    def placed(side: DataFrame) -> GroupedData:
-        named = side.withColumn("pair", pair).withColumn("task", F.pmod("pair", F.lit(tasks)).cast("int"))
-        return named.drop("lb", "rb").repartitionById(tasks, "task").groupBy("task", "pair")
-
-    types = [df.schema["id"].dataType.simpleString() for df in (left, right)]
-
-    def match(left_block: pd.DataFrame, right_block: pd.DataFrame) -> pd.DataFrame:
-        return _match_blocks(left_block, right_block, k, exclude_same_id)
-
-    scored = placed(lefts).cogroup(placed(rights)).applyInPandas(
-        match, f"left_id {types[0]}, right_id {types[1]}, score double"
-    )
-    return top_list_rows(scored, "left_id", "right_id", "score", k)
+    left_rows = left.count() if left_rows is None else left_rows
+    right_rows = right.count() if right_rows is None else right_rows
+    met = Matching(left, right, k, exclude_same_id, left_rows, right_rows)
+    if not met.blocks:
+        types = [df.schema["id"].dataType.simpleString() for df in (left, right)]
+        schema = f"left_id {types[0]}, pos int, right_id {types[1]}, score double"
+        return left.sparkSession.createDataFrame([], schema)
+    first = materialize(met.scored(met.asked()), "first-matches")
+    rest = met.scored(met.asked(met.floors(first)))
+    return top_list_rows(first.union(rest).union(met.unscored()), "left_id", "right_id", "score", k)
 
 
 def nearest(vectors: DataFrame, id_col: str, vec_col: str, k: int, **sizes) -> DataFrame:

@@ -202,10 +202,12 @@ def _feature_vector(
         names.append(_prefixed(F.map_keys(words), f"w:{name}:"))
         values.append(_times(F.map_values(words), factor))
     nothing, zero = F.array().cast("array<string>"), F.array().cast("array<double>")
+    names = [F.coalesce(n, nothing) for n in names]
     return profile.select(
         F.col(id_col).alias("id"),
-        F.concat(*[F.coalesce(n, nothing) for n in names]).alias("dims"),
+        F.concat(*names).alias("dims"),
         F.concat(*[F.coalesce(v, zero) for v in values]).alias("vals"),
+        F.concat(*[F.transform(n, lambda x, p=p: F.lit(p)) for p, n in enumerate(names)]).alias("parts"),
     )
 
 

@@ -207,6 +207,7 @@ def test_matmul_with_a_wide_right_side(spark):
 @pytest.fixture
 def small_blocks(monkeypatch):
     monkeypatch.setattr(blocks, "MAX_BLOCK_ROWS", 16)
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 4)
     monkeypatch.setattr(blocks, "LEFT_ROWS", 5)
     monkeypatch.setattr(blocks, "RIGHT_ROWS", 4)
     monkeypatch.setattr(blocks, "FIRST_ROWS", 3)
@@ -312,3 +313,60 @@ def test_vectors_with_nan_have_no_neighbours(spark):
     rows = [(0, [1.0, 0.0]), (1, [nan, 1.0]), (2, [0.9, 0.1]), (3, [float("inf"), 0.0]), (4, [0.0, 0.0]), (5, [0.5, 0.5])]
     found = blocks.nearest(spark.createDataFrame(rows, "id long, vec array<double>"), "id", "vec", 3).collect()
     assert {r.id for r in found} | {r.neighbour_id for r in found} == {0, 2, 5}
+
+
+def best_by_hand(left, right, k):
+    scores = left @ right.T
+    return {i: np.lexsort((np.arange(len(right)), -np.round(scores[i], 9)))[:k].tolist() for i in range(len(left))}
+
+
+def matched(left, right, k, columns):
+    found = {}
+    for r in sorted(blocks.best_matches(left, right, k).select(*columns).collect()):
+        found.setdefault(r[0], []).append(r[2])
+    return found
+
+
+@pytest.mark.parametrize("sparse", [False, True])
+def test_blocks_that_cannot_win_are_skipped(spark, monkeypatch, sparse):
+    """On clustered rows more than half of the blocks are skipped, and the lists are those of all pairs."""
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 16)
+    monkeypatch.setattr(blocks, "LEFT_ROWS", 7)
+    rng = np.random.default_rng(5)
+    centres = 4 * np.eye(12)
+
+    def side(n):
+        return centres[rng.integers(0, 12, n)] + rng.integers(0, 3, (n, 12)) * 0.25
+
+    a, b = side(150), side(600)
+
+    def frame(values):
+        if not sparse:
+            return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "id long, vec array<double>")
+        # the owner's order puts what matters most first
+        rows = []
+        for i, v in enumerate(values):
+            order = [int(j) for j in np.argsort(-v, kind="stable") if v[j]]
+            rows.append((i, [f"f{j}" for j in order], [float(v[j]) for j in order]))
+        return spark.createDataFrame(rows, "id long, dims array<string>, vals array<double>")
+
+    left, right = frame(a), frame(b)
+    assert matched(left, right, 6, ("left_id", "pos", "right_id")) == best_by_hand(a, b, 6)
+    met = blocks.Matching(left, right, 6, False, 150, 600)
+    first = met.scored(met.asked())
+    met_later = met.asked(met.floors(first)).agg(F.sum(F.size("blocks"))).first()[0]
+    assert len(met.blocks) > 20
+    assert (met_later + 150) / (150 * len(met.blocks)) < 0.5
+
+
+def test_negative_values_floors_and_short_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 3)
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=(40, 3)) - 1, rng.normal(size=(50, 3)) + 1
+    left, right = (
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>") for x in (a, b)
+    )
+    for k in (1, 9, 70):
+        assert matched(left, right, k, ("left_id", "pos", "right_id")) == best_by_hand(a, b, k)
+    assert blocks.best_matches(left, right.limit(0), 3).collect() == []
+    assert blocks.best_matches(left.limit(0), right, 3).collect() == []
