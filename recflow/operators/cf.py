@@ -132,6 +132,22 @@ def cf_list(factors: Factors, k: int) -> DataFrame:
     return cf_recommend(factors, k).groupBy("user_id").agg(entries["item_id"].alias("rec_list"))
 
 
+def training_error(factors: Factors, matrix: DataFrame) -> DataFrame:
+    """(cells, rmse, rmse_of_mean): the error on the non-zero cells, and that of their mean as prediction."""
+    dot = F.aggregate(
+        F.zip_with("_u", "_i", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda acc, x: acc + x
+    )
+    cells = matrix.where(F.col("val") != 0).select("user_id", "item_id", F.col("val").cast("double").alias("val"))
+    met = lookup(cells, factors.users.withColumnRenamed("features", "_u"), ["user_id"])
+    met = lookup(met, factors.items.withColumnRenamed("features", "_i"), ["item_id"])
+    missed = met.select("val", (F.col("val") - dot).alias("_miss"))
+    return missed.agg(
+        F.count("*").alias("cells"),
+        F.sqrt(F.avg(F.col("_miss") * F.col("_miss"))).alias("rmse"),
+        F.stddev_pop("val").alias("rmse_of_mean"),
+    )
+
+
 def check_lists(factors: Factors, lists: DataFrame, matrix: DataFrame) -> DataFrame:
     """What must hold of each user's list: (user_id, items, distinct_items, known, matching, ordered).
 

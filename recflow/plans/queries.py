@@ -20,6 +20,7 @@ from recflow.operators import (
     interactions,
     matrix,
     ranking,
+    retrieval,
     similarity,
     sparse,
     text,
@@ -350,6 +351,14 @@ def user_text_feature(shop: Shop) -> DataFrame:
     return rounded(_post_text(shop, "description")[0], "val").drop("date")
 
 
+@query
+def index_top_k(shop: Shop) -> DataFrame:
+    """The posts nearest to each user's text profile, from the inverted index."""
+    users, items = _post_text(shop, "description")
+    index = materialize(retrieval.impact_blocks(items, 32), "impact-blocks")
+    return rounded(retrieval.index_top_k(index, items, materialize(users, "user-text"), LIST_SIZE), "score")
+
+
 # features
 
 
@@ -604,6 +613,14 @@ def als_factor_check(shop: Shop) -> DataFrame:
     return finite(factors.users, "user").unionByName(finite(factors.items, "item"))
 
 
+@query
+def als_fit_check(shop: Shop) -> DataFrame:
+    """How many cells the factorization was fitted to, and whether it predicts them better than their mean."""
+    cells = _actions(shop, shop.products())
+    error = cf.training_error(_als(shop), cells)
+    return error.select("cells", (F.col("rmse") < F.col("rmse_of_mean")).alias("better_than_mean"))
+
+
 @query
 def als_implicit_list(shop: Shop) -> DataFrame:
     return cf.cf_list(_als(shop, implicit=True), CF_SIZE)

@@ -116,9 +116,18 @@ def push_sorted_sets(
 
 
 def push_lists(
-    df: DataFrame, prefix: str, user: str, items: str, make_client: Callable[[], Any]
+    df: DataFrame,
+    prefix: str,
+    user: str,
+    items: str,
+    make_client: Callable[[], Any],
+    users: DataFrame | None = None,
 ) -> None:
-    """Replace the list of each user; ``items`` is an array column, best first."""
+    """Replace the list of each user; ``items`` is an array column, best first.
+
+    ``users`` names everyone who may have a list from before, in the column ``user``: those without a row in
+    ``df`` lose theirs.
+    """
 
     def push(client: Any, part: Iterator[Any]) -> None:
         for row in part:
@@ -129,5 +138,13 @@ def push_lists(
             client.rpush(f"{row['key']}:new", *row["members"])
             client.rename(f"{row['key']}:new", row["key"])
 
+    def forget(client: Any, part: Iterator[Any]) -> None:
+        for row in part:
+            client.delete(row["key"])
+
     members = F.col(items).cast("array<string>").alias("members")
-    _each_partition(df.select(_key(prefix, F.col(user)).alias("key"), members), make_client, push)
+    key = _key(prefix, F.col(user)).alias("key")
+    _each_partition(df.select(key, members), make_client, push)
+    if users is not None:
+        gone = users.select(key).distinct().join(df.select(key), "key", "left_anti")
+        _each_partition(gone, make_client, forget)

@@ -170,6 +170,10 @@ def test_lists_are_replaced_in_order(spark, tmp_path):
         client().rpush("user_2", "old")
         push_lists(lists, "user_", "user_id", "items", client)
         assert cached(tmp_path) == {"user_1": list(map(str, items))}
+    client().rpush("user_3", "old")
+    everyone = spark.createDataFrame([(1,), (2,), (3,)], "user_id long")
+    push_lists(lists, "user_", "user_id", "items", client, users=everyone)
+    assert set(cached(tmp_path)) == {"user_1"}
 
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
