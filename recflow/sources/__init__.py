@@ -10,6 +10,7 @@ from recflow.sources.snapshots import (  # noqa: F401
     jdbc_table,
     read_or_empty,
     read_snapshot,
+    read_table,
     snapshot,
     stored_days,
 )

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recflow import manifest
+
 
 def jdbc_table(
     spark: SparkSession,
@@ -57,35 +58,40 @@ def snapshot(
 
 
 def read_snapshot(spark: SparkSession, path: str, run_date: str) -> DataFrame:
-    """One day of a stored snapshot; only that partition is scanned."""
-    return _with_string_date(spark.read.parquet(path)).where(F.col("date") == run_date)
+    """One day of a stored snapshot; only its folder is scanned. A day never stored has no rows."""
+    days = stored_days(spark, path)
+    if run_date in days:
+        return _days(spark, path, [run_date])
+    return _days(spark, path, days[:1]).where(F.lit(False))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table without days as last stored."""
+    return spark.read.parquet(manifest.current(spark, path.rstrip("/")) or path)
 
 
 def stored_days(spark: SparkSession, path: str) -> list[str]:
     """The days of a stored snapshot, from the names of its folders; no file is opened."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    names = [entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory()]
-    return sorted(n.removeprefix("date=") for n in names if n.startswith("date="))
+    path = path.rstrip("/")
+    days = [n for n in manifest.names(spark, path) if n.startswith("date=")]
+    return [d.removeprefix("date=") for d in days if manifest.current(spark, f"{path}/{d}")]
 
 
 def read_or_empty(
     spark: SparkSession, path: str, schema: str | T.StructType, run_date: str | None = None
 ) -> DataFrame:
     """A stored table, or no rows of ``schema`` when nothing was stored yet."""
-    try:
-        stored = _with_string_date(spark.read.parquet(path))
-    except AnalysisException as err:
-        if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    days = stored_days(spark, path)
+    if not days:
         fields = [*_struct(schema).fields, T.StructField("date", T.StringType())]
         return spark.createDataFrame([], T.StructType(fields))
-    return stored if run_date is None else stored.where(F.col("date") == run_date)
+    return _days(spark, path, days) if run_date is None else read_snapshot(spark, path, run_date)
 
 
-def _with_string_date(df: DataFrame) -> DataFrame:
+def _days(spark: SparkSession, path: str, days: list[str]) -> DataFrame:
+    """Some days, each from the folder that counts now."""
+    path = path.rstrip("/")
+    folders = [manifest.current(spark, f"{path}/date={day}") for day in days]
+    stored = spark.read.option("basePath", path).parquet(*(folders or [path])).drop("run")
     # the date folder name may be read back as a date
-    return df.withColumn("date", F.col("date").cast("string"))
+    return stored.withColumn("date", F.col("date").cast("string"))
