@@ -12,6 +12,7 @@ any other.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +85,33 @@ def update_score(
     return aged.unionByName(today.select(*keys, value)).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
+def catch_up(
+    previous: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    watermark: str,
+    run_date: str,
+    gamma: float = GAMMA,
+    weights: Weights = EVENT_WEIGHTS,
+    value: str = "score",
+    arrived: str = "arrived",
+) -> DataFrame:
+    """The score of ``run_date`` from the one stored for ``watermark`` and what arrived since, however late.
+
+    The score is a sum, so an event counts on the day it arrives, at the age it then has; its day decides if that
+    is later. Equals ``decayed_score`` of all events arrived by ``run_date``. Only events of the
+    days since are read if the table is laid out by arrival. An event without an arrival date counts on its day.
+    """
+    day, since, until = F.col("day"), F.lit(watermark).cast("date"), F.lit(run_date).cast("date")
+    known = F.greatest(F.to_date(arrived), day)
+    # said twice, so that the filter on the arrival alone can prune a table laid out by it
+    came = F.col(arrived).isNull() | (F.to_date(arrived) <= until)
+    fresh = events.where(came & (known > since) & (known <= until))
+    added = decayed_score(fresh, keys, run_date, gamma, weights, value)
+    days = (date.fromisoformat(run_date) - date.fromisoformat(watermark)).days
+    return update_score(previous, added, keys, days, gamma, value)
+
+
 def item_score(
     items: DataFrame,
     events: DataFrame,

@@ -358,6 +358,9 @@ STATEMENTS: dict[str, str] = {
     f"CAST({WEIGHT} AS DOUBLE) AS weight FROM ev",
     "item_score": f"SELECT item_id, {SCORE}, {DAY} FROM item_scores",
     "item_score_incremental": f"SELECT item_id, {SCORE} FROM ({_decayed('item_id', RUN_DATE, 'score')})",
+    "item_score_late": f"SELECT item_id, {SCORE} FROM (SELECT item_id, "
+    f"sum({WEIGHT} * power({GAMMA}, date_diff('day', day, DATE '{RUN_DATE}'))) AS score FROM ev "
+    f"WHERE day + CAST(event_id % 5 AS INTEGER) <= DATE '{RUN_DATE}' AND {WEIGHT} > 0 GROUP BY 1)",
     "user_score": f"SELECT user_id, {SCORE}, {DAY} FROM user_scores",
     "user_level": f"SELECT user_id, {SCORE}, {DAY}, "
     f"CAST(ntile(4) OVER (ORDER BY {_first_digits('score')}, user_id) AS INTEGER) AS level FROM user_scores",

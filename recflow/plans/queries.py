@@ -177,6 +177,16 @@ def item_score_incremental(shop: Shop) -> DataFrame:
     return rounded(interactions.update_score(previous, today, ["item_id"]), "score")
 
 
+@query
+def item_score_late(shop: Shop) -> DataFrame:
+    """Events arrive up to four days late: the stored score of a week before, and what arrived since."""
+    late = (F.col("event_id") % 5).cast("int")
+    events = shop.events().withColumn("arrived", F.date_add("day", late))
+    seen = events.where(F.col("arrived") <= F.lit(FEED_DATE).cast("date"))
+    stored = materialize(interactions.decayed_score(seen, ["item_id"], FEED_DATE), "stored-score")
+    return rounded(interactions.catch_up(stored, events, ["item_id"], FEED_DATE, RUN_DATE), "score")
+
+
 @query
 def user_score(shop: Shop) -> DataFrame:
     return rounded(_user_score(shop), "score")

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from recflow.operators import interactions
 from recflow.operators.interactions import (
     action_matrix,
     day_score,
@@ -130,3 +131,21 @@ def test_levels_by_threshold(spark):
     scores = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, 9.9), (4, 50.0)], "user_id long, score double")
     levels = dict(rows(user_level(scores, [5.0, 10.0]), "user_id", "level"))
     assert levels == {1: 1, 2: 2, 3: 2, 4: 3}
+
+
+def test_late_events_count_from_the_day_they_arrive(spark):
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05"]
+    rows = [(i, d, a) for i in range(3) for d in days for a in ["2024-01-02", "2024-01-04", "2024-01-06", "2024-01-09", None]]
+    events = spark.createDataFrame([(i, "buy" if i else "click", d, a) for i, d, a in rows], "item_id int, event_type string, day string, arrived string")
+    events = events.withColumn("day", F.to_date("day"))
+    weights = {"buy": 5.0, "click": 1.0}
+    known = F.greatest(F.to_date("arrived"), F.col("day"))
+
+    def whole(day):
+        return interactions.decayed_score(events.where(known <= F.lit(day).cast("date")), ["item_id"], day, 0.5, weights)
+
+    now = whole("2024-01-02")
+    for before, day in (("2024-01-02", "2024-01-03"), ("2024-01-03", "2024-01-07"), ("2024-01-07", "2024-01-10")):
+        now = interactions.catch_up(now, events, ["item_id"], before, day, 0.5, weights)
+        got, expected = ({r.item_id: round(r.score, 9) for r in f.collect()} for f in (now, whole(day)))
+        assert got == expected and len(got) == 3
