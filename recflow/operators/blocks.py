@@ -280,6 +280,12 @@ def _bounds(rows: pd.DataFrame, blocks: list[dict]) -> np.ndarray:
     return np.minimum(bound, lengths) + BOUND_SLACK * lengths
 
 
+def _plain(rows: pd.DataFrame) -> pd.DataFrame:
+    """Ids of types that pandas keeps in pieces as objects, which Spark takes back."""
+    odd = [c for c in ("id", "left_id", "right_id") if c in rows.columns and not isinstance(rows[c].dtype, np.dtype)]
+    return rows.astype(dict.fromkeys(odd, object)) if odd else rows
+
+
 def _asked(blocks: list[dict], k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Adds the blocks that each row must meet.
 
@@ -305,7 +311,7 @@ def _asked(blocks: list[dict], k: int) -> Callable[[Iterator[pd.DataFrame]], Ite
                     asked = [numbers[n].tolist() for n in needed]
                 else:
                     asked = [[int(numbers[f])] for f in first]
-                yield rows.assign(blocks=asked)
+                yield _plain(rows.assign(blocks=asked))
 
     return run
 
@@ -366,7 +372,7 @@ class Matching:
         k, exclude = self.k, self.exclude
 
         def match(left_rows: pd.DataFrame, right_rows: pd.DataFrame) -> pd.DataFrame:
-            out = [_match_blocks(left_rows[:0], right_rows, k, exclude)]
+            out = []
             blocks = [] if left_rows.empty else list(right_rows.groupby("rb"))
             # where most rows meet most blocks, these are met as one
             together = blocks and 2 * left_rows["blocks"].map(len).mean() > len(blocks)
@@ -384,7 +390,9 @@ class Matching:
                     score = found["score"].to_numpy()
                     found = found[np.isnan(floor) | (score >= floor - np.abs(floor) * BOUND_SLACK)]
                 out.append(found)
-            return pd.concat([f for f in out if len(f)] or out[:1])
+            out = [f for f in out if len(f)]
+            # without rows a frame must have no columns either, whose types Spark would not take back
+            return _plain(pd.concat(out)) if out else pd.DataFrame()
 
         types = [df.schema["id"].dataType.simpleString() for df in (self.left, self.right)]
         return placed(lefts).cogroup(placed(rights)).applyInPandas(
