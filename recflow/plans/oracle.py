@@ -447,6 +447,8 @@ STATEMENTS: dict[str, str] = {
     "als_factor_check": f"SELECT DISTINCT 'user' AS side, user_id AS id, {RANK} AS factors FROM actions UNION ALL "
     f"SELECT DISTINCT 'item', item_id, {RANK} FROM actions",
     "als_fit_check": "SELECT count(*) AS cells, true AS better_than_mean FROM actions WHERE val <> 0",
+    "als_split_check": "SELECT count(*) AS cells, true AS better_than_mean, true AS as_good_as_als, "
+    "count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items FROM actions WHERE val <> 0",
     "als_similarity_check": f"{_similar_check('item')} UNION ALL {_similar_check('user')}",
     "als_implicit_check": _LIST_CHECK,
     "cf_list_check": _LIST_CHECK,

@@ -17,6 +17,7 @@ from recflow.operators import (
     cf,
     evaluate,
     features,
+    gram,
     interactions,
     matrix,
     ranking,
@@ -43,6 +44,8 @@ LIST_SIZE = 10
 CF_SIZE = 5
 RANK = cf.RANK
 USER_SHARDS = 16
+# Users and items of more cells are summed in parts.
+SPLIT_CELLS = 20
 # A year after the events.
 OLD_DATE = "2025-01-30"
 EVENT_TYPES = ("view", "click", "purchase")
@@ -631,6 +634,22 @@ def als_fit_check(shop: Shop) -> DataFrame:
     return error.select("cells", (F.col("rmse") < F.col("rmse_of_mean")).alias("better_than_mean"))
 
 
+@query
+def als_split_check(shop: Shop) -> DataFrame:
+    """The fit with hot rows summed in parts: how many vectors, and its error against the mean's and ALS's."""
+    cells = materialize(_actions(shop, shop.products()), "actions")
+    ours = gram.factorize_split(cells, hot_cells=SPLIT_CELLS)
+    als = cf.training_error(cf.factorize(cells), cells).first()
+    usable = F.forall("features", lambda x: F.abs(x) < float("inf")) & (F.size("features") == RANK)
+    return cf.training_error(ours, cells).select(
+        "cells",
+        (F.col("rmse") < F.col("rmse_of_mean")).alias("better_than_mean"),
+        (F.col("rmse") <= 1.01 * F.lit(als.rmse)).alias("as_good_as_als"),
+        F.lit(ours.users.where(usable).count()).alias("users"),
+        F.lit(ours.items.where(usable).count()).alias("items"),
+    )
+
+
 @query
 def als_implicit_list(shop: Shop) -> DataFrame:
     return cf.cf_list(_als(shop, implicit=True), CF_SIZE)

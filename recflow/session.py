@@ -43,9 +43,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Later stages then start from the files, so a lost executor repeats no more than its own tasks,
     and a frame with several consumers is computed once.
     """
+    return materialize_at(df, name)[0]
+
+
+def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``materialize`` with the path written, for ``drop_paths``."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some of what this session wrote, once nothing reads it any more."""
+    written = _WRITTEN.get(spark, [])
+    for name in paths:
+        written.remove(name)
+        _delete(spark, name)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_materialized(spark: SparkSession, keep: int = 0) -> None:
@@ -53,12 +71,9 @@ def drop_materialized(spark: SparkSession, keep: int = 0) -> None:
 
     Frames built on the deleted ones can no longer be read.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     written = _WRITTEN.get(spark, [])
     while len(written) > keep:
-        path = jvm.org.apache.hadoop.fs.Path(written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, written.pop())
 
 
 @contextmanager
