@@ -44,25 +44,23 @@ def _pairs(rank: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(rank) for j in range(i + 1)]
 
 
-def _products(rank: int, weight: Column | None = None) -> list[Column]:
+def _products(rank: int, weight: str = "1") -> list[str]:
     """The lower half of the summed products of ``features`` with themselves."""
-    f = F.col("features")
-    each = [f[i] * f[j] for i, j in _pairs(rank)]
-    return [F.sum(x if weight is None else weight * x).alias(f"_g{k}") for k, x in enumerate(each)]
+    return [f"sum({weight} * features[{i}] * features[{j}])" for i, j in _pairs(rank)]
 
 
 def _sums(met: DataFrame, key: str, rank: int, implicit: bool) -> DataFrame:
-    """(key, n, gram, right): what the system of each row is made of."""
-    val, f = F.col("val"), F.col("features")
-    if implicit:
-        liked = F.when(val > 0, 1 + val).otherwise(0.0)
-        number = F.count(F.when(val > 0, True)).alias("_n")
-        parts = [number, *_products(rank, F.abs(val)), *[F.sum(liked * f[i]).alias(f"_r{i}") for i in range(rank)]]
-    else:
-        parts = [F.count("*").alias("_n"), *_products(rank), *[F.sum(val * f[i]).alias(f"_r{i}") for i in range(rank)]]
-    gram = F.array(*[f"_g{k}" for k in range(len(_pairs(rank)))]).alias("gram")
-    right = F.array(*[f"_r{i}" for i in range(rank)]).alias("right")
-    return met.groupBy(key).agg(*parts).select(key, F.col("_n").alias("n"), gram, right)
+    """(key, n, gram, right): what the system of each row is made of.
+
+    The sums are SQL text: as Column objects, building the plan took longer than running it.
+    """
+    number = "count_if(val > 0)" if implicit else "count(*)"
+    wish = "if(val > 0, 1 + val, 0D)" if implicit else "val"
+    gram = ", ".join(_products(rank, "abs(val)" if implicit else "1"))
+    right = ", ".join(f"sum({wish} * features[{i}])" for i in range(rank))
+    return met.groupBy(key).agg(
+        F.expr(number).alias("n"), F.expr(f"array({gram})").alias("gram"), F.expr(f"array({right})").alias("right")
+    )
 
 
 def _solved(sums: DataFrame, key: str, rank: int, reg: float, common: np.ndarray) -> DataFrame:
@@ -105,7 +103,7 @@ def half_step(
     many = _sums(met.where(hot), key, rank, implicit)
     common = np.zeros((rank, rank))
     if implicit:
-        for (i, j), total in zip(_pairs(rank), fixed.agg(*_products(rank)).first()):
+        for (i, j), total in zip(_pairs(rank), fixed.selectExpr(*_products(rank)).first()):
             common[i, j] = common[j, i] = total or 0.0
     return _solved(few.unionByName(many), key, rank, reg, common)
 
