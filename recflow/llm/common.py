@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 import recflow.llm
 
@@ -48,6 +48,34 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, F.coalesce("text", F.lit("")).alias("text"))
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots and backticks, as SQL takes it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The quoted columns but those called as one of the names, in any case."""
+    return [quoted(c) for c in df.columns if c.lower() not in names]
+
+
+def apart(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with its own columns called as one of the names, in any case, renamed; the new name of each."""
+    taken, moved = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.lower() in names:
+            new = f"_own_{c}"
+            while new.lower() in taken:
+                new = "_" + new
+            taken.add(new.lower())
+            moved[c] = new
+    return df.withColumnsRenamed(moved), moved
+
+
+def put_back(df: DataFrame, columns: list[str], moved: dict[str, str]) -> DataFrame:
+    """The columns under the names they had before ``apart``."""
+    return df.select(*[F.col(quoted(moved.get(c, c))).alias(c) for c in columns])
+
+
 def parts(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -90,17 +118,24 @@ def map_batches(
     """``mapInArrow`` over batches of bounded size.
 
     By default Spark bounds their rows alone, which for very long texts is no bound. The session's limit of
-    bytes is set here unless it has one.
+    bytes is set here unless it has one. Names with dots or backticks, which ``mapInArrow`` does not take, are
+    replaced on the way.
     """
     spark = df.sparkSession
     if spark.conf.get(ARROW_LIMIT, None) is None:
         spark.conf.set(ARROW_LIMIT, f"{2 * BATCH_BYTES}b")
-    return df.mapInArrow(work, schema)
+    odd = {c: f"_odd{k}_" for k, c in enumerate(df.columns) if "." in c or "`" in c}
+    if not odd:
+        return df.mapInArrow(work, schema)
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    plain = StructType([StructField(odd.get(f.name, f.name), f.dataType) for f in fields])
+    back = {new: c for c, new in odd.items() if new in plain.names}
+    return df.withColumnsRenamed(odd).mapInArrow(work, plain).withColumnsRenamed(back)
 
 
 def per_batch(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], added: str
 ) -> DataFrame:
     """``mapInArrow`` that returns all columns but ``text``, then those of ``added``."""
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "text")
+    kept = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema if f.name != "text")
     return map_batches(df, work, f"{kept}, {added}" if kept else added)

@@ -22,12 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from recflow.llm.common import keyed, map_batches, parts, raw
+from recflow.llm.common import keyed, map_batches, others, parts, quoted, raw
+from recflow.session import materialize
 
 WINDOW = 10
 # Bytes of item texts that are searched in one pass over the documents.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 2 << 20
 SAMPLE = 8
 
 # Bytes up to 127 other than digits and letters part words; A-Z become a-z.
@@ -120,9 +123,9 @@ class FMIndex:
 class Phrases:
     """The distinct phrases of some items: numbers of their words, and the items that have each."""
 
-    def __init__(self, items: Sequence[tuple[int | None, bytes]], window: int) -> None:
+    def __init__(self, items: Sequence[tuple[object, bytes]], window: int) -> None:
         self.number: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
+        found: dict[tuple[int, ...], set[object]] = {}
         for item, text in items:
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
             for i in range(max(1, len(ids) - window + 1) if ids else 0):
@@ -187,17 +190,14 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[done:]])
 
 
-RESULT = "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<bigint>"
+# The columns that a scan adds; a document's own ones of these names are replaced.
+ADDED = ("n_words", "spans", "items")
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, bytes]]]:
-    """The items in blocks of about ``block_bytes``, one at a time on the driver."""
-    rows = items.where("text is not null").select("item_id", "text")
-    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    n = total // block_bytes + 1
-    for k in range(n):
-        some = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r.item_id, r.text.encode()) for r in some.collect()]
+def _block(rows: DataFrame, k: int, n: int) -> list[tuple[object, bytes]]:
+    """The ``k``-th of ``n`` blocks of the items, as (item_id, text)."""
+    some = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+    return [(r.item_id, r.text.encode()) for r in some.collect()]
 
 
 def contamination(
@@ -206,17 +206,23 @@ def contamination(
     """The columns of ``docs`` with ``n_words``, ``spans`` of hit words (start, end), and ``items``, sorted.
 
     The text is left out, or comes without the hit words if ``remove`` is set; a null text stays null. With
-    several blocks the passes follow each other and the spans are merged.
+    several blocks the passes follow each other and the spans are merged; what a pass leaves is written, so that
+    the driver and a task hold the phrases of one block. Ids of items may be of any type.
     """
-    books = [Phrases(block, window) for block in _blocks(items, block_bytes)]
-    kept = [c for c in docs.columns if c not in ("text", "n_words", "spans", "items")]
-    out = docs.select(*kept, "text")
-    for k, book in enumerate(books):
-        out = _scan(out, book, first=k == 0, last=k == len(books) - 1, remove=remove)
+    out = docs.select(*others(docs, "text", *ADDED), "text")
+    rows = items.where("text is not null").select("item_id", "text")
+    kind = items.schema["item_id"].dataType
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = total // block_bytes + 1
+    for k in range(n):
+        out = _scan(out, Phrases(_block(rows, k, n), window), kind, first=k == 0, last=k == n - 1, remove=remove)
+        if k < n - 1:
+            out = materialize(out, "scanned")
     return out
 
 
-def _scan(docs: DataFrame, book: Phrases, first: bool, last: bool, remove: bool) -> DataFrame:
+def _scan(docs: DataFrame, book: Phrases, item: DataType, first: bool, last: bool, remove: bool) -> DataFrame:
+    ids = pa.list_(to_arrow_type(item))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     keep_text = not last or remove
 
@@ -236,13 +242,14 @@ def _scan(docs: DataFrame, book: Phrases, first: bool, last: bool, remove: bool)
             columns = {n: c for n, c in keyed(batch).items() if n not in ("n_words", "spans", "items")}
             columns["n_words"] = pa.array([len(x) for x in cut], pa.int64())
             columns["spans"] = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], span)
-            columns["items"] = pa.array([sorted(x) for x in items], pa.list_(pa.int64()))
+            columns["items"] = pa.array([sorted(x) for x in items], ids)
             if keep_text:
                 new = [without(t, x) if last and x else t for t, x in zip(given, spans)]
                 columns["text"] = pa.array(new, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    rest = [c for c in docs.columns if c not in ("text", "n_words", "spans", "items")]
-    plain = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    schema = ", ".join(x for x in (plain, RESULT, "text string" if keep_text else "") if x)
+    rest = [f for f in docs.schema if f.name not in ("text", *ADDED)]
+    plain = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rest)
+    result = f"n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<{item.simpleString()}>"
+    schema = ", ".join(x for x in (plain, result, "text string" if keep_text else "") if x)
     return map_batches(docs, run, schema)

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import keyed, lists, parts, per_batch, strings
+from recflow.llm.common import keyed, lists, others, parts, per_batch, strings
 
 MARK = "▁"
 _CHUNKS = re.compile(" *[^ ]+| +$")
@@ -77,8 +77,7 @@ def encode(docs: DataFrame, model_path: str, decoded: bool = False) -> DataFrame
                 columns["text"] = pa.array([table.model.decode(x) if x else "" for x in found], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    kept = [c for c in docs.columns if c not in ("text", "ids")]
-    texts = docs.select(*kept, F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(*others(docs, "text", "ids"), F.coalesce("text", F.lit("")).alias("text"))
     return per_batch(texts, run, "ids array<int>" + ", text string" * decoded)
 
 
@@ -93,8 +92,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
                 texts = [model.decode(x) if x else "" for x in map(_ints, part.column("ids"))]
                 yield pa.RecordBatch.from_pydict(keyed(part) | {"text": pa.array(texts, pa.string())})
 
-    kept = [c for c in encoded.columns if c != "text"]
-    return per_batch(encoded.select(*kept), run, "text string")
+    return per_batch(encoded.select(*others(encoded, "text")), run, "text string")
 
 
 def _ints(value: pa.ListScalar) -> list[int]:

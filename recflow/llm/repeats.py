@@ -28,9 +28,12 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from recflow.llm.common import map_batches, parts, raw, texts_of, worker_state
 from recflow.operators.joins import lookup
+from recflow.operators.ranking import rank_within
+from recflow.session import materialize
 
 WINDOW = 20
 ROWS = 2
@@ -236,11 +239,24 @@ def _gone(windows: Windows, mine: pa.ListArray, counted: np.ndarray, bits: int)
     return np.cumsum(change[:-1]) > 0
 
 
+def _placed(texts: DataFrame) -> DataFrame:
+    """The texts with their ``place``, by which one is earlier: the id, or the rank of an id that is no whole number.
+
+    Rows without an id come last.
+    """
+    by_text = F.lit(AFTER_IDS) + F.xxhash64("text").bitwiseAND(AFTER_IDS - 1)
+    if isinstance(texts.schema["doc_id"].dataType, IntegralType):
+        return texts.withColumn("place", F.coalesce(F.col("doc_id").cast("long"), by_text))
+    ids = texts.select("doc_id").where("doc_id is not null").distinct()
+    ranks = materialize(rank_within(ids, [], ["doc_id"], "_rank"), "ranks")
+    ranked = lookup(texts, ranks.select("doc_id", "_rank"), ["doc_id"], "left")
+    return ranked.select("doc_id", "text", F.coalesce(F.col("_rank").cast("long"), by_text).alias("place"))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, most_cells: int = MOST_CELLS) -> DataFrame:
     """(doc_id, n_words, n_removed, text): each document without repeated passages, words joined by spaces."""
     spark = docs.sparkSession
-    by_text = F.lit(AFTER_IDS) + F.xxhash64("text").bitwiseAND(AFTER_IDS - 1)
-    texts = texts_of(docs).withColumn("place", F.coalesce(F.col("doc_id").cast("long"), by_text))
+    texts = _placed(texts_of(docs))
     bits = cells_for(texts, most_cells)
     counted = spark.sparkContext.broadcast(sketch(texts, window, bits))
     name = uuid.uuid4().hex

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import keyed, parts, per_batch, raw
+from recflow.llm.common import keyed, others, parts, per_batch, raw
 from recflow.llm.automaton import Automaton, Scanner, compiled
 
 
@@ -154,8 +154,7 @@ def find(docs: DataFrame, redact: bool = False) -> DataFrame:
                 columns["text"] = pa.array(new, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    kept = [c for c in docs.columns if c not in ("text", "spans")]
-    return per_batch(docs.select(*kept, "text"), run, SPANS + ", text string" * redact)
+    return per_batch(docs.select(*others(docs, "text", "spans"), "text"), run, SPANS + ", text string" * redact)
 
 
 def digest(spans: str) -> Column:

@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from recflow.llm.common import keyed, parts, per_batch, raw
+from recflow.llm.common import apart, keyed, others, parts, per_batch, put_back, raw
 from recflow.llm.components import components
 from recflow.operators.joins import lookup
 from recflow.session import materialize
@@ -66,8 +67,7 @@ def fingerprints(docs: DataFrame, words: int = 3, keep_text: bool = False) -> Da
             columns = keyed(batch) | {"fp": values}
             yield pa.RecordBatch.from_pydict(columns | {"text": batch.column("text")} if keep_text else columns)
 
-    kept = [c for c in docs.columns if c not in ("text", "fp")]
-    return per_batch(docs.select(*kept, "text"), run, "fp bigint" + ", text string" * keep_text)
+    return per_batch(docs.select(*others(docs, "text", "fp"), "text"), run, "fp bigint" + ", text string" * keep_text)
 
 
 def masks(radius: int) -> list[int]:
@@ -143,16 +143,18 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     Of several rows with that id, and of a group without ids, any one row stays.
     """
     row = F.monotonically_increasing_id().alias("_row")
-    own = [c for c in ("fp", "_row", "_place") if c in docs.columns]
-    apart = docs.withColumnsRenamed({c: f"_own_{c}" for c in own})
-    rows = materialize(fingerprints(apart, words, keep_text=True).select("*", row), "fingerprinted")
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    own, moved = apart(docs, "fp", "_row", "_place", "_hash")
+    rows = materialize(fingerprints(own, words, keep_text=True).select("*", row), "fingerprinted")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    else:
+        place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     best = [F.min("_place").alias("_place"), F.min_by("_row", "_place").alias("_row")]
     distinct = rows.withColumn("_place", place).groupBy("fp").agg(*best)
     linked = _clusters(materialize(distinct, "distinct"), radius)
     stay = materialize(linked.groupBy("root").agg(*best).select("_row"), "kept-rows")
     kept = lookup(rows, stay, ["_row"], "left_semi").drop("fp", "_row")
-    return kept.withColumnsRenamed({f"_own_{c}": c for c in own}).select(*docs.columns)
+    return put_back(kept, docs.columns, moved)
 
 
 def hexadecimal(fp: str) -> Column:
