@@ -10,22 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.llm import boosted, fmindex, secret_scan, simhash
-from recflow.llm.common import table
+from recflow.llm.common import apart, put_back, table
 from recflow.llm.queries import piece_digests
 from recflow.session import materialize
 
 
-def _apart(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """The documents with their own columns of these names out of an operator's way."""
-    return docs.withColumnsRenamed({n: f"_own_{n}" for n in names})
-
-
-def _documents(changed: DataFrame, like: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def _documents(changed: DataFrame, like: DataFrame, moved: dict[str, str]) -> DataFrame:
     """The columns of documents, with the length of the changed text."""
-    changed = changed.drop(*names).withColumnsRenamed({f"_own_{n}": n for n in names})
     if "n_chars" in like.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType))
-    return changed.select(*like.columns)
+    return put_back(changed, like.columns, moved)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,15 +34,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words inside benchmark passages."""
-    added = ("n_words", "spans", "items")
-    found = fmindex.contamination(_apart(docs, added), table(spark, sf_dir, "benchmark"), remove=True)
-    return _documents(found, docs, added)
+    own, moved = apart(docs, *fmindex.ADDED)
+    found = fmindex.contamination(own, table(spark, sf_dir, "benchmark"), remove=True)
+    return _documents(found, docs, moved)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a placeholder for every secret."""
-    found = secret_scan.find(_apart(docs, ("spans",)), redact=True)
-    return _documents(found, docs, ("spans",))
+    own, moved = apart(docs, "spans")
+    return _documents(secret_scan.find(own, redact=True), docs, moved)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
