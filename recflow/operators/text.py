@@ -7,8 +7,8 @@ shuffle, and neither do term frequencies. A row that is not there stands for 0.
 (``session.materialize`` or a daily table) before passing them on.
 
 The built-in tokenizer takes runs of letters as words. Scripts written without spaces need a
-segmenter: pass ``tokenizer``, a function from a text column to an array of words, such as a Pandas
-UDF.
+segmenter: pass ``tokenizer``, a function from a text column to an array of words, such as that of
+``segment.segmenter``.
 """
 
 from __future__ import annotations

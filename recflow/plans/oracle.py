@@ -17,12 +17,14 @@ from recflow.plans.queries import (
     POSTS_LANGUAGE,
     QUARTILES,
     RANK,
+    UNSPACED,
     USER_SHARDS,
 )
 from recflow.plans.testdata import ACTION_DATE, FEED_DATE, N_STOPWORDS, RUN_DATE
 from recflow.sources.dimensions import EVENT_WEIGHTS, REC_ALGORITHMS
 
 GAMMA = 0.9
+UNIT, EXACT = 1000, 9
 WEIGHT = (
     "CASE event_type "
     + " ".join(f"WHEN '{t}' THEN {w}" for t, w in EVENT_WEIGHTS.items())
@@ -60,6 +62,70 @@ def _count(source: str, columns: list[str], stop: bool) -> str:
     return f"SELECT item_id, key_word, count(*) AS word_count FROM ({each}) {drop} GROUP BY 1, 2"
 
 
+def _unspaced_grams(longest: int) -> str:
+    """All sequences of letters of the runs, up to one letter more than a word may have."""
+    return (
+        "SELECT gram, sum(k) AS n FROM (SELECT k, substr(run, CAST(place AS BIGINT), size) AS gram FROM "
+        "(SELECT run, k, unnest(range(1, length(run) + 1)) AS place FROM distinct_runs) "
+        f"CROSS JOIN range(1, {longest + 2}) s(size) WHERE place + size - 1 <= length(run)) GROUP BY gram"
+    )
+
+
+def _vocabulary(max_length: int, min_cohesion: float, min_freedom: float, min_count: int) -> str:
+    """Words by cohesion and freedom, and all letters, with their costs."""
+    ends = " UNION ALL ".join(
+        f"SELECT {word} AS word, sum(n * log2(n)) AS bits FROM grams WHERE length(gram) > 2 GROUP BY 1"
+        for word in ("substr(gram, 1, length(gram) - 1)", "substr(gram, 2)")
+    )
+    total = "(SELECT sum(n) FROM grams WHERE length(gram) = 1)"
+    return (
+        "SELECT word, n, cohesion, freedom, "
+        f"CAST(round((log2({total}) - log2(n)) * {UNIT}) AS BIGINT) AS cost FROM ("
+        "SELECT word, any_value(f.n) AS n, "
+        f"round(min(log2(f.n) - log2(a.n) - log2(b.n)) + log2({total}), {EXACT}) AS cohesion, "
+        "any_value(freedom) AS freedom FROM (SELECT gram AS word, n, "
+        f"round(log2(n) - coalesce(most, 0.0) / n, {EXACT}) AS freedom, "
+        "unnest(range(1, length(gram))) AS place FROM grams LEFT JOIN "
+        f"(SELECT word, max(bits) AS most FROM ({ends}) GROUP BY word) e ON e.word = gram "
+        f"WHERE n >= {min_count} AND length(gram) BETWEEN 2 AND {max_length}) f "
+        "JOIN grams a ON a.gram = substr(word, 1, CAST(place AS BIGINT)) "
+        "JOIN grams b ON b.gram = substr(word, CAST(place AS BIGINT) + 1) "
+        f"WHERE freedom >= {min_freedom} GROUP BY word HAVING cohesion >= {min_cohesion} "
+        "UNION ALL SELECT gram, n, NULL, NULL FROM grams WHERE length(gram) = 1)"
+    )
+
+
+def _best_cuts(longest: int) -> str:
+    """The words of each distinct run on its cheapest way, one letter after the other.
+
+    The state holds, for the last ends, the least cost and the way there; among equal ones the shorter last word wins.
+    """
+    sizes = f"range(1, {longest + 1})"
+    far = 1 << 40
+    ways = f"list_transform({sizes}, lambda j: a.c[j] + x.e[j])"
+    best = f"list_min({ways})"
+    size = f"list_position({ways}, {best})"
+    step = (
+        f"lambda a, x: {{'c': list_concat([{best}], a.c[:{longest - 1}]), "
+        f"'p': list_concat([a.p[{size}] || ' ' || right(x.t, {size})], a.p[:{longest - 1}]), 'e': x.e, 't': x.t}}"
+    )
+    none = ", ".join([str(far)] * (longest - 1))
+    start = (
+        f"{{'c': CAST([0, {none}] AS BIGINT[]), 'p': list_transform({sizes}, lambda j: ''), "
+        "'e': CAST([] AS BIGINT[]), 't': ''}"
+    )
+    edge = "{'c': CAST([] AS BIGINT[]), 'p': CAST([] AS VARCHAR[]), 'e': e, 't': t}"
+    return (
+        f"SELECT run, string_split(trim(list_reduce(list_concat([{start}], list({edge} ORDER BY place)), {step}).p[1]), ' ') "
+        f"AS words FROM (SELECT run, place, list(coalesce(cost, {far}) ORDER BY size) AS e, any_value(t) AS t FROM ("
+        "SELECT run, place, size, cost, "
+        f"substr(run, greatest(place - {longest - 1}, 1), least(place, {longest})) AS t FROM (SELECT run, place, size, "
+        "CASE WHEN size <= place THEN substr(run, place - size + 1, size) END AS part FROM (SELECT run, "
+        "CAST(unnest(range(1, length(run) + 1)) AS BIGINT) AS place FROM distinct_runs) "
+        f"CROSS JOIN {sizes} s(size)) LEFT JOIN vocabulary ON word = part) GROUP BY run, place) GROUP BY run"
+    )
+
+
 def _tfidf(counts: str) -> str:
     return (
         f"SELECT c.item_id, c.key_word, c.word_count / t.total * log10(n.n / d.df) AS tfidf FROM {counts} c "
@@ -152,6 +218,15 @@ PARTS: dict[str, str] = {
     "seen_posts": "SELECT DISTINCT user_id, item_id FROM ev JOIN documents ON doc_id = item_id",
     "user_post_tags": "SELECT DISTINCT user_id, tag_id FROM seen_posts s "
     "JOIN post_tags t ON t.item_id = s.item_id",
+    "unspaced_runs": "SELECT item_id, field, unnest(regexp_extract_all(lower(regexp_replace(t, "
+    "'[\\x20\\x09-\\x0D]+', '', 'g')), '\\p{L}+')) AS run FROM (SELECT id AS item_id, 1 AS field, name AS t FROM posts "
+    "UNION ALL SELECT id, 2, description FROM posts)",
+    "distinct_runs": "SELECT run, count(*) AS k FROM unspaced_runs GROUP BY run",
+    "grams": _unspaced_grams(UNSPACED["max_length"]),
+    "vocabulary": _vocabulary(**UNSPACED),
+    "best_cuts": _best_cuts(UNSPACED["max_length"]),
+    "unspaced_counts": "SELECT item_id, key_word, count(*) AS word_count FROM (SELECT DISTINCT item_id, field, "
+    "unnest(words) AS key_word FROM unspaced_runs JOIN best_cuts ON best_cuts.run = unspaced_runs.run) GROUP BY 1, 2",
     "stopwords": f"SELECT key_word FROM (SELECT unnest({WORDS.format('text')}) AS key_word "
     f"FROM documents) GROUP BY 1 ORDER BY count(*) DESC, key_word LIMIT {N_STOPWORDS}",
     "item_scores": _item_score(RUN_DATE),
@@ -214,6 +289,10 @@ PARTS: dict[str, str] = {
 }
 
 
+# Subqueries of several readers, computed once.
+STORED = ("actions", "item_vectors", "item_near", "item_pairs", "distinct_runs", "grams", "vocabulary")
+
+
 def _with(body: str) -> str:
     """The statement preceded by the named subqueries it uses, in the order of ``PARTS``."""
 
@@ -225,8 +304,7 @@ def _with(body: str) -> str:
     while todo:
         needed |= todo
         todo = set().union(*(used(PARTS[name]) for name in todo)) - needed
-    # subqueries of several readers are computed once
-    once = lambda name: "MATERIALIZED " if name in ("actions", "item_vectors", "item_near", "item_pairs") else ""
+    once = lambda name: "MATERIALIZED " if name in STORED else ""
     parts = ", ".join(f"{name} AS {once(name)}({sql})" for name, sql in PARTS.items() if name in needed)
     return f"WITH {parts} {body}" if parts else body
 
@@ -386,6 +464,8 @@ STATEMENTS: dict[str, str] = {
     "word_count_combined": _counts(f"({_count('posts', ['name', 'description'], True)})"),
     "word_count_title": _counts("title_counts"),
     "word_count_content": _counts("content_counts"),
+    "word_count_unspaced": _counts("unspaced_counts"),
+    "unspaced_vocabulary": f"SELECT word, CAST(n AS BIGINT) AS n, {_r('cohesion')}, {_r('freedom')}, cost FROM vocabulary",
     "idf": "SELECT key_word, count(*) AS item_num_has_word, any_value(n) AS item_num_all, "
     f"{_r('log10(any_value(n) / count(*))', 'idf')} FROM content_counts "
     "CROSS JOIN (SELECT count(DISTINCT item_id) AS n FROM content_counts) GROUP BY 1",

@@ -22,6 +22,7 @@ from recflow.operators import (
     matrix,
     ranking,
     retrieval,
+    segment,
     similarity,
     sparse,
     text,
@@ -48,6 +49,8 @@ USER_SHARDS = 16
 SPLIT_CELLS = 20
 # A year after the events.
 OLD_DATE = "2025-01-30"
+# Words of the posts without their spaces; short alphabets hold together less than large ones.
+UNSPACED = {"max_length": 4, "min_cohesion": 1.0, "min_freedom": 1.5, "min_count": 5}
 EVENT_TYPES = ("view", "click", "purchase")
 LEVEL_THRESHOLDS = (50.0, 100.0, 200.0)
 POSTS_LANGUAGE = "en"
@@ -309,6 +312,26 @@ def word_count_content(shop: Shop) -> DataFrame:
     return _post_counts(shop, "description").drop("date")
 
 
+def _unspaced(shop: Shop) -> tuple[DataFrame, DataFrame]:
+    """(posts with the spaces taken out, the vocabulary learned from them)."""
+    closed = [F.regexp_replace(f, r"[\x20\x09-\x0D]+", "").alias(f) for f in ("name", "description")]
+    posts = shop.posts().select("id", *closed)
+    return posts, segment.learn_vocabulary(posts, ["name", "description"], **UNSPACED)
+
+
+@query
+def unspaced_vocabulary(shop: Shop) -> DataFrame:
+    return rounded(rounded(_unspaced(shop)[1], "cohesion"), "freedom")
+
+
+@query
+def word_count_unspaced(shop: Shop) -> DataFrame:
+    """Word counts of posts whose words stand without spaces."""
+    posts, vocabulary = _unspaced(shop)
+    tokenizer = segment.segmenter(vocabulary)
+    return text.word_count(posts, ["name", "description"], RUN_DATE, tokenizer=tokenizer).drop("date")
+
+
 @query
 def idf(shop: Shop) -> DataFrame:
     return rounded(text.idf(_stored_counts(shop, "description")), "idf")

@@ -1,0 +1,174 @@
+import itertools
+import random
+from collections import Counter
+from math import log2
+
+import pytest
+from pyspark.sql import functions as F
+
+from recflow.operators import segment, text
+
+LETTERS = [chr(0x4E00 + i) for i in range(300)]
+
+
+def planted(seed=5, n_texts=500):
+    """Texts of words drawn by rank, and their runs as lists of words."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choices(LETTERS, k=rng.choice((1, 2, 2, 2, 3, 3, 4)))) for _ in range(200)]
+    shares = [1 / (i + 1) for i in range(len(words))]
+    return [[rng.choices(words, shares, k=rng.randint(3, 15)) for _ in range(3)] for _ in range(n_texts)]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return planted()
+
+
+@pytest.fixture(scope="module")
+def items(spark, texts):
+    joined = [(i, "。".join("".join(run) for run in t)) for i, t in enumerate(texts)]
+    return spark.createDataFrame([*joined, (-1, None), (-2, ""), (-3, " 1.2 ")], "id long, body string")
+
+
+@pytest.fixture(scope="module")
+def vocabulary(items):
+    return segment.learn_vocabulary(items, ["body"])
+
+
+def ends(words):
+    return set(itertools.accumulate(map(len, words)))
+
+
+def slow_vocabulary(texts, longest, min_count, min_cohesion, min_freedom):
+    """Word to (n, cohesion, freedom) by loops over every gram."""
+    grams, after, before = Counter(), {}, {}
+    for run in ("".join(r) for t in texts for r in t):
+        for size in range(1, longest + 1):
+            for at in range(len(run) - size + 1):
+                gram = run[at : at + size]
+                grams[gram] += 1
+                # an end is a letter of its own each time
+                nxt, prev = run[at + size : at + size + 1] or ("end", at, run), run[:at][-1:] or ("begin", at, run)
+                if not isinstance(nxt, tuple):
+                    after.setdefault(gram, Counter())[nxt] += 1
+                if not isinstance(prev, tuple):
+                    before.setdefault(gram, Counter())[prev] += 1
+    total = sum(n for g, n in grams.items() if len(g) == 1)
+    out = {g: (n, None, None) for g, n in grams.items() if len(g) == 1}
+
+    def entropy(n, seen):
+        alone = n - sum(seen.values())
+        return -sum(c / n * log2(c / n) for c in [*seen.values(), *[1] * alone])
+
+    for gram, n in grams.items():
+        if len(gram) == 1 or n < min_count:
+            continue
+        held = min(log2(n * total / (grams[gram[:k]] * grams[gram[k:]])) for k in range(1, len(gram)))
+        free = min(entropy(n, side.get(gram, Counter())) for side in (after, before))
+        if held >= min_cohesion and free >= min_freedom:
+            out[gram] = (n, round(held, 6), round(free, 6))
+    return out
+
+
+def test_the_vocabulary_is_that_of_loops_over_all_grams(spark, items, texts, vocabulary):
+    found = {
+        r.word: (r.n, r.cohesion if r.cohesion is None else round(r.cohesion, 6), r.freedom and round(r.freedom, 6))
+        for r in vocabulary.collect()
+    }
+    assert found == slow_vocabulary(
+        texts, segment.MAX_LENGTH, segment.MIN_COUNT, segment.MIN_COHESION, segment.MIN_FREEDOM
+    )
+
+
+def test_words_are_found_again_without_their_spaces(items, texts, vocabulary):
+    words = segment.segmenter(vocabulary)
+    found = dict(items.select("id", words(F.col("body"))).collect())
+    hits = true = given = 0
+    for i, t in enumerate(texts):
+        a, b = ends([w for run in t for w in run]), ends(found[i])
+        hits, true, given = hits + len(a & b), true + len(a), given + len(b)
+    assert 2 * hits / (true + given) > 0.97
+    assert found[-1] == found[-2] == found[-3] == []
+
+
+def slow_cut(run, costs, longest, unknown):
+    """The least cost over every way to cut a run, and the way whose last words are the shortest."""
+    best = [(0, [])]
+    for end in range(1, len(run) + 1):
+        ways = []
+        for size in range(1, min(end, longest) + 1):
+            part = run[end - size : end]
+            price = costs.get(part, unknown if size == 1 else None)
+            if price is not None:
+                ways.append((best[end - size][0] + price, size, [*best[end - size][1], part]))
+        least = min(ways, key=lambda w: w[:2])
+        best.append((least[0], least[2]))
+    return best[-1]
+
+
+def test_cuts_are_the_cheapest_ones():
+    rng = random.Random(3)
+    for _ in range(60):
+        letters = "ab\U00020000é"
+        words = {"".join(rng.choices(letters, k=rng.randint(1, 4))): rng.randint(0, 5) for _ in range(8)}
+        longest = max(map(len, words))
+        some = ["".join(rng.choices(letters + "z", k=rng.choice((0, 1, 2, 9, 30)))) for _ in range(12)]
+        found = segment.cut(some, segment.trie(list(words), list(words.values())), longest, 7)
+        assert found == [slow_cut(run, words, longest, 7)[1] for run in some]
+
+
+def test_without_words_each_letter_is_one():
+    assert segment.cut(["ab", "", "c"], segment.trie([], []), 1, 5) == [["a", "b"], [], ["c"]]
+    assert segment.cut([], segment.trie([], []), 1, 5) == []
+
+
+def test_grams_do_not_depend_on_the_pieces(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ab\U00020000 .\n", k=n)) for n in (0, 1, 7, 8, 9, 40, 333)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "body string")
+    expected = Counter()
+    for run in "|".join(texts).replace(" ", "|").replace(".", "|").replace("\n", "|").split("|"):
+        expected.update(run[a : a + k] for k in (1, 2, 3) for a in range(len(run) - k + 1))
+    for size in (1, 3, 8, 4096):
+        monkeypatch.setattr(segment, "PIECE", size)
+        assert dict(map(tuple, segment.gram_counts(df, ["body"], 3).collect())) == expected
+
+
+def test_a_long_text_is_cut_whole(spark, vocabulary, texts):
+    one = "".join("".join(run) for t in texts for run in t)
+    long = "。".join([one] * 50)
+    assert len(long.encode()) > 4 << 20
+    df = spark.createDataFrame([(1, long), (2, one)], "id long, body string")
+    words = segment.segmenter(vocabulary)
+    a, b = (r[0] for r in df.orderBy("id").select(words(F.col("body"))).collect())
+    assert a == b * 50
+    grams = dict(map(tuple, segment.gram_counts(df, ["body"], 2).collect()))
+    assert grams[one[:1]] == 51 * one.count(one[:1])
+
+
+def test_tables_without_texts(spark):
+    none = spark.createDataFrame([], "id long, body string")
+    learned = segment.learn_vocabulary(none, ["body"])
+    assert learned.collect() == []
+    words = segment.segmenter(learned)
+    one = spark.createDataFrame([(1, "Ab c")], "id long, body string")
+    assert one.select(words(F.col("body"))).first()[0] == ["a", "b", "c"]
+    assert text.word_count(none, ["body"], "2024-01-02", tokenizer=words).collect() == []
+
+
+def test_word_counts_over_unspaced_fields(items, texts, vocabulary):
+    words = segment.segmenter(vocabulary)
+    counts = text.word_count(items, ["body"], "2024-01-02", tokenizer=words)
+    expected = {r.id: set(r.w) for r in items.select("id", words(F.col("body")).alias("w")).collect() if r.w}
+    found = {}
+    for r in counts.collect():
+        found.setdefault(r.item_id, set()).add(r.key_word)
+        assert (r.word_count, r.word_total) == (1, len(expected[r.item_id]))
+    assert found == expected
+
+
+def test_only_the_most_frequent_words_are_sent(spark):
+    table = [("ab", 9, 100), ("a", 8, 500), ("b", 7, 500), ("bc", 1, 100)]
+    vocabulary = spark.createDataFrame(table, "word string, n long, cost long")
+    words = segment.segmenter(vocabulary, max_words=3)
+    assert spark.createDataFrame([("abc",)], "body string").select(words(F.col("body"))).first()[0] == ["ab", "c"]
