@@ -1,15 +1,17 @@
 """License scans by a positional index of rare tokens.
 
-The index holds every template, a short key phrase or a longer notice, under its rarest word: the one with
-the highest inverse document frequency over all documents. A file's words that the index knows are looked
-up; each posting gives the place where the template would start, and the template's other words must stand
-at the same relative place among the file's words around it. A key phrase must be there word by word. A
-notice may miss words of low weight, and counts only where its mandatory key phrases stand complete at
-their place in it.
+The index posts every template, a short key phrase or a longer notice, under the few rarest of its mandatory
+words: those of the highest inverse document frequency over all documents. Each word of a file that the index
+knows gives, by its offset in the template, the place where the template would start; the postings of a template
+are intersected by that place, and only places that all of them name are looked at further. There the
+mandatory key phrases must stand word by word. The other words of a notice may be missing, if their weight is
+low, or a few places off, as where a word was put in or left out. Mandatory words are in every match, so it
+does not matter which of them are rare: no match is lost by the choice.
 
 All steps are DataFrame functions. The words of a text are cut once; what the templates can use of them is
-stored, and texts are not read again. Null and empty texts have no words, no labels and score 0. Repeated
-rows, and rows without an id, are scanned each by itself.
+stored, and texts are not read again. A text is one row while its words are cut, whatever its length; a
+candidate carries the words around it only. Null and empty texts have no words, no labels and score 0. Repeated
+rows, and rows without an id, are scanned each by itself. Columns but doc_id and text are not returned.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The share of a notice's weight that must be found, in per cent.
 LEAST_SHARE = 60
+# Places by which a word of a notice that is not mandatory may be off.
+SLACK = 2
+# Postings of a template.
+POSTINGS = 3
 
 
 @dataclass(frozen=True)
@@ -40,7 +46,7 @@ class Template:
     base: bool = False
 
 
-# The key phrases of the scan, and opening words of public license notices.
+# The key phrases of the scan, and words of public license notices and identifiers.
 BASE = (
     Template("mit", "mit license", base=True),
     Template("apache", "apache license", base=True),
@@ -82,6 +88,52 @@ MORE = (
         ("copy modify and or distribute",),
     ),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("public domain",)),
+    Template("boost", "boost software license"),
+    Template("bsd", "bsd 2 clause license"),
+    Template("bsd", "bsd 3 clause license"),
+    Template("cc0", "cc0 1 0 universal"),
+    Template("epl", "eclipse public license"),
+    Template("wtfpl", "do what the fuck you want to public license"),
+    Template("zlib", "zlib license"),
+    Template(
+        "mit",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the software",
+        ("copies or substantial portions",),
+    ),
+    Template(
+        "apache",
+        "you may obtain a copy of the license at http www apache org licenses license 2 0",
+        ("www apache org licenses license",),
+    ),
+    Template(
+        "bsd",
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+        "following disclaimer in the documentation and or other materials provided with the distribution",
+        ("binary form must reproduce",),
+    ),
+    Template(
+        "boost",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license",
+        ("person or organization obtaining a copy",),
+    ),
+    Template(
+        "zlib",
+        "the origin of this software must not be misrepresented you must not claim that you wrote the original software",
+        ("must not be misrepresented",),
+    ),
+    Template(
+        "epl",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license",
+        ("eclipse public license",),
+    ),
+    *(
+        Template(label, f"spdx license identifier {label}")
+        for label in ("agpl", "apache", "bsd", "cc0", "epl", "gpl", "isc", "lgpl", "mit", "mpl", "unlicense", "wtfpl", "zlib")
+    ),
+    Template("boost", "spdx license identifier bsl"),
+    Template("cc", "spdx license identifier cc"),
 )
 TEMPLATES = BASE + MORE
 
@@ -108,19 +160,24 @@ def _key_offsets(template: Template) -> list[int]:
     return sorted(found)
 
 
-def _index(templates: Sequence[Template], weights: dict[str, int], docs: DataFrame) -> DataFrame:
-    """One posting for each template: its rarest word and that word's offset, and all it must match."""
-    rows = []
-    for t in templates:
-        words = t.text.split()
-        anchor = max(range(len(words)), key=lambda i: (weights[words[i]], -i))
-        body = [(i, w, weights[w]) for i, w in enumerate(words)]
-        rows.append((words[anchor], anchor, t.label, t.base, bool(t.keys), body, _key_offsets(t)))
+def _index(templates: Sequence[Template], weights: dict[str, int], docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(postings, templates): the rarest mandatory words of each template with their offsets, and all it must match."""
+    postings, bodies = [], []
+    for n, t in enumerate(templates):
+        words, needed = t.text.split(), _key_offsets(t)
+        rare = sorted(needed, key=lambda i: (-weights[words[i]], i))[:POSTINGS]
+        postings += [(n, words[i], i, i == rare[0], len(rare)) for i in rare]
+        body = [(i, w, weights[w], 0 if i in needed else SLACK) for i, w in enumerate(words)]
+        bodies.append((n, t.label, t.base, bool(t.keys), body, needed))
+    spark = docs.sparkSession
     schema = (
-        "word string, anchor int, label string, base boolean, notice boolean, "
-        "body array<struct<offset:int,word:string,weight:bigint>>, keys array<int>"
+        "template int, label string, base boolean, notice boolean, "
+        "body array<struct<offset:int,word:string,weight:bigint,slack:int>>, keys array<int>"
+    )
+    return (
+        spark.createDataFrame(postings, "template int, word string, offset int, rarest boolean, postings int"),
+        spark.createDataFrame(bodies, schema),
     )
-    return docs.sparkSession.createDataFrame(rows, schema)
 
 
 def _sum(values: Column) -> Column:
@@ -154,20 +211,33 @@ def scan(docs: DataFrame, templates: Iterable[Template] = TEMPLATES) -> DataFram
     documents = stored.count()
     weights = {w: weight(documents, counted.get(w, 0)) for w in vocabulary}
 
-    index = _index(templates, weights, docs)
-    anchors = sorted({r.word for r in index.select("word").collect()})
-    # the words around an anchor are among as many hits on either side as a template has words
-    around = F.slice("hits", F.greatest(F.col("at") + 2 - longest, F.lit(1)), F.lit(2 * longest))
+    postings, bodies = _index(templates, weights, docs)
+    posted = sorted({r.word for r in postings.select("word").collect()})
+    # the words around a place are among as many hits on either side as a template has words, or is off
+    reach = longest + SLACK
+    around = F.slice("hits", F.greatest(F.col("at") + 2 - reach, F.lit(1)), F.lit(2 * reach))
     looked = (
         stored.select("row", "hits", F.posexplode("hits").alias("at", "hit"))
-        .where(F.col("hit.word").isin(anchors))
+        .where(F.col("hit.word").isin(posted))
         .select("row", F.col("hit.pos").alias("pos"), F.col("hit.word").alias("word"), around.alias("around"))
     )
-    placed = looked.join(F.broadcast(index), "word").withColumn("start", F.col("pos") - F.col("anchor"))
+    # a template and place that all its postings agree on; the words around come with the rarest one
+    placed = (
+        looked.join(F.broadcast(postings), "word")
+        .groupBy("row", "template", (F.col("pos") - F.col("offset")).alias("start"))
+        .agg(
+            F.count("*").alias("agree"),
+            F.first("postings").alias("postings"),
+            F.first(F.when(F.col("rarest"), F.col("around")), ignorenulls=True).alias("around"),
+        )
+        .where(F.col("agree") == F.col("postings"))
+        .join(F.broadcast(bodies), "template")
+    )
     matched = F.filter(
         "body",
-        lambda b: F.array_contains(
-            "around", F.struct((F.col("start") + b["offset"]).cast("int").alias("pos"), b["word"].alias("word"))
+        lambda b: F.exists(
+            "around",
+            lambda h: (h["word"] == b["word"]) & (F.abs(h["pos"] - F.col("start") - b["offset"]) <= b["slack"]),
         ),
     )
     whole = _sum(F.transform("body", lambda b: b["weight"]))
@@ -217,16 +287,20 @@ hits AS (SELECT doc, pos - 1 AS pos, word FROM (SELECT doc, unnest(words) AS wor
 weights AS (SELECT word, CAST(floor(1000 * ln((1 + (SELECT count(*) FROM docs)) / (1 + count(DISTINCT doc))) + 0.5)
     AS BIGINT) + 1 AS weight FROM (SELECT DISTINCT word FROM body) LEFT JOIN hits USING (word) GROUP BY word),
 full_body AS (SELECT * FROM body JOIN weights USING (word)),
-anchors AS (SELECT template, arg_max(pos, weight * 1000 - pos) AS anchor, arg_max(word, weight * 1000 - pos) AS word,
-    sum(weight) AS whole, count(*) FILTER (WHERE needed) AS needed FROM full_body GROUP BY template),
-starts AS (SELECT doc, template, pos - anchor AS start, whole, needed FROM hits JOIN anchors USING (word)),
-found AS (SELECT doc, s.template, start, any_value(label) AS label, any_value(base) AS base,
-    any_value(notice) AS notice, sum(weight) AS part, any_value(s.whole) AS whole
+whole AS (SELECT template, sum(weight) AS whole, count(*) FILTER (WHERE needed) AS needed FROM full_body
+    GROUP BY template),
+starts AS (SELECT doc, template, h.pos - b.pos AS start FROM hits h JOIN full_body b USING (word) WHERE b.needed
+    GROUP BY doc, template, start HAVING count(*) = (SELECT needed FROM whole w WHERE w.template = b.template)),
+matched AS (SELECT DISTINCT doc, s.template, start, b.pos, weight
     FROM starts s JOIN full_body b ON b.template = s.template
-    JOIN hits h USING (doc) WHERE h.pos = s.start + b.pos AND h.word = b.word
-    GROUP BY doc, s.template, start
-    HAVING count(*) FILTER (WHERE b.needed) = any_value(s.needed)
-    AND (NOT any_value(notice) OR 100 * sum(weight) >= {LEAST_SHARE} * any_value(s.whole))),
+    JOIN hits h USING (doc) WHERE h.word = b.word
+    AND abs(h.pos - s.start - b.pos) <= CASE WHEN b.needed THEN 0 ELSE {SLACK} END),
+found AS (SELECT doc, m.template, start, any_value(label) AS label, any_value(base) AS base,
+    any_value(notice) AS notice, any_value(part) AS part, any_value(whole) AS whole
+    FROM (SELECT doc, template, start, sum(weight) AS part FROM matched GROUP BY doc, template, start) m
+    JOIN whole USING (template) JOIN body USING (template)
+    GROUP BY doc, m.template, start
+    HAVING NOT any_value(notice) OR 100 * any_value(part) >= {LEAST_SHARE} * any_value(whole)),
 per_doc AS (SELECT doc, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
     max(start) FILTER (WHERE base) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
