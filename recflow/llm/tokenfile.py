@@ -5,13 +5,16 @@ file into stripes, packs the integers as runs, keeps a row index of the smallest
 column for each group of rows, and a Bloom filter on the document ids. A reader opens stripes in parallel
 and skips those whose index or filter rules out the ids it was asked for.
 
-A document without tokens has its end id only. Null ids sort first. Rows of equal ids follow a hash of their
-texts, so that many of them can be split over files too.
+A document without tokens, so one of null or empty text, has its end id only. Null ids sort first. Rows of equal
+ids follow a hash of their texts, so that many of them can be split over files too; repeated rows are all written.
+A text is encoded whole in one task, whatever its length. Only doc_id and text are read; a table without rows
+gives files without rows.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import zlib
@@ -55,13 +58,55 @@ class Recent:
         self.new[key] = value
 
 
+# The steps before the merges of the tokenizers whose words can be encoded one by one.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def by_words(tokenizer) -> bool:
+    """Whether the tokenizer lower-cases and splits as ``WordTable`` does, changes nothing after its merges, and has
+    no added token that takes part in that or reaches over white space."""
+
+    def state(part) -> dict | None:
+        return part and json.loads(part.__getstate__())
+
+    tokens = tokenizer.get_added_tokens_decoder().values()
+    return (
+        state(tokenizer.normalizer) == NORMALIZER
+        and state(tokenizer.pre_tokenizer) == SPLITTER
+        and tokenizer.post_processor is None
+        and tokenizer.truncation is None
+        and tokenizer.padding is None
+        and not getattr(tokenizer.model, "dropout", None)
+        and not any(t.lstrip or t.rstrip or t.normalized or t.single_word or len(t.content.split()) != 1 for t in tokens)
+    )
+
+
 class WordTable:
     """Ids of the words between white space, as bytes of 32-bit integers.
 
     The tokenizer drops white space and merges nothing across it, so words can be encoded one by one. Words
     of ASCII and Latin-1 letters fall into runs of letters, single digits and runs of other marks, the same
     as the tokenizer's own; only its merges are left to do, once for each distinct run. Any other word takes
-    the tokenizer's whole way.
+    the tokenizer's whole way. With a tokenizer of other rules (see ``by_words``) every text takes it whole.
     """
 
     # The tokenizer's splitting pattern, for plain words in lower case.
@@ -72,6 +117,7 @@ class WordTable:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.whole = not by_words(self.tokenizer)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # a word that may hold a special token takes the whole way too
         ranges = ((0x21, 0x7F), (0xC0, 0xD7), (0xD8, 0xF7), (0xF8, 0x100))
@@ -107,6 +153,11 @@ class WordTable:
     def encode(self, texts: list[bytes], end_id: int) -> pa.ListArray:
         """The ids of each text and the end id."""
         end, joined = pack("i", [end_id]).tobytes(), []
+        if self.whole:
+            decoded = [t.decode("utf-8", "replace") for t in texts]
+            found = self.tokenizer.encode_batch_fast(decoded, add_special_tokens=False)
+            joined = [pack("i", f.ids).tobytes() + end for f in found]
+            return self._lists(joined)
         # there are no cycles here, and the collector would walk all that is kept
         gc.disable()
         try:
@@ -118,6 +169,10 @@ class WordTable:
                 joined.append(b"".join(found) + end)
         finally:
             gc.enable()
+        return self._lists(joined)
+
+    @staticmethod
+    def _lists(joined: list[bytes]) -> pa.ListArray:
         sizes = np.fromiter(map(len, joined), np.int32, len(joined)) // 4
         return lists(np.frombuffer(b"".join(joined), "<i4"), sizes)
 

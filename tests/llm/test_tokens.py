@@ -1,4 +1,5 @@
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -139,3 +140,55 @@ def test_repeated_and_null_ids(spark):
     assert {r.start for r in rows if r.doc_id is None} == {0}
     assert queries.piece_digests(docs).count() == 3
     assert public_tokenizers.path("x").endswith("x")
+
+
+def other_rules(tmp_path):
+    """Tokenizers that differ from the one of the query, each in one rule."""
+    changed = {
+        "case": lambda d: d["normalizer"]["normalizers"].pop(),
+        "none": lambda d: d.update(normalizer=None),
+        "space": lambda d: d["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True),
+        "digits": lambda d: d["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"),
+        "strip": lambda d: d["added_tokens"][0].update(lstrip=True),
+        "spaced": lambda d: d["added_tokens"][0].update(content="a  b"),
+        "truncated": lambda d: d.update(
+            truncation={"direction": "Right", "max_length": 4, "strategy": "LongestFirst", "stride": 0}
+        ),
+    }
+    for name, change in changed.items():
+        settings = json.load(open(queries.WORDS))
+        change(settings)
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(settings))
+        yield str(path)
+    yield public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_tokenizers_of_other_rules_give_the_librarys_ids(tmp_path):
+    assert tokenfile.by_words(Tokenizer.from_file(queries.WORDS))
+    texts = [(t or "") + " a  b <|startoftext|> A1b22" for t in HARD]
+    for path in other_rules(tmp_path):
+        library = Tokenizer.from_file(path)
+        assert not tokenfile.by_words(library)
+        table = tokenfile.WordTable(path)
+        found = table.encode([t.encode() for t in texts], 2).to_pylist()
+        assert found == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts], path
+
+
+def test_files_of_another_tokenizer(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = tokenfile.token_index(frame(spark), path, 7).collect()
+    library = Tokenizer.from_file(path)
+    sizes = {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(HARD)}
+    assert {r.doc_id: r.n_tokens for r in rows} == sizes
+
+
+def test_files_of_a_text_above_a_batch(spark):
+    word = "some words, 12 of them "
+    long = word * 200_000
+    assert len(long) > tokenfile.BATCH_BYTES
+    docs = spark.createDataFrame([(1, long), (2, word), (3, long)], "doc_id long, text string")
+    one = Tokenizer.from_file(queries.WORDS).encode(word, add_special_tokens=False).ids
+    rows = {r.doc_id: r for r in tokenfile.token_index(docs, queries.WORDS, 2).collect()}
+    assert [rows[i].n_tokens for i in (1, 2, 3)] == [200_000 * len(one) + 1, len(one) + 1, 200_000 * len(one) + 1]
+    assert rows[1].ids_crc32 == rows[3].ids_crc32 == zlib.crc32(np.array(one * 200_000 + [2], "<u4").tobytes())
