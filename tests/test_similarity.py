@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from recflow.functions import cosine_dense, geo_weights
-from recflow.operators import blocks
+from recflow.operators import blocks, similarity
 from recflow.operators.features import geo_feature, tag_feature, tag_presence
 from recflow.operators.matrix import sparse_matmul
 from recflow.operators.similarity import (
@@ -370,3 +370,32 @@ def test_negative_values_floors_and_short_blocks(spark, monkeypatch):
         assert matched(left, right, k, ("left_id", "pos", "right_id")) == best_by_hand(a, b, k)
     assert blocks.best_matches(left, right.limit(0), 3).collect() == []
     assert blocks.best_matches(left.limit(0), right, 3).collect() == []
+
+
+def test_blocks_leave_out_what_a_floor_excludes():
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 6))
+    block = pd.DataFrame({"id": np.arange(300), "vec": list(vectors)})
+    scores = vectors @ vectors.T
+    np.fill_diagonal(scores, -np.inf)
+    floor = np.sort(scores, axis=1)[:, -2] - 1e-6
+    found = blocks._match_blocks(block.assign(floor=floor), block, 5, True)
+    expected = {(i, j) for i, j in zip(*np.nonzero(scores >= floor[:, None]))}
+    above = found["score"].to_numpy() >= floor[found["left_id"]]
+    assert set(zip(found["left_id"][above], found["right_id"][above])) == expected
+    # a short first chunk may keep a few lower ones, a later chunk none
+    assert len(found) < 300 * 5
+
+
+@pytest.mark.parametrize("size", [1.0, 1e-20, 1e200])
+def test_blocks_give_exact_lists_at_any_size(size):
+    """Scores closer than single precision are told apart, and lengths beyond it are multiplied in double."""
+    rng = np.random.default_rng(4)
+    near = 1.0 + rng.integers(0, 1000, size=(900, 1)) * 1e-9
+    vectors = np.hstack([near, rng.integers(0, 2, size=(900, 3)) * 0.5])
+    block = pd.DataFrame({"id": np.arange(900), "dims": [np.arange(4)] * 900, "vals": list(vectors * size)})
+    left = pd.DataFrame({"id": [1000, 1001], "dims": [np.arange(4)] * 2, "vals": [np.ones(4), np.array([1.0, 0, 0, 0.25])]})
+    found = blocks._match_blocks(left, block, 7, False)
+    for i, row in zip((1000, 1001), left["vals"]):
+        best = sorted(range(900), key=lambda j: (-round(float(vectors[j] @ row), 10), j))[:7]
+        assert sorted(found[found["left_id"] == i]["right_id"]) == sorted(best)
