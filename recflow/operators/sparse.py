@@ -6,6 +6,9 @@ leave out its most popular users, as long as their part of its unit vector is sh
 another item that shares those users alone cannot be among the best k. Only the other users, the
 prefix, look up their items, and the pairs found are dropped unless what the prefix gave and the length
 of the rest can reach the floor. What is left is scored in full.
+
+Where columns are few and each has very many rows, floors are low and the prefixes meet most other rows. Their
+number is known before they are met; when products of blocks of rows cost less, the same lists come from these.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recflow.operators.blocks import as_neighbours, best_matches
 from recflow.operators.joins import lookup
 from recflow.operators.ranking import top_list_rows
 from recflow.operators.similarity import pair_cosine
@@ -22,6 +26,10 @@ from recflow.session import materialize
 FEW = 64
 # Bounds are taken this much wider, so that rounding drops no tie.
 SLACK = 1e-9
+# A row that a prefix meets is joined, written and scored in full, at the cost of so many pairs of rows in a block,
+# which for every twenty columns cost as much again.
+MET_COST = 200
+COLUMNS_COST = 20
 
 
 def unit_cells(matrix: DataFrame, entity: str, across: str) -> DataFrame:
@@ -81,16 +89,34 @@ def prefixes(cells: DataFrame, floor: DataFrame) -> DataFrame:
     return lookup(sized, cuts, ["id"]).where(F.col("size") <= F.col("largest")).drop("size", "largest")
 
 
-def candidates(cells: DataFrame, k: int, few: int = FEW) -> DataFrame:
-    """(id, other_id): pairs that can be among the ``k`` nearest of ``id``."""
+def looked_up(cells: DataFrame, k: int, few: int = FEW) -> DataFrame:
+    """The cells that rows look up, written once: all of them where a value is negative."""
     negative = cells.where("x < 0").limit(1).count()
     none = cells.select("id").distinct().select("id", F.lit(0.0).alias("floor"))
     floor = none if negative else materialize(floors(cells, k, few), "floors")
-    looked_up = materialize(prefixes(cells, floor), "prefixes")
-    bounds = looked_up.select("id", "floor", "rest").distinct()
-    parts = lookup(_products(looked_up, cells), bounds, ["id"])
+    return materialize(prefixes(cells, floor).withColumn("negative", F.lit(bool(negative))), "prefixes")
+
+
+def candidates(cells: DataFrame, k: int, few: int = FEW, found: DataFrame | None = None) -> DataFrame:
+    """(id, other_id): pairs that can be among the ``k`` nearest of ``id``; ``found`` is what ``looked_up`` gave."""
+    found = looked_up(cells, k, few) if found is None else found
+    bounds = found.select("id", "floor", "rest", "negative").distinct()
+    parts = lookup(_products(found, cells), bounds, ["id"])
     reached: Column = (F.col("part") + F.col("rest")) * (1 + SLACK) >= F.col("floor")
-    return parts.where(reached | F.lit(bool(negative))).select("id", "other_id")
+    return parts.where(reached | F.col("negative")).select("id", "other_id")
+
+
+def _by_blocks(cells: DataFrame, k: int, rows: int) -> DataFrame:
+    """(id, pos, neighbour_id, sim): the ``k`` nearest from products of blocks, rows of like largest cells together."""
+    # cells of one place count together, as in a join
+    summed = cells.groupBy("id", "dim").agg(F.sum("x").alias("x"))
+    packed = summed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("x", "dim")), False).alias("cells"))
+    vectors = packed.select(
+        "id", F.transform("cells", lambda c: c["dim"]).alias("dims"), F.transform("cells", lambda c: c["x"]).alias("vals")
+    )
+    vectors = materialize(vectors, "cell-vectors")
+    found = best_matches(vectors, vectors, k, exclude_same_id=True, left_rows=rows, right_rows=rows)
+    return as_neighbours(found.where(F.col("score") > 0))
 
 
 def action_neighbours(
@@ -103,6 +129,11 @@ def action_neighbours(
     """
     matrix = matrix.where((F.col("val") != 0) & ~F.isnan(F.col("val").cast("double")))
     cells = materialize(unit_cells(matrix, entity, across), "unit-cells")
-    pairs = materialize(candidates(cells, k, few), "candidates")
+    found = looked_up(cells, k, few)
+    sizes = cells.agg(F.count_distinct("id").alias("rows"), F.count_distinct("dim").alias("columns")).first()
+    met = found.agg(F.sum("n")).first()[0] or 0
+    if met * MET_COST > sizes.rows**2 * (1 + sizes.columns / COLUMNS_COST):
+        return _by_blocks(cells, k, sizes.rows)
+    pairs = materialize(candidates(cells, k, few, found), "candidates")
     scored = pair_cosine(pairs, matrix, entity, across).where(F.col("sim") > 0)
     return top_list_rows(scored, "id", "other_id", "sim", k).withColumnRenamed("other_id", "neighbour_id")

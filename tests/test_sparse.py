@@ -69,3 +69,17 @@ def test_nulls_zeros_and_empty(spark):
     assert sparse.action_neighbours(spark.createDataFrame([], schema), 3).collect() == []
     users = sparse.action_neighbours(frame.withColumn("val", F.lit(1.0)), 3, "user_id", "item_id")
     assert rows(users)[0][2] == "b"
+
+
+def test_few_columns_of_many_rows_meet_in_blocks(spark, monkeypatch):
+    """Every second pair shares a column, so no pair is written; cells of one place count together."""
+    pick = random.Random(6)
+    cells = [(f"u{user:03}", f"i{pick.randrange(8)}", float(pick.randint(1, 9))) for user in range(120) for _ in range(4)]
+    frame = spark.createDataFrame(cells, "user_id string, item_id string, val double")
+    joined = sparse.action_neighbours(frame, 4, "user_id", "item_id", few=8)
+    monkeypatch.setattr(sparse, "MET_COST", 0)
+    expected = rows(sparse.action_neighbours(frame, 4, "user_id", "item_id", few=8))
+    monkeypatch.undo()
+    monkeypatch.setattr(sparse, "candidates", None)
+    assert rows(joined) == expected and len(expected) == 120 * 4
+    assert rows(sparse.action_neighbours(frame, 4, "user_id", "item_id", few=8)) == expected
