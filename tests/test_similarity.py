@@ -399,3 +399,20 @@ def test_blocks_give_exact_lists_at_any_size(size):
     for i, row in zip((1000, 1001), left["vals"]):
         best = sorted(range(900), key=lambda j: (-round(float(vectors[j] @ row), 10), j))[:7]
         assert sorted(found[found["left_id"] == i]["right_id"]) == sorted(best)
+
+
+def test_pairs_meet_the_small_side_first(spark):
+    pairs = spark.createDataFrame([(1, 2), (1, None), (None, 2), (3, 9)], "user_id long, item_id long")
+    users = spark.createDataFrame([(1, "a")], "user_id long, name string")
+    items = spark.createDataFrame([(2, "b")], "item_id long, name string")
+    met = similarity._meet(pairs, users, items)
+    assert rows(met, "user_id", "item_id", "u_name", "i_name") == rows(
+        spark.createDataFrame(
+            [(1, 2, "a", "b"), (1, None, "a", None), (None, 2, None, "b"), (3, 9, None, None)],
+            "user_id long, item_id long, u_name string, i_name string",
+        )
+    )
+    # the last join is the one with the users
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2 and "user_id" in joins[0] and "item_id" in joins[1]
