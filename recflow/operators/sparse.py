@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.operators.blocks import as_neighbours, best_matches
+from recflow.operators.blocks import as_neighbours, best_matches, cheaper, packed_cells
 from recflow.operators.joins import lookup
 from recflow.operators.ranking import top_list_rows
 from recflow.operators.similarity import pair_cosine
@@ -26,10 +26,6 @@ from recflow.session import materialize
 FEW = 64
 # Bounds are taken this much wider, so that rounding drops no tie.
 SLACK = 1e-9
-# A row that a prefix meets is joined, written and scored in full, at the cost of so many pairs of rows in a block,
-# which for every twenty columns cost as much again.
-MET_COST = 200
-COLUMNS_COST = 20
 
 
 def unit_cells(matrix: DataFrame, entity: str, across: str) -> DataFrame:
@@ -108,13 +104,7 @@ def candidates(cells: DataFrame, k: int, few: int = FEW, found: DataFrame | None
 
 def _by_blocks(cells: DataFrame, k: int, rows: int) -> DataFrame:
     """(id, pos, neighbour_id, sim): the ``k`` nearest from products of blocks, rows of like largest cells together."""
-    # cells of one place count together, as in a join
-    summed = cells.groupBy("id", "dim").agg(F.sum("x").alias("x"))
-    packed = summed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("x", "dim")), False).alias("cells"))
-    vectors = packed.select(
-        "id", F.transform("cells", lambda c: c["dim"]).alias("dims"), F.transform("cells", lambda c: c["x"]).alias("vals")
-    )
-    vectors = materialize(vectors, "cell-vectors")
+    vectors = materialize(packed_cells(cells), "cell-vectors")
     found = best_matches(vectors, vectors, k, exclude_same_id=True, left_rows=rows, right_rows=rows)
     return as_neighbours(found.where(F.col("score") > 0))
 
@@ -132,7 +122,7 @@ def action_neighbours(
     found = looked_up(cells, k, few)
     sizes = cells.agg(F.count_distinct("id").alias("rows"), F.count_distinct("dim").alias("columns")).first()
     met = found.agg(F.sum("n")).first()[0] or 0
-    if met * MET_COST > sizes.rows**2 * (1 + sizes.columns / COLUMNS_COST):
+    if cheaper(met, sizes.rows, sizes.rows, sizes.columns):
         return _by_blocks(cells, k, sizes.rows)
     pairs = materialize(candidates(cells, k, few, found), "candidates")
     scored = pair_cosine(pairs, matrix, entity, across).where(F.col("sim") > 0)

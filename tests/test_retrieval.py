@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from recflow.operators import retrieval
+from recflow.operators import blocks, retrieval
 from recflow.session import materialize
 
 
@@ -63,3 +63,19 @@ def test_empty_and_zero_weights(spark):
     index = materialize(retrieval.impact_blocks(items), "index")
     assert rows(retrieval.index_top_k(index, items, queries, 3)) == [(7, 1, 2, 2.0)]
     assert retrieval.index_top_k(index, items, queries.limit(0), 3).collect() == []
+
+
+def test_words_of_most_items_write_no_pairs(spark, monkeypatch):
+    """Both ways give the same lists; repeated rows count as often and rows without a key not at all."""
+    items, queries = skewed(5)
+    items, queries = frames(spark, items, queries)
+    items = items.union(items.limit(50)).union(items.limit(5).withColumn("item_id", F.lit(None).cast("long")))
+    queries = queries.union(queries.limit(9)).union(queries.limit(3).withColumn("key_word", F.lit(None).cast("string")))
+    items, queries = materialize(items, "items"), materialize(queries, "queries")
+    index = materialize(retrieval.impact_blocks(items, 16), "index")
+    monkeypatch.setattr(blocks, "MET_COST", 0)
+    expected = rows(retrieval.index_top_k(index, items, queries, 6))
+    monkeypatch.undo()
+    monkeypatch.setattr(retrieval, "needed_blocks", None)
+    found = rows(retrieval.index_top_k(index, items, queries, 6))
+    assert found == expected and len(found) > 25

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from recflow.operators import sparse
+from recflow.operators import blocks, sparse
 
 
 def brute(cells, k):
@@ -77,7 +77,7 @@ def test_few_columns_of_many_rows_meet_in_blocks(spark, monkeypatch):
     cells = [(f"u{user:03}", f"i{pick.randrange(8)}", float(pick.randint(1, 9))) for user in range(120) for _ in range(4)]
     frame = spark.createDataFrame(cells, "user_id string, item_id string, val double")
     joined = sparse.action_neighbours(frame, 4, "user_id", "item_id", few=8)
-    monkeypatch.setattr(sparse, "MET_COST", 0)
+    monkeypatch.setattr(blocks, "MET_COST", 0)
     expected = rows(sparse.action_neighbours(frame, 4, "user_id", "item_id", few=8))
     monkeypatch.undo()
     monkeypatch.setattr(sparse, "candidates", None)
