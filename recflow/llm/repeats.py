@@ -42,12 +42,14 @@ LEAST_CELLS = 1 << 16
 SLICE_BITS = 20
 # Windows whose cells a task gathers before it sends them; the closer the cells, the shorter they are.
 SENT_WINDOWS = 1 << 22
+# Bytes of cells that a task sends in one batch; a slice is never cut.
+SENT_BYTES = 2 << 20
 # Cells that one merging task counts.
 MERGE_CELLS = 1 << 24
 # Where documents without an id begin; ids must be smaller.
 AFTER_IDS = 1 << 62
 # Text whose windows a task has at hand; each needs some dozen numbers.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 # Odd multipliers of the two window hashes, and of the final mixing.
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -91,20 +93,27 @@ class Windows:
 
 
 def _sketch_rows(gathered: list[list[np.ndarray]]) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """(row, slice, cells, whether each counts twice): cells as differences, their bytes in planes."""
-    for row, cells in enumerate(map(np.concatenate, gathered)):
-        cells.sort()
-        new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else cells
-        twice = np.diff(np.append(new, len(cells))) > 1
-        cells = cells[new]
-        part = cells >> np.uint32(SLICE_BITS)
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(cells)]
-        for a, b in zip(cuts, cuts[1:]):
+    """(row, slice, cells, whether each counts twice): cells as differences, their bytes in planes.
+
+    What was gathered is let go row by row, and a slice is worked on at a time.
+    """
+    for row, own in enumerate(gathered):
+        all_cells = np.concatenate(own)
+        own.clear()
+        all_cells.sort()
+        last = int(all_cells[-1]) >> SLICE_BITS if len(all_cells) else -1
+        # the cells of a slice end where the next one's would begin
+        ends = np.searchsorted(all_cells, (np.arange(last + 2, dtype=np.uint64) << SLICE_BITS).astype(np.uint32))
+        ends[-1] = len(all_cells)
+        for part, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
             if b > a:
-                inside = cells[a:b] & np.uint32((1 << SLICE_BITS) - 1)
+                cells = all_cells[a:b]
+                new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+                twice = np.diff(np.append(new, len(cells))) > 1
+                inside = cells[new] & np.uint32((1 << SLICE_BITS) - 1)
                 steps = np.diff(inside, prepend=np.uint32(0)).astype("<u4")
                 planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4)[:, :3].T).tobytes()
-                yield row, int(part[a]), planes, np.packbits(twice[a:b]).tobytes()
+                yield row, part, planes, np.packbits(twice).tobytes()
 
 
 def _cells_of(planes: bytes) -> np.ndarray:
@@ -124,22 +133,34 @@ def sketch(docs: DataFrame, window: int, bits: int) -> list[tuple[int, int, byte
 
     kinds = {"line": pa.int32(), "slice": pa.int32(), "cells": pa.binary(), "twice": pa.binary()}
 
-    def sent(gathered: list[list[np.ndarray]]) -> pa.RecordBatch:
-        rows = list(_sketch_rows(gathered))
+    def sent(gathered: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for row in _sketch_rows(gathered):
+            rows.append(row)
+            size += len(row[2])
+            if size >= SENT_BYTES:
+                yield batch_of(rows)
+                rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    def batch_of(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
             {name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(kinds.items())}
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a worker may still hold the sketch of an earlier job
+        worker_state("sketches").clear()
         gathered: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
         for batch in parts(batches, limit=BATCH_BYTES):
             for own, cells in zip(gathered, Windows([t.split() for t in raw(batch)], window).cells(bits)):
                 own.append(cells)
             if sum(map(len, gathered[0])) >= SENT_WINDOWS:
-                yield sent(gathered)
+                yield from sent(gathered)
                 gathered = [[] for _ in range(ROWS)]
         if gathered[0]:
-            yield sent(gathered)
+            yield from sent(gathered)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, int], np.ndarray] = {}

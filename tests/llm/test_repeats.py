@@ -86,3 +86,23 @@ def test_missing_ids_come_last_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.n_removed) for r in repeats.remove_repeats(docs).collect())
     assert got == [(0, 25), (0, 25), (7, 0)]
     assert repeats.remove_repeats(docs.where("doc_id = 1")).collect() == []
+
+
+def test_sketch_rows_hold_a_slice_at_a_time_and_let_go_what_was_gathered(spark, monkeypatch):
+    pick = np.random.default_rng(2)
+    cells = pick.integers(0, 3 << repeats.SLICE_BITS, 5000).astype(np.uint32)
+    cells[100:200] = cells[:100]
+    gathered = [[cells[:3000].copy(), cells[3000:].copy()], [np.zeros(0, np.uint32)]]
+    rows = list(repeats._sketch_rows(gathered))
+    assert gathered == [[], []]
+    values, counts = np.unique(cells, return_counts=True)
+    assert [(line, part) for line, part, _, _ in rows] == [(0, 0), (0, 1), (0, 2)]
+    found = np.concatenate([repeats._cells_of(planes) + (part << repeats.SLICE_BITS) for _, part, planes, _ in rows])
+    assert found.tolist() == values.tolist()
+    twice = [np.unpackbits(np.frombuffer(t, np.uint8), count=len(p) // 3) for _, _, p, t in rows]
+    assert np.concatenate(twice).tolist() == (counts > 1).astype(int).tolist()
+    # batches of one slice each give the same sketch
+    docs = spark.createDataFrame([(" ".join(f"w{(i * j) % 40}" for j in range(60)),) for i in range(30)], "text string")
+    whole = repeats.sketch(docs, 5, 22)
+    monkeypatch.setattr(repeats, "SENT_BYTES", 1)
+    assert sorted(repeats.sketch(docs, 5, 22)) == sorted(whole)
