@@ -62,12 +62,9 @@ def gram_counts(df: DataFrame, fields: Sequence[str], longest: int) -> DataFrame
     heads = F.transform(
         F.sequence(F.lit(1), F.length("rest")), lambda size: F.substring(F.col("rest"), F.lit(1), size)
     )
-    return (
-        pieces.select(F.explode(from_here).alias("rest"))
-        .select(F.explode(heads).alias("gram"))
-        .groupBy("gram")
-        .agg(F.count("*").alias("n"))
-    )
+    # there are far fewer different sequences than places, so their heads are taken after a first count
+    distinct = pieces.select(F.explode(from_here).alias("rest")).groupBy("rest").agg(F.count("*").alias("n"))
+    return distinct.select("n", F.explode(heads).alias("gram")).groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def learn_vocabulary(
@@ -215,14 +212,18 @@ def _cut_all(found: pa.ListArray, lexicon: tuple, longest: int, unknown: int) ->
     """The words of each list of runs, in order."""
     flat = found.flatten().dictionary_encode()
     distinct, words, at = flat.dictionary.to_pylist(), [], 0
-    while at < len(distinct):
+    # runs of like lengths together, as those cut at a time take as many steps as the longest has letters
+    order = sorted(range(len(distinct)), key=lambda i: len(distinct[i]))
+    while at < len(order):
         until, letters = at, 0
-        while until < len(distinct) and (until == at or letters + len(distinct[until]) <= BATCH_LETTERS):
-            letters += len(distinct[until])
+        while until < len(order) and (until == at or letters + len(distinct[order[until]]) <= BATCH_LETTERS):
+            letters += len(distinct[order[until]])
             until += 1
-        words += cut(distinct[at:until], lexicon, longest, unknown)
+        words += cut([distinct[i] for i in order[at:until]], lexicon, longest, unknown)
         at = until
-    per_run = pa.array(words, pa.list_(pa.string())).take(flat.indices)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    per_run = pa.array(words, pa.list_(pa.string())).take(pa.array(back[flat.indices.to_numpy()]))
     ends = np.concatenate([[0], np.cumsum(per_run.value_lengths().to_numpy(zero_copy_only=False))])
     sizes = found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     bounds = ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
