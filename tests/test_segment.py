@@ -172,3 +172,14 @@ def test_only_the_most_frequent_words_are_sent(spark):
     vocabulary = spark.createDataFrame(table, "word string, n long, cost long")
     words = segment.segmenter(vocabulary, max_words=3)
     assert spark.createDataFrame([("abc",)], "body string").select(words(F.col("body"))).first()[0] == ["ab", "c"]
+
+
+def test_first_count_takes_one_row_a_place(spark):
+    docs = spark.createDataFrame([("abcab ab", "xy"), (None, "ab")], "name string, description string")
+    counts = segment.gram_counts(docs, ["name", "description"], 3)
+    expected = {"a": 4, "b": 4, "c": 1, "x": 1, "y": 1, "ab": 4, "bc": 1, "ca": 1, "xy": 1, "abc": 1, "bca": 1, "cab": 1}
+    assert {r.gram: r.n for r in counts.collect()} == expected
+    lines = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    kinds = [k for line in lines for k in ("Aggregate", "Generate") if k in line]
+    # the heads of a sequence are made between two aggregations
+    assert kinds[:3] == ["Aggregate", "Generate", "Aggregate"]
