@@ -2,7 +2,9 @@
 
 Each half step joins the cells with the fixed side, sums the products of their factors per row of the other
 side, and solves one small system per row. A row of many cells is summed where its cells lie, so that only
-its sums are shuffled. A row of few cells has its cells shuffled, as they are smaller than the sums.
+its sums are shuffled: in a part for each core, however many partitions the cells are in, as a part's sums are
+larger than the few cells of the row that a partition has. A row of few cells has its cells shuffled, as they
+are smaller than the sums.
 """
 
 from __future__ import annotations
@@ -100,7 +102,8 @@ def half_step(
     met = lookup(cells, fixed, [other])
     hot = F.col(f"_hot_{key}")
     few = _sums(met.where(~hot).repartition(key), key, rank, implicit)
-    many = _sums(met.where(hot), key, rank, implicit)
+    cores = cells.sparkSession.sparkContext.defaultParallelism
+    many = _sums(met.where(hot).coalesce(cores), key, rank, implicit)
     common = np.zeros((rank, rank))
     if implicit:
         for (i, j), total in zip(_pairs(rank), fixed.selectExpr(*_products(rank)).first()):

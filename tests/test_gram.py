@@ -88,6 +88,37 @@ def test_a_hot_row_is_summed_before_its_shuffle_and_others_after(cells):
     assert "partial" in order[order.index("hot") :]
 
 
+def test_a_hot_row_has_no_more_parts_than_there_are_cores(spark, cells):
+    """With a part for each partition, the sums of a row of some dozen cells were larger than the cells."""
+    fixed = cells.select("user_id").distinct().withColumn("features", F.array(*[F.lit(1.0)] * RANK))
+    spread = flagged(cells, 0).repartition(64, "user_id").localCheckpoint()
+    step = half_step(spread, F.broadcast(fixed), "item_id", "user_id", RANK)
+    step.collect()
+    shown = step._jdf.queryExecution().executedPlan().toString()
+    cores = spark.sparkContext.defaultParallelism
+    assert f"Coalesce {cores}" in shown.split("Union", 1)[1]
+    written = [int(x) for x in _metric(step._jdf.queryExecution().executedPlan(), "shuffleRecordsWritten")]
+    assert 0 < max(written) <= cores * cells.select("item_id").distinct().count()
+
+
+def _metric(plan, name):
+    """The values of a metric in all nodes of an executed plan."""
+    nodes, out = [plan], []
+    while nodes:
+        node = nodes.pop()
+        for inner in ("executedPlan", "plan"):
+            if node.getClass().getSimpleName() in ("AdaptiveSparkPlanExec", "ShuffleQueryStageExec") and hasattr(node, inner):
+                try:
+                    nodes.append(getattr(node, inner)())
+                except Exception:  # the other kind of node
+                    continue
+        found = node.metrics().get(name)
+        out += [found.get().value()] if found.isDefined() else []
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return out
+
+
 def test_ids_of_any_type_and_cells_that_count_for_nothing(spark):
     data = [("a", "x", 1.0), ("a", "y", 2.0), ("b", "x", 0.0), (None, "x", 5.0), ("c", None, 5.0), ("d", "x", None)]
     data += [("e", "y", float("nan")), ("f", "y", 3.0), ("f", "y", 3.0)]
