@@ -82,3 +82,10 @@ def test_activity(spark):
     assert users == [(1, 5.0, 4, 2, d1, d2, 0.5, 0.25), (2, 0.0, 0, 0, None, None, None, None)]
     items = spark.createDataFrame([(8, 1.0)], "item_id long, score double")
     assert rows(analyze_items(items, events), "events", "active_days", "share_click") == [(2, 1, 0.5)]
+
+
+def test_shown_rows_are_moved_before_they_are_made_distinct(spark, feed, actions, items):
+    """Made distinct first, all rows that a task shows were held in its memory."""
+    shown = evaluate(feed, actions, items, DAY)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in shown.splitlines() if "REPARTITION_BY_COL" in line]
+    assert moved and all("user_id" in line and "item_id" in line and "rec_algo" not in line for line in moved)

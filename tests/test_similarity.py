@@ -1,4 +1,5 @@
 import itertools
+import re
 import tracemalloc
 
 import numpy as np
@@ -270,6 +271,20 @@ def test_neighbourhood_list(spark):
     ]
 
 
+def test_products_of_a_task_do_not_grow_with_the_cells(spark, monkeypatch):
+    """Products were summed where the cells lie, in as few tasks as the size of the cells asks for."""
+    monkeypatch.setattr(similarity, "MAX_TASK_PRODUCTS", 10)
+    matrix = spark.range(60).select((F.col("id") % 20).alias("user_id"), (F.col("id") % 3).alias("item_id"), F.lit(1.0).alias("val"))
+    near = spark.range(6).select((F.col("id") % 3).alias("id"), (F.col("id") + 10).alias("neighbour_id"), F.lit(0.5).alias("sim"))
+    lists = neighbourhood_recommend(matrix, near, 2)
+    shown = lists._jdf.queryExecution().executedPlan().toString()
+    # 60 cells with 2 neighbours each
+    moved = shown.index("REPARTITION_BY_NUM")
+    assert re.search(r"hashpartitioning\(user_id#\d+L?, item_id#\d+L?, 12\), REPARTITION_BY_NUM", shown)
+    assert "partial_sum" in shown[:moved] and "partial_sum" not in shown[moved:]
+    assert lists.count() == 40
+
+
 def test_geo_feature_projects_the_levels(spark):
     users = spark.createDataFrame([(1, "p", "c", "d", "x")], f"uid long, {PLACE}, role string")
     assert rows(geo_feature(users, "uid", "user_id", "2024-01-02")) == [(1, "p", "c", "d", "2024-01-02")]
