@@ -285,6 +285,17 @@ def test_products_of_a_task_do_not_grow_with_the_cells(spark, monkeypatch):
     assert lists.count() == 40
 
 
+def test_tasks_hold_no_more_rows_of_the_right_side_than_allowed(spark, monkeypatch):
+    """Seven blocks of 50 rows in pairs were 14 or 15 rows a task, where 10 are allowed."""
+    monkeypatch.setattr(blocks, "MAX_BLOCK_ROWS", 10)
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 2)
+    monkeypatch.setattr(blocks, "FINE_BLOCKS", 7)
+    vectors = spark.range(50).select("id", F.array(F.sin("id"), F.cos("id")).alias("vec"))
+    met = blocks.Matching(vectors, vectors, 2, True, 50, 50)
+    group = F.floor(F.col("rb") / met.per_group)
+    assert max(r["count"] for r in met.right.groupBy(group).count().collect()) <= 10
+
+
 def test_geo_feature_projects_the_levels(spark):
     users = spark.createDataFrame([(1, "p", "c", "d", "x")], f"uid long, {PLACE}, role string")
     assert rows(geo_feature(users, "uid", "user_id", "2024-01-02")) == [(1, "p", "c", "d", "2024-01-02")]
