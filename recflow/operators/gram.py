@@ -2,9 +2,10 @@
 
 Each half step joins the cells with the fixed side, sums the products of their factors per row of the other
 side, and solves one small system per row. A row of many cells is summed where its cells lie, so that only
-its sums are shuffled: in a part for each core, however many partitions the cells are in, as a part's sums are
-larger than the few cells of the row that a partition has. A row of few cells has its cells shuffled, as they
-are smaller than the sums.
+its sums are shuffled: in a part for each core at most. ``factorize_split`` stores the cells of a row together and
+sends factors to them where these are few, so that a row has about one part however many partitions there are;
+a part's sums are larger than the few cells of the row that a partition has otherwise. A row of few cells has its
+cells shuffled, as they are smaller than the sums.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from recflow.session import drop_paths, materialize_at, ship_functions
 
 # A row with more cells than this is summed in parts; its sums are then far smaller than its cells.
 HOT_CELLS = 4096
+# Cells of a row that are stored in one place.
+PLACE_CELLS = 4096
+# Factors of up to so many users or items are sent to the cells.
+MAX_BROADCAST_FACTORS = 100_000
 REGULARIZATION = 0.1
 
 ship_functions(__name__)
@@ -111,9 +116,16 @@ def half_step(
     return _solved(few.unionByName(many), key, rank, reg, common)
 
 
-def _marked(cells: DataFrame, key: str, hot_cells: int) -> DataFrame:
-    hot = cells.groupBy(key).agg((F.count("*") > hot_cells).alias(f"_hot_{key}"))
-    return lookup(cells, hot, [key])
+def _laid_out(cells: DataFrame, key: str, other: str, hot_cells: int) -> tuple[DataFrame, str]:
+    """(``cells`` with ``_hot_<key>``, stored with those of a row of ``key`` together, and their path).
+
+    A row of more than ``PLACE_CELLS`` cells has several places. What reads the cells where they lie then sums
+    a hot row in few parts, however many partitions there are.
+    """
+    sizes = cells.groupBy(key).agg(F.count("*").alias("_n"))
+    place = F.pmod(F.xxhash64(other), F.ceil(F.col("_n") / PLACE_CELLS))
+    found = lookup(cells, sizes, [key]).withColumn(f"_hot_{key}", F.col("_n") > hot_cells)
+    return materialize_at(found.repartition(key, place).drop("_n"), "marked")
 
 
 def factorize_split(
@@ -136,16 +148,21 @@ def factorize_split(
     cells = matrix.select("user_id", "item_id", F.col("val").cast("double").alias("val"))
     cells = cells.where("val <> 0 and not isnan(val)").dropna(subset=["user_id", "item_id"])
     cells, stored = materialize_at(cells, "cells")
-    cells, marked = materialize_at(_marked(_marked(cells, "user_id", hot_cells), "item_id", hot_cells), "marked")
+    by_user, by_item = (_laid_out(cells, *keys, hot_cells) for keys in (("user_id", "item_id"), ("item_id", "user_id")))
     drop_paths(spark, [stored])
-    users, last = materialize_at(_start(cells.select("user_id").distinct(), "user_id", rank, seed), "start")
-    items, items_at = None, None
+    users, last = materialize_at(_start(by_user[0].select("user_id").distinct(), "user_id", rank, seed), "start")
+    few_users = users.count() <= MAX_BROADCAST_FACTORS
+    items, items_at, few_items = None, None, None
     for _ in range(max_iter):
-        new, at = materialize_at(half_step(cells, users, "item_id", "user_id", rank, reg, implicit), "items")
+        sent = F.broadcast(users) if few_users else users
+        new, at = materialize_at(half_step(by_item[0], sent, "item_id", "user_id", rank, reg, implicit), "items")
         drop_paths(spark, [items_at] if items_at else [])
         items, items_at = new, at
-        new, at = materialize_at(half_step(cells, items, "user_id", "item_id", rank, reg, implicit), "users")
+        if few_items is None:
+            few_items = items.count() <= MAX_BROADCAST_FACTORS
+        sent = F.broadcast(items) if few_items else items
+        new, at = materialize_at(half_step(by_user[0], sent, "user_id", "item_id", rank, reg, implicit), "users")
         drop_paths(spark, [last])
         users, last = new, at
-    drop_paths(spark, [marked])
+    drop_paths(spark, [by_user[1], by_item[1]])
     return Factors(users, items, rank)

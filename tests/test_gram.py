@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from recflow.operators import cf
+from recflow.operators import cf, gram
 from recflow.operators.gram import factorize_split, half_step
 
 RANK, REG = 4, 0.1
@@ -140,3 +140,31 @@ def test_the_result_does_not_follow_the_partitions(cells):
     assert [r[0] for r in rows(one.users)] == [r[0] for r in rows(two.users)]
     for (_, a), (_, b) in zip(sorted(map(tuple, one.users.collect())), sorted(map(tuple, two.users.collect()))):
         assert np.allclose(a, b, atol=1e-9)
+
+
+def test_the_cells_of_a_row_are_stored_together_unless_they_are_many(spark, cells, monkeypatch):
+    """Where they were spread over all partitions, a row of some dozen cells had sums in a part for each core."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for most, places in ((4096, 1), (10, 3)):
+            monkeypatch.setattr(gram, "PLACE_CELLS", most, raising=False)
+            laid = gram._laid_out(cells.repartition(16), "user_id", "item_id", 40)[0]
+            placed = laid.select("user_id", "_hot_user_id", F.input_file_name().alias("file"))
+            found = placed.groupBy("user_id").agg(
+                F.count_distinct("file").alias("files"), F.count("*").alias("n"), F.every("_hot_user_id").alias("hot")
+            )
+            found = {r.user_id: r for r in found.collect()}
+            assert found[0].n == 90 and found[0].hot and found[0].files >= places
+            assert all(r.files == 1 for r in found.values() if r.n <= most)
+            assert laid.drop("_hot_user_id").exceptAll(cells).count() == 0 and laid.count() == cells.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_fit_that_sends_no_factors_is_the_same(cells, monkeypatch):
+    one = factorize_split(cells, 3, 2, hot_cells=5)
+    monkeypatch.setattr(gram, "MAX_BROADCAST_FACTORS", 10, raising=False)
+    two = factorize_split(cells, 3, 2, hot_cells=5)
+    for a, b in ((one.users, two.users), (one.items, two.items)):
+        for (k, x), (m, y) in zip(sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect())), strict=True):
+            assert k == m and np.allclose(x, y, atol=1e-9)
