@@ -7,6 +7,7 @@ from recflow.functions.columns import (  # noqa: F401
     f1_score,
     geo_match,
     geo_weights,
+    rounded_double,
     tag_overlap,
     word_set,
 )

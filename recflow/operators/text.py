@@ -136,20 +136,43 @@ def tf(counts: DataFrame) -> DataFrame:
     return _with_total(counts).select("item_id", "key_word", share.alias("tf"), "date")
 
 
+def _frequent_from(words: DataFrame) -> tuple[int | None, bool]:
+    """(least number of items of the most frequent words, less than ``MAX_BROADCAST_WORDS``; if these are all words).
+
+    Words of one number are taken together or not at all; None where those of the largest are too many.
+    """
+    numbers = words.groupBy("item_num_has_word").agg(F.count("*").alias("n"))
+    # each number has a word, so no more of them can matter
+    top = numbers.orderBy(F.desc("item_num_has_word")).limit(MAX_BROADCAST_WORDS).collect()
+    least, taken = None, 0
+    for row in top:
+        taken += row.n
+        if taken >= MAX_BROADCAST_WORDS:
+            return least, False
+        least = row.item_num_has_word
+    return least, True
+
+
 def tfidf(counts: DataFrame) -> DataFrame:
     """(item_id, key_word, tfidf, item_num_has_word, date).
 
-    Frequent words hold most rows, so those with more than one in ``MAX_BROADCAST_WORDS`` of all rows
-    are broadcast; by that measure there are fewer than ``MAX_BROADCAST_WORDS`` of them. Only the rows
-    of the rare words are shuffled.
+    Frequent words hold most rows, so as many of the most frequent ones as are less than
+    ``MAX_BROADCAST_WORDS`` are broadcast. Only the rows of the rare words are shuffled.
     """
     words = word_table(counts)
     weights = _with_idf(words).select("key_word", "item_num_has_word", "idf")
-    rows = words.agg(F.sum("item_num_has_word").alias("n")).scalar()
-    frequent = F.broadcast(weights.where(F.col("item_num_has_word") * MAX_BROADCAST_WORDS > rows))
+    least, everything = _frequent_from(words)
     shares = tf(counts)
-    rare = lookup(shares.join(frequent, "key_word", "left_anti"), weights, ["key_word"])
-    return shares.join(frequent, "key_word").unionByName(rare).select(
+    if least is None:
+        found = lookup(shares, weights, ["key_word"])
+    else:
+        frequent = F.broadcast(weights.where(F.col("item_num_has_word") >= least))
+        found = shares.join(frequent, "key_word")
+        if not everything:
+            rare = weights.where(F.col("item_num_has_word") < least)
+            left = shares.join(frequent, "key_word", "left_anti")
+            found = found.unionByName(lookup(left, rare, ["key_word"]))
+    return found.select(
         "item_id", "key_word", (F.col("tf") * F.col("idf")).alias("tfidf"), "item_num_has_word", "date"
     )
 

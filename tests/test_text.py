@@ -5,6 +5,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from recflow.functions import rounded_double, word_set
+from recflow.operators import text
 from recflow.operators.text import (
     hot_words,
     idf,
@@ -149,3 +151,34 @@ def test_many_stopwords_give_the_same_counts(spark, items, stopwords):
         few = word_count(items, fields, DAY, stopwords=stopwords)
         assert rows(word_count(items, fields, DAY, stopwords=more)) == rows(few)
         assert rows(word_count(items, fields, DAY, stopwords=stopwords, max_in_row=0)) == rows(few)
+
+
+def test_words_are_the_runs_of_letters(spark):
+    data = [("",), (None,), ("  ",), ("A b2a\tB",), ("-É1é\u0301x-",), ("\U00010400z 日本",), ("a",)]
+    found = spark.createDataFrame(data, "t string").select("t", word_set(F.col("t")).alias("w"))
+    matches = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("t", F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1)))
+    assert found.where(F.col("w") != matches).count() == 0
+    assert found.where(F.array_contains("w", "")).count() == 0
+    stop = F.array(F.lit("b"), F.lit("z"))
+    assert [r[0] for r in found.where("t like 'A%'").select(word_set(F.col("t"), stop)).collect()] == [["a"]]
+
+
+def test_rounding_is_that_of_spark(spark):
+    ties = [0.5e-6, 1.5e-6, 2.5e-6, 1.0000005, 0.1234565, -0.0000005, 1e-300, 1e12, 123456789.1234565, 4e15, 1e300]
+    odd = [0.0, -0.0, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(x,) for x in ties + [-x for x in ties] + odd], "x double")
+    many = spark.range(20_000).select(((F.xxhash64("id") / 9.2e18) * F.pow(F.lit(10.0), F.col("id") % 9)).alias("x"))
+    for some in (df, many):
+        pairs = some.select((rounded_double(F.col("x"), 6) + 0.0).alias("a"), (F.round("x", 6) + 0.0).alias("b"))
+        assert pairs.where("not (a <=> b)").count() == 0
+
+
+def test_the_most_frequent_words_are_broadcast_as_far_as_they_may_be(spark, monkeypatch):
+    """A share of the rows let few words in where most are about as frequent."""
+    data = [(i, f"w{w}", 1, 1, DAY) for w in range(20) for i in range(20 - w)]
+    counts = spark.createDataFrame(data, "item_id int, key_word string, word_count int, word_total int, date string")
+    whole = rows(tfidf(counts))
+    for most, least in ((8, (14, False)), (1, (None, False)), (21, (1, True))):
+        monkeypatch.setattr(text, "MAX_BROADCAST_WORDS", most)
+        assert text._frequent_from(text.word_table(counts)) == least
+        assert rows(tfidf(counts)) == whole
