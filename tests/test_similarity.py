@@ -442,3 +442,70 @@ def test_pairs_meet_the_small_side_first(spark):
     plan = met._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert len(joins) == 2 and "user_id" in joins[0] and "item_id" in joins[1]
+
+
+def test_a_feature_has_the_same_part_wherever_it_stands(spark):
+    """Features were numbered by their place in the row, so bounds on the parts did not hold and best items were lost."""
+    one = spark.createDataFrame(
+        [(1, "p", "c", ["a", "b", "z"], {"u": 1.0, "w": 2.0}), (2, None, "c", ["z"], {"w": 1.0})],
+        "user_id long, province string, city string, tags array<string>, text map<string, double>",
+    )
+    weights = Blend(geo=1.0, tag=1.0, text=(("text", 1.0),), levels=("province", "city"))
+    vectors = similarity._feature_vector(one, "user_id", weights, {}).collect()
+    parts = [dict(zip(r["dims"], r["parts"])) for r in vectors]
+    assert parts[0] == {"g:province:p": 0, "g:city:c": 1, "t:a": 2, "t:b": 2, "t:z": 2, "w:text:u": 3, "w:text:w": 3}
+    assert parts[1] == {"g:city:c": 1, "t:z": 2, "w:text:w": 3}
+
+
+def test_rows_meet_only_the_blocks_of_their_place(spark, monkeypatch):
+    """Bounds without the right parts let nearly every row meet nearly every block."""
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 10)
+    rng = np.random.default_rng(2)
+
+    def side(n, name):
+        rows = [
+            (i, f"c{rng.integers(8)}", [f"t{j}" for j in rng.permutation(6)[: rng.integers(1, 6)]], {"w": 1.0, f"v{i % 3}": 2.0})
+            for i in range(n)
+        ]
+        return spark.createDataFrame(rows, f"{name} long, city string, tags array<string>, text map<string, double>")
+
+    users, items = side(60, "user_id"), side(400, "item_id")
+    weights = Blend(geo=5.0, tag=3.0, text=(("text", 1.0),), levels=("city",))
+    asked, asks = [], blocks.Matching.asked
+    monkeypatch.setattr(blocks.Matching, "asked", lambda self, *a: asked.append((self, out := asks(self, *a))) or out)
+    lists = content_based_recommend(users, items, weights, 6, 5)
+    got = {(r.user_id, r.pos): (r.item_id, round(r.sim, 9)) for r in lists.collect()}
+    pairs = users.select("user_id").crossJoin(items.select("item_id"))
+    sims = similarity.blended_similarity(pairs, users, items, weights, 6).collect()
+    for user in range(60):
+        best = sorted((-round(r.sim, 9), r.item_id) for r in sims if r.user_id == user)[:5]
+        assert [got[user, p + 1] for p in range(5)] == [(i, -s) for s, i in best]
+    matching, later = asked[-1]
+    assert len(matching.blocks) > 30
+    assert later.agg(F.avg(F.size("blocks"))).first()[0] < 0.5 * len(matching.blocks)
+
+
+def test_ties_over_blocks_met_one_after_the_other():
+    """The ids of blocks lie among each other, and of equal scores the smaller ids are kept."""
+    rng = np.random.default_rng(6)
+    n, width = 900, 8
+    cells = rng.integers(0, 2, (n, width)) * 0.5
+    ids, rb = rng.permutation(n) * 3, rng.integers(0, 5, n)
+    right = pd.DataFrame({"id": ids, "dims": [np.arange(width)] * n, "vals": list(cells), "rb": rb})
+    left = pd.DataFrame({"id": np.arange(40), "dims": [np.arange(width)] * 40, "vals": list(cells[:40] + 0.1)})
+    best = blocks._Best(left, right, 7, False)
+    for b in (3, 0, 4, 1, 2):
+        best.meet(np.arange(40), np.flatnonzero(best.right["rb"].to_numpy() == b))
+    found = best.found()
+    scores = (cells[:40] + 0.1) @ cells.T
+    for i in range(40):
+        wanted = sorted(range(n), key=lambda j: (-round(float(scores[i, j]), 10), ids[j]))[:7]
+        assert sorted(found[found["left_id"] == i]["right_id"]) == sorted(ids[wanted])
+
+
+def test_rows_equal_to_the_floor_count_below_its_id_only():
+    right = pd.DataFrame({"id": np.arange(100), "vec": [np.ones(2)] * 100})
+    left = pd.DataFrame({"id": [1000, 1001], "vec": [np.ones(2)] * 2, "floor": [2.0, 2.0], "floor_id": [3.0, np.nan]})
+    found = blocks._match_blocks(left, right, 10, False)
+    assert sorted(found[found["left_id"] == 1000]["right_id"]) == [0, 1, 2]
+    assert sorted(found[found["left_id"] == 1001]["right_id"]) == list(range(10))
