@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -28,6 +29,7 @@ from recflow.operators.similarity import (
     text_similarity,
     vector_neighbours,
 )
+from recflow.session import CLEANUP, materialize
 
 PLACE = "province string, city string, district string"
 
@@ -509,3 +511,45 @@ def test_rows_equal_to_the_floor_count_below_its_id_only():
     found = blocks._match_blocks(left, right, 10, False)
     assert sorted(found[found["left_id"] == 1000]["right_id"]) == [0, 1, 2]
     assert sorted(found[found["left_id"] == 1001]["right_id"]) == list(range(10))
+
+
+def test_what_is_moved_at_a_time_does_not_grow_with_the_product_of_both_sides(spark, monkeypatch):
+    """Each part of the left rows needs a copy of the right ones, all of which were shuffled at once."""
+    monkeypatch.setattr(blocks, "MAX_BLOCK_ROWS", 20)
+    monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 5)
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(0, 4, (240, 4)) * 0.5
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vec array<double>")
+    moved, scored = [], blocks.Matching.scored
+
+    def counted(self, asked, parts=None):
+        groups = F.explode(F.array_distinct(F.transform("blocks", self.group))).alias("rg")
+        met = [r["rg"] for r in asked.select(groups).collect()]
+        parts = parts if parts is not None else dict.fromkeys(range(len(self.sizes)), self.parts)
+        moved.append(sum(int(self.sizes[g]) * cut for g, cut in parts.items()) + sum(g in parts for g in met))
+        assert all(self.sizes[g] <= 20 and met.count(g) <= 20 * cut for g, cut in parts.items())
+        return scored(self, asked, parts)
+
+    monkeypatch.setattr(blocks.Matching, "scored", counted)
+    monkeypatch.setattr(blocks, "COPIES", 2)
+    assert matched(frame, frame, 6, ("left_id", "pos", "right_id")) == best_by_hand(vectors, vectors, 6)
+    # a group of 20 rows for 240 ones cut in 12 parts moves 480
+    assert len(moved) > 4 and max(moved) <= 2 * 480
+
+
+def test_what_was_shuffled_goes_once_it_is_written(spark):
+    frame = spark.range(50_000).select((F.col("id") % 1000).alias("k"), F.xxhash64("id").alias("x")).repartition(3, "k")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    stored = materialize(frame, "shuffled")
+    deadline = time.time() + 30
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert stored.count() == 50_000
+    assert spark.conf.get(CLEANUP, None) is None
