@@ -107,7 +107,8 @@ def _metric(plan, name):
     while nodes:
         node = nodes.pop()
         for inner in ("executedPlan", "plan"):
-            if node.getClass().getSimpleName() in ("AdaptiveSparkPlanExec", "ShuffleQueryStageExec") and hasattr(node, inner):
+            stages = ("AdaptiveSparkPlanExec", "ShuffleQueryStageExec", "ResultQueryStageExec")
+            if node.getClass().getSimpleName() in stages and hasattr(node, inner):
                 try:
                     nodes.append(getattr(node, inner)())
                 except Exception:  # the other kind of node
